@@ -154,25 +154,32 @@ def lexicon_lines_by_word(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_sinks.lexicon_lines_by_word(lexicon(spark, sf_dir)).orderBy("word").select("line")
 
 
-def _in_batches(pages: DataFrame, batches: int = 3) -> tuple[DataFrame, DataFrame]:
-    """Dictionaries grown over consecutive parts of the pages that together hold all of them."""
-    spark = pages.sparkSession
+def _consecutive_parts(pages: DataFrame, parts: int = 3) -> list[DataFrame]:
+    """The pages cut into parts of consecutive files, which together hold all of them."""
+    last = pages.agg(F.max("file_no")).first()[0] or 0
+    files = last // parts + 1
+    return [pages.where(F.col("file_no").between(i * files, (i + 1) * files - 1)) for i in range(parts)]
+
+
+def _empty_state(spark: SparkSession) -> str:
     root = new_folder(spark, "state")
     index_stream.create(spark, root)
-    last = pages.agg(F.max("file_no")).first()[0] or 0
-    files = last // batches + 1
-    for batch in range(batches):
-        part = pages.where(F.col("file_no").between(batch * files, (batch + 1) * files - 1))
-        index_stream.add_batch(tokens.spread_small_scan(part, "seq"), batch, root)
-    return index_stream.read_state(spark, root, "url_map"), index_stream.read_state(spark, root, "lexicon")
+    return root
 
 
 def incremental_url_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _in_batches(_site_pages(spark, sf_dir))[0]
+    root = _empty_state(spark)
+    for batch, part in enumerate(_consecutive_parts(_site_pages(spark, sf_dir))):
+        index_stream.extend_url_map(part, batch, root)
+    return index_stream.read_state(spark, root, "url_map")
 
 
 def incremental_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _in_batches(_pages(spark, sf_dir))[1]
+    root = _empty_state(spark)
+    for batch, part in enumerate(_consecutive_parts(_pages(spark, sf_dir))):
+        words = tokens.page_tokens(tokens.spread_small_scan(part, "seq"))
+        index_stream.extend_lexicon(stage(words, "page_tokens").table, batch, root)
+    return index_stream.read_state(spark, root, "lexicon")
 
 
 # --- postings ---------------------------------------------------------------------------------------
@@ -191,18 +198,15 @@ def partial_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def revisit_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    index = Index(_site_pages(spark, sf_dir))
-    return postings.revisit_postings(index.tokens, index.lexicon)
+    return Index(_site_pages(spark, sf_dir)).revisit_postings()
 
 
 def revisit_partial_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    index = Index(_site_pages(spark, sf_dir))
-    return postings.revisit_postings(index.tokens, index.lexicon, by_file=True)
+    return Index(_site_pages(spark, sf_dir)).revisit_postings(by_file=True)
 
 
 def document_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    index = Index(_document_pages(spark, sf_dir))
-    return postings.revisit_postings(index.tokens, index.lexicon)
+    return Index(_document_pages(spark, sf_dir)).revisit_postings()
 
 
 def unindexed_docs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,11 +26,11 @@ def word_firsts(tokens: DataFrame) -> DataFrame:
     )
 
 
-def url_map(url_firsts: DataFrame) -> DataFrame:
+def url_map(url_firsts: DataFrame, last_seq: int | None = None) -> DataFrame:
     """(url, first_seq, n_pages, doc_id)."""
-    return dense_ids(url_firsts, "doc_id", URL_ORDER)
+    return dense_ids(url_firsts, "doc_id", URL_ORDER, last_seq=last_seq)
 
 
-def lexicon(word_firsts: DataFrame) -> DataFrame:
+def lexicon(word_firsts: DataFrame, last_seq: int | None = None) -> DataFrame:
     """(word, first_seq, first_pos, n_pages, word_id)."""
-    return dense_ids(word_firsts, "word_id", WORD_ORDER)
+    return dense_ids(word_firsts, "word_id", WORD_ORDER, last_seq=last_seq)

@@ -14,18 +14,22 @@ BLOCK_BITS = 8
 FAN_BITS = 16
 
 
-def dense_ids(firsts: DataFrame, id_column: str, order: list[str], start: Column | int = 0) -> DataFrame:
+def dense_ids(
+    firsts: DataFrame, id_column: str, order: list[str], start: Column | int = 0, last_seq: int | None = None
+) -> DataFrame:
     """Number the rows of ``firsts`` from ``start`` in the order of the columns ``order``, document position first.
 
-    ``firsts`` should be a stored table: it is read for the largest position, the ranks and the block sizes.
+    ``firsts`` should be a stored table: it is read for the ranks, for the block sizes, and for the largest
+    position unless ``last_seq`` tells it.
     """
-    largest = firsts.agg(F.max(order[0]).alias("seq")).first()["seq"] or 0
+    if last_seq is None:
+        last_seq = firsts.agg(F.max(order[0])).first()[0] or 0
     in_block = Window.partitionBy("_block").orderBy(*order)
     blocked = firsts.withColumn("_block", F.shiftright(order[0], BLOCK_BITS))
     ranked = blocked.withColumn("_rank", F.row_number().over(in_block).cast("long") - 1)
     sizes = blocked.groupBy("_block").agg(F.count("*").alias("_size"))
     new_id = F.col("_offset") + F.col("_rank") + start
-    return ranked.join(_offsets(sizes, largest.bit_length() - BLOCK_BITS), "_block").select(
+    return ranked.join(_offsets(sizes, last_seq.bit_length() - BLOCK_BITS), "_block").select(
         *firsts.columns, new_id.alias(id_column)
     )
 

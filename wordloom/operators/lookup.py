@@ -1,6 +1,6 @@
 """Equi-joins of a large table with a dictionary whose keys may be very unevenly used."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SMALL_BYTES = 32 << 20
@@ -16,19 +16,22 @@ def lookup(
     value: str,
     weight: str,
     spread: str,
+    dictionary_bytes: int | None = None,
     small_bytes: int = SMALL_BYTES,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add column ``value`` of ``dictionary`` to ``facts`` by ``key``; every fact must have an entry.
 
-    ``dictionary`` should be a stored table, as its size is measured first. Up to ``small_bytes`` it is
-    broadcast. Beyond that the join shuffles, and only the few most used keys (``weight`` counts their
+    ``dictionary`` should be a stored table, as its size is measured first unless ``dictionary_bytes`` tells
+    it. Up to ``small_bytes`` it is broadcast. Beyond that the join shuffles, and only the few most used keys (``weight`` counts their
     facts) are broadcast: at most HOT_KEYS keys of at most HOT_KEY_CHARS characters. Facts with such a
     key get their value from it and a random-looking join key from ``spread``, so no task receives all
     of them. Keys that are not among them go through the shuffle join, whatever their number.
     """
     entries = dictionary.select(key, value)
-    if _bytes(entries, key) <= small_bytes:
+    if dictionary_bytes is None:
+        dictionary_bytes = entries.agg(entry_bytes(key)).first()[0]
+    if dictionary_bytes <= small_bytes:
         return facts.join(F.broadcast(entries), key)
     hot = (
         dictionary.where((F.col(weight) > hot_rows) & (F.length(key) <= HOT_KEY_CHARS))
@@ -36,17 +39,18 @@ def lookup(
         .limit(HOT_KEYS)
         .select(key, F.col(value).alias("_hot"))
     )
-    cold = dictionary.select(F.col(key).alias("_key"), F.lit(0).alias("_salt"), F.col(value).alias("_cold"))
+    # Without the second key all rows of hot keys, whose first key is NULL, would hash to one partition.
+    cold = dictionary.select(F.col(key).alias("_key"), F.hash(key).alias("_salt"), F.col(value).alias("_cold"))
     is_cold = F.col("_hot").isNull()
     marked = facts.join(F.broadcast(hot), key, "left").withColumns({
         "_key": F.when(is_cold, F.col(key)),
-        "_salt": F.when(is_cold, F.lit(0)).otherwise(F.hash(spread)),
+        "_salt": F.when(is_cold, F.hash(key)).otherwise(F.hash(spread)),
     })
     return marked.join(cold, ["_key", "_salt"], "left").select(
         *facts.columns, F.coalesce("_hot", "_cold").alias(value)
     )
 
 
-def _bytes(entries: DataFrame, key: str) -> int:
-    size = entries.agg(F.sum(F.octet_length(key) + 32).alias("n")).first()
-    return size["n"] or 0
+def entry_bytes(key: str) -> Column:
+    """Aggregate: about the memory that entries with this key take, with an ID each."""
+    return F.coalesce(F.sum(F.octet_length(key) + 32), F.lit(0))

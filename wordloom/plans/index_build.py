@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 
 from wordloom.operators import dictionaries, postings, runs
 from wordloom.operators.tokens import doc_tokens, spread_small_scan
-from wordloom.plans.stages import stage
+from wordloom.plans.stages import Stage, stage, stage_dictionary, stage_firsts
 from wordloom.sinks import tables, text
 
 
@@ -21,27 +21,39 @@ class Index:
 
     pages: DataFrame
 
-    @cached_property
+    @property
     def url_map(self) -> DataFrame:
-        firsts = stage(dictionaries.url_firsts(self.pages), "url_firsts")
-        return stage(dictionaries.url_map(firsts), "url_map")
+        return self._urls.table
 
-    @cached_property
-    def tokens(self) -> DataFrame:
-        return stage(doc_tokens(spread_small_scan(self.pages, "seq"), self.url_map), "doc_tokens")
+    @property
+    def lexicon(self) -> DataFrame:
+        return self._words.table
 
     @cached_property
-    def lexicon(self) -> DataFrame:
-        firsts = stage(dictionaries.word_firsts(self.tokens), "word_firsts")
-        return stage(dictionaries.lexicon(firsts), "lexicon")
+    def tokens(self) -> DataFrame:
+        pages = spread_small_scan(self.pages, "seq")
+        return stage(doc_tokens(pages, self.url_map, **self._urls.measured), "doc_tokens").table
 
     @property
     def postings(self) -> DataFrame:
-        return postings.postings(self.tokens, self.lexicon)
+        return postings.postings(self.tokens, self.lexicon, **self._words.measured)
 
     @property
     def partial_postings(self) -> DataFrame:
-        return postings.partial_postings(self.tokens, self.lexicon)
+        return postings.partial_postings(self.tokens, self.lexicon, **self._words.measured)
+
+    def revisit_postings(self, by_file: bool = False) -> DataFrame:
+        return postings.revisit_postings(self.tokens, self.lexicon, by_file, **self._words.measured)
+
+    @cached_property
+    def _urls(self) -> Stage:
+        firsts = stage_firsts(dictionaries.url_firsts(self.pages), "url_firsts")
+        return stage_dictionary(dictionaries.url_map(firsts.table, **firsts.measured), "url_map", "url")
+
+    @cached_property
+    def _words(self) -> Stage:
+        firsts = stage_firsts(dictionaries.word_firsts(self.tokens), "word_firsts")
+        return stage_dictionary(dictionaries.lexicon(firsts.table, **firsts.measured), "lexicon", "word")
 
 
 def build_index(pages: DataFrame, out: str) -> Index:

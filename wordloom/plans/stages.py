@@ -1,9 +1,14 @@
 """Stored intermediate tables: computed once, read many times, and safe when executors are lost."""
 
 import tempfile
+from dataclasses import dataclass
+from typing import Any
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+from wordloom.operators.lookup import entry_bytes
 
 _local_roots: list[tempfile.TemporaryDirectory] = []
 
@@ -25,8 +30,31 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{stage_root(spark).rstrip('/')}/wordloom/{uuid4().hex}/{name}"
 
 
-def stage(table: DataFrame, name: str) -> DataFrame:
-    """Write the table as Parquet and return it as read back: later plans prune its columns and know its size."""
+@dataclass(frozen=True)
+class Stage:
+    table: DataFrame
+    measured: dict[str, Any]
+
+
+def stage(table: DataFrame, name: str, **measures: Column) -> Stage:
+    """Write the table as Parquet and read it back: later plans prune its columns and know its size.
+
+    ``measures`` are aggregates taken in passing by the same write.
+    """
     path = new_folder(table.sparkSession, name)
+    schema = table.schema
+    observation = Observation() if measures else None
+    if observation:
+        table = table.observe(observation, *[measure.alias(key) for key, measure in measures.items()])
     table.write.parquet(path)
-    return table.sparkSession.read.schema(table.schema).parquet(path)
+    return Stage(table.sparkSession.read.schema(schema).parquet(path), observation.get if observation else {})
+
+
+def stage_firsts(firsts: DataFrame, name: str) -> Stage:
+    """First-seen rows, with the largest position."""
+    return stage(firsts, name, last_seq=F.max("first_seq"))
+
+
+def stage_dictionary(dictionary: DataFrame, name: str, key: str) -> Stage:
+    """A dictionary, with the memory its entries take."""
+    return stage(dictionary, name, dictionary_bytes=entry_bytes(key))

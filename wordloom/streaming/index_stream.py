@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from wordloom.operators import dictionaries, postings, runs
 from wordloom.operators.ids import dense_ids, next_id, unknown
 from wordloom.operators.tokens import doc_tokens
-from wordloom.plans.stages import stage
+from wordloom.plans.stages import Stage, stage, stage_dictionary, stage_firsts
 from wordloom.schemas import LEXICON, POSTINGS, URL_MAP
 
 
@@ -29,14 +29,23 @@ def read_state(spark: SparkSession, root: str, name: str, before: int | None = N
     return (table if before is None else table.where(F.col("batch") < before)).drop("batch")
 
 
+def extend_url_map(pages: DataFrame, batch: int, root: str) -> Stage:
+    """Give new URLs of the batch their IDs; returns the entries of the batch's URLs."""
+    return _extend(dictionaries.url_firsts(pages), root, "url_map", "url", "doc_id", dictionaries.URL_ORDER, batch)
+
+
+def extend_lexicon(tokens: DataFrame, batch: int, root: str) -> Stage:
+    """Give new words of the batch their IDs; returns the entries of the batch's words."""
+    return _extend(dictionaries.word_firsts(tokens), root, "lexicon", "word", "word_id", dictionaries.WORD_ORDER, batch)
+
+
 def add_batch(pages: DataFrame, batch: int, root: str) -> None:
     """Index one batch of pages (seq, file_no, url, doc)."""
-    url_firsts = stage(dictionaries.url_firsts(pages), "url_firsts")
-    urls = _extend(url_firsts, root, "url_map", "url", "doc_id", dictionaries.URL_ORDER, batch)
-    tokens = stage(doc_tokens(pages, urls), "doc_tokens")
-    word_firsts = stage(dictionaries.word_firsts(tokens), "word_firsts")
-    words = _extend(word_firsts, root, "lexicon", "word", "word_id", dictionaries.WORD_ORDER, batch)
-    _write(runs.by_posting(postings.postings(tokens, words)), root, "runs", batch)
+    urls = extend_url_map(pages, batch, root)
+    tokens = stage(doc_tokens(pages, urls.table, **urls.measured), "doc_tokens").table
+    words = extend_lexicon(tokens, batch, root)
+    found = postings.postings(tokens, words.table, **words.measured)
+    _write(runs.by_posting(found), root, "runs", batch)
 
 
 def global_postings(spark: SparkSession, root: str) -> DataFrame:
@@ -60,14 +69,17 @@ def index_stream(pages: DataFrame, root: str, checkpoint: str) -> StreamingQuery
 
 def _extend(
     firsts: DataFrame, root: str, name: str, key: str, id_column: str, order: list[str], batch: int
-) -> DataFrame:
+) -> Stage:
     """Add the batch's new keys to a dictionary; returns the IDs of the batch's keys only, with page counts."""
     spark = firsts.sparkSession
+    stored = stage(firsts, f"{name}_firsts").table
     known = read_state(spark, root, name, batch)
-    new = stage(unknown(firsts, known, key), f"new_{name}")
-    numbered = dense_ids(new, id_column, order, next_id(known, id_column))
+    new = stage_firsts(unknown(stored, known, key), f"new_{name}")
+    last_seq = new.measured["last_seq"] or 0
+    numbered = dense_ids(new.table, id_column, order, next_id(known, id_column), last_seq)
     _write(numbered.select(key, id_column), root, name, batch)
-    return stage(firsts.join(read_state(spark, root, name, batch + 1), key), f"{name}_of_batch")
+    of_batch = stored.join(read_state(spark, root, name, batch + 1), key)
+    return stage_dictionary(of_batch, f"{name}_of_batch", key)
 
 
 def _write(rows: DataFrame, root: str, name: str, batch: int) -> None:

@@ -454,7 +454,9 @@ def oracle_sql() -> dict[str, str]:
             FROM (SELECT page_id, {_words('url')} AS w FROM pages)""",
         "body_tokens": f"""SELECT page_id, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS pos
             FROM (SELECT page_id, {_BODY_WORDS} AS w FROM (SELECT page_id, html AS body FROM pages))""",
-        "tag_events": _SEGMENTS + "SELECT page_id, seg, kind, is_open FROM switched WHERE kind IS NOT NULL",
+        "tag_events": _SEGMENTS
+        + """SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY seg) AS seg, kind, is_open
+            FROM switched WHERE kind IS NOT NULL""",
         "token_contexts": _CONTEXTS_SQL,
         "url_map": _index() + "SELECT url, doc_id FROM url_ids",
         "lexicon": _index() + "SELECT word, word_id FROM word_ids",

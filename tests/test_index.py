@@ -88,7 +88,8 @@ def test_result_does_not_depend_on_partitions(spark, corpus, expected):
 @pytest.mark.parametrize("block_bits", [0, 2, 16])
 def test_revisits(index, expected, block_bits):
     found = {}
-    rows = postings.revisit_postings(index.tokens, index.lexicon, block_bits=block_bits).collect()
+    visits = postings.visits(index.tokens, index.lexicon, block_bits=block_bits)
+    rows = postings.revisit_postings(visits).collect()
     for row in sorted(rows, key=lambda r: (r.word_id, r.ordinal)):
         assert row.ordinal == len(found.setdefault(row.word_id, []))
         found[row.word_id].append([row.doc_id, row.tf])

@@ -3,6 +3,8 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from wordloom.functions.text import TAG_PART
+
 # Context letter and the tag names that switch it. S marks script, whose words are dropped.
 TAG_NAMES = {
     "B": "b|strong",
@@ -15,21 +17,34 @@ CONTEXTS = ("B", "H", "I", "T")
 PLAIN, IN_URL = "P", "U"
 
 
-def segment_text(segment: Column) -> Column:
-    """Text of a '>'-delimited segment: what precedes its first '<'."""
-    return F.substring_index(segment, "<", 1)
+_ALL_NAMES = "|".join(TAG_NAMES.values())
+
+# One pass over the page: the group holds words and the tags that switch a context, not the other tags.
+# A tag's name ends in white space or the tag's end, and only the last '<' before a '>' starts a tag.
+_WORD_OR_SWITCH = rf"(?is)(</?(?:{_ALL_NAMES})(?:\s[^<>]*)?>|[a-z0-9]+)|{TAG_PART}"
+
+
+def pieces(html: Column) -> Column:
+    """The page cut before each switching tag: 'words', 'b> words', '/b> words', …; all else is dropped."""
+    kept = F.array_join(F.regexp_extract_all(html, F.lit(_WORD_OR_SWITCH), F.lit(1)), " ")
+    return F.split(F.lower(kept), "<")
+
+
+def piece_words(piece: Column) -> Column:
+    return F.array_remove(F.split(F.substring_index(piece, ">", -1), " "), "")
 
 
-def segment_tag(segment: Column) -> Column:
-    """Tag of a '>'-delimited segment: what follows its last '<', NULL if there is none."""
-    return F.when(F.instr(segment, F.lit("<")) > 0, F.substring_index(segment, "<", -1))
+def piece_tag(piece: Column) -> Column:
+    """Name of the tag that starts a piece, with the slash of a closing one; '' for the first piece."""
+    return F.regexp_extract(piece, r"^(/?\w+)[\s>]", 1)
 
 
 def tag_kind(tag: Column) -> Column:
-    """Context letter a tag switches, NULL for others. The name must end in white space or the tag's end."""
+    """Context letter a tag switches."""
+    name = F.ltrim(tag, F.lit("/"))
     kind = F.lit(None).cast("string")
     for letter, names in TAG_NAMES.items():
-        kind = F.when(tag.rlike(rf"(?i)^/?(?:{names})(?:\s|\z)"), letter).otherwise(kind)
+        kind = F.when(name.rlike(rf"^(?:{names})$"), letter).otherwise(kind)
     return kind
 
 

@@ -30,49 +30,58 @@ def _counted(tokens: DataFrame, lexicon: DataFrame, keys: list[str], lookup_opti
     return lookup(counts, lexicon, "word", "word_id", "n_pages", "doc_id", **lookup_options)
 
 
-def revisit_postings(
+def visits(
     tokens: DataFrame, lexicon: DataFrame, by_file: bool = False, block_bits: int = BLOCK_PAGES_BITS, **lookup_options
 ) -> DataFrame:
-    """(word_id, ordinal, doc_id, tf): a new posting whenever the word's previous page was another document.
+    """A word's pages in order, those in a row with the same document taken together: (word_id, block, nth, doc_id, tf).
 
-    With ``by_file`` the lists start anew in every file and ``file_no`` comes first. A word's pages are
-    walked in blocks of 2^block_bits page positions; the blocks' ends are then compared one row per block.
+    Pages are walked in blocks of 2^block_bits positions, which bounds a window partition however common
+    the word is; ``nth`` counts from 1 in each block. With ``by_file`` column ``file_no`` comes first and
+    every file is walked on its own.
     """
-    word = ["file_no", "word_id"] if by_file else ["word_id"]
+    word = _list_key(by_file)
     counts = exploded(tokens, "seq", "file_no", "doc_id").groupBy("seq", "file_no", "doc_id", "word").agg(
         F.count("*").alias("tf")
     )
     pages = lookup(counts, lexicon, "word", "word_id", "n_pages", "seq", **lookup_options).select(
-        *dict.fromkeys([*word, "seq", "doc_id", "tf"]), F.shiftright("seq", block_bits).alias("_block")
+        *word, F.shiftright("seq", block_bits).alias("block"), "seq", "doc_id", "tf"
+    )
+    in_block = Window.partitionBy(*word, "block").orderBy("seq")
+    starts = F.coalesce((F.lag("doc_id").over(in_block) != F.col("doc_id")).cast("long"), F.lit(1))
+    return (
+        pages.withColumn("_starts", starts)
+        .withColumn("nth", F.sum("_starts").over(in_block))
+        .groupBy(*word, "block", "nth", "doc_id")
+        .agg(F.sum("tf").alias("tf"))
     )
 
-    in_block = Window.partitionBy(*word, "_block").orderBy("seq")
-    previous = F.lag("doc_id").over(in_block)
-    starts = (previous.isNull() | (previous != F.col("doc_id"))).cast("long")
-    walked = pages.withColumn("_starts", starts).withColumn("_nth", F.sum("_starts").over(in_block))
 
-    ends = walked.groupBy(*word, "_block").agg(
-        F.min_by("doc_id", "seq").alias("_first"), F.max_by("doc_id", "seq").alias("_last"), F.max("_nth").alias("_n")
-    )
-    over_blocks = Window.partitionBy(*word).orderBy("_block")
-    goes_on = F.coalesce(F.lag("_last").over(over_blocks) == F.col("_first"), F.lit(False)).cast("long")
-    offsets = ends.withColumn("_goes_on", goes_on).select(
-        *word,
-        "_block",
-        (
-            F.coalesce(F.sum(F.col("_n") - F.col("_goes_on")).over(over_blocks.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-            - F.col("_goes_on")
-            - 1
-        ).alias("_offset"),
+def revisit_postings(visits: DataFrame, by_file: bool = False) -> DataFrame:
+    """(word_id, ordinal, doc_id, tf): a new posting whenever the word's previous page was another document.
+
+    Puts the blocks of ``visits``, better a stored table, in a row: a block goes on with the posting that
+    the one before ended with if the document is the same. That is decided on one row per word and block.
+    """
+    word = _list_key(by_file)
+    ends = visits.groupBy(*word, "block").agg(
+        F.min_by("doc_id", "nth").alias("_first"), F.max_by("doc_id", "nth").alias("_last"), F.max("nth").alias("_n")
     )
+    blocks = Window.partitionBy(*word).orderBy("block")
+    goes_on = F.coalesce((F.lag("_last").over(blocks) == F.col("_first")).cast("long"), F.lit(0))
+    earlier = F.sum(F.col("_n") - F.col("_goes_on")).over(blocks.rowsBetween(Window.unboundedPreceding, -1))
+    offset = F.coalesce(earlier, F.lit(0)) - F.col("_goes_on") - 1
+    offsets = ends.withColumn("_goes_on", goes_on).select(*word, "block", offset.alias("_offset"))
     return (
-        walked.join(offsets, [*word, "_block"])
-        .withColumn("ordinal", F.col("_offset") + F.col("_nth"))
-        .groupBy(*word, "ordinal", "doc_id")
+        visits.join(offsets, [*word, "block"])
+        .groupBy(*word, (F.col("_offset") + F.col("nth")).alias("ordinal"), "doc_id")
         .agg(F.sum("tf").alias("tf"))
     )
 
 
+def _list_key(by_file: bool) -> list[str]:
+    return ["file_no", "word_id"] if by_file else ["word_id"]
+
+
 def unindexed_docs(url_map: DataFrame, tokens: DataFrame) -> DataFrame:
     """(doc_id, url) of documents without a posting; asks the pages, not the postings."""
     indexed = tokens.where(F.size("tokens") > 0).select("doc_id").distinct()

@@ -17,9 +17,12 @@ def spread_small_scan(pages: DataFrame, key: str) -> DataFrame:
 
 
 def ok_pages(pages: DataFrame) -> DataFrame:
-    """Pages (seq, file_no, url, doc) with status 200, as (seq, file_no, url, body)."""
-    cut = pages.withColumn("doc", text.until_nul("doc"))
-    return cut.where(http.is_ok("doc")).select("seq", "file_no", "url", http.body("doc").alias("body"))
+    """Pages (seq, file_no, url, doc) with status 200, as (seq, file_no, url, body).
+
+    A response ends at its first NUL: in the headers that leaves no header end, elsewhere it cuts the body.
+    """
+    kept = pages.where(http.is_ok("doc") & ~http.head_has_nul("doc"))
+    return kept.select("seq", "file_no", "url", text.until_nul(http.body("doc")).alias("body"))
 
 
 def page_tokens(pages: DataFrame) -> DataFrame:
@@ -46,35 +49,33 @@ def exploded(tokens: DataFrame, *keep: str) -> DataFrame:
     return tokens.select(*keep, F.posexplode_outer("tokens").alias("pos", "word")).where("word IS NOT NULL")
 
 
-def segments(bodies: DataFrame, key: str = "seq", body: str = "body") -> DataFrame:
-    """Split each body at '>': (key, seg, kind, is_open, words), kind being the context the tag switches.
+def segments(bodies: DataFrame) -> DataFrame:
+    """(seq, seg, kind, is_open, words): each body cut before every tag that switches a context.
 
-    Segments that neither switch a context nor hold a word are left out.
+    ``kind`` and ``is_open`` tell what the tag at the start switches; segment 0 has none.
     """
-    parts = bodies.select(key, F.size(F.split(body, ">")).alias("_n"), F.posexplode(F.split(body, ">")).alias("seg", "_s"))
-    tag = F.when(F.col("seg") < F.col("_n") - 1, markup.segment_tag(F.col("_s")))
-    cut = parts.select(key, "seg", tag.alias("_tag"), text.words(markup.segment_text(F.col("_s"))).alias("words"))
-    kind = markup.tag_kind(F.col("_tag"))
-    return cut.select(
-        key, "seg", kind.alias("kind"), F.when(kind.isNotNull(), markup.tag_opens(F.col("_tag"))).alias("is_open"), "words"
-    ).where("kind IS NOT NULL OR size(words) > 0")
+    cut = bodies.select("seq", F.posexplode_outer(markup.pieces(F.col("body"))).alias("seg", "_piece"))
+    tag = F.when(F.col("seg") > 0, markup.piece_tag(F.col("_piece")))
+    return cut.select("seq", "seg", tag.alias("_tag"), markup.piece_words(F.col("_piece")).alias("words")).select(
+        "seq", "seg", markup.tag_kind(F.col("_tag")).alias("kind"), markup.tag_opens(F.col("_tag")).alias("is_open"), "words"
+    )
 
 
 def word_contexts(pages: DataFrame) -> DataFrame:
     """(seq, word, ctx, n): occurrences of each word of a page in each context, URL words included.
 
-    A context is one switch per kind, not a depth. Its state at a segment is set by the last tag of that
-    kind in earlier segments of the same page, hence one window bounded by the page.
+    A context is one switch per kind, not a depth: the last tag of that kind sets it. What is shuffled for
+    the window over a page are its words, one row per segment.
     """
     ok = ok_pages(pages)
-    before = Window.partitionBy("seq").orderBy("seg").rowsBetween(Window.unboundedPreceding, -1)
+    so_far = Window.partitionBy("seq").orderBy("seg").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     switches = {
-        kind: F.coalesce(F.last(F.when(F.col("kind") == kind, F.col("is_open")), ignorenulls=True).over(before), F.lit(False))
+        kind: F.coalesce(F.last(F.when(F.col("kind") == kind, F.col("is_open")), ignorenulls=True).over(so_far), F.lit(False))
         for kind in markup.TAG_NAMES
     }
     stated = segments(ok).select("seq", "words", *[state.alias(kind) for kind, state in switches.items()])
     ctx = markup.context({kind: F.col(kind) for kind in markup.CONTEXTS})
-    in_body = stated.where("NOT S").select("seq", F.explode("words").alias("word"), ctx.alias("ctx"))
-    in_url = ok.select("seq", F.explode_outer(text.words("url")).alias("word"), F.lit(markup.IN_URL).alias("ctx"))
-    both = in_body.unionByName(in_url.where("word IS NOT NULL"))
-    return both.groupBy("seq", "word", "ctx").agg(F.count("*").alias("n"))
+    in_body = stated.where("NOT S").select("seq", ctx.alias("ctx"), "words")
+    in_url = ok.select("seq", F.lit(markup.IN_URL).alias("ctx"), text.words("url").alias("words"))
+    words = in_body.unionByName(in_url).select("seq", "ctx", F.explode_outer("words").alias("word"))
+    return words.where("word IS NOT NULL").groupBy("seq", "word", "ctx").agg(F.count("*").alias("n"))

@@ -43,7 +43,8 @@ class Index:
         return postings.partial_postings(self.tokens, self.lexicon, **self._words.measured)
 
     def revisit_postings(self, by_file: bool = False) -> DataFrame:
-        return postings.revisit_postings(self.tokens, self.lexicon, by_file, **self._words.measured)
+        visits = postings.visits(self.tokens, self.lexicon, by_file, **self._words.measured)
+        return postings.revisit_postings(stage(visits, "visits").table, by_file)
 
     @cached_property
     def _urls(self) -> Stage:

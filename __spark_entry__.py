@@ -63,7 +63,7 @@ def _document_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = tokens.spread_small_scan(_mixed_pages(spark, sf_dir), "seq").withColumn("doc", text.until_nul("doc"))
+    pages = _mixed_pages(spark, sf_dir).withColumn("doc", text.until_nul("doc"))
     return pages.select(
         F.col("seq").alias("page_id"),
         http.status("doc").alias("status"),
@@ -111,20 +111,19 @@ def url_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def body_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bodies = tokens.ok_pages(tokens.spread_small_scan(_pages(spark, sf_dir), "seq"))
+    bodies = tokens.ok_pages(_pages(spark, sf_dir))
     return _positions(tokens.exploded(bodies.select("seq", text.html_words("body").alias("tokens")), "seq"))
 
 
 def tag_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bodies = tokens.ok_pages(tokens.spread_small_scan(_pages(spark, sf_dir), "seq"))
+    bodies = tokens.ok_pages(_pages(spark, sf_dir))
     return tokens.segments(bodies).where("kind IS NOT NULL").select(
         F.col("seq").alias("page_id"), F.col("seg").cast("long").alias("seg"), "kind", "is_open"
     )
 
 
 def token_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = tokens.spread_small_scan(_pages(spark, sf_dir), "seq")
-    return tokens.word_contexts(pages).withColumnRenamed("seq", "page_id")
+    return tokens.word_contexts(_pages(spark, sf_dir)).withColumnRenamed("seq", "page_id")
 
 
 # --- dictionaries -----------------------------------------------------------------------------------
@@ -177,7 +176,7 @@ def incremental_url_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 def incremental_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _empty_state(spark)
     for batch, part in enumerate(_consecutive_parts(_pages(spark, sf_dir))):
-        words = tokens.page_tokens(tokens.spread_small_scan(part, "seq"))
+        words = tokens.page_tokens(part)
         index_stream.extend_lexicon(stage(words, "page_tokens").table, batch, root)
     return index_stream.read_state(spark, root, "lexicon")
 

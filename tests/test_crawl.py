@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wordloom.plans.index_build import Index
 from wordloom.sources import crawl
-from wordloom.sources.pages import from_pairs
+from wordloom.sources.pages import from_pairs, urls_of_pairs
 from wordloom.sources.runs import read_triples
 
 from sequential import build
@@ -29,7 +29,7 @@ def _write_pair(folder, file_no, documents, last_newline=True, cut=0, extra=b"")
 
 
 @pytest.mark.parametrize("one_task_bytes", [crawl.ONE_TASK_BYTES, 60])
-def test_pairs_are_read_byte_for_byte(spark, tmp_path, one_task_bytes, monkeypatch):
+def test_pairs_are_read_byte_for_byte(spark, tmp_path, one_task_bytes):
     parts = {0: _documents(5, 0), 2: _documents(40, 1), 10: [], 11: _documents(300, 2)}
     for file_no, documents in parts.items():
         _write_pair(tmp_path, file_no, documents, last_newline=file_no != 2)
@@ -45,7 +45,11 @@ def test_pairs_are_read_byte_for_byte(spark, tmp_path, one_task_bytes, monkeypat
             expected.append((file_no, line_no, url.encode("latin-1"), start, len(doc), doc))
             start += len(doc)
     assert [(r.file_no, r.line_no, bytes(r.url), r.start_at, r.length, bytes(r.doc)) for r in rows] == expected
-    slices = crawl.page_slices(crawl.read_pairs(pairs).select("file_no", "line_no", "length")).collect()
+    listed = crawl.read_page_index(pairs)
+    assert sorted((r.file_no, r.line_no, bytes(r.url), r.length) for r in listed.collect()) == [
+        (f, n, url, length) for f, n, url, _, length, _ in expected
+    ]
+    slices = crawl.page_slices(listed, block_bits=3).collect()
     assert sorted((r.file_no, r.line_no, r.start_at) for r in slices) == [(f, n, s) for f, n, _, s, _, _ in expected]
 
 
@@ -77,7 +81,8 @@ def test_index_of_pairs_equals_the_sequential_build(spark, tmp_path):
     for file_no, documents in parts.items():
         _write_pair(tmp_path, file_no, documents)
     urls, lexicon, counts, _ = build(pages)
-    index = Index(from_pairs(crawl.read_pairs(crawl.list_pairs(spark, str(tmp_path)))))
+    pairs = crawl.list_pairs(spark, str(tmp_path))
+    index = Index(from_pairs(crawl.read_pairs(pairs)), urls_of_pairs(crawl.read_page_index(pairs)))
     assert {r.url: r.doc_id for r in index.url_map.collect()} == urls
     assert {r.word: r.word_id for r in index.lexicon.collect()} == lexicon
     assert {(r.word_id, r.doc_id): r.tf for r in index.postings.collect()} == counts

@@ -28,7 +28,7 @@ def test_ids_of_nothing(spark):
 def test_ids_go_on_after_the_known_ones(spark):
     known = spark.createDataFrame([("a", 0), ("b", 1)], "word STRING, word_id BIGINT")
     firsts = _firsts(spark, [("b", 3, 0, 1), ("d", 9, 1, 1), ("c", 9, 0, 1)])
-    new = ids.unknown(firsts, known, "word")
+    new = firsts.join(known, "word", "left_anti")
     numbered = ids.dense_ids(new, "word_id", ["first_seq", "first_pos"], ids.next_id(known, "word_id")).collect()
     assert {row.word: row.word_id for row in numbered} == {"c": 2, "d": 3}
     first = ids.dense_ids(firsts, "word_id", ["first_seq", "first_pos"], ids.next_id(known.limit(0), "word_id"))

@@ -34,11 +34,6 @@ def dense_ids(
     )
 
 
-def unknown(firsts: DataFrame, known: DataFrame, key: str) -> DataFrame:
-    """Rows of ``firsts`` whose key has no ID yet."""
-    return firsts.join(known.select(key), key, "left_anti")
-
-
 def next_id(known: DataFrame, id_column: str) -> Column:
     """The ID that follows the known ones, as a scalar subquery."""
     return known.agg(F.coalesce(F.max(id_column) + 1, F.lit(0).cast("long"))).scalar()

@@ -7,15 +7,6 @@ from wordloom.functions import http, markup, text
 from wordloom.operators.lookup import lookup
 
 
-def spread_small_scan(pages: DataFrame, key: str) -> DataFrame:
-    """Repartition by ``key`` if the scan has fewer splits than the cluster has task slots.
-
-    Such an input is small, at most one split per slot; any larger scan is left as it is.
-    """
-    slots = pages.sparkSession.sparkContext.defaultParallelism
-    return pages if pages.rdd.getNumPartitions() >= slots else pages.repartition(slots, key)
-
-
 def ok_pages(pages: DataFrame) -> DataFrame:
     """Pages (seq, file_no, url, doc) with status 200, as (seq, file_no, url, body).
 

@@ -10,16 +10,20 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 
 from wordloom.operators import dictionaries, postings, runs
-from wordloom.operators.tokens import doc_tokens, spread_small_scan
+from wordloom.operators.tokens import doc_tokens
 from wordloom.plans.stages import Stage, stage, stage_dictionary, stage_firsts
 from wordloom.sinks import tables, text
 
 
 @dataclass
 class Index:
-    """Stored tables of one build over pages (seq, file_no, url, doc), each made when first asked for."""
+    """Stored tables of one build over pages (seq, file_no, url, doc), each made when first asked for.
+
+    ``page_urls`` (seq, url) may come from a cheaper source than the pages, such as archive index files.
+    """
 
     pages: DataFrame
+    page_urls: DataFrame | None = None
 
     @property
     def url_map(self) -> DataFrame:
@@ -31,8 +35,7 @@ class Index:
 
     @cached_property
     def tokens(self) -> DataFrame:
-        pages = spread_small_scan(self.pages, "seq")
-        return stage(doc_tokens(pages, self.url_map, **self._urls.measured), "doc_tokens").table
+        return stage(doc_tokens(self.pages, self.url_map, **self._urls.measured), "doc_tokens").table
 
     @property
     def postings(self) -> DataFrame:
@@ -48,7 +51,8 @@ class Index:
 
     @cached_property
     def _urls(self) -> Stage:
-        firsts = stage_firsts(dictionaries.url_firsts(self.pages), "url_firsts")
+        page_urls = self.pages if self.page_urls is None else self.page_urls
+        firsts = stage_firsts(dictionaries.url_firsts(page_urls), "url_firsts")
         return stage_dictionary(dictionaries.url_map(firsts.table, **firsts.measured), "url_map", "url")
 
     @cached_property
@@ -57,13 +61,13 @@ class Index:
         return stage_dictionary(dictionaries.lexicon(firsts.table, **firsts.measured), "lexicon", "word")
 
 
-def build_index(pages: DataFrame, out: str) -> Index:
+def build_index(pages: DataFrame, out: str, page_urls: DataFrame | None = None) -> Index:
     """Write runs, postings, dictionaries and the global index under ``out``.
 
     Postings are rolled up from the stored runs, so words are counted once.
     """
     spark = pages.sparkSession
-    index = Index(pages)
+    index = Index(pages, page_urls)
     tables.write_runs(index.partial_postings, f"{out}/runs")
     tables.write_postings(runs.roll_up(spark.read.parquet(f"{out}/runs")), f"{out}/postings")
     stored = spark.read.parquet(f"{out}/postings")

@@ -1,23 +1,28 @@
 """Crawl archives: pairs of gzip files, an index of (URL, length) lines and the pages laid end to end."""
 
 from collections.abc import Iterator
+from itertools import islice
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from wordloom.schemas import RAW_PAGES
+from wordloom.schemas import PAGE_INDEX, RAW_PAGES
 from wordloom.sources.files import open_gzip
 
 PAGE_BATCH_BYTES = 16 << 20
 ONE_TASK_BYTES = 1 << 30
+BLOCK_LINES_BITS = 16
+_ROWS = 10_000
 _CHUNK = 1 << 20
 
 
 def list_pairs(
     spark: SparkSession, root: str, number: str = r"(\d+)_(?:index|data)$", kind: str = r"\d+_(index|data)$"
 ) -> DataFrame:
-    """FILE_PAIRS of the files under ``root``: both halves are found by name and joined by number.
+    """FILE_PAIRS of the files under ``root``: both halves are found by name and paired by number.
 
     Only names and sizes are read; ``number`` and ``kind`` are patterns on the path, with one group each.
     """
@@ -32,9 +37,19 @@ def list_pairs(
             "length",
         )
     )
-    index = files.where("kind = 'index'").select("file_no", F.col("path").alias("index_path"))
-    data = files.where("kind = 'data'").select("file_no", F.col("path").alias("data_path"), F.col("length").alias("data_bytes"))
-    return index.join(data, "file_no")
+    def of(half: str, column: str):
+        return F.max(F.when(F.col("kind") == half, F.col(column)))
+
+    pairs = files.groupBy("file_no").agg(
+        of("index", "path").alias("index_path"), of("data", "path").alias("data_path"), of("data", "length").alias("data_bytes")
+    )
+    return pairs.where("file_no IS NOT NULL AND index_path IS NOT NULL AND data_path IS NOT NULL")
+
+
+def read_page_index(pairs: DataFrame) -> DataFrame:
+    """PAGE_INDEX of the pairs, (file_no, line_no, url, length): the index files alone, one task per file."""
+    rows = pairs.select("file_no", "index_path")
+    return rows.repartition(max(1, pairs.count())).mapInArrow(_read_index_batches, PAGE_INDEX)
 
 
 def read_pairs(pairs: DataFrame, one_task_bytes: int = ONE_TASK_BYTES) -> DataFrame:
@@ -52,11 +67,27 @@ def read_pairs(pairs: DataFrame, one_task_bytes: int = ONE_TASK_BYTES) -> DataFr
     return small.unionByName(_scan(pairs.where(is_big), counts["big"]).repartition("file_no", "line_no"))
 
 
-def page_slices(page_index: DataFrame) -> DataFrame:
-    """(file_no, line_no, start_at, length): a page starts where the earlier lengths of its file end."""
-    earlier = Window.partitionBy("file_no").orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
-    start_at = F.coalesce(F.sum("length").over(earlier), F.lit(0).cast("long"))
-    return page_index.select("file_no", "line_no", start_at.alias("start_at"), "length")
+def page_slices(page_index: DataFrame, block_bits: int = BLOCK_LINES_BITS) -> DataFrame:
+    """(file_no, line_no, start_at, length): a page starts where the earlier lengths of its file end.
+
+    Lengths are summed in blocks of 2^block_bits lines, then over the blocks of a file, so that a window
+    partition stays small in a file of any size.
+    """
+    lines = page_index.select("file_no", "line_no", "length", F.shiftright("line_no", block_bits).alias("_block"))
+    in_block = Window.partitionBy("file_no", "_block").orderBy("line_no")
+    over_blocks = Window.partitionBy("file_no").orderBy("_block")
+    blocks = lines.groupBy("file_no", "_block").agg(F.sum("length").alias("_sum")).select(
+        "file_no", "_block", _sum_before("_sum", over_blocks).alias("_before")
+    )
+    return (
+        lines.withColumn("_within", _sum_before("length", in_block))
+        .join(blocks, ["file_no", "_block"])
+        .select("file_no", "line_no", (F.col("_before") + F.col("_within")).alias("start_at"), "length")
+    )
+
+
+def _sum_before(column: str, window) -> Column:
+    return F.coalesce(F.sum(column).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long"))
 
 
 def _scan(pairs: DataFrame, count: int) -> DataFrame:
@@ -71,33 +102,46 @@ def _read_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield from _read_pair(pair["file_no"], pair["index_path"], pair["data_path"])
 
 
+def _read_index_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for pair in batch.to_pylist():
+            with open_gzip(pair["index_path"]) as index:
+                entries = ((pair["file_no"], *entry) for entry in _entries(index, pair["index_path"]))
+                while rows := list(islice(entries, _ROWS)):
+                    yield _batch(rows, PAGE_INDEX)
+
+
 def _read_pair(file_no: int, index_path: str, data_path: str) -> Iterator[pa.RecordBatch]:
     rows, held, start = [], 0, 0
     with open_gzip(index_path) as index, open_gzip(data_path) as data:
-        for line_no, line in enumerate(_lines(index)):
-            columns = [c for c in line.split(b" ") if c]
-            if len(columns) < 4:
-                raise ValueError(f"{index_path}: line {line_no} has fewer than 4 columns")
-            length = int(columns[3])
+        for line_no, url, length in _entries(index, index_path):
             doc = data.read(length)
             if len(doc) < length:
                 raise ValueError(f"{data_path}: ends inside page {line_no}")
-            rows.append((file_no, line_no, columns[0], start, length, doc))
+            rows.append((file_no, line_no, url, start, length, doc))
             start += length
             held += length
-            if held >= PAGE_BATCH_BYTES or len(rows) >= 10_000:
-                yield _batch(rows)
+            if held >= PAGE_BATCH_BYTES or len(rows) >= _ROWS:
+                yield _batch(rows, RAW_PAGES)
                 rows, held = [], 0
         if data.read(1):
             raise ValueError(f"{data_path}: holds more bytes than {index_path} lists")
     if rows:
-        yield _batch(rows)
+        yield _batch(rows, RAW_PAGES)
+
+
+def _entries(index: pa.NativeFile, path: str) -> Iterator[tuple[int, bytes, int]]:
+    """Line number, URL (column 0) and page length (column 3) of every index line."""
+    for line_no, line in enumerate(_lines(index)):
+        columns = [c for c in line.split(b" ") if c]
+        if len(columns) < 4:
+            raise ValueError(f"{path}: line {line_no} has fewer than 4 columns")
+        yield line_no, columns[0], int(columns[3])
 
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    types = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary()]
-    columns = [pa.array(column, kind) for column, kind in zip(zip(*rows), types)]
-    return pa.RecordBatch.from_arrays(columns, names=RAW_PAGES.names)
+def _batch(rows: list[tuple], schema: StructType) -> pa.RecordBatch:
+    fields = to_arrow_schema(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), fields)], schema=fields)
 
 
 def _lines(stream: pa.NativeFile) -> Iterator[bytes]:

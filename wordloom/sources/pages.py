@@ -6,9 +6,18 @@ from pyspark.sql import functions as F
 _LINE_BITS = 32
 
 
+def spread_small_scan(table: DataFrame, key: str) -> DataFrame:
+    """Repartition a table just read by ``key`` if its scan has fewer splits than the cluster has task slots.
+
+    Such a table is small, at most one split per slot; any larger scan is left as it is.
+    """
+    slots = table.sparkSession.sparkContext.defaultParallelism
+    return table if table.rdd.getNumPartitions() >= slots else table.repartition(slots, key)
+
+
 def from_table(table: DataFrame, seq: str, url: Column | str, doc: Column | str, pages_per_file: int = 32) -> DataFrame:
-    """Pages of a table; runs of ``pages_per_file`` consecutive positions stand for one input file."""
-    return table.select(
+    """Pages of a table just read; runs of ``pages_per_file`` consecutive positions stand for one input file."""
+    return spread_small_scan(table, seq).select(
         F.col(seq).cast("long").alias("seq"),
         F.expr(f"{seq} div {pages_per_file}").alias("file_no"),
         (F.col(url) if isinstance(url, str) else url).alias("url"),
@@ -21,10 +30,10 @@ def from_pairs(raw_pages: DataFrame) -> DataFrame:
 
     Bytes become ISO-8859-1 characters one to one, so lengths and the words found stay exact.
     """
+    return urls_of_pairs(raw_pages, F.decode("doc", "ISO-8859-1").alias("doc"))
+
+
+def urls_of_pairs(page_index: DataFrame, *more: Column) -> DataFrame:
+    """(seq, file_no, url) of archive pages, from what their index files list."""
     seq = F.shiftleft("file_no", _LINE_BITS).bitwiseOR(F.col("line_no"))
-    return raw_pages.select(
-        seq.alias("seq"),
-        "file_no",
-        F.decode("url", "ISO-8859-1").alias("url"),
-        F.decode("doc", "ISO-8859-1").alias("doc"),
-    )
+    return page_index.select(seq.alias("seq"), "file_no", F.decode("url", "ISO-8859-1").alias("url"), *more)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wordloom.operators import dictionaries, postings, runs
-from wordloom.operators.ids import dense_ids, next_id, unknown
+from wordloom.operators.ids import dense_ids, next_id
 from wordloom.operators.tokens import doc_tokens
 from wordloom.plans.stages import Stage, stage, stage_dictionary, stage_firsts
 from wordloom.schemas import LEXICON, POSTINGS, URL_MAP
@@ -70,16 +70,20 @@ def index_stream(pages: DataFrame, root: str, checkpoint: str) -> StreamingQuery
 def _extend(
     firsts: DataFrame, root: str, name: str, key: str, id_column: str, order: list[str], batch: int
 ) -> Stage:
-    """Add the batch's new keys to a dictionary; returns the IDs of the batch's keys only, with page counts."""
-    spark = firsts.sparkSession
+    """Add the batch's new keys to a dictionary; returns the IDs of the batch's keys only, with page counts.
+
+    The dictionary is read once and, while the batch's keys are few enough to broadcast, never shuffled.
+    """
+    known = read_state(firsts.sparkSession, root, name, batch)
     stored = stage(firsts, f"{name}_firsts").table
-    known = read_state(spark, root, name, batch)
-    new = stage_firsts(unknown(stored, known, key), f"new_{name}")
+    old = stage_dictionary(known.join(stored, key), f"old_{name}", key)
+    new = stage_firsts(stored.join(old.table.select(key), key, "left_anti"), f"new_{name}")
     last_seq = new.measured["last_seq"] or 0
     numbered = dense_ids(new.table, id_column, order, next_id(known, id_column), last_seq)
-    _write(numbered.select(key, id_column), root, name, batch)
-    of_batch = stored.join(read_state(spark, root, name, batch + 1), key)
-    return stage_dictionary(of_batch, f"{name}_of_batch", key)
+    added = stage_dictionary(numbered, f"added_{name}", key)
+    _write(added.table.select(key, id_column), root, name, batch)
+    sizes = [part.measured["dictionary_bytes"] for part in (old, added)]
+    return Stage(old.table.unionByName(added.table), {"dictionary_bytes": sum(sizes)})
 
 
 def _write(rows: DataFrame, root: str, name: str, batch: int) -> None:

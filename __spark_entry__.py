@@ -15,7 +15,7 @@ from wordloom.functions import http, lines, text
 from wordloom.functions.vbyte import vbyte_length
 from wordloom.operators import dictionaries, ids, postings, runs, tokens
 from wordloom.plans.index_build import Index
-from wordloom.plans.stages import new_folder, stage
+from wordloom.plans.stages import new_folder, side_by_side, stage
 from wordloom.sinks import tables
 from wordloom.sinks import text as text_sinks
 from wordloom.sources import crawl
@@ -210,6 +210,7 @@ def document_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def unindexed_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = Index(_mixed_pages(spark, sf_dir))
+    side_by_side(spark, lambda: index.url_map, lambda: index.page_tokens)
     return postings.unindexed_docs(index.url_map, index.tokens)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import sequential
 from test_vbyte import decoded
 from wordloom.operators import postings, runs
+from wordloom.operators.tokens import doc_tokens
 from wordloom.plans.index_build import Index, build_index
 from wordloom.plans.stages import new_folder
 from wordloom.schemas import PAGES
@@ -70,9 +71,7 @@ def test_postings(index, expected):
 
 def test_postings_by_shuffle_joins(spark, index, expected):
     options = {"small_bytes": 0, "hot_rows": 50}
-    from wordloom.operators.tokens import doc_tokens
-
-    tokens = doc_tokens(index.pages, index.url_map, **options)
+    tokens = doc_tokens(index.page_tokens, index.url_map, **options)
     assert _postings(postings.postings(tokens, index.lexicon, **options)) == expected[2]
 
 

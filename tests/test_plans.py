@@ -31,7 +31,7 @@ def test_no_python_in_the_core(index):
         index.partial_postings,
         index.revisit_postings(),
         tokens.word_contexts(index.pages),
-        dictionaries.word_firsts(index.tokens),
+        dictionaries.word_firsts(index.page_tokens),
         postings.posting_bytes(index.postings),
     ]
     for frame in frames:
@@ -40,28 +40,28 @@ def test_no_python_in_the_core(index):
 
 def test_text_is_read_by_the_token_stage_only(index):
     assert "ReadSchema: struct<seq:bigint,url:string>" in _plan(dictionaries.url_firsts(index.pages))
-    for frame in (index.postings, dictionaries.word_firsts(index.tokens), index.revisit_postings()):
+    for frame in (index.postings, dictionaries.word_firsts(index.page_tokens), index.revisit_postings()):
         assert "doc:string" not in _plan(frame)
-    assert "ReadSchema: struct<doc_id:bigint,tokens:array<string>>" in _plan(index.postings)
+    assert "ReadSchema: struct<url:string,tokens:array<string>>" in _plan(index.postings)
 
 
 def test_words_are_extracted_once(index):
     plan = _optimized(tokens.page_tokens(index.pages))
     assert plan.count("regexp_extract_all") == 2  # URL and body
-    exploded = tokens.exploded(index.tokens, "seq").select("seq", "word")
+    exploded = tokens.exploded(index.page_tokens, "seq").select("seq", "word")
     assert _optimized(exploded).count("posexplode") == 1
 
 
 def test_words_are_counted_before_the_shuffle_and_without_sorting(index):
     plan = _plan(index.postings)
     assert plan.count("partial_count") == 1 and "SortAggregate" not in plan
-    assert "SortAggregate" not in _plan(dictionaries.word_firsts(index.tokens))
+    assert "SortAggregate" not in _plan(dictionaries.word_firsts(index.page_tokens))
     # postings of a small lexicon need one shuffle, the one of the counts
     assert plan.count("Exchange hashpartitioning") == 1
 
 
 def test_only_the_top_of_the_block_tree_runs_in_one_task(index):
-    firsts = dictionaries.word_firsts(index.tokens)
+    firsts = dictionaries.word_firsts(index.page_tokens)
     plan = _plan(dictionaries.lexicon(stage(firsts, "firsts").table, last_seq=1 << 40))
     top = plan.index("Exchange SinglePartition")
     assert plan.count("Exchange SinglePartition") == 1
@@ -71,5 +71,5 @@ def test_only_the_top_of_the_block_tree_runs_in_one_task(index):
 
 def test_stages_are_in_the_named_folder(spark, index):
     root = spark.conf.get("spark.checkpoint.dir")
-    assert all(root in name for name in index.tokens.inputFiles())
-    assert index.tokens.agg(F.count("*")).first()[0] > 0
+    assert all(root in name for name in index.page_tokens.inputFiles())
+    assert index.page_tokens.agg(F.count("*")).first()[0] > 0

@@ -29,7 +29,8 @@ def dense_ids(
     ranked = blocked.withColumn("_rank", F.row_number().over(in_block).cast("long") - 1)
     sizes = blocked.groupBy("_block").agg(F.count("*").alias("_size"))
     new_id = F.col("_offset") + F.col("_rank") + start
-    return ranked.join(_offsets(sizes, last_seq.bit_length() - BLOCK_BITS), "_block").select(
+    # A left join, though every block has an offset: only the offsets may be broadcast then, never the keys.
+    return ranked.join(_offsets(sizes, last_seq.bit_length() - BLOCK_BITS), "_block", "left").select(
         *firsts.columns, new_id.alias(id_column)
     )
 
@@ -51,7 +52,7 @@ def _offsets(sizes: DataFrame, bits: int) -> DataFrame:
     )
     return (
         children.withColumn("_within", _sum_before(in_parent))
-        .join(before_parent, "_parent")
+        .join(before_parent, "_parent", "left")
         .select("_block", (F.col("_before") + F.col("_within")).alias("_offset"))
     )
 

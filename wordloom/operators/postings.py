@@ -71,8 +71,9 @@ def revisit_postings(visits: DataFrame, by_file: bool = False) -> DataFrame:
     earlier = F.sum(F.col("_n") - F.col("_goes_on")).over(blocks.rowsBetween(Window.unboundedPreceding, -1))
     offset = F.coalesce(earlier, F.lit(0)) - F.col("_goes_on") - 1
     offsets = ends.withColumn("_goes_on", goes_on).select(*word, "block", offset.alias("_offset"))
+    # Every block has an offset; in a left join only these may be broadcast.
     return (
-        visits.join(offsets, [*word, "block"])
+        visits.join(offsets, [*word, "block"], "left")
         .groupBy(*word, (F.col("_offset") + F.col("nth")).alias("ordinal"), "doc_id")
         .agg(F.sum("tf").alias("tf"))
     )

@@ -22,12 +22,12 @@ def page_tokens(pages: DataFrame) -> DataFrame:
     return ok_pages(pages).select("seq", "file_no", "url", tokens.alias("tokens"))
 
 
-def doc_tokens(pages: DataFrame, url_map: DataFrame, **lookup_options) -> DataFrame:
-    """Page tokens with the page's document ID instead of its URL.
+def doc_tokens(tokens: DataFrame, url_map: DataFrame, **lookup_options) -> DataFrame:
+    """Page tokens with the page's document ID in place of its URL: (seq, file_no, doc_id, tokens).
 
     What is shuffled here, if anything, are word arrays: neither the page text nor one row per word.
     """
-    return lookup(page_tokens(pages), url_map, "url", "doc_id", "n_pages", "seq", **lookup_options).select(
+    return lookup(tokens, url_map, "url", "doc_id", "n_pages", "seq", **lookup_options).select(
         "seq", "file_no", "doc_id", "tokens"
     )
 

@@ -10,8 +10,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 
 from wordloom.operators import dictionaries, postings, runs
-from wordloom.operators.tokens import doc_tokens
-from wordloom.plans.stages import Stage, stage, stage_dictionary, stage_firsts
+from wordloom.operators.tokens import doc_tokens, page_tokens
+from wordloom.plans.stages import Stage, side_by_side, stage, stage_dictionary, stage_firsts
 from wordloom.sinks import tables, text
 
 
@@ -34,21 +34,32 @@ class Index:
         return self._words.table
 
     @cached_property
+    def page_tokens(self) -> DataFrame:
+        return stage(page_tokens(self.pages), "page_tokens").table
+
+    @property
     def tokens(self) -> DataFrame:
-        return stage(doc_tokens(self.pages, self.url_map, **self._urls.measured), "doc_tokens").table
+        return doc_tokens(self.page_tokens, self.url_map, **self._urls.measured)
 
     @property
     def postings(self) -> DataFrame:
+        self._make_dictionaries()
         return postings.postings(self.tokens, self.lexicon, **self._words.measured)
 
     @property
     def partial_postings(self) -> DataFrame:
+        self._make_dictionaries()
         return postings.partial_postings(self.tokens, self.lexicon, **self._words.measured)
 
     def revisit_postings(self, by_file: bool = False) -> DataFrame:
+        self._make_dictionaries()
         visits = postings.visits(self.tokens, self.lexicon, by_file, **self._words.measured)
         return postings.revisit_postings(stage(visits, "visits").table, by_file)
 
+    def _make_dictionaries(self) -> None:
+        """Neither dictionary needs the other."""
+        side_by_side(self.pages.sparkSession, lambda: self._urls, lambda: self._words)
+
     @cached_property
     def _urls(self) -> Stage:
         page_urls = self.pages if self.page_urls is None else self.page_urls
@@ -57,7 +68,7 @@ class Index:
 
     @cached_property
     def _words(self) -> Stage:
-        firsts = stage_firsts(dictionaries.word_firsts(self.tokens), "word_firsts")
+        firsts = stage_firsts(dictionaries.word_firsts(self.page_tokens), "word_firsts")
         return stage_dictionary(dictionaries.lexicon(firsts.table, **firsts.measured), "lexicon", "word")
 
 

@@ -1,10 +1,13 @@
 """Stored intermediate tables: computed once, read many times, and safe when executors are lost."""
 
 import tempfile
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Any
 from uuid import uuid4
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,3 +61,10 @@ def stage_firsts(firsts: DataFrame, name: str) -> Stage:
 def stage_dictionary(dictionary: DataFrame, name: str, key: str) -> Stage:
     """A dictionary, with the memory its entries take."""
     return stage(dictionary, name, dictionary_bytes=entry_bytes(key))
+
+
+def side_by_side(spark: SparkSession, *tasks: Callable[[], Any]) -> list[Any]:
+    """Results of tasks that do not need each other, their Spark jobs submitted at the same time."""
+    with ThreadPoolExecutor(len(tasks)) as pool:
+        started = [pool.submit(inheritable_thread_target(spark)(task)) for task in tasks]
+        return [task.result() for task in started]

@@ -81,7 +81,7 @@ def page_slices(page_index: DataFrame, block_bits: int = BLOCK_LINES_BITS) -> Da
     )
     return (
         lines.withColumn("_within", _sum_before("length", in_block))
-        .join(blocks, ["file_no", "_block"])
+        .join(blocks, ["file_no", "_block"], "left")
         .select("file_no", "line_no", (F.col("_before") + F.col("_within")).alias("start_at"), "length")
     )
 

@@ -11,8 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from wordloom.operators import dictionaries, postings, runs
 from wordloom.operators.ids import dense_ids, next_id
-from wordloom.operators.tokens import doc_tokens
-from wordloom.plans.stages import Stage, stage, stage_dictionary, stage_firsts
+from wordloom.operators.tokens import doc_tokens, page_tokens
+from wordloom.plans.stages import Stage, side_by_side, stage, stage_dictionary, stage_firsts
 from wordloom.schemas import LEXICON, POSTINGS, URL_MAP
 
 
@@ -41,13 +41,21 @@ def extend_lexicon(tokens: DataFrame, batch: int, root: str) -> Stage:
 
 def add_batch(pages: DataFrame, batch: int, root: str) -> None:
     """Index one batch of pages (seq, file_no, url, doc)."""
-    urls = extend_url_map(pages, batch, root)
-    tokens = stage(doc_tokens(pages, urls.table, **urls.measured), "doc_tokens").table
-    words = extend_lexicon(tokens, batch, root)
+    urls, (tokens, words) = side_by_side(
+        pages.sparkSession,
+        lambda: extend_url_map(pages, batch, root),
+        lambda: _tokens_and_words(pages, batch, root),
+    )
+    tokens = doc_tokens(tokens, urls.table, **urls.measured)
     found = postings.postings(tokens, words.table, **words.measured)
     _write(runs.by_posting(found), root, "runs", batch)
 
 
+def _tokens_and_words(pages: DataFrame, batch: int, root: str) -> tuple[DataFrame, Stage]:
+    tokens = stage(page_tokens(pages), "page_tokens").table
+    return tokens, extend_lexicon(tokens, batch, root)
+
+
 def global_postings(spark: SparkSession, root: str) -> DataFrame:
     """(word_id, doc_id, tf) over all batches."""
     return runs.roll_up(read_state(spark, root, "runs"))

@@ -107,12 +107,12 @@ def _positions(exploded: DataFrame) -> DataFrame:
 
 def url_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = _table(spark, sf_dir, "pages").select(F.col("page_id").alias("seq"), text.words("url").alias("tokens"))
-    return _positions(tokens.exploded(words, "seq"))
+    return _positions(tokens.positions(words, "seq"))
 
 
 def body_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     bodies = tokens.ok_pages(_pages(spark, sf_dir))
-    return _positions(tokens.exploded(bodies.select("seq", text.html_words("body").alias("tokens")), "seq"))
+    return _positions(tokens.positions(bodies.select("seq", text.html_words("body").alias("tokens")), "seq"))
 
 
 def tag_events(spark: SparkSession, sf_dir: str) -> DataFrame:

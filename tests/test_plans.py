@@ -49,7 +49,7 @@ def test_words_are_extracted_once(index):
     plan = _optimized(tokens.page_tokens(index.pages))
     assert plan.count("regexp_extract_all") == 2  # URL and body
     exploded = tokens.exploded(index.page_tokens, "seq").select("seq", "word")
-    assert _optimized(exploded).count("posexplode") == 1
+    assert _optimized(exploded).count("explode") == 1
 
 
 def test_words_are_counted_before_the_shuffle_and_without_sorting(index):

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.operators.ids import dense_ids
+from wordloom.operators.tokens import positions
 
 URL_ORDER = ["first_seq"]
 WORD_ORDER = ["first_seq", "first_pos"]
@@ -20,8 +21,8 @@ def word_firsts(tokens: DataFrame) -> DataFrame:
     A page's distinct words keep their order, so an index into them ranks words as their positions do
     and (page, word) is unique: no ties, and all aggregates stay in the hash aggregate.
     """
-    distinct = tokens.select("seq", F.posexplode_outer(F.array_distinct("tokens")).alias("pos", "word"))
-    return distinct.where("word IS NOT NULL").groupBy("word").agg(
+    distinct = tokens.select("seq", F.array_distinct("tokens").alias("tokens"))
+    return positions(distinct, "seq").groupBy("word").agg(
         F.min("seq").alias("first_seq"), F.min_by("pos", "seq").alias("first_pos"), F.count("*").alias("n_pages")
     )
 

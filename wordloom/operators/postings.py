@@ -33,26 +33,22 @@ def _counted(tokens: DataFrame, lexicon: DataFrame, keys: list[str], lookup_opti
 def visits(
     tokens: DataFrame, lexicon: DataFrame, by_file: bool = False, block_bits: int = BLOCK_PAGES_BITS, **lookup_options
 ) -> DataFrame:
-    """A word's pages in order, those in a row with the same document taken together: (word_id, block, nth, doc_id, tf).
+    """Every page of every word, (word_id, block, nth, doc_id, tf), pages in a row with one document having the same nth.
 
     Pages are walked in blocks of 2^block_bits positions, which bounds a window partition however common
     the word is; ``nth`` counts from 1 in each block. With ``by_file`` column ``file_no`` comes first and
     every file is walked on its own.
     """
     word = _list_key(by_file)
-    counts = exploded(tokens, "seq", "file_no", "doc_id").groupBy("seq", "file_no", "doc_id", "word").agg(
-        F.count("*").alias("tf")
-    )
+    page = [*word[:-1], "seq", "doc_id"]
+    counts = exploded(tokens, *page).groupBy(*page, "word").agg(F.count("*").alias("tf"))
     pages = lookup(counts, lexicon, "word", "word_id", "n_pages", "seq", **lookup_options).select(
         *word, F.shiftright("seq", block_bits).alias("block"), "seq", "doc_id", "tf"
     )
     in_block = Window.partitionBy(*word, "block").orderBy("seq")
     starts = F.coalesce((F.lag("doc_id").over(in_block) != F.col("doc_id")).cast("long"), F.lit(1))
-    return (
-        pages.withColumn("_starts", starts)
-        .withColumn("nth", F.sum("_starts").over(in_block))
-        .groupBy(*word, "block", "nth", "doc_id")
-        .agg(F.sum("tf").alias("tf"))
+    return pages.withColumn("_starts", starts).select(
+        *word, "block", F.sum("_starts").over(in_block).alias("nth"), "doc_id", "tf"
     )
 
 

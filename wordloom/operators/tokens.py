@@ -33,10 +33,15 @@ def doc_tokens(tokens: DataFrame, url_map: DataFrame, **lookup_options) -> DataF
 
 
 def exploded(tokens: DataFrame, *keep: str) -> DataFrame:
-    """One row per word with its position.
+    """One row per word.
 
     The outer form with a filter: the plain one makes Catalyst repeat the array's expression in a filter.
     """
+    return tokens.select(*keep, F.explode_outer("tokens").alias("word")).where("word IS NOT NULL")
+
+
+def positions(tokens: DataFrame, *keep: str) -> DataFrame:
+    """One row per word with its position from 0."""
     return tokens.select(*keep, F.posexplode_outer("tokens").alias("pos", "word")).where("word IS NOT NULL")
 
 

@@ -13,6 +13,7 @@ from wordloom.operators import dictionaries, postings, runs
 from wordloom.operators.tokens import doc_tokens, page_tokens
 from wordloom.plans.stages import Stage, side_by_side, stage, stage_dictionary, stage_firsts
 from wordloom.sinks import tables, text
+from wordloom.sources.runs import read_runs
 
 
 @dataclass
@@ -73,14 +74,16 @@ class Index:
 
 
 def build_index(pages: DataFrame, out: str, page_urls: DataFrame | None = None) -> Index:
-    """Write runs, postings, dictionaries and the global index under ``out``.
+    """Write runs, postings, dictionaries and the indexes as text and bytes under ``out``.
 
     Postings are rolled up from the stored runs, so words are counted once.
     """
     spark = pages.sparkSession
     index = Index(pages, page_urls)
     tables.write_runs(index.partial_postings, f"{out}/runs")
-    tables.write_postings(runs.roll_up(spark.read.parquet(f"{out}/runs")), f"{out}/postings")
+    stored_runs = read_runs(spark, f"{out}/runs")
+    text.write_lines_by_file(postings.partial_index_lines(stored_runs), f"{out}/partial_index")
+    tables.write_postings(runs.roll_up(stored_runs), f"{out}/postings")
     stored = spark.read.parquet(f"{out}/postings")
     text.write_lines(text.lexicon_lines_by_id(index.lexicon), f"{out}/lexicon_by_id", "word_id")
     text.write_lines(text.url_map_lines(index.url_map), f"{out}/url_map_by_id", "doc_id")

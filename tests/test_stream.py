@@ -2,6 +2,7 @@ import time
 
 import sequential
 from test_index import _corpus, as_pages
+from wordloom.plans.index_build import Index
 from wordloom.schemas import PAGES
 from wordloom.streaming import index_stream
 
@@ -52,3 +53,21 @@ def test_a_replayed_batch_changes_nothing(spark, tmp_path):
     assert _state(spark, root) == expected
     index_stream.create(spark, root)
     assert _state(spark, root) == expected
+
+
+def test_batches_without_anything_new(spark, tmp_path):
+    corpus = _corpus(30, seed=10)
+    root = str(tmp_path / "state")
+    pages = as_pages(spark, corpus)
+    index_stream.create(spark, root)
+    index_stream.add_batch(pages, 0, root)
+    index_stream.add_batch(pages, 1, root)
+    index_stream.add_batch(pages.where("seq < 0"), 2, root)
+    urls, lexicon, counts = sequential.build(corpus)[:3]
+    assert _state(spark, root) == (urls, lexicon, {key: 2 * tf for key, tf in counts.items()})
+
+
+def test_index_of_no_pages(spark):
+    index = Index(as_pages(spark, _corpus(5)).where("seq < 0"))
+    assert index.postings.count() == index.url_map.count() == index.lexicon.count() == 0
+    assert index.revisit_postings().count() == 0

@@ -11,9 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordloom.functions import http, lines, text
-from wordloom.functions.vbyte import vbyte_length
-from wordloom.operators import dictionaries, ids, postings, runs, tokens
+from wordloom.functions import http, text
+from wordloom.operators import postings, runs, tokens
 from wordloom.plans.index_build import Index
 from wordloom.plans.stages import new_folder, side_by_side, stage
 from wordloom.sinks import tables

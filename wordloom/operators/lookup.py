@@ -22,11 +22,12 @@ def lookup(
 ) -> DataFrame:
     """Add column ``value`` of ``dictionary`` to ``facts`` by ``key``; every fact must have an entry.
 
-    ``dictionary`` should be a stored table, as its size is measured first unless ``dictionary_bytes`` tells
-    it. Up to ``small_bytes`` it is broadcast. Beyond that the join shuffles, and only the few most used keys (``weight`` counts their
-    facts) are broadcast: at most HOT_KEYS keys of at most HOT_KEY_CHARS characters. Facts with such a
-    key get their value from it and a random-looking join key from ``spread``, so no task receives all
-    of them. Keys that are not among them go through the shuffle join, whatever their number.
+    ``dictionary`` should be a stored table, as its size is measured first unless ``dictionary_bytes``
+    tells it. Up to ``small_bytes`` it is broadcast. Beyond that the join shuffles, and only the few most
+    used keys (``weight`` counts their facts) are broadcast: at most HOT_KEYS keys of at most
+    HOT_KEY_CHARS characters. Facts with such a key get their value from it and a join key from
+    ``spread``, so no task receives all of them. Keys that are not among them go through the shuffle
+    join, whatever their number.
     """
     entries = dictionary.select(key, value)
     if dictionary_bytes is None:

@@ -6,6 +6,9 @@ consecutive pages stand for one input file. Two entries give pages with a '#' in
 
 from __future__ import annotations
 
+import importlib
+import importlib.util
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -291,10 +294,10 @@ def stream_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def entry(spark: SparkSession) -> DataFrame:
     """The global index, one line per word, of the smallest table set."""
-    return global_index_lines(spark, "/root/testdata/sf0.001")
+    return _with_folder(global_index_lines)(spark, "/root/testdata/sf0.001")
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = [
         page_status, page_slices, pair_scan, url_tokens, body_tokens, tag_events, token_contexts,
         url_map, lexicon, url_map_lines_by_id, url_map_lines_by_url, lexicon_lines_by_id, lexicon_lines_by_word,
@@ -306,6 +309,33 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"postings": posting_rows} | {query.__name__: query for query in named}
 
 
+def _llm_parts() -> list:
+    """The modules with further queries, as far as they are there; errors inside them are not hidden."""
+    names = ["wordloom.llm.queries", "corpus_pipeline"]
+    there = all(importlib.util.find_spec(name) for name in ("wordloom.llm", "corpus_pipeline"))
+    return [importlib.import_module(name) for name in names] if there else []
+
+
+def _with_folder(query: Callable) -> Callable:
+    """Sets a folder for stored stages where the session names none: a temporary one, in local mode only."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        context = spark.sparkContext
+        named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+        if not named and context.master.startswith("local") and not context.master.startswith("local-cluster"):
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="wordloom-"))
+        return query(spark, sf_dir)
+
+    return run
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    found = core_queries()
+    for part in _llm_parts():
+        found |= part.QUERIES
+    return {name: _with_folder(query) for name, query in found.items()}
+
+
 # --- the same results in SQL ------------------------------------------------------------------------
 
 _SCRIPTS = r"(?is)<script(?:\s[^<>]*)?>(?:.*?</script(?:\s[^<>]*)?>|.*$)"
@@ -436,7 +466,7 @@ def _lines(head: str, piece: str, keys: str, source: str) -> str:
   FROM {source} GROUP BY ALL)"""
 
 
-def oracle_sql() -> dict[str, str]:
+def core_oracle_sql() -> dict[str, str]:
     shard = f"doc_id // {postings.SHARD_DOCS} AS shard"
     site_index = _index(_SITES)
     return {
@@ -489,3 +519,10 @@ def oracle_sql() -> dict[str, str]:
         "rolled_up_runs": site_index + "SELECT * FROM posting",
         "stream_index": _index() + "SELECT word, url, count(*) AS tf FROM token GROUP BY ALL",
     }
+
+
+def oracle_sql() -> dict[str, str]:
+    found = core_oracle_sql()
+    for part in _llm_parts():
+        found |= part.ORACLES
+    return found

@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as entry_module
 
 TABLES = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry_module.queries(), entry_module.oracle_sql()
+QUERIES, ORACLES = entry_module.core_queries(), entry_module.core_oracle_sql()
 pytestmark = pytest.mark.skipif(not Path(TABLES).is_dir(), reason="no test tables")
 
 

@@ -1,6 +1,5 @@
 """Stored intermediate tables: computed once, read many times, and safe when executors are lost."""
 
-import tempfile
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -13,19 +12,13 @@ from pyspark.sql import functions as F
 
 from wordloom.operators.lookup import entry_bytes
 
-_local_roots: list[tempfile.TemporaryDirectory] = []
-
 
 def stage_root(spark: SparkSession) -> str:
-    """The shared folder named in spark.checkpoint.dir; a temporary one in local mode if none is named."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    if not _local_roots:
-        _local_roots.append(tempfile.TemporaryDirectory(prefix="wordloom-"))
-    return _local_roots[0].name
+    """The shared folder named in spark.checkpoint.dir, or else the one set on the context."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root:
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return root
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

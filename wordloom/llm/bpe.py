@@ -14,19 +14,19 @@ import unicodedata
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import cached_property, lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Words whose codes a worker keeps from batch to batch; beyond it forgets them and starts anew.
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 600_000
 #: Words encoded together.
-INDEXED_WORDS = 200_000
-BATCH_BYTES = 16 << 20
+INDEXED_WORDS = 100_000
+BATCH_BYTES = 8 << 20
 _SIGMA = "Σ"
 # White space as the tokenizer's patterns take it.
 _SPACE = r"\t-\r\x20\x85\xa0  -     　"
@@ -121,31 +121,53 @@ def load(path: str) -> Vocabulary:
     return Vocabulary(model, data["added_tokens"], data["normalizer"], data["pre_tokenizer"])
 
 
+class _Numbers(dict):
+    """Numbers words as they are first asked for, and lists those whose codes are not known yet."""
+
+    def __init__(self):
+        super().__init__()
+        self.pending: list = []
+
+    def __missing__(self, word):
+        self.pending.append(word)
+        self[word] = number = len(self)
+        return number
+
+
 class Codes:
-    """Codes of the words seen so far: a word's number, and where its codes stand in one flat array."""
+    """Codes of the words seen so far: a word's number, and where its codes stand in one flat array.
+
+    Special tokens are numbered as tuples, so that no word of a text can equal one.
+    """
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        self.number: dict = {}
+        self.added = {entry["content"]: entry["id"] for entry in vocabulary.added}
+        self.forget()
+
+    def forget(self) -> None:
+        self.numbers = _Numbers()
         self.flat, self.starts, self.lengths = (np.zeros(0, np.int32) for _ in range(3))
 
-    def learn(self, words: set) -> None:
-        """Add words; special tokens are tuples, so that no word of a text can equal one."""
-        new = list(words - self.number.keys())
-        if len(self.number) + len(new) > KEPT_WORDS:
-            self.__init__(self.vocabulary)
-            new = list(words)
-        plain = [w for w in new if isinstance(w, str)]
-        special = [w for w in new if not isinstance(w, str)]
-        added = {entry["content"]: entry["id"] for entry in self.vocabulary.added}
-        flats, counts = [self.flat], [self.lengths]
-        for i in range(0, len(plain), INDEXED_WORDS):
-            flat, lengths = encode_words(self.vocabulary, plain[i : i + INDEXED_WORDS])
+    def words(self, text: str) -> np.ndarray:
+        """Numbers of a text's words."""
+        parts = []
+        for part, is_special in self.vocabulary.pieces(text):
+            words = [(part,)] if is_special else self.vocabulary.split(part)
+            parts.append(np.fromiter(map(self.numbers.__getitem__, words), np.int32, len(words)))
+        return parts[0] if len(parts) == 1 else np.concatenate([np.zeros(0, np.int32), *parts])
+
+    def learn(self) -> None:
+        """Codes of the words numbered since the last time."""
+        flats, counts, pending = [self.flat], [self.lengths], self.numbers.pending
+        for i in range(0, len(pending), INDEXED_WORDS):
+            some = pending[i : i + INDEXED_WORDS]
+            flat, lengths = encode_words(self.vocabulary, [w if isinstance(w, str) else "!" for w in some])
+            special = [j for j, w in enumerate(some) if not isinstance(w, str)]  # "!" has one code, as they have
+            flat[(np.cumsum(lengths) - 1)[special]] = [self.added[some[j][0]] for j in special]
             flats.append(flat)
             counts.append(lengths)
-        flats.append(np.array([added[w[0]] for w in special], np.int32))
-        counts.append(np.ones(len(special), np.int32))
-        self.number.update(zip(plain + special, range(len(self.number), len(self.number) + len(new))))
+        self.numbers.pending = []
         self.flat, self.lengths = np.concatenate(flats), np.concatenate(counts)
         self.starts = np.cumsum(self.lengths) - self.lengths
 
@@ -234,16 +256,12 @@ def _apart(positions: np.ndarray, after: np.ndarray) -> np.ndarray:
 def encode_texts(path: str, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Codes of all texts end to end, and where each text's begin; NULL and empty texts have none."""
     codes = _codes(path)
-    vocabulary = codes.vocabulary
-    cut = []
-    for text in texts:
-        words: list = []
-        for part, is_special in vocabulary.pieces(text or ""):
-            words += [(part,)] if is_special else vocabulary.split(part)
-        cut.append(words)
-    codes.learn(set().union(*cut))
+    if len(codes.numbers) > KEPT_WORDS:
+        codes.forget()
+    cut = [codes.words(text or "") for text in texts]
+    codes.learn()
     counts = np.fromiter(map(len, cut), np.int64, len(cut))
-    numbers = np.fromiter(map(codes.number.__getitem__, chain.from_iterable(cut)), np.int64, counts.sum())
+    numbers = np.concatenate([np.zeros(0, np.int32), *cut])
     lengths = codes.lengths[numbers].astype(np.int64)
     ends = np.append(0, np.cumsum(lengths))
     at = np.repeat(codes.starts[numbers] - ends[:-1], lengths) + np.arange(ends[-1])
@@ -277,7 +295,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", dec
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = load(path)
         for batch in batches:
-            sizes = np.array([len(t or "") for t in batch.column(text).to_pylist()], np.int64)
+            sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
             for part in _slices(batch, sizes, BATCH_BYTES):
                 codes, cuts = encode_texts(path, part.column(text).to_pylist())
                 made: list[pa.Array] = [pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(codes))]

@@ -95,3 +95,55 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         (~passes(BASE)).alias("base_failed"), (passes(BASE) & passes(STANDARD)).alias("kept"),
     )
+
+
+_TOP5 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
+"""
+
+
+@query(_TOP5)
+def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wordloom.llm.topk import quantized, top_k
+
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", quantized("embedding").alias("vector"))
+    return top_k(vectors, F.col("vec_id") % 50 == 0, k=5)
+
+
+@query()
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wordloom.llm.secrets import BASE_RULES, scan
+    from wordloom.plans.stages import new_folder
+
+    found = scan(_documents(spark, sf_dir), new_folder(spark, "secret_ledger"))
+    base = F.filter("spans", lambda s: s["rule_no"] < len(BASE_RULES))
+
+    def counted(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    return found.select(
+        "doc_id",
+        *[counted(rule.kind) for rule in BASE_RULES],
+        sha256(listed(base)).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
+
+
+@query()
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wordloom.llm.toxicity import fit, held_out, score
+
+    docs = _documents(spark, sf_dir)
+    index = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return score(docs, index).select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")

@@ -19,6 +19,8 @@ _BASE = _U(0x9E3779B97F4A7C15)
 _BASE_INVERSE = _U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Bytes between terms: all of ASCII but letters and digits.
+PUNCTUATION = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _powers: list[np.ndarray] = [np.ones(1, _U), np.ones(1, _U)]
@@ -65,12 +67,13 @@ class Chunk:
     data: np.ndarray
     starts: np.ndarray
     ends: np.ndarray
+    apart: np.ndarray
 
     @cached_property
     def spans(self) -> tuple[np.ndarray, np.ndarray]:
         """Starts and ends of all words."""
         inside = np.zeros(len(self.data) + 1, np.int8)
-        inside[1:] = ~_SPACE[self.data]
+        inside[1:] = ~self.apart[self.data]
         steps = np.diff(inside, append=np.int8(0))
         return np.flatnonzero(steps == 1), np.flatnonzero(steps == -1)
 
@@ -99,8 +102,13 @@ class Chunk:
         return np.where(inside, found, _U(0)), np.where(inside, row[:n], -1)
 
 
-def chunks(column: pa.Array, lower: bool = False, chunk_bytes: int = CHUNK_BYTES) -> Iterator[Chunk]:
-    """The texts of a string column in order; NULL is an empty text. A line feed keeps texts apart."""
+def chunks(
+    column: pa.Array, lower: bool = False, chunk_bytes: int = CHUNK_BYTES, apart: np.ndarray = _SPACE
+) -> Iterator[Chunk]:
+    """The texts of a string column in order; NULL is an empty text. A line feed keeps texts apart.
+
+    Words are what stands between bytes marked in ``apart``, which must mark the line feed.
+    """
     texts = column.cast(pa.large_binary()).to_pylist()
     first, held = 0, 0
     for i, text in enumerate(texts):
@@ -110,5 +118,5 @@ def chunks(column: pa.Array, lower: bool = False, chunk_bytes: int = CHUNK_BYTES
             lengths = np.fromiter(map(len, part), np.int64, len(part))
             ends = np.cumsum(lengths + 1) - 1
             data = np.frombuffer(b"\n".join(part) + b"\n", np.uint8)
-            yield Chunk(first, i + 1, _LOWER[data] if lower else data, ends - lengths, ends)
+            yield Chunk(first, i + 1, _LOWER[data] if lower else data, ends - lengths, ends, apart)
             first, held = i + 1, 0

@@ -147,3 +147,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     index = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return score(docs, index).select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
+@query()
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wordloom.llm.suffix_dedup import dedup_passages
+
+    return dedup_passages(_documents(spark, sf_dir)).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

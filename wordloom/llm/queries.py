@@ -154,3 +154,10 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wordloom.llm.suffix_dedup import dedup_passages
 
     return dedup_passages(_documents(spark, sf_dir)).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query()
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wordloom.llm.jaccard_join import Measure, near_duplicates
+
+    return near_duplicates(_documents(spark, sf_dir), Measure(words=4, percent=85))

@@ -62,9 +62,9 @@ def dedup_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         F.min("run").alias("run"), F.max("low").alias("low"), F.max("high").alias("high"), F.max("hot").alias("hot")
     )
     candidates = stage(found, "passage_anchors", n=F.count("*"))
-    keys = placed.where(F.octet_length("data") >= length).select("k", "run")
-    copied = keys.groupBy("k").agg(F.count("*").alias("_n")).where("_n > 1").select("k")
-    copies = stage(keys.join(copied, "k").distinct(), "passage_copies").table
+    keys = placed.where(F.octet_length("data") >= length).groupBy("k", "run").agg(F.count("*").alias("_n"))
+    copied = keys.groupBy("k").agg(F.sum("_n").alias("_all")).where("_all > 1").select("k")
+    copies = stage(keys.select("k", "run").join(copied, "k"), "passage_copies").table
     buckets = max(1, -(-candidates.measured["n"] // merge_items))
 
     none = F.lit(None)

@@ -120,11 +120,11 @@ class Index:
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", examples: int = EXAMPLES, terms: int = TERMS) -> Index:
     """The index over a sample of the labelled rows that are not held out.
 
-    At most ``examples`` rows of each label, those with the smallest hash of their id. NULL labels are
-    left out, the largest label of an id counts; without any label every score is 0.5.
+    At most ``examples`` rows of each label, those with the smallest hash of their id. NULL labels and
+    labels of no document are left out, the largest label of an id counts; without any label every score is 0.5.
     """
     known = labels.where(F.col(label).isin(0, 1) & ~held_out("doc_id")).groupBy("doc_id").agg(F.max(label).alias("label"))
-    known = stage(known, "toxicity_labels").table
+    known = stage(known.join(docs.select("doc_id"), "doc_id", "left_semi"), "toxicity_labels").table
     sizes = {row["label"]: row["count"] for row in known.groupBy("label").count().collect()}
     sample = None
     for value in (0, 1):

@@ -9,6 +9,7 @@ from __future__ import annotations
 import importlib
 import importlib.util
 import tempfile
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,11 +23,12 @@ from wordloom.sinks import tables
 from wordloom.sinks import text as text_sinks
 from wordloom.sources import crawl
 from wordloom.sources import runs as run_sources
-from wordloom.sources.pages import from_table
+from wordloom.sources.pages import from_pairs, from_table, urls_of_pairs
 from wordloom.streaming import index_stream
 
 HEADER = "\r\nServer: x\r\n\r\n"
 COMPACTION_DEGREE = 3
+SMALL_SHARD = 16
 
 
 # --- inputs -----------------------------------------------------------------------------------------
@@ -83,17 +85,20 @@ def page_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crawl.page_slices(index).withColumnRenamed("line_no", "page_id")
 
 
-def pair_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Writes the pages as gzip pairs, a response ending in the line feed the text writer adds, and scans them."""
+def _pairs(spark: SparkSession, pages: DataFrame) -> DataFrame:
+    """The pages written as gzip pairs, a response ending in the line feed the text writer adds."""
     root = new_folder(spark, "pairs")
-    pages = _pages(spark, sf_dir).withColumn("length", F.octet_length("doc") + 1)
+    pages = pages.withColumn("length", F.octet_length("doc") + 1)
     line = F.concat_ws(" ", "url", F.lit("0 0"), F.col("length").cast("string"))
     for kind, value in (("index", line), ("data", F.col("doc"))):
         pages.repartition("file_no").sortWithinPartitions("file_no", "seq").select("file_no", value).write.partitionBy(
             "file_no"
         ).option("compression", "gzip").text(f"{root}/{kind}")
-    pairs = crawl.list_pairs(spark, root, r"file_no=(\d+)/", r"/(index|data)/file_no=")
-    return crawl.read_pairs(pairs).select(
+    return crawl.list_pairs(spark, root, r"file_no=(\d+)/[^_.]", r"/(index|data)/file_no=")
+
+
+def pair_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crawl.read_pairs(_pairs(spark, _pages(spark, sf_dir))).select(
         "file_no",
         "line_no",
         F.decode("url", "ISO-8859-1").alias("url"),
@@ -216,6 +221,19 @@ def unindexed_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return postings.unindexed_docs(index.url_map, index.tokens)
 
 
+def archive_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From gzip archives, pages of status 404 among them, to postings; URLs come from the index files."""
+    pairs = _pairs(spark, _mixed_pages(spark, sf_dir))
+    return Index(from_pairs(crawl.read_pairs(pairs)), urls_of_pairs(crawl.read_page_index(pairs))).postings
+
+
+def postings_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The joins with the dictionaries by shuffle, common words dealt out."""
+    index = Index(_pages(spark, sf_dir))
+    found = tokens.doc_tokens(index.page_tokens, index.url_map, small_bytes=0)
+    return postings.postings(found, index.lexicon, small_bytes=0)
+
+
 def posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     entry_text = F.transform("postings", lambda p: F.concat_ws(":", p["doc_id"].cast("string"), p["tf"].cast("string")))
     return postings.posting_lists(posting_rows(spark, sf_dir)).select(
@@ -231,6 +249,26 @@ def partial_index_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return postings.partial_index_lines(partial_postings(spark, sf_dir))
 
 
+def sharded_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lists, lines and byte codes in small shards, as the writers leave them; lines as they are read back."""
+    path = new_folder(spark, "sharded")
+    found = stage(posting_rows(spark, sf_dir), "postings").table
+    tables.write_lists(postings.posting_bytes(found, SMALL_SHARD), f"{path}/bytes")
+    text_sinks.write_lists(postings.global_index_lines(found, SMALL_SHARD), f"{path}/lines")
+    codes = spark.read.parquet(f"{path}/bytes").select("word_id", "shard", "df", F.hex("bytes").alias("hex"))
+    lines = spark.read.text(f"{path}/lines").select(
+        F.split_part("value", F.lit(" "), F.lit(1)).cast("long").alias("word_id"), F.col("shard").cast("long").alias("shard"), F.col("value").alias("line")
+    )
+    return codes.join(lines, ["word_id", "shard"])
+
+
+def partial_index_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of the partial indexes as they are read back from their folders."""
+    path = new_folder(spark, "partial_text")
+    text_sinks.write_lists_by_file(partial_index_lines(spark, sf_dir), path)
+    return spark.read.text(path).select(F.col("file_no").cast("long").alias("file_no"), F.col("value").alias("line"))
+
+
 def posting_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return postings.posting_bytes(posting_rows(spark, sf_dir)).select(
         "word_id",
@@ -261,13 +299,46 @@ def _stored_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def merged_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return runs.merge_runs(_stored_runs(spark, sf_dir).drop("file_no"))
+    """Three sets of runs, each in a folder of its own."""
+    sets = []
+    found = stage(Index(_site_pages(spark, sf_dir)).partial_postings, "partials").table
+    for i in range(3):
+        path = new_folder(spark, f"runs_{i}")
+        tables.write_runs(found.where(F.col("file_no") % 3 == i), path)
+        sets.append(run_sources.read_runs(spark, path).drop("file_no"))
+    return runs.merge_runs(*sets)
+
+
+def _compacted(spark: SparkSession, found: DataFrame, degree: int) -> tuple[DataFrame, DataFrame]:
+    """The merged runs as they are read back, and the list of their files."""
+    path = new_folder(spark, "compacted")
+    files = tables.write_compacted(found, degree, path)
+    return run_sources.read_runs(spark, path), files
 
 
 def compacted_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = new_folder(spark, "compacted")
-    tables.write_compacted(_stored_runs(spark, sf_dir), COMPACTION_DEGREE, path)
-    return spark.read.parquet(path).select(F.col("run_group").cast("long").alias("run_group"), *runs.RUN_ORDER, "tf")
+    found, _ = _compacted(spark, _stored_runs(spark, sf_dir), COMPACTION_DEGREE)
+    return found.withColumnRenamed("file_no", "run_group")
+
+
+def _runs_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored_runs(spark, sf_dir).withColumn("file_no", F.col("file_no") * (F.col("file_no") + 3))
+
+
+def compacted_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The output of one pass is the input of the next."""
+    first, _ = _compacted(spark, _runs_with_gaps(spark, sf_dir), COMPACTION_DEGREE)
+    second, _ = _compacted(spark, first, 2)
+    return second.withColumnRenamed("file_no", "run_group")
+
+
+def compacted_run_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(run_group, n_rows) of the files that the list names."""
+    _, files = _compacted(spark, _runs_with_gaps(spark, sf_dir), COMPACTION_DEGREE)
+    named = [row["file"] for row in files.collect()]  # one name per merged run and task that wrote it
+    rows = spark.read.parquet(*named).select(F.col("_metadata.file_path").alias("file"))
+    sizes = rows.groupBy(F.regexp_extract("file", "file_no=([0-9]+)/", 1).cast("long").alias("run_group"))
+    return sizes.agg(F.count("*").alias("n_rows"))
 
 
 def rolled_up_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -275,21 +346,15 @@ def rolled_up_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages landed as several files and indexed one file per micro-batch.
-
-    Files arrive in no given order, so the result shows words and URLs in place of their IDs.
-    """
-    landing, root, checkpoint = (new_folder(spark, name) for name in ("landing", "state", "progress"))
-    pages = _pages(spark, sf_dir)
-    pages.repartitionByRange(4, "seq").write.parquet(landing)
+    """Pages whose sites come back, landed in document order and indexed one landing per micro-batch."""
+    landing, root = new_folder(spark, "landing"), new_folder(spark, "state")
+    pages = _site_pages(spark, sf_dir)
+    for part in _consecutive_parts(pages):
+        part.coalesce(1).write.mode("append").parquet(landing)
+        time.sleep(0.05)  # the file source goes by modification time
     stream = spark.readStream.schema(pages.schema).option("maxFilesPerTrigger", 1).parquet(landing)
-    index_stream.index_stream(stream, root, checkpoint).awaitTermination()
-    found = index_stream.global_postings(spark, root)
-    return (
-        found.join(index_stream.read_state(spark, root, "lexicon"), "word_id")
-        .join(index_stream.read_state(spark, root, "url_map"), "doc_id")
-        .select("word", "url", "tf")
-    )
+    index_stream.index_stream(stream, root).awaitTermination()
+    return index_stream.global_postings(spark, root)
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -303,8 +368,9 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         url_map, lexicon, url_map_lines_by_id, url_map_lines_by_url, lexicon_lines_by_id, lexicon_lines_by_word,
         incremental_url_map, incremental_lexicon,
         document_postings, partial_postings, revisit_postings, revisit_partial_postings, document_revisits,
-        unindexed_docs, posting_lists, global_index_lines, partial_index_lines, posting_bytes, index_stats, word_stats,
-        merged_runs, compacted_runs, rolled_up_runs, stream_index,
+        unindexed_docs, archive_postings, postings_shuffled, posting_lists, global_index_lines, sharded_lists,
+        partial_index_lines, partial_index_text, posting_bytes, index_stats, word_stats,
+        merged_runs, compacted_runs, compacted_twice, compacted_run_list, rolled_up_runs, stream_index,
     ]
     return {"postings": posting_rows} | {query.__name__: query for query in named}
 
@@ -517,7 +583,19 @@ def core_oracle_sql() -> dict[str, str]:
         "merged_runs": site_index + "SELECT word_id, doc_id, tf FROM run ORDER BY word_id, doc_id",
         "compacted_runs": site_index + f"SELECT file_no // {COMPACTION_DEGREE} AS run_group, word_id, doc_id, tf FROM run",
         "rolled_up_runs": site_index + "SELECT * FROM posting",
-        "stream_index": _index() + "SELECT word, url, count(*) AS tf FROM token GROUP BY ALL",
+        "stream_index": site_index + "SELECT * FROM posting",
+        "archive_postings": _index(_OK, known=_ALL) + "SELECT * FROM posting",
+        "postings_shuffled": _index() + "SELECT * FROM posting",
+        "sharded_lists": _index() + f"""SELECT word_id, shard, df, hex, word_id || ' : ' || list AS line FROM (
+            SELECT word_id, doc_id // {SMALL_SHARD} AS shard, count(*) AS df,
+            string_agg({_vbyte('doc_id')} || {_vbyte('tf')}, '' ORDER BY doc_id) AS hex,
+            string_agg(' ' || doc_id || ' ' || tf, '' ORDER BY doc_id) AS list FROM posting GROUP BY ALL)""",
+        "partial_index_text": _index()
+        + f"""SELECT file_no, line FROM ({_lines("word_id || ' : '", "'< ' || doc_id || ' ' || tf || ' > '", "file_no, word_id", "run")})""",
+        "compacted_twice": site_index + f"""SELECT (dense_rank() OVER (ORDER BY file_no) - 1) // {2 * COMPACTION_DEGREE} AS run_group,
+            word_id, doc_id, tf FROM run""",
+        "compacted_run_list": site_index + f"""SELECT (n - 1) // {COMPACTION_DEGREE} AS run_group, count(*) AS n_rows
+            FROM (SELECT dense_rank() OVER (ORDER BY file_no) AS n FROM run) GROUP BY ALL""",
     }
 
 

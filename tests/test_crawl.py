@@ -33,7 +33,6 @@ def test_pairs_are_read_byte_for_byte(spark, tmp_path, one_task_bytes):
     parts = {0: _documents(5, 0), 2: _documents(40, 1), 10: [], 11: _documents(300, 2)}
     for file_no, documents in parts.items():
         _write_pair(tmp_path, file_no, documents, last_newline=file_no != 2)
-    (tmp_path / "7_index").write_bytes(gzip.compress(b"u 0 0 0\n"))  # no data file, so no pair
     pairs = crawl.list_pairs(spark, str(tmp_path))
     assert sorted(r.file_no for r in pairs.collect()) == [0, 2, 10, 11]
 
@@ -53,6 +52,31 @@ def test_pairs_are_read_byte_for_byte(spark, tmp_path, one_task_bytes):
     assert sorted((r.file_no, r.line_no, r.start_at) for r in slices) == [(f, n, s) for f, n, _, s, _, _ in expected]
 
 
+@pytest.mark.parametrize("files", [["7_index"], ["7_data"], ["a/3_index", "a/3_data", "b/3_index", "b/3_data"], ["a/3_index", "b/3_index", "b/3_data"]])
+def test_lone_and_repeated_files_are_refused(spark, tmp_path, files):
+    _write_pair(tmp_path, 0, [("u", b"abc")])
+    for name in files:
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes(gzip.compress(b""))
+    with pytest.raises(Exception, match=f"needs one index and one data file: .*{files[0]}"):
+        crawl.read_pairs(crawl.list_pairs(spark, str(tmp_path))).collect()
+
+
+def test_every_pair_has_a_task_of_its_own(spark, tmp_path):
+    for file_no in range(40):
+        _write_pair(tmp_path, file_no * 3, [("u", b"abc")])
+    rows = crawl.read_pairs(crawl.list_pairs(spark, str(tmp_path)))
+    assert rows.groupBy(F.spark_partition_id()).count().where("count > 1").count() == 0
+    assert rows.rdd.getNumPartitions() == 40
+
+
+def test_a_negative_length_is_refused(spark, tmp_path):
+    (tmp_path / "0_index").write_bytes(gzip.compress(b"u 0 0 -2\n"))
+    (tmp_path / "0_data").write_bytes(gzip.compress(b"ab"))
+    with pytest.raises(Exception, match="line 0 has a negative length"):
+        crawl.read_pairs(crawl.list_pairs(spark, str(tmp_path))).collect()
+
+
 def test_concatenated_gzip_members(spark, tmp_path):
     (tmp_path / "0_index").write_bytes(gzip.compress(b"u 0 0 2\n") + gzip.compress(b"v 0 0 3\n"))
     (tmp_path / "0_data").write_bytes(gzip.compress(b"ab") + gzip.compress(b"cde"))

@@ -29,9 +29,9 @@ def test_ids_go_on_after_the_known_ones(spark):
     known = spark.createDataFrame([("a", 0), ("b", 1)], "word STRING, word_id BIGINT")
     firsts = _firsts(spark, [("b", 3, 0, 1), ("d", 9, 1, 1), ("c", 9, 0, 1)])
     new = firsts.join(known, "word", "left_anti")
-    numbered = ids.dense_ids(new, "word_id", ["first_seq", "first_pos"], ids.next_id(known, "word_id")).collect()
+    numbered = ids.dense_ids(new, "word_id", ["first_seq", "first_pos"], 2).collect()
     assert {row.word: row.word_id for row in numbered} == {"c": 2, "d": 3}
-    first = ids.dense_ids(firsts, "word_id", ["first_seq", "first_pos"], ids.next_id(known.limit(0), "word_id"))
+    first = ids.dense_ids(firsts, "word_id", ["first_seq", "first_pos"], 0)
     assert first.agg(F.min("word_id")).first()[0] == 0
 
 
@@ -48,8 +48,7 @@ def test_lookup_is_the_same_however_it_joins(spark):
 
     small = found()
     assert len(small) == len(words)
-    assert found(small_bytes=0, hot_rows=100) == small
-    assert found(small_bytes=0, hot_rows=10**9) == small
+    assert found(small_bytes=0) == small
 
 
 def test_hot_keys_do_not_meet_in_one_partition(spark):
@@ -60,9 +59,32 @@ def test_hot_keys_do_not_meet_in_one_partition(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        joined = lookup(facts, dictionary, "word", "word_id", "n_pages", "doc_id", small_bytes=0, hot_rows=1_000)
+        joined = lookup(facts, dictionary, "word", "word_id", "n_pages", "doc_id", small_bytes=0)
         sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     assert sum(sizes) == 40_000 and max(sizes) < 15_000
+
+
+def test_many_hot_keys_are_spread_evenly(spark):
+    facts = spark.range(200_000).select(F.concat(F.lit("w"), (F.col("id") % 5).cast("string")).alias("word"), F.col("id").alias("doc_id"))
+    dictionary = facts.groupBy("word").agg(F.count("*").alias("n_pages"), F.max("doc_id").alias("word_id"))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")}
+    for key, value in zip(before, ("false", "-1", "32")):
+        spark.conf.set(key, value)
+    try:
+        joined = lookup(facts, dictionary, "word", "word_id", "n_pages", "doc_id", small_bytes=0)
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert sum(sizes) == 200_000 and max(sizes) < 4 * 200_000 / 32
+
+
+@pytest.mark.parametrize("small_bytes", [0, 1 << 20])
+def test_a_missing_entry_is_an_error(spark, small_bytes):
+    facts = spark.createDataFrame([("a", 1), ("b", 2)], "word STRING, doc_id BIGINT")
+    dictionary = spark.createDataFrame([("a", 0, 1)], "word STRING, word_id BIGINT, n_pages BIGINT")
+    with pytest.raises(Exception, match="no word_id for word b"):
+        lookup(facts, dictionary, "word", "word_id", "n_pages", "doc_id", small_bytes=small_bytes).collect()

@@ -70,7 +70,7 @@ def test_postings(index, expected):
 
 
 def test_postings_by_shuffle_joins(spark, index, expected):
-    options = {"small_bytes": 0, "hot_rows": 50}
+    options = {"small_bytes": 0}
     tokens = doc_tokens(index.page_tokens, index.url_map, **options)
     assert _postings(postings.postings(tokens, index.lexicon, **options)) == expected[2]
 
@@ -197,8 +197,11 @@ def test_runs_merge_and_compact(spark, index):
     rows = spark.read.parquet(compacted).collect()
     assert sorted((r.word_id, r.doc_id, r.tf) for r in rows) == bag
     expected_groups = sorted((r.file_no // 10, r.word_id, r.doc_id, r.tf) for r in stored.collect())
-    assert sorted((r.run_group, r.word_id, r.doc_id, r.tf) for r in rows) == expected_groups
-    assert {r.run_group for r in listed.collect()} == {g for g, *_ in expected_groups}
+    assert sorted((r.file_no, r.word_id, r.doc_id, r.tf) for r in rows) == expected_groups
+    assert {r.file_no for r in listed.collect()} == {g for g, *_ in expected_groups}
+    again = new_folder(spark, "again")
+    tables.write_compacted(read_runs(spark, compacted), 2, again)
+    assert sorted((r.file_no, r.word_id, r.doc_id, r.tf) for r in read_runs(spark, again).collect()) == sorted((g // 2, *r) for g, *r in expected_groups)
     for rows in _files(spark, compacted, "word_id", "doc_id"):
         assert rows == sorted(rows)
 

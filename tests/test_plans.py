@@ -73,3 +73,14 @@ def test_stages_are_in_the_named_folder(spark, index):
     root = spark.conf.get("spark.checkpoint.dir")
     assert all(root in name for name in index.page_tokens.inputFiles())
     assert index.page_tokens.agg(F.count("*")).first()[0] > 0
+
+
+def test_contexts_are_found_in_one_scan_without_a_window(index):
+    plan = _plan(tokens.word_contexts(index.pages))
+    assert plan.count("FileScan") == 1 and "Window" not in plan and plan.count("Exchange") == 1
+
+
+def test_lists_are_dealt_out_once(index):
+    stored = stage(index.postings, "postings").table
+    for frame in (postings.posting_bytes(stored), postings.global_index_lines(stored).sortWithinPartitions("shard", "word_id")):
+        assert _plan(frame).count("Exchange") == 1

@@ -1,8 +1,12 @@
 import time
+from pathlib import Path
+
+import pytest
 
 import sequential
 from test_index import _corpus, as_pages
 from wordloom.plans.index_build import Index
+from wordloom.plans.stages import stage
 from wordloom.schemas import PAGES
 from wordloom.streaming import index_stream
 
@@ -26,16 +30,16 @@ def _state(spark, root):
 
 def test_batches_in_order_give_the_one_pass_result(spark, tmp_path):
     corpus = _corpus(120, seed=8)
-    landing, root, progress = (str(tmp_path / name) for name in ("landing", "state", "progress"))
+    landing, root = (str(tmp_path / name) for name in ("landing", "state"))
     _land(spark, corpus, landing, 3)
     stream = spark.readStream.schema(PAGES).option("maxFilesPerTrigger", 1).parquet(landing)
-    index_stream.index_stream(stream, root, progress).awaitTermination()
+    index_stream.index_stream(stream, root).awaitTermination()
     expected = sequential.build(corpus)[:3]
     assert _state(spark, root) == expected
     assert spark.read.parquet(f"{root}/runs").where("batch >= 0").select("batch").distinct().count() == 3
 
     # a second start finds nothing new
-    index_stream.index_stream(stream, root, progress).awaitTermination()
+    index_stream.index_stream(stream, root).awaitTermination()
     assert _state(spark, root) == expected
 
 
@@ -71,3 +75,25 @@ def test_index_of_no_pages(spark):
     index = Index(as_pages(spark, _corpus(5)).where("seq < 0"))
     assert index.postings.count() == index.url_map.count() == index.lexicon.count() == 0
     assert index.revisit_postings().count() == 0
+
+
+def test_a_state_without_progress_is_refused(spark, tmp_path):
+    landing, root = str(tmp_path / "landing"), str(tmp_path / "state")
+    corpus = _corpus(20, seed=11)
+    index_stream.create(spark, root)
+    index_stream.add_batch(as_pages(spark, corpus), 0, root)
+    before = _state(spark, root)
+    _land(spark, corpus, landing, 1)
+    with pytest.raises(ValueError, match="no progress"):
+        index_stream.index_stream(spark.readStream.schema(PAGES).parquet(landing), root)
+    assert _state(spark, root) == before
+
+
+def test_a_batch_leaves_no_stages(spark, tmp_path):
+    root = str(tmp_path / "state")
+    pages = stage(as_pages(spark, _corpus(20, seed=12)), "pages").table
+    index_stream.create(spark, root)
+    folder = Path(spark.conf.get("spark.checkpoint.dir")) / "wordloom"
+    before = set(folder.iterdir())
+    index_stream.add_batch(pages, 0, root)
+    assert set(folder.iterdir()) == before

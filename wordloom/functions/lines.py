@@ -4,8 +4,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def dictionary_line(first: str, second: str) -> Column:
-    return F.concat_ws(" ", F.col(first).cast("string"), F.col(second).cast("string"))
+def dictionary_line(first: Column | str, second: Column | str) -> Column:
+    first, second = (F.col(c) if isinstance(c, str) else c for c in (first, second))
+    return F.concat_ws(" ", first.cast("string"), second.cast("string"))
 
 
 def list_head(word_id: str = "word_id") -> Column:
@@ -13,11 +14,11 @@ def list_head(word_id: str = "word_id") -> Column:
     return F.concat(F.col(word_id).cast("string"), F.lit(" : "))
 
 
-def partial_piece(doc_id: str = "doc_id", tf: str = "tf") -> Column:
+def partial_piece(doc_id: Column, tf: Column) -> Column:
     """'< 3 2 > ' for two occurrences in document 3."""
     return F.concat(F.lit("< "), dictionary_line(doc_id, tf), F.lit(" > "))
 
 
-def global_piece(doc_id: str = "doc_id", tf: str = "tf") -> Column:
+def global_piece(doc_id: Column, tf: Column) -> Column:
     """' 3 2' for two occurrences in document 3."""
     return F.concat(F.lit(" "), dictionary_line(doc_id, tf))

@@ -52,7 +52,28 @@ def tag_opens(tag: Column) -> Column:
     return ~F.startswith(tag, F.lit("/"))
 
 
-def context(switches: dict[str, Column]) -> Column:
+def piece_states(pieces: Column) -> Column:
+    """For each piece the switches that are on in it, as one bit per kind in the order of TAG_NAMES."""
+
+    def step(states: Column, piece: Column) -> Column:
+        tag = F.regexp_extract(piece, r"^(/?\w+)[\s>]", 1)
+        name, before = F.ltrim(tag, F.lit("/")), F.coalesce(F.try_element_at(states, F.lit(-1)), F.lit(0))
+        bit = F.lit(0)
+        for i, names in enumerate(TAG_NAMES.values()):
+            bit = F.when(name.rlike(rf"^(?:{names})$"), 1 << i).otherwise(bit)
+        on = before.bitwiseOR(bit)
+        after = F.when(tag_opens(tag), on).otherwise(on.bitwiseXOR(bit))
+        # Only what follows a '<' has a tag; the first piece stands before any.
+        return F.array_append(states, F.when(F.size(states) > 0, after).otherwise(F.lit(0)))
+
+    return F.aggregate(pieces, F.array().cast("array<int>"), step)
+
+
+def is_on(state: Column, kind: str) -> Column:
+    return state.bitwiseAND(F.lit(1 << list(TAG_NAMES).index(kind))) != 0
+
+
+def context(state: Column) -> Column:
     """Letters of all switches that are on, in the order of CONTEXTS; the plain letter if none is."""
-    letters = F.concat(*[F.when(switches[c], c).otherwise("") for c in CONTEXTS])
+    letters = F.concat(*[F.when(is_on(state, c), c).otherwise("") for c in CONTEXTS])
     return F.when(letters == "", PLAIN).otherwise(letters)

@@ -15,7 +15,7 @@ FAN_BITS = 16
 
 
 def dense_ids(
-    firsts: DataFrame, id_column: str, order: list[str], start: Column | int = 0, last_seq: int | None = None
+    firsts: DataFrame, id_column: str, order: list[str], start: int = 0, last_seq: int | None = None
 ) -> DataFrame:
     """Number the rows of ``firsts`` from ``start`` in the order of the columns ``order``, document position first.
 
@@ -35,11 +35,6 @@ def dense_ids(
     )
 
 
-def next_id(known: DataFrame, id_column: str) -> Column:
-    """The ID that follows the known ones, as a scalar subquery."""
-    return known.agg(F.coalesce(F.max(id_column) + 1, F.lit(0).cast("long"))).scalar()
-
-
 def _offsets(sizes: DataFrame, bits: int) -> DataFrame:
     """Number of keys before each block."""
     if bits <= FAN_BITS:

@@ -4,9 +4,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SMALL_BYTES = 32 << 20
-HOT_ROWS = 1_000_000
-HOT_KEYS = 1_000
-HOT_KEY_CHARS = 256
+#: A key is hot if it has more facts than an eighth of a partition.
+PARTS_PER_PARTITION = 8
 
 
 def lookup(
@@ -18,38 +17,41 @@ def lookup(
     spread: str,
     dictionary_bytes: int | None = None,
     small_bytes: int = SMALL_BYTES,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Add column ``value`` of ``dictionary`` to ``facts`` by ``key``; every fact must have an entry.
+    """Add column ``value`` of ``dictionary`` to ``facts`` by ``key``; a fact without an entry is an error.
 
     ``dictionary`` should be a stored table, as its size is measured first unless ``dictionary_bytes``
-    tells it. Up to ``small_bytes`` it is broadcast. Beyond that the join shuffles, and only the few most
-    used keys (``weight`` counts their facts) are broadcast: at most HOT_KEYS keys of at most
-    HOT_KEY_CHARS characters. Facts with such a key get their value from it and a join key from
-    ``spread``, so no task receives all of them. Keys that are not among them go through the shuffle
-    join, whatever their number.
+    tells it. Up to ``small_bytes`` it is broadcast. Beyond that the join shuffles, and a key that has more
+    than 1 / (PARTS_PER_PARTITION * partitions) of all facts (``weight`` counts them) is dealt out: its facts by
+    the hash of ``spread`` to as many parts as it has such shares, its entry once to each. At most
+    PARTS_PER_PARTITION * partitions keys can be that common, so the table of them, which is broadcast as
+    hashes with a number, has a bound that does not depend on the data.
     """
     entries = dictionary.select(key, value)
     if dictionary_bytes is None:
         dictionary_bytes = entries.agg(entry_bytes(key)).first()[0]
     if dictionary_bytes <= small_bytes:
-        return facts.join(F.broadcast(entries), key)
-    hot = (
-        dictionary.where((F.col(weight) > hot_rows) & (F.length(key) <= HOT_KEY_CHARS))
-        .orderBy(F.desc(weight))
-        .limit(HOT_KEYS)
-        .select(key, F.col(value).alias("_hot"))
-    )
-    # Without the second key all rows of hot keys, whose first key is NULL, would hash to one partition.
-    cold = dictionary.select(F.col(key).alias("_key"), F.hash(key).alias("_salt"), F.col(value).alias("_cold"))
-    is_cold = F.col("_hot").isNull()
-    marked = facts.join(F.broadcast(hot), key, "left").withColumns({
-        "_key": F.when(is_cold, F.col(key)),
-        "_salt": F.when(is_cold, F.hash(key)).otherwise(F.hash(spread)),
-    })
-    return marked.join(cold, ["_key", "_salt"], "left").select(
-        *facts.columns, F.coalesce("_hot", "_cold").alias(value)
-    )
+        joined = facts.join(F.broadcast(entries.withColumnRenamed(value, "_value")), key, "left")
+    else:
+        parts = hot_parts(dictionary, key, weight)
+        dealt = facts.withColumn("_hash", F.xxhash64(key)).join(F.broadcast(parts), "_hash", "left")
+        dealt = dealt.withColumn("_part", F.pmod(F.xxhash64(spread), F.coalesce("_parts", F.lit(1)))).drop("_hash", "_parts")
+        every = F.sequence(F.lit(0).cast("long"), F.coalesce("_parts", F.lit(1)).cast("long") - 1)
+        copies = entries.withColumn("_hash", F.xxhash64(key)).join(F.broadcast(parts), "_hash", "left").select(
+            key, F.col(value).alias("_value"), F.explode(every).alias("_part")
+        )
+        joined = dealt.join(copies, [key, "_part"], "left")
+    missing = F.raise_error(F.concat(F.lit(f"no {value} for {key} "), F.col(key).cast("string")))
+    return joined.select(*facts.columns, F.coalesce("_value", missing.cast(dictionary.schema[value].dataType)).alias(value))
+
+
+def hot_parts(dictionary: DataFrame, key: str, weight: str) -> DataFrame:
+    """(_hash, _parts) of the keys with more facts than a share; keys of one hash are dealt out alike."""
+    partitions = int(dictionary.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = dictionary.agg(F.sum(weight)).first()[0] or 0
+    share = max(1, total // (PARTS_PER_PARTITION * partitions))
+    hot = dictionary.where(F.col(weight) > share)
+    return hot.groupBy(F.xxhash64(key).alias("_hash")).agg(F.ceil(F.sum(weight) / share).cast("int").alias("_parts"))
 
 
 def entry_bytes(key: str) -> Column:

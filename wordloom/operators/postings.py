@@ -85,46 +85,47 @@ def unindexed_docs(url_map: DataFrame, tokens: DataFrame) -> DataFrame:
     return url_map.join(indexed, "doc_id", "left_anti").select("doc_id", "url")
 
 
-def _gathered(postings: DataFrame, keys: list[str], piece: Column, shard_docs: int) -> DataFrame:
-    """(*keys, shard, df, joined): the pieces of up to ``shard_docs`` documents, joined in document order.
+def _sharded(postings: DataFrame, keys: list[str], shard_docs: int) -> DataFrame:
+    """(*keys, shard, df, postings): (doc_id, tf) of up to ``shard_docs`` documents in document order.
 
-    A shard bounds what one task gathers, however long the word's list is.
+    A shard bounds what one task gathers, however long the word's list is. Rows are dealt out by range of
+    (*keys, shard), which serves both the grouping and a sorted output: writers sort inside the partitions only.
     """
-    rows = postings.select(*keys, F.expr(f"doc_id div {shard_docs}").alias("shard"), "doc_id", piece.alias("piece"))
-    ordered = F.array_sort(F.collect_list(F.struct("doc_id", "piece")))
-    return rows.groupBy(*keys, "shard").agg(
-        F.count("*").alias("df"), F.array_join(ordered.getField("piece"), "").alias("joined")
+    order = [*keys, "shard"]
+    rows = postings.select(*keys, F.expr(f"doc_id div {shard_docs}").alias("shard"), "doc_id", "tf").repartitionByRange(*order)
+    return rows.groupBy(*order).agg(
+        F.count("*").alias("df"), F.array_sort(F.collect_list(F.struct("doc_id", "tf"))).alias("postings")
     )
 
 
+def _joined(piece) -> Column:
+    """The postings of a row in the form that ``piece`` gives one, without anything between."""
+    return F.array_join(F.transform("postings", lambda p: piece(p["doc_id"], p["tf"])), "")
+
+
 def posting_lists(postings: DataFrame, shard_docs: int = SHARD_DOCS) -> DataFrame:
     """(word_id, shard, df, postings): lists of (doc_id, tf) in document order, one per word and shard."""
-    rows = postings.withColumn("shard", F.expr(f"doc_id div {shard_docs}"))
-    return rows.groupBy("word_id", "shard").agg(
-        F.count("*").alias("df"), F.array_sort(F.collect_list(F.struct("doc_id", "tf"))).alias("postings")
-    )
+    return _sharded(postings, ["word_id"], shard_docs)
 
 
 def global_index_lines(postings: DataFrame, shard_docs: int = SHARD_DOCS) -> DataFrame:
     """(word_id, shard, line): '12 :  3 2 7 1'. A word has one line per shard that holds it."""
-    return _gathered(postings, ["word_id"], lines.global_piece(), shard_docs).select(
-        "word_id", "shard", F.concat(lines.list_head(), "joined").alias("line")
+    return _sharded(postings, ["word_id"], shard_docs).select(
+        "word_id", "shard", F.concat(lines.list_head(), _joined(lines.global_piece)).alias("line")
     )
 
 
 def partial_index_lines(partials: DataFrame, shard_docs: int = SHARD_DOCS) -> DataFrame:
     """(file_no, word_id, shard, line): '12 : < 3 2 > < 7 1 > '."""
-    return _gathered(partials, ["file_no", "word_id"], lines.partial_piece(), shard_docs).select(
-        "file_no", "word_id", "shard", F.concat(lines.list_head(), "joined").alias("line")
+    return _sharded(partials, ["file_no", "word_id"], shard_docs).select(
+        "file_no", "word_id", "shard", F.concat(lines.list_head(), _joined(lines.partial_piece)).alias("line")
     )
 
 
 def posting_bytes(postings: DataFrame, shard_docs: int = SHARD_DOCS) -> DataFrame:
     """(word_id, shard, df, bytes): variable-byte codes of document ID and count, in document order."""
-    piece = F.concat(vbyte_hex(F.col("doc_id")), vbyte_hex(F.col("tf")))
-    return _gathered(postings, ["word_id"], piece, shard_docs).select(
-        "word_id", "shard", "df", F.unhex("joined").alias("bytes")
-    )
+    codes = _joined(lambda doc_id, tf: F.concat(vbyte_hex(doc_id), vbyte_hex(tf)))
+    return _sharded(postings, ["word_id"], shard_docs).select("word_id", "shard", "df", F.unhex(codes).alias("bytes"))
 
 
 def index_stats(url_map: DataFrame, postings: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 RUN_ORDER = ["word_id", "doc_id"]
@@ -20,9 +20,15 @@ def merge_runs(*runs: DataFrame) -> DataFrame:
 
 
 def compact_runs(runs: DataFrame, degree: int) -> DataFrame:
-    """Groups up to ``degree`` consecutive runs (file_no) into one run, run_group, and sorts each."""
-    grouped = runs.withColumn("run_group", F.expr(f"file_no div {degree}")).drop("file_no")
-    return by_posting(grouped.select("run_group", "word_id", "doc_id", "tf"), "run_group")
+    """Merges every ``degree`` runs that follow each other into one, numbered from 0, and sorts each.
+
+    Runs go by their place among the run numbers there are, gaps or not. The result has the columns of runs,
+    so it can be compacted again. One task ranks the numbers alone, one row per run.
+    """
+    place = F.row_number().over(Window.orderBy("file_no")) - 1
+    groups = runs.select("file_no").distinct().select("file_no", F.floor(place / degree).alias("_group"))
+    grouped = runs.join(groups, "file_no").select(F.col("_group").alias("file_no"), "word_id", "doc_id", "tf")
+    return by_posting(grouped, "file_no")
 
 
 def roll_up(runs: DataFrame) -> DataFrame:

@@ -1,6 +1,6 @@
 """From pages to words and their contexts."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.functions import http, markup, text
@@ -60,18 +60,17 @@ def segments(bodies: DataFrame) -> DataFrame:
 def word_contexts(pages: DataFrame) -> DataFrame:
     """(seq, word, ctx, n): occurrences of each word of a page in each context, URL words included.
 
-    A context is one switch per kind, not a depth: the last tag of that kind sets it. What is shuffled for
-    the window over a page are its words, one row per segment.
+    A context is one switch per kind, not a depth: the last tag of that kind sets it. The switches are carried
+    along the pieces of a page inside its row; what is shuffled are counts per page, word and context.
     """
-    ok = ok_pages(pages)
-    so_far = Window.partitionBy("seq").orderBy("seg").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    switches = {
-        kind: F.coalesce(F.last(F.when(F.col("kind") == kind, F.col("is_open")), ignorenulls=True).over(so_far), F.lit(False))
-        for kind in markup.TAG_NAMES
-    }
-    stated = segments(ok).select("seq", "words", *[state.alias(kind) for kind, state in switches.items()])
-    ctx = markup.context({kind: F.col(kind) for kind in markup.CONTEXTS})
-    in_body = stated.where("NOT S").select("seq", ctx.alias("ctx"), "words")
-    in_url = ok.select("seq", F.lit(markup.IN_URL).alias("ctx"), text.words("url").alias("words"))
-    words = in_body.unionByName(in_url).select("seq", "ctx", F.explode_outer("words").alias("word"))
-    return words.where("word IS NOT NULL").groupBy("seq", "word", "ctx").agg(F.count("*").alias("n"))
+    ok = ok_pages(pages).select("seq", text.words("url").alias("_url_words"), markup.pieces(F.col("body")).alias("_pieces"))
+    stated = ok.select("seq", "_url_words", "_pieces", markup.piece_states(F.col("_pieces")).alias("_states"))
+    in_body = F.flatten(
+        F.transform(
+            F.filter(F.arrays_zip("_pieces", "_states"), lambda p: ~markup.is_on(p["_states"], "S")),
+            lambda p: F.transform(markup.piece_words(p["_pieces"]), lambda w: F.struct(w.alias("word"), markup.context(p["_states"]).alias("ctx"))),
+        )
+    )
+    in_url = F.transform("_url_words", lambda w: F.struct(w.alias("word"), F.lit(markup.IN_URL).alias("ctx")))
+    found = stated.select("seq", F.explode_outer(F.concat(in_body, in_url)).alias("_found")).select("seq", "_found.word", "_found.ctx")
+    return found.where("word IS NOT NULL").groupBy("seq", "word", "ctx").agg(F.count("*").alias("n"))

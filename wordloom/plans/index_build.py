@@ -73,20 +73,23 @@ class Index:
         return stage_dictionary(dictionaries.lexicon(firsts.table, **firsts.measured), "lexicon", "word")
 
 
-def build_index(pages: DataFrame, out: str, page_urls: DataFrame | None = None) -> Index:
+def build_index(
+    pages: DataFrame, out: str, page_urls: DataFrame | None = None, shard_docs: int = postings.SHARD_DOCS
+) -> Index:
     """Write runs, postings, dictionaries and the indexes as text and bytes under ``out``.
 
-    Postings are rolled up from the stored runs, so words are counted once.
+    Postings are rolled up from the stored runs, so words are counted once. A word has a list, line or code
+    for every ``shard_docs`` documents in which it is found.
     """
     spark = pages.sparkSession
     index = Index(pages, page_urls)
     tables.write_runs(index.partial_postings, f"{out}/runs")
     stored_runs = read_runs(spark, f"{out}/runs")
-    text.write_lines_by_file(postings.partial_index_lines(stored_runs), f"{out}/partial_index")
+    text.write_lists_by_file(postings.partial_index_lines(stored_runs, shard_docs), f"{out}/partial_index")
     tables.write_postings(runs.roll_up(stored_runs), f"{out}/postings")
     stored = spark.read.parquet(f"{out}/postings")
     text.write_lines(text.lexicon_lines_by_id(index.lexicon), f"{out}/lexicon_by_id", "word_id")
     text.write_lines(text.url_map_lines(index.url_map), f"{out}/url_map_by_id", "doc_id")
-    text.write_lines(postings.global_index_lines(stored), f"{out}/global_index", "word_id", "shard")
-    tables.write_lists(postings.posting_bytes(stored), f"{out}/posting_bytes")
+    text.write_lists(postings.global_index_lines(stored, shard_docs), f"{out}/global_index")
+    tables.write_lists(postings.posting_bytes(stored, shard_docs), f"{out}/posting_bytes")
     return index

@@ -1,7 +1,9 @@
 """Stored intermediate tables: computed once, read many times, and safe when executors are lost."""
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 from dataclasses import dataclass
 from typing import Any
 from uuid import uuid4
@@ -23,7 +25,27 @@ def stage_root(spark: SparkSession) -> str:
 
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path under the stage root that nothing uses yet."""
-    return f"{stage_root(spark).rstrip('/')}/wordloom/{uuid4().hex}/{name}"
+    folder = f"{stage_root(spark).rstrip('/')}/wordloom/{uuid4().hex}"
+    if (made := _made.get()) is not None:
+        made.append(folder)
+    return f"{folder}/{name}"
+
+
+_made: ContextVar[list[str] | None] = ContextVar("folders made", default=None)
+
+
+@contextmanager
+def passing_stages(spark: SparkSession) -> Iterator[None]:
+    """Deletes the stages made inside when it ends, also by an error: what is read later must not need them."""
+    folders: list[str] = []
+    token = _made.set(folders)
+    try:
+        yield
+    finally:
+        _made.reset(token)
+        for folder in folders:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 @dataclass(frozen=True)
@@ -59,5 +81,5 @@ def stage_dictionary(dictionary: DataFrame, name: str, key: str) -> Stage:
 def side_by_side(spark: SparkSession, *tasks: Callable[[], Any]) -> list[Any]:
     """Results of tasks that do not need each other, their Spark jobs submitted at the same time."""
     with ThreadPoolExecutor(len(tasks)) as pool:
-        started = [pool.submit(inheritable_thread_target(spark)(task)) for task in tasks]
+        started = [pool.submit(copy_context().run, inheritable_thread_target(spark)(task)) for task in tasks]
         return [task.result() for task in started]

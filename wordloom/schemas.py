@@ -9,13 +9,12 @@ def _table(**columns: T.DataType) -> T.StructType:
 
 _INT, _LONG, _STR, _BIN = T.IntegerType(), T.LongType(), T.StringType(), T.BinaryType()
 
-FILE_PAIRS = _table(file_no=_LONG, index_path=_STR, data_path=_STR, data_bytes=_LONG)
 PAGE_INDEX = _table(file_no=_LONG, line_no=_LONG, url=_BIN, length=_LONG)
 RAW_PAGES = _table(file_no=_LONG, line_no=_LONG, url=_BIN, start_at=_LONG, length=_LONG, doc=_BIN)
 PAGES = _table(seq=_LONG, file_no=_LONG, url=_STR, doc=_STR)
-DOC_TOKENS = _table(seq=_LONG, file_no=_LONG, doc_id=_LONG, tokens=T.ArrayType(_STR))
 URL_MAP = _table(url=_STR, doc_id=_LONG)
 LEXICON = _table(word=_STR, word_id=_LONG)
 POSTINGS = _table(word_id=_LONG, doc_id=_LONG, tf=_LONG)
 RUNS = _table(file_no=_LONG, word_id=_LONG, doc_id=_LONG, tf=_LONG)
 TRIPLES = _table(word_id=_INT, doc_id=_INT, tf=_INT)
+ADDED = _table(n=_LONG)

@@ -1,7 +1,6 @@
 """Text outputs, as folders of part files whose names follow the order of the lines."""
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from wordloom.functions.lines import dictionary_line
 
@@ -27,8 +26,13 @@ def write_lines(lines: DataFrame, path: str, *order: str) -> None:
     ordered.select("line").write.mode("overwrite").text(path)
 
 
-def write_lines_by_file(lines: DataFrame, path: str) -> None:
-    """Write partial index lines, one folder per input file, each sorted by word."""
-    order = ["file_no", "word_id", "shard"]
-    ordered = lines.repartitionByRange(*order).sortWithinPartitions(*order)
-    ordered.select("file_no", F.col("line")).write.mode("overwrite").partitionBy("file_no").text(path)
+def write_lists(lines: DataFrame, path: str) -> None:
+    """Write global index lines, one folder per shard; they are in ranges of words already."""
+    ordered = lines.sortWithinPartitions("shard", "word_id")
+    ordered.select("shard", "line").write.mode("overwrite").partitionBy("shard").text(path)
+
+
+def write_lists_by_file(lines: DataFrame, path: str) -> None:
+    """Write partial index lines, one folder per input file, each sorted by word; they are in such ranges already."""
+    ordered = lines.sortWithinPartitions("file_no", "word_id", "shard")
+    ordered.select("file_no", "line").write.mode("overwrite").partitionBy("file_no").text(path)

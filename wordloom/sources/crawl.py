@@ -22,9 +22,11 @@ _CHUNK = 1 << 20
 def list_pairs(
     spark: SparkSession, root: str, number: str = r"(\d+)_(?:index|data)$", kind: str = r"\d+_(index|data)$"
 ) -> DataFrame:
-    """FILE_PAIRS of the files under ``root``: both halves are found by name and paired by number.
+    """(file_no, index_path, data_path, data_bytes) of the files under ``root``: both halves are found by name and paired by number.
 
-    Only names and sizes are read; ``number`` and ``kind`` are patterns on the path, with one group each.
+    Only names and sizes are read; ``number`` and ``kind`` are patterns on the path, with one group each, and
+    files that do not fit them are none of the archive's. A number with other than one index and one data file
+    fails when its row is read, and names the files.
     """
     files = (
         spark.read.format("binaryFile")
@@ -36,20 +38,30 @@ def list_pairs(
             "path",
             "length",
         )
+        .where("file_no IS NOT NULL AND kind IN ('index', 'data')")
     )
+
     def of(half: str, column: str):
         return F.max(F.when(F.col("kind") == half, F.col(column)))
 
-    pairs = files.groupBy("file_no").agg(
-        of("index", "path").alias("index_path"), of("data", "path").alias("data_path"), of("data", "length").alias("data_bytes")
+    halves = files.groupBy("file_no").agg(
+        of("index", "path").alias("index_path"),
+        of("data", "path").alias("data_path"),
+        of("data", "length").alias("data_bytes"),
+        F.count_if(F.col("kind") == "index").alias("_index"),
+        F.count_if(F.col("kind") == "data").alias("_data"),
+        F.array_join(F.sort_array(F.collect_list("path")), ", ").alias("_paths"),
     )
-    return pairs.where("file_no IS NOT NULL AND index_path IS NOT NULL AND data_path IS NOT NULL")
+    wrong = F.raise_error(F.concat(F.lit("archive file number "), F.col("file_no").cast("string"), F.lit(" needs one index and one data file: "), "_paths"))
+    paired = (F.col("_index") == 1) & (F.col("_data") == 1)
+    kinds = {"index_path": "string", "data_path": "string", "data_bytes": "long"}
+    return halves.select("file_no", *[F.when(paired, F.col(c)).otherwise(wrong.cast(kind)).alias(c) for c, kind in kinds.items()])
 
 
 def read_page_index(pairs: DataFrame) -> DataFrame:
     """PAGE_INDEX of the pairs, (file_no, line_no, url, length): the index files alone, one task per file."""
     rows = pairs.select("file_no", "index_path")
-    return rows.repartition(max(1, pairs.count())).mapInArrow(_read_index_batches, PAGE_INDEX)
+    return _one_task_each(rows, pairs.count()).mapInArrow(_read_index_batches, PAGE_INDEX)
 
 
 def read_pairs(pairs: DataFrame, one_task_bytes: int = ONE_TASK_BYTES) -> DataFrame:
@@ -91,9 +103,14 @@ def _sum_before(column: str, window) -> Column:
 
 
 def _scan(pairs: DataFrame, count: int) -> DataFrame:
-    # A fixed number of partitions: AQE would merge the tiny rows into one task.
-    rows = pairs.select("file_no", "index_path", "data_path").repartition(max(1, count))
-    return rows.mapInArrow(_read_batches, RAW_PAGES)
+    rows = pairs.select("file_no", "index_path", "data_path")
+    return _one_task_each(rows, count).mapInArrow(_read_batches, RAW_PAGES)
+
+
+def _one_task_each(pairs: DataFrame, count: int) -> DataFrame:
+    """Exactly one partition per pair: numbered in one task, as there are only names."""
+    numbered = pairs.withColumn("_task", F.row_number().over(Window.orderBy("file_no")) - 1)
+    return numbered.repartitionById(max(1, count), F.col("_task")).drop("_task")
 
 
 def _read_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,7 +153,10 @@ def _entries(index: pa.NativeFile, path: str) -> Iterator[tuple[int, bytes, int]
         columns = [c for c in line.split(b" ") if c]
         if len(columns) < 4:
             raise ValueError(f"{path}: line {line_no} has fewer than 4 columns")
-        yield line_no, columns[0], int(columns[3])
+        length = int(columns[3])
+        if length < 0:
+            raise ValueError(f"{path}: line {line_no} has a negative length")
+        yield line_no, columns[0], length
 
 
 def _batch(rows: list[tuple], schema: StructType) -> pa.RecordBatch:

@@ -49,6 +49,8 @@ def _read_split(path: str, length: int, start: int, step: int) -> Iterator[pa.Re
         stream.seek(start)
         while left:
             chunk = stream.read(min(left, _TRIPLES_PER_BATCH * TRIPLE_BYTES))
+            if not chunk or len(chunk) % TRIPLE_BYTES:
+                raise ValueError(f"{path}: ends before the {length} bytes listed")
             left -= len(chunk)
             records = np.frombuffer(chunk, "<i4").reshape(-1, 3)
             columns = [pa.array(np.ascontiguousarray(records[:, i])) for i in range(3)]

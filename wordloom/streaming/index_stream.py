@@ -1,8 +1,9 @@
 """Micro-batches of pages extend the dictionaries and append runs of postings.
 
-The state is three tables of folders batch=<n> under one root: url_map, lexicon and runs. A batch reads
-the dictionaries of earlier batches only and overwrites its own folders, so a replayed batch gives the
-same result. IDs follow the order of batches, and document order inside a batch.
+The state is three tables of folders batch=<n> under one root, url_map, lexicon and runs, the number of entries
+that each batch added, and the progress of the stream, which belongs to that state alone. A batch reads the
+dictionaries of earlier batches only and overwrites its own folders, so a replayed batch gives the same
+result. IDs follow the order of batches, and document order inside a batch.
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,22 +11,23 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wordloom.operators import dictionaries, postings, runs
-from wordloom.operators.ids import dense_ids, next_id
+from wordloom.operators.ids import dense_ids
 from wordloom.operators.tokens import doc_tokens, page_tokens
-from wordloom.plans.stages import Stage, side_by_side, stage, stage_dictionary, stage_firsts
-from wordloom.schemas import LEXICON, POSTINGS, URL_MAP
+from wordloom.plans.stages import Stage, passing_stages, side_by_side, stage, stage_dictionary, stage_firsts
+from wordloom.schemas import ADDED, LEXICON, POSTINGS, URL_MAP
+
+_TABLES = {"url_map": URL_MAP, "lexicon": LEXICON, "runs": POSTINGS, "url_map_added": ADDED, "lexicon_added": ADDED}
 
 
 def create(spark: SparkSession, root: str) -> None:
     """Empty state under ``root``, unless there is one."""
-    for name, schema in (("url_map", URL_MAP), ("lexicon", LEXICON), ("runs", POSTINGS)):
+    for name, schema in _TABLES.items():
         spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{root}/{name}/batch=-1")
 
 
 def read_state(spark: SparkSession, root: str, name: str, before: int | None = None) -> DataFrame:
     """Rows of all batches, or of those before one; other batches' folders are not read."""
-    schema = {"url_map": URL_MAP, "lexicon": LEXICON, "runs": POSTINGS}[name]
-    table = spark.read.schema(f"{_ddl(schema)}, batch BIGINT").parquet(f"{root}/{name}")
+    table = spark.read.schema(f"{_ddl(_TABLES[name])}, batch BIGINT").parquet(f"{root}/{name}")
     return (table if before is None else table.where(F.col("batch") < before)).drop("batch")
 
 
@@ -41,14 +43,15 @@ def extend_lexicon(tokens: DataFrame, batch: int, root: str) -> Stage:
 
 def add_batch(pages: DataFrame, batch: int, root: str) -> None:
     """Index one batch of pages (seq, file_no, url, doc)."""
-    urls, (tokens, words) = side_by_side(
-        pages.sparkSession,
-        lambda: extend_url_map(pages, batch, root),
-        lambda: _tokens_and_words(pages, batch, root),
-    )
-    tokens = doc_tokens(tokens, urls.table, **urls.measured)
-    found = postings.postings(tokens, words.table, **words.measured)
-    _write(runs.by_posting(found), root, "runs", batch)
+    with passing_stages(pages.sparkSession):
+        urls, (tokens, words) = side_by_side(
+            pages.sparkSession,
+            lambda: extend_url_map(pages, batch, root),
+            lambda: _tokens_and_words(pages, batch, root),
+        )
+        tokens = doc_tokens(tokens, urls.table, **urls.measured)
+        found = postings.postings(tokens, words.table, **words.measured)
+        _write(runs.by_posting(found), root, "runs", batch)
 
 
 def _tokens_and_words(pages: DataFrame, batch: int, root: str) -> tuple[DataFrame, Stage]:
@@ -61,15 +64,22 @@ def global_postings(spark: SparkSession, root: str) -> DataFrame:
     return runs.roll_up(read_state(spark, root, "runs"))
 
 
-def index_stream(pages: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
+def index_stream(pages: DataFrame, root: str) -> StreamingQuery:
     """Index a stream of pages until its present input is used up.
 
-    ``checkpoint`` keeps the progress; with it and ``root`` a stopped stream goes on where it was.
+    The progress is kept under ``root``: a stopped stream goes on where it was. A state whose batches were
+    added in another way has none; it is refused, as a stream that starts anew would write over its first batches.
     """
-    create(pages.sparkSession, root)
+    spark = pages.sparkSession
+    create(spark, root)
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/progress")
+    there = marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+    batches = spark.read.schema("batch BIGINT").parquet(f"{root}/runs")
+    if not there and batches.where("batch >= 0").limit(1).count():
+        raise ValueError(f"{root}: has batches, but no progress of a stream")
     return (
         pages.writeStream.foreachBatch(lambda batch, number: add_batch(batch, number, root))
-        .option("checkpointLocation", checkpoint)
+        .option("checkpointLocation", f"{root}/progress")
         .trigger(availableNow=True)
         .start()
     )
@@ -87,9 +97,11 @@ def _extend(
     old = stage_dictionary(known.join(stored, key), f"old_{name}", key)
     new = stage_firsts(stored.join(old.table.select(key), key, "left_anti"), f"new_{name}")
     last_seq = new.measured["last_seq"] or 0
-    numbered = dense_ids(new.table, id_column, order, next_id(known, id_column), last_seq)
+    earlier = read_state(firsts.sparkSession, root, f"{name}_added", batch).agg(F.sum("n")).first()[0] or 0
+    numbered = dense_ids(new.table, id_column, order, earlier, last_seq)
     added = stage_dictionary(numbered, f"added_{name}", key)
     _write(added.table.select(key, id_column), root, name, batch)
+    _write(added.table.agg(F.count("*").alias("n")), root, f"{name}_added", batch)
     sizes = [part.measured["dictionary_bytes"] for part in (old, added)]
     return Stage(old.table.unionByName(added.table), {"dictionary_bytes": sum(sizes)})
 

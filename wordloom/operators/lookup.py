@@ -4,8 +4,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SMALL_BYTES = 32 << 20
-#: A key is hot if it has more facts than an eighth of a partition.
-PARTS_PER_PARTITION = 8
+#: A key is hot if it has more facts than a 64th of a partition.
+PARTS_PER_PARTITION = 64
 
 
 def lookup(

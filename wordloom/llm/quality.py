@@ -23,7 +23,7 @@ REPEAT_WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 MAX_SYMBOL_PERCENT = 10
-MAX_DUP_LINE_PERCENT = 30
+MAX_DUP_LINE_PERCENT = 50
 MAX_UPPER_PERCENT = 60
 MIN_MEAN_CHARS, MAX_MEAN_CHARS = 2, 15
 

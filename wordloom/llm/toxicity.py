@@ -87,27 +87,42 @@ class Index:
     def nearest(self, terms: np.ndarray, vector: np.ndarray, k: int = NEIGHBOURS, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of highest cosine over 0, ties to the lower number, and their cosines.
 
-        Blocks go by their bound, the highest first; the search ends where a bound is under the k-th cosine.
+        Blocks go by their bound, the highest first, a few at once and then more; the search ends where a
+        bound is under the k-th cosine.
         """
         bounds = vector @ self.block_max[terms]
+        order = np.argsort(-bounds, kind="stable")
+        order = order[: np.count_nonzero(bounds > 0)]
+        falling = -bounds[order]
         found, cosines, kth = np.zeros(0, np.int64), np.zeros(0), 0.0
-        for block in np.argsort(-bounds, kind="stable").tolist():
-            if bounds[block] <= 0 or bounds[block] + 1e-9 < kth:
-                break
-            sums = np.zeros(BLOCK)
-            for term, weight in zip(terms.tolist(), vector.tolist()):
-                start, end = self.block_starts[term, block], self.block_starts[term, block + 1]
-                sums[self.examples[start:end] - block * BLOCK] += weight * self.values[start:end]
-            if block == without // BLOCK:
-                sums[without % BLOCK] = 0
-            at = np.flatnonzero(sums > 0)
-            found, cosines = np.append(found, at + block * BLOCK), np.append(cosines, np.round(sums[at], 9))
-            order = np.lexsort((found, -cosines))[:k]
-            found, cosines = found[order], cosines[order]
+        at, size, end = 0, 4, len(order)
+        while at < end:
+            blocks = order[at : min(at + size, end)]
+            at, size = at + size, 2 * size
+            if len(found) == k:  # others could only tie, with higher numbers
+                blocks = blocks[(bounds[blocks] > kth + 1e-9) | (blocks * BLOCK < found.max())]
+            near, sums = self._cosines(terms, vector, blocks)
+            if without >= 0:
+                near, sums = near[near != without], sums[near != without]
+            found, cosines = np.append(found, near), np.append(cosines, np.round(sums, 9))
+            best = np.lexsort((found, -cosines))[:k]
+            found, cosines = found[best], cosines[best]
             if len(found) == k:
                 kth = cosines[-1]
+                end = min(end, int(np.searchsorted(falling, 1e-9 - kth, side="right")))
         return found, cosines
 
+    def _cosines(self, terms: np.ndarray, vector: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Examples of the blocks with a cosine over 0, and it."""
+        start, end = self.block_starts[np.ix_(terms, blocks)], self.block_starts[np.ix_(terms, blocks + 1)]
+        counts = (end - start).ravel().astype(np.int64)
+        at = np.arange(counts.sum()) + np.repeat(start.ravel() - (np.cumsum(counts) - counts), counts)
+        weights = np.repeat(np.repeat(vector, len(blocks)), counts) * self.values[at]
+        first = np.repeat(np.tile(np.arange(len(blocks)) * BLOCK, len(terms)), counts)
+        sums = np.bincount(first + self.examples[at] % BLOCK, weights, minlength=len(blocks) * BLOCK)
+        hit = np.flatnonzero(sums > 0)
+        return blocks[hit // BLOCK] * BLOCK + hit % BLOCK, sums[hit]
+
     def vote(self, found: np.ndarray, cosines: np.ndarray) -> float:
         """Share of the votes for label 1; a vote weighs by nearness and by what its label's sample stands for."""
         weight = self.weights[found] / (1.05 - cosines)
@@ -158,25 +173,23 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", examples: int
 def _vocabulary(postings: DataFrame, in_sample: dict[int, int], most: int) -> np.ndarray:
     """Sorted hashes of the terms that tell labels apart best.
 
-    A term counts once for each term that it follows, so copies of one text or passage count as one.
+    A term must do so by the texts it is in, and by the terms that it follows, each counted once: copies of a
+    text or passage are many texts, but one context.
     """
     n = {v: float(max(1, c)) for v, c in in_sample.items()}
-    found = postings.groupBy("term", "before").agg(F.max("label").alias("one"), F.min("label").alias("zero"))
-    counts = found.groupBy("term").agg(
-        F.sum(F.col("one").cast("double")).alias("a"), F.sum(1.0 - F.col("zero").cast("double")).alias("b")
+    one, zero = F.col("label").cast("double"), 1.0 - F.col("label").cast("double")
+    contexts = postings.groupBy("term", "before").agg(
+        F.sum(one).alias("a"), F.sum(zero).alias("b"), F.max(one).alias("a1"), F.max(zero).alias("b1")
     )
-    share = (F.col("a") + F.col("b")) / (n[0] + n[1])
-
-    def part(seen: str | Column, size: float) -> Column:
-        seen = F.col(seen) if isinstance(seen, str) else seen
-        return F.when(seen > 0, seen * F.log(seen / (share * size))).otherwise(0.0)
+    counts = contexts.groupBy("term").agg(*[F.sum(c).alias(c) for c in ("a", "b", "a1", "b1")])
 
-    def rest(seen: str, size: float) -> Column:
-        left = F.lit(size) - F.col(seen)
-        return F.when(left > 0, left * F.log(left / ((1 - share) * size))).otherwise(0.0)
+    def g2(a: Column, b: Column) -> Column:
+        share = (a + b) / (n[0] + n[1])
+        parts = [(a, share * n[1]), (b, share * n[0]), (n[1] - a, (1 - share) * n[1]), (n[0] - b, (1 - share) * n[0])]
+        return 2 * sum((F.when(seen > 0, seen * F.log(seen / due)).otherwise(0.0) for seen, due in parts), F.lit(0.0))
 
-    g2 = 2 * (part("a", n[1]) + part("b", n[0]) + rest("a", n[1]) + rest("b", n[0]))
-    best = counts.withColumn("g2", g2).where(F.col("g2") >= LEAST_G2).orderBy(F.desc("g2"), "term").limit(most).select("term").collect()
+    least = F.least(g2(F.col("a"), F.col("b")), g2(F.col("a1"), F.col("b1")))
+    best = counts.withColumn("g2", least).where(F.col("g2") >= LEAST_G2).orderBy(F.desc("g2"), "term").limit(most).select("term").collect()
     return np.sort(np.array([row["term"] for row in best], np.int64).view(np.uint64))
 
 
@@ -203,6 +216,7 @@ def _frequencies(docs: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray, i
 
 
 def _built(vocabulary, idf, sample, rows, names, sizes, in_sample) -> Index:
+    sample = _alike_together(sample, rows, names, idf)
     doc_ids = np.array([row["doc_id"] for row in sample], np.int64)
     labels = np.array([row["label"] for row in sample], float)
     place = {int(d): i for i, d in enumerate(doc_ids)}
@@ -225,6 +239,15 @@ def _built(vocabulary, idf, sample, rows, names, sizes, in_sample) -> Index:
     return _calibrated(index)
 
 
+def _alike_together(sample: list, rows: list, names: dict[int, int], idf: np.ndarray) -> list:
+    """The examples by their weightiest terms, so that a block's largest weights are near those of all in it."""
+    terms: dict[int, list[tuple[float, int]]] = {}
+    for row in rows:
+        term = names[row["term"]]
+        terms.setdefault(row["doc_id"], []).append((-float((1 + np.log(row["n"])) * idf[term]), term))
+    return sorted(sample, key=lambda row: ([t for _, t in sorted(terms.get(row["doc_id"], []))], row["doc_id"]))
+
+
 def _calibrated(index: Index) -> Index:
     """Rates of label 1 by vote, each example scored without itself; rising with the vote, and smoothed."""
     hits, ones = np.zeros(BINS), np.zeros(BINS)

@@ -29,6 +29,7 @@ from wordloom.streaming import index_stream
 HEADER = "\r\nServer: x\r\n\r\n"
 COMPACTION_DEGREE = 3
 SMALL_SHARD = 16
+VARIED_TAGS = [("b", "i"), ("b", "EM"), ("b", "strong"), ("h1", "h2"), ("h1", "H6"), ("b", "script")]
 
 
 # --- inputs -----------------------------------------------------------------------------------------
@@ -66,8 +67,32 @@ def _document_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- pages and words --------------------------------------------------------------------------------
 
 
+def _odd_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses with a NUL in the body or the headers, another protocol, no or another header end, blanks, no number."""
+    end, html = F.lit("\r\n\r\n"), F.col("html")
+    kinds = [
+        F.concat(F.lit("HTTP/1.1 200 OK"), end, F.substring(html, 1, 40), F.lit("\0"), html),
+        F.concat(F.lit("HTTP/1.1 200 OK\0"), end, html),
+        F.concat(F.lit("ICY 200 OK"), end, html),
+        F.concat(F.lit("HTTP/1.1 200 OK\r\n"), F.translate(html, "\r\n", "  ")),
+        F.concat(F.lit("http/1.0   200"), end, html),
+        F.concat(F.lit("HTTP/1.1 200 OK\n\n"), F.translate(html, "\r\n", "  ")),
+        F.concat(F.lit("HTTP/1.1 none"), end, html),
+    ]
+    doc = F.get(F.array(*kinds), (F.col("page_id") % len(kinds)).cast("int"))
+    return from_table(_table(spark, sf_dir, "pages"), "page_id", "url", doc)
+
+
 def page_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = _mixed_pages(spark, sf_dir).withColumn("doc", text.until_nul("doc"))
+    return _status(_mixed_pages(spark, sf_dir))
+
+
+def odd_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _status(_odd_pages(spark, sf_dir))
+
+
+def _status(pages: DataFrame) -> DataFrame:
+    pages = pages.withColumn("doc", text.until_nul("doc"))
     return pages.select(
         F.col("seq").alias("page_id"),
         http.status("doc").alias("status"),
@@ -129,6 +154,17 @@ def tag_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def varied_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tags that the pages lack, in place of those they have."""
+    html = F.col("html")
+    for i, (old, new) in enumerate(VARIED_TAGS):
+        swapped = F.replace(F.replace(html, F.lit(f"<{old}>"), F.lit(f"<{new}>")), F.lit(f"</{old}>"), F.lit(f"</{new}>"))
+        html = F.when(F.col("page_id") % len(VARIED_TAGS) == i, swapped).otherwise(html)
+    varied = _table(spark, sf_dir, "pages").withColumn("html", html)
+    pages = from_table(varied, "page_id", "url", _response(F.lit("200 OK")))
+    return tokens.word_contexts(pages).withColumnRenamed("seq", "page_id")
+
+
 def token_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.word_contexts(_pages(spark, sf_dir)).withColumnRenamed("seq", "page_id")
 
@@ -364,7 +400,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = [
-        page_status, page_slices, pair_scan, url_tokens, body_tokens, tag_events, token_contexts,
+        page_status, odd_status, page_slices, pair_scan, url_tokens, body_tokens, tag_events, token_contexts, varied_contexts,
         url_map, lexicon, url_map_lines_by_id, url_map_lines_by_url, lexicon_lines_by_id, lexicon_lines_by_word,
         incremental_url_map, incremental_lexicon,
         document_postings, partial_postings, revisit_postings, revisit_partial_postings, document_revisits,
@@ -454,12 +490,7 @@ numbered AS (
 SELECT {keys}, ordinal, doc_id, CAST(sum(n) AS BIGINT) AS tf FROM numbered GROUP BY ALL"""
 
 
-_STATUS_SQL = """
-WITH response AS (
-  SELECT page_id, 'HTTP/1.1 ' || CASE WHEN contains(url, '#') THEN '404 Not Found' ELSE '200 OK' END
-    || chr(13) || chr(10) || 'Server: x' || chr(13) || chr(10) || chr(13) || chr(10) || html AS doc
-  FROM pages
-),
+_FOUND_SQL = """,
 found AS (
   SELECT page_id, doc, TRY_CAST(regexp_extract(doc, '^[^ ]* \\s*([+-]?[0-9]+)', 1) AS INTEGER) AS status,
     strpos(doc, chr(13) || chr(10) || chr(13) || chr(10)) AS head_end
@@ -470,6 +501,30 @@ SELECT page_id, status,
   CASE WHEN head_end > 0 THEN length(doc) - head_end - 3 END AS body_len
 FROM found"""
 
+_STATUS_SQL = """
+WITH response AS (
+  SELECT page_id, 'HTTP/1.1 ' || CASE WHEN contains(url, '#') THEN '404 Not Found' ELSE '200 OK' END
+    || chr(13) || chr(10) || 'Server: x' || chr(13) || chr(10) || chr(13) || chr(10) || html AS doc
+  FROM pages
+)""" + _FOUND_SQL
+
+# A response ends at its NUL.
+_ODD_SQL = """
+WITH part AS (
+  SELECT page_id, html, chr(13) || chr(10) || chr(13) || chr(10) AS e, translate(html, chr(13) || chr(10), '  ') AS flat FROM pages
+),
+response AS (
+  SELECT page_id, CASE page_id % 7
+    WHEN 0 THEN 'HTTP/1.1 200 OK' || e || html[1:40]
+    WHEN 1 THEN 'HTTP/1.1 200 OK'
+    WHEN 2 THEN 'ICY 200 OK' || e || html
+    WHEN 3 THEN 'HTTP/1.1 200 OK' || chr(13) || chr(10) || flat
+    WHEN 4 THEN 'http/1.0   200' || e || html
+    WHEN 5 THEN 'HTTP/1.1 200 OK' || chr(10) || chr(10) || flat
+    ELSE 'HTTP/1.1 none' || e || html END AS doc
+  FROM part
+)""" + _FOUND_SQL
+
 _SEGMENTS = r"""
 WITH parts AS (
   SELECT page_id, unnest(list) AS part, generate_subscripts(list, 1) - 1 AS seg, len(list) AS n
@@ -517,6 +572,14 @@ both_parts AS (
 SELECT page_id, word, ctx, count(*) AS n FROM both_parts GROUP BY ALL"""
 
 
+def _varied() -> str:
+    arms = [
+        f"WHEN {i} THEN replace(replace(html, '<{old}>', '<{new}>'), '</{old}>', '</{new}>')" for i, (old, new) in enumerate(VARIED_TAGS)
+    ]
+    varied = f"WITH varied AS (SELECT page_id, url, CASE page_id % {len(VARIED_TAGS)} {' '.join(arms)} END AS html FROM pages),"
+    return varied + _CONTEXTS_SQL.replace("FROM pages", "FROM varied").replace("WITH", "", 1)
+
+
 def _vbyte(n: str) -> str:
     arms = []
     for i in range(5):
@@ -537,6 +600,7 @@ def core_oracle_sql() -> dict[str, str]:
     site_index = _index(_SITES)
     return {
         "page_status": _STATUS_SQL,
+        "odd_status": _ODD_SQL,
         "page_slices": """SELECT page_id // 32 AS file_no, page_id, strlen(html) AS length, CAST(coalesce(sum(strlen(html))
             OVER (PARTITION BY page_id // 32 ORDER BY page_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
             AS BIGINT) AS start_at FROM pages""",
@@ -553,6 +617,7 @@ def core_oracle_sql() -> dict[str, str]:
         + """SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY seg) AS seg, kind, is_open
             FROM switched WHERE kind IS NOT NULL""",
         "token_contexts": _CONTEXTS_SQL,
+        "varied_contexts": _varied(),
         "url_map": _index() + "SELECT url, doc_id FROM url_ids",
         "lexicon": _index() + "SELECT word, word_id FROM word_ids",
         "url_map_lines_by_id": _index() + "SELECT doc_id || ' ' || url AS line FROM url_ids ORDER BY doc_id",

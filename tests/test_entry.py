@@ -30,9 +30,9 @@ def test_query_equals_its_sql(spark, database, name):
     expected = database.sql(ORACLES[name])
     columns = sorted(found.columns)
     assert columns == sorted(expected.columns)
-    rows = sorted(tuple(row[c] for c in columns) for row in found.collect())
+    rows = sorted((tuple(row[c] for c in columns) for row in found.collect()), key=repr)
     places = [expected.columns.index(c) for c in columns]
-    assert rows == sorted(tuple(row[p] for p in places) for row in expected.fetchall())
+    assert rows == sorted((tuple(row[p] for p in places) for row in expected.fetchall()), key=repr)
 
 
 def test_flagship(spark):

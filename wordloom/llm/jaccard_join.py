@@ -24,6 +24,9 @@ from wordloom.plans.stages import stage
 
 #: Counters of shingles by their hash, for an order with rare ones first; any counts give right results.
 COUNTER_BITS = 20
+#: A filter of nodes that keeps texts without a region from being shuffled: 4 MB, whatever the input. What it
+#: lets through is met exactly afterwards.
+FILTER_BITS = 25
 _SLICES = 64
 #: Shingles of a region's members that one task takes, on average.
 REGION_SHINGLES = 1 << 20
@@ -85,7 +88,7 @@ def _links(rows: DataFrame, made: DataFrame, nodes: DataFrame, measure: Measure,
     members = members.unionByName(
         parts.select("pivot", F.col("pivot").alias("node"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "parts")
     )
-    regions = _with_texts(rows, nodes, members, measure)
+    regions = _with_texts(rows, nodes, stage(members, "region_members").table, measure)
     found = stage(regions.groupBy("pivot", "part").applyInArrow(_region(measure), FOUND), "region_links", far=F.count_if(F.col("kind") == 1))
     links = found.table.where("kind = 0").select("a", "b")
     if found.measured["far"]:
@@ -94,15 +97,44 @@ def _links(rows: DataFrame, made: DataFrame, nodes: DataFrame, measure: Measure,
 
 
 def _with_texts(rows: DataFrame, nodes: DataFrame, members: DataFrame, measure: Measure) -> DataFrame:
-    """members with their texts: those of each node's smallest doc_id, so that copies of it are spread and left out."""
+    """members, a stored table, with their texts: those of each node's smallest doc_id, so that copies are left out."""
     first = nodes.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("_first"))
-    keyed = rows.mapInArrow(_keyed(measure), "doc_id long, node long, text string")
+    keyed = rows.mapInArrow(_keyed(measure, _filter(members)), "doc_id long, node long, text string")
     held = members.join(first, "node")
     return keyed.join(held, (keyed["node"] == held["node"]) & keyed["doc_id"].eqNullSafe(held["_first"])).select(
         *[held[c] for c in members.columns], "text"
     )
 
 
+def _places(nodes: np.ndarray) -> np.ndarray:
+    return (nodes.view(_U) >> _U(64 - FILTER_BITS)).astype(np.int64)
+
+
+def _filter(members: DataFrame):
+    """Broadcast flags of the places that members' nodes have in the filter."""
+
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flags = np.zeros(1 << FILTER_BITS, bool)
+        for batch in batches:
+            flags[_places(batch.column("node").to_numpy())] = True
+        packed = [pa.compress(part.tobytes(), codec="zstd", asbytes=True) for part in np.split(np.packbits(flags), _SLICES)]
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(_SLICES, dtype=np.int32)), pa.array(packed, pa.binary())], names=["slice", "flags"])
+
+    size = (1 << FILTER_BITS) // 8 // _SLICES
+
+    def joined(rows: pa.Table) -> pa.Table:
+        total = np.zeros(size, np.uint8)
+        for data in rows.column("flags"):
+            total |= np.frombuffer(pa.decompress(data.as_py(), size, codec="zstd", asbytes=True), np.uint8)
+        return pa.table({"slice": rows.column("slice")[:1].combine_chunks(), "flags": pa.array([total.tobytes()], pa.binary())})
+
+    types = "slice int, flags binary"
+    parts = members.select("node").mapInArrow(marked, types).groupBy("slice").applyInArrow(joined, types).collect()
+    packed = {row["slice"]: np.frombuffer(row["flags"], np.uint8) for row in parts}
+    flags = np.concatenate([packed.get(i, np.zeros(size, np.uint8)) for i in range(_SLICES)])
+    return members.sparkSession.sparkContext.broadcast(np.unpackbits(flags).astype(bool))
+
+
 # --- shingles -----------------------------------------------------------------------------------------
 
 
@@ -189,13 +221,14 @@ def _rare(measure: Measure, shared):
     return made
 
 
-def _keyed(measure: Measure):
+def _keyed(measure: Measure, wanted):
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flags = wanted.value
         for batch in batches:
             for chunk in chunks(batch.column("text"), lower=True):
                 _, starts, nodes = sets_of(chunk, measure.words)
                 rows = batch.slice(chunk.first, chunk.last - chunk.first)
-                full = pa.array(np.flatnonzero(np.diff(starts)))
+                full = pa.array(np.flatnonzero((np.diff(starts) > 0) & flags[_places(nodes)]))
                 yield pa.RecordBatch.from_arrays(
                     [rows.column("doc_id").take(full), pa.array(nodes).take(full), rows.column("text").take(full)], names=["doc_id", "node", "text"]
                 )
@@ -331,5 +364,5 @@ def _between_parts(rows: DataFrame, nodes: DataFrame, found: DataFrame, measure:
             out.append(_rows(0, int(members.nodes[x]), members.nodes[linked], distance[linked]))
         return _found(out)
 
-    held_texts = _with_texts(rows, nodes, left.unionByName(right), measure)
+    held_texts = _with_texts(rows, nodes, stage(left.unionByName(right), "region_blocks").table, measure)
     return held_texts.groupBy(*columns).applyInArrow(made, FOUND).select("a", "b")

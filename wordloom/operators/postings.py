@@ -33,11 +33,11 @@ def _counted(tokens: DataFrame, lexicon: DataFrame, keys: list[str], lookup_opti
 def visits(
     tokens: DataFrame, lexicon: DataFrame, by_file: bool = False, block_bits: int = BLOCK_PAGES_BITS, **lookup_options
 ) -> DataFrame:
-    """Every page of every word, (word_id, block, nth, doc_id, tf), pages in a row with one document having the same nth.
+    """Islands of each word's pages, (word_id, block, nth, doc_id, tf): pages in a row with one document.
 
     Pages are walked in blocks of 2^block_bits positions, which bounds a window partition however common
-    the word is; ``nth`` counts from 1 in each block. With ``by_file`` column ``file_no`` comes first and
-    every file is walked on its own.
+    the word is; ``nth`` counts from 1 in each block. The islands are summed where the walk has put them. With
+    ``by_file`` column ``file_no`` comes first and every file is walked on its own.
     """
     word = _list_key(by_file)
     page = [*word[:-1], "seq", "doc_id"]
@@ -47,9 +47,8 @@ def visits(
     )
     in_block = Window.partitionBy(*word, "block").orderBy("seq")
     starts = F.coalesce((F.lag("doc_id").over(in_block) != F.col("doc_id")).cast("long"), F.lit(1))
-    return pages.withColumn("_starts", starts).select(
-        *word, "block", F.sum("_starts").over(in_block).alias("nth"), "doc_id", "tf"
-    )
+    walked = pages.withColumn("_starts", starts).withColumn("nth", F.sum("_starts").over(in_block))
+    return walked.groupBy(*word, "block", "nth", "doc_id").agg(F.sum("tf").alias("tf"))
 
 
 def revisit_postings(visits: DataFrame, by_file: bool = False) -> DataFrame:
@@ -57,6 +56,7 @@ def revisit_postings(visits: DataFrame, by_file: bool = False) -> DataFrame:
 
     Puts the blocks of ``visits``, better a stored table, in a row: a block goes on with the posting that
     the one before ended with if the document is the same. That is decided on one row per word and block.
+    Only islands at the border of a block can be parts of one posting and are added up; the others pass.
     """
     word = _list_key(by_file)
     ends = visits.groupBy(*word, "block").agg(
@@ -66,13 +66,13 @@ def revisit_postings(visits: DataFrame, by_file: bool = False) -> DataFrame:
     goes_on = F.coalesce((F.lag("_last").over(blocks) == F.col("_first")).cast("long"), F.lit(0))
     earlier = F.sum(F.col("_n") - F.col("_goes_on")).over(blocks.rowsBetween(Window.unboundedPreceding, -1))
     offset = F.coalesce(earlier, F.lit(0)) - F.col("_goes_on") - 1
-    offsets = ends.withColumn("_goes_on", goes_on).select(*word, "block", offset.alias("_offset"))
+    offsets = ends.withColumn("_goes_on", goes_on).select(*word, "block", "_n", offset.alias("_offset"))
     # Every block has an offset; in a left join only these may be broadcast.
-    return (
-        visits.join(offsets, [*word, "block"], "left")
-        .groupBy(*word, (F.col("_offset") + F.col("nth")).alias("ordinal"), "doc_id")
-        .agg(F.sum("tf").alias("tf"))
-    )
+    placed = visits.join(offsets, [*word, "block"], "left").withColumn("ordinal", F.col("_offset") + F.col("nth"))
+    inside = (F.col("nth") > 1) & (F.col("nth") < F.col("_n"))
+    key = [*word, "ordinal", "doc_id"]
+    border = placed.where(~inside).groupBy(*key).agg(F.sum("tf").alias("tf"))
+    return placed.where(inside).select(*key, "tf").unionByName(border)
 
 
 def _list_key(by_file: bool) -> list[str]:

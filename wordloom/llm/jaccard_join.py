@@ -1,8 +1,8 @@
 """Exact Jaccard self-join of documents' word shingles over Voronoi regions of pivots.
 
 1 - Jaccard is a metric. Texts with the same shingles are one node. A node stands in the regions of its rarest
-shingles, as many as it cannot share none of with a node in reach; the pivot of a shingle is its smallest
-node, and a region holds all nodes that have its pivot so. Every member is compared with its pivot. By the
+shingles, as many as it cannot share none of with a node in reach, once for each band of sizes that it can link
+with; the pivot of a shingle in a band is its smallest node, and a region holds all nodes that have its pivot so. Every member is compared with its pivot. By the
 triangle inequality members near the pivot are linked through it, and a member further off can only reach
 those whose distance to the pivot differs by no more than the limit: it becomes a pivot for that window in
 turn. Regions of more words than a task should hold are cut into parts, and their windows into blocks.
@@ -10,6 +10,7 @@ turn. Regions of more words than a task should hold are cut into parts, and thei
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,7 +24,7 @@ from wordloom.llm.words import Chunk, chunks, mixed
 from wordloom.plans.stages import stage
 
 #: Counters of shingles by their hash, for an order with rare ones first; any counts give right results.
-COUNTER_BITS = 20
+COUNTER_BITS = 23
 #: A filter of nodes that keeps texts without a region from being shuffled: 4 MB, whatever the input. What it
 #: lets through is met exactly afterwards.
 FILTER_BITS = 25
@@ -81,12 +82,18 @@ def _links(rows: DataFrame, made: DataFrame, nodes: DataFrame, measure: Measure,
     shared = rows.sparkSession.sparkContext.broadcast(_counters(made))
     rare = rows.mapInArrow(_rare(measure, shared), "shingle long, node long, n long")
     met = rare.groupBy("shingle").agg(F.min("node").alias("pivot"), F.max("node").alias("_last")).where("pivot < _last").select("shingle", "pivot")
-    pairs = stage(rare.join(met, "shingle").where("node <> pivot").groupBy("pivot", "node").agg(F.max("n").alias("n")), "region_pairs").table
-    parts = pairs.groupBy("pivot").agg(F.sum("n").alias("_n")).select("pivot", F.floor(F.col("_n") / region_shingles + 1).cast("int").alias("parts"))
+    pairs = rare.join(met, "shingle").groupBy("pivot", "node").agg(F.max("n").alias("n"))
+    pairs = stage(_of_like_size(stage(pairs, "region_nodes").table, measure), "region_pairs").table
+    parts = pairs.groupBy("pivot").agg(F.sum("n").alias("_n"), F.min("node").alias("centre")).select(
+        "pivot", "centre", F.floor(F.col("_n") / region_shingles + 1).cast("int").alias("parts")
+    )
     parts = stage(parts, "region_parts").table
-    members = pairs.join(parts, "pivot").select("pivot", "node", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"), "parts")
+    # The members may have lost the pivot by their sizes; the smallest of them then is the one to measure from.
+    members = pairs.join(parts, "pivot").where("node <> centre").select(
+        "pivot", "centre", "node", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"), "parts"
+    )
     members = members.unionByName(
-        parts.select("pivot", F.col("pivot").alias("node"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "parts")
+        parts.select("pivot", "centre", F.col("centre").alias("node"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "parts")
     )
     regions = _with_texts(rows, nodes, stage(members, "region_members").table, measure)
     found = stage(regions.groupBy("pivot", "part").applyInArrow(_region(measure), FOUND), "region_links", far=F.count_if(F.col("kind") == 1))
@@ -96,6 +103,20 @@ def _links(rows: DataFrame, made: DataFrame, nodes: DataFrame, measure: Measure,
     return links
 
 
+def _of_like_size(pairs: DataFrame, measure: Measure) -> DataFrame:
+    """(pivot, node, n) of the members that have another one in their region of a size with which they could link.
+
+    Sizes fall into strips as wide as the similarity allows, so two that link are in one strip or in neighbours.
+    Strips are counted, so a region of any size is dealt with by partial sums.
+    """
+    width = -math.log(measure.percent / 100) * 1.0001
+    strips = pairs.withColumn("strip", F.floor(F.log("n") / width).cast("int"))
+    counts = strips.groupBy("pivot", "strip").agg(F.count("*").alias("_n"))
+    around = counts.select("pivot", F.explode(F.array(F.col("strip") - 1, "strip", F.col("strip") + 1)).alias("strip"), "_n")
+    full = around.groupBy("pivot", "strip").agg(F.sum("_n").alias("_n")).where("_n > 1").select("pivot", "strip")
+    return strips.join(full, ["pivot", "strip"]).select("pivot", "node", "n")
+
+
 def _with_texts(rows: DataFrame, nodes: DataFrame, members: DataFrame, measure: Measure) -> DataFrame:
     """members, a stored table, with their texts: those of each node's smallest doc_id, so that copies are left out."""
     first = nodes.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("_first"))
@@ -166,19 +187,19 @@ def sets_of(chunk: Chunk, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _nodes(measure: Measure):
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, seen = np.zeros(1 << COUNTER_BITS, np.int64), set()
+        counts, seen = np.zeros(1 << COUNTER_BITS, np.int32), set()
         names = ["doc_id", "node", "n", "slice", "counts"]
         for batch in batches:
             for chunk in chunks(batch.column("text"), lower=True):
                 hashes, starts, nodes = sets_of(chunk, measure.words)
                 new = np.array([not (n in seen or seen.add(n)) for n in nodes.tolist()], bool)
-                counts += np.bincount((hashes[np.repeat(new, np.diff(starts))] >> _U(64 - COUNTER_BITS)).astype(np.int64), minlength=len(counts))
+                np.add.at(counts, (hashes[np.repeat(new, np.diff(starts))] >> _U(64 - COUNTER_BITS)).astype(np.int64), 1)
                 m = len(nodes)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(chunk.first, m), pa.array(nodes), pa.array(np.diff(starts)), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())],
                     names=names,
                 )
-        packed = [pa.compress(part.astype(np.int32).tobytes(), codec="zstd", asbytes=True) for part in np.split(counts, _SLICES)]
+        packed = [pa.compress(part.tobytes(), codec="zstd", asbytes=True) for part in np.split(counts, _SLICES)]
         yield pa.RecordBatch.from_arrays(
             [*[pa.nulls(_SLICES, pa.int64())] * 3, pa.array(np.arange(_SLICES, dtype=np.int32)), pa.array(packed, pa.binary())], names=names
         )
@@ -187,19 +208,19 @@ def _nodes(measure: Measure):
 
 
 def _counters(made: DataFrame) -> np.ndarray:
-    """Sums of the tasks' counters: 2^COUNTER_BITS numbers, whatever the input."""
+    """Sums of the tasks' counters, up to 65,535: 2^COUNTER_BITS numbers of two bytes, whatever the input."""
     size = (1 << COUNTER_BITS) // _SLICES
 
     def summed(rows: pa.Table) -> pa.Table:
         total = np.zeros(size, np.int64)
         for data in rows.column("counts"):
             total += np.frombuffer(pa.decompress(data.as_py(), 4 * size, codec="zstd", asbytes=True), np.int32)
-        return pa.table({"slice": pa.array([rows.column("slice")[0].as_py()], pa.int32()), "total": pa.array([total.tobytes()], pa.binary())})
+        return pa.table({"slice": pa.array([rows.column("slice")[0].as_py()], pa.int32()), "total": pa.array([np.minimum(total, 65535).astype(np.uint16).tobytes()], pa.binary())})
 
     sums = made.where("slice IS NOT NULL").select("slice", "counts").groupBy("slice").applyInArrow(summed, "slice int, total binary")
-    out = np.zeros((_SLICES, size), np.int64)
+    out = np.zeros((_SLICES, size), np.uint16)
     for row in sums.collect():
-        out[row["slice"]] = np.frombuffer(row["total"], np.int64)
+        out[row["slice"]] = np.frombuffer(row["total"], np.uint16)
     return out.ravel()
 
 
@@ -214,8 +235,13 @@ def _rare(measure: Measure, shared):
                 row = np.repeat(np.arange(len(sizes)), sizes)
                 order = np.lexsort((hashes, counts[(hashes >> _U(64 - COUNTER_BITS)).astype(np.int64)], row))
                 kept = order[(np.arange(len(order)) - starts[row] < measure.prefix(sizes)[row]) & new[row]]
+                band = np.frexp(sizes.astype(float))[1]  # sizes from 2^(band - 1) up to 2^band
+                also = 100 * sizes >= measure.percent * (1 << band.astype(np.int64))  # could link with the next band
+                more = kept[also[row[kept]]]
+                key = np.append(hashes[kept] + band[row[kept]].astype(_U), hashes[more] + (band[row[more]] + 1).astype(_U))
+                held = row[np.append(kept, more)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(hashes[kept].view(np.int64)), pa.array(nodes[row[kept]]), pa.array(sizes[row[kept]])], names=["shingle", "node", "n"]
+                    [pa.array(mixed(key).view(np.int64)), pa.array(nodes[held]), pa.array(sizes[held])], names=["shingle", "node", "n"]
                 )
 
     return made
@@ -285,14 +311,15 @@ def _region(measure: Measure):
 
     def made(rows: pa.Table) -> pa.Table:
         pivot, parts = rows.column("pivot")[0].as_py(), rows.column("parts")[0].as_py()
+        centre = rows.column("centre")[0].as_py()
         members = Members(rows.column("node"), rows.column("text"), measure.words)
-        p = members.place(pivot)
+        p = members.place(centre)
         both = members.shared_with(members.sets[p])
         distance = 1 - both / (members.sizes + members.sizes[p] - both)
         others = np.arange(len(members.nodes)) != p
         near = measure.linked(both, members.sizes, members.sizes[p]) & others
         far = ~near & others
-        out = [_rows(0, pivot, members.nodes[near], distance[near])]
+        out = [_rows(0, centre, members.nodes[near], distance[near])]
         if parts > 1:
             out += [_rows(1, pivot, members.nodes[far], distance[far]), _rows(2, pivot, members.nodes[near], distance[near])]
         else:

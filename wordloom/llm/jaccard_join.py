@@ -323,30 +323,47 @@ def _region(measure: Measure):
         if parts > 1:
             out += [_rows(1, pivot, members.nodes[far], distance[far]), _rows(2, pivot, members.nodes[near], distance[near])]
         else:
-            out += window_links(members, far, others, distance, measure)
+            out += window_links(members, near, far, others, distance, measure, p)
         return _found(out)
 
     return made
 
 
-def window_links(members: Members, far: np.ndarray, others: np.ndarray, distance: np.ndarray, measure: Measure) -> list[tuple[np.ndarray, ...]]:
-    """Links of far members: each in turn is the pivot of those whose distance to the last pivot is like its own."""
-    out = []
+def window_links(
+    members: Members, near: np.ndarray, far: np.ndarray, others: np.ndarray, distance: np.ndarray, measure: Measure, centre: int
+) -> list[tuple[np.ndarray, ...]]:
+    """Links of far members: each in turn is the pivot of those whose distance to the last pivot is like its own.
+
+    All links are found; of those inside a group that earlier ones have joined already, none is told again.
+    """
+    out: list[tuple[np.ndarray, ...]] = []
+    group = np.arange(len(members.nodes))
+    group[near] = centre
+    open_ = others.copy()
     if others.sum() < 2:
         return out
-    open_ = others.copy()
     for x in np.flatnonzero(far).tolist():
         open_[x] = False
         window = open_ & (np.abs(distance - distance[x]) <= measure.reach + 1e-9)
         if not window.any():
             continue
         both = members.shared_with(members.sets[x])
-        linked = window & measure.linked(both, members.sizes, members.sizes[x])
-        if linked.any():
-            out.append(_rows(0, int(members.nodes[x]), members.nodes[linked], distance[linked]))
+        linked = np.flatnonzero(window & measure.linked(both, members.sizes, members.sizes[x]))
+        out += _joins(members, x, linked, group, distance)
     return out
 
 
+def _joins(members: Members, x: int, linked: np.ndarray, group: np.ndarray, distance: np.ndarray) -> list[tuple[np.ndarray, ...]]:
+    """One link of x to each group but its own that it is linked with; the groups become one."""
+    names, first = np.unique(group[linked], return_index=True)
+    other = names != group[x]
+    if not other.any():
+        return []
+    ends = linked[first[other]]
+    group[np.isin(group, names[other])] = group[x]
+    return [_rows(0, int(members.nodes[x]), members.nodes[ends], distance[ends])]
+
+
 def _between_parts(rows: DataFrame, nodes: DataFrame, found: DataFrame, measure: Measure, region_shingles: int) -> DataFrame:
     """Links of the far members of regions in parts: blocks of them meet the blocks within their windows.
 
@@ -382,13 +399,14 @@ def _between_parts(rows: DataFrame, nodes: DataFrame, found: DataFrame, measure:
             far_here[at] |= is_far
             there[at] |= not is_far
             distance[at] = d
-        out = []
+        out: list[tuple[np.ndarray, ...]] = []
+        groups = np.arange(len(members.nodes))
         for x in np.flatnonzero(far_here).tolist():
             window = there & (np.abs(distance - distance[x]) <= measure.reach + 1e-9)
             window[x] = False
             both = members.shared_with(members.sets[x])
-            linked = window & measure.linked(both, members.sizes, members.sizes[x])
-            out.append(_rows(0, int(members.nodes[x]), members.nodes[linked], distance[linked]))
+            linked = np.flatnonzero(window & measure.linked(both, members.sizes, members.sizes[x]))
+            out += _joins(members, x, linked, groups, distance)
         return _found(out)
 
     held_texts = _with_texts(rows, nodes, stage(left.unionByName(right), "region_blocks").table, measure)

@@ -2,6 +2,7 @@ import math
 import random
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -75,3 +76,27 @@ def test_empty_tables(corpus, empty):
     index = fit(docs, labels.limit(0))
     assert {r.score for r in score(docs, index).collect()} == {0.5}
     assert fit(empty, labels).no_evidence == 0.5
+
+
+def test_all_terms_of_the_examples_count(corpus, spark):
+    docs, labels = corpus
+    index = fit(docs, labels)
+    terms = {t for r in docs.collect() for t in (r.text or "").lower().replace(",", " ").replace(".", " ").split()}
+    assert len(index.vocabulary) == len(terms) == 83
+    plain = score(spark.createDataFrame([(1, "w3 w7 w9")], "doc_id long, text string"), index).collect()[0]
+    assert len(plain.evidence) == NEIGHBOURS and plain.predicted == 0
+
+
+def test_a_small_sample_tells_labels_apart(spark):
+    """68 labelled examples on sf0.001: too few for any term to pass a fixed level of G squared."""
+    folder = Path("/root/testdata/sf0.001")
+    if not folder.is_dir():
+        pytest.skip("no test tables")
+    docs, labels = (spark.read.parquet(str(folder / f"{name}.parquet")) for name in ("documents", "labels"))
+    index = fit(docs.select("doc_id", "text"), labels)
+    assert len(index.doc_ids) == 68 and len(index.vocabulary) == 12_726
+    found = score(docs.select("doc_id", "text"), index)
+    held = found.join(labels.where("toxic IS NOT NULL"), "doc_id").where(held_out("doc_id")).collect()
+    assert len({r.score for r in held}) > 1
+    assert min(r.score for r in held if r.toxic) > max(r.score for r in held if not r.toxic)
+    assert [r.predicted for r in held] == [r.toxic for r in held]

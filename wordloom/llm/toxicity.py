@@ -1,9 +1,9 @@
 """Toxicity by the nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-A bounded sample of labelled texts gives the examples and, by how their terms divide the labels, the
-vocabulary. Document frequencies are counted over all texts. The index has the examples' postings in
-blocks with the largest weight of each term in a block, so whole blocks are passed over, never a
-neighbour. Distance-weighted votes become scores through rates measured on the examples themselves, each
+A bounded sample of labelled texts gives the examples; all their terms are indexed. A term weighs by TF-IDF
+and by how it divides the labels, in degrees and never by a cut. Document frequencies are counted over all
+texts. The index has the examples' postings in blocks with the largest weight of each term in a block, so
+whole blocks are passed over, never a neighbour. Distance-weighted votes become scores through rates measured on the examples themselves, each
 scored without its own vote.
 """
 
@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -20,15 +21,14 @@ from pyspark.sql import functions as F
 from wordloom.llm.words import PUNCTUATION, Chunk, chunks
 from wordloom.plans.stages import stage
 
-#: Bounds of the fit: labelled examples of each label, and terms of the vocabulary.
+#: Bound of the fit: labelled examples of each label.
 EXAMPLES = 5_000
-TERMS = 4_096
-#: A term counts if its association with a label (G squared) is at least this.
-LEAST_G2 = 25.0
 NEIGHBOURS = 15
 BLOCK = 64
 BINS = 20
 FOLDS = 5
+#: Answers to texts that a task keeps for their copies.
+ANSWERS = 10_000
 
 
 def held_out(doc_id: Column | str) -> Column:
@@ -63,24 +63,31 @@ def _known(chunk: Chunk, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 @dataclass
 class Index:
-    """Examples in blocks; the postings of a term are sorted by example."""
+    """Examples in blocks; the postings of a term are sorted by example.
+
+    A term has an entry for each block with an example of it: the block, its first posting there and its
+    largest weight there.
+    """
 
     vocabulary: np.ndarray
     idf: np.ndarray
+    gain: np.ndarray
     doc_ids: np.ndarray
     labels: np.ndarray
     weights: np.ndarray
     starts: np.ndarray
     examples: np.ndarray
     values: np.ndarray
-    block_starts: np.ndarray
-    block_max: np.ndarray
+    entry_starts: np.ndarray
+    entry_block: np.ndarray
+    entry_first: np.ndarray
+    entry_max: np.ndarray
     rates: np.ndarray
     no_evidence: float
 
     def vector(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """TF-IDF weights of unit length."""
-        made = (1 + np.log(counts)) * self.idf[terms]
+        """TF-IDF weights times the terms' gains, of unit length."""
+        made = (1 + np.log(counts)) * self.idf[terms] * self.gain[terms]
         length = np.sqrt((made * made).sum())
         return made / length if length else made
 
@@ -90,7 +97,9 @@ class Index:
         Blocks go by their bound, the highest first, a few at once and then more; the search ends where a
         bound is under the k-th cosine.
         """
-        bounds = vector @ self.block_max[terms]
+        entries, of = _ranges(self.entry_starts[terms], self.entry_starts[terms + 1])
+        weights = vector[of]
+        bounds = np.bincount(self.entry_block[entries], weights * self.entry_max[entries], minlength=-(-len(self.doc_ids) // BLOCK))
         order = np.argsort(-bounds, kind="stable")
         order = order[: np.count_nonzero(bounds > 0)]
         falling = -bounds[order]
@@ -101,7 +110,7 @@ class Index:
             at, size = at + size, 2 * size
             if len(found) == k:  # others could only tie, with higher numbers
                 blocks = blocks[(bounds[blocks] > kth + 1e-9) | (blocks * BLOCK < found.max())]
-            near, sums = self._cosines(terms, vector, blocks)
+            near, sums = self._cosines(entries, weights, blocks, len(bounds))
             if without >= 0:
                 near, sums = near[near != without], sums[near != without]
             found, cosines = np.append(found, near), np.append(cosines, np.round(sums, 9))
@@ -112,14 +121,15 @@ class Index:
                 end = min(end, int(np.searchsorted(falling, 1e-9 - kth, side="right")))
         return found, cosines
 
-    def _cosines(self, terms: np.ndarray, vector: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _cosines(self, entries: np.ndarray, weights: np.ndarray, blocks: np.ndarray, of_all: int) -> tuple[np.ndarray, np.ndarray]:
         """Examples of the blocks with a cosine over 0, and it."""
-        start, end = self.block_starts[np.ix_(terms, blocks)], self.block_starts[np.ix_(terms, blocks + 1)]
-        counts = (end - start).ravel().astype(np.int64)
-        at = np.arange(counts.sum()) + np.repeat(start.ravel() - (np.cumsum(counts) - counts), counts)
-        weights = np.repeat(np.repeat(vector, len(blocks)), counts) * self.values[at]
-        first = np.repeat(np.tile(np.arange(len(blocks)) * BLOCK, len(terms)), counts)
-        sums = np.bincount(first + self.examples[at] % BLOCK, weights, minlength=len(blocks) * BLOCK)
+        rank = np.full(of_all, -1)
+        rank[blocks] = np.arange(len(blocks))
+        ranks = rank[self.entry_block[entries]]
+        here = np.flatnonzero(ranks >= 0)
+        at, of = _ranges(self.entry_first[entries[here]], self.entry_first[entries[here] + 1])
+        place = ranks[here][of] * BLOCK + self.examples[at] % BLOCK
+        sums = np.bincount(place, weights[here][of] * self.values[at], minlength=len(blocks) * BLOCK)
         hit = np.flatnonzero(sums > 0)
         return blocks[hit // BLOCK] * BLOCK + hit % BLOCK, sums[hit]
 
@@ -132,11 +142,19 @@ class Index:
         return self.no_evidence if vote is None else float(np.interp(vote, (np.arange(BINS) + 0.5) / BINS, self.rates))
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", examples: int = EXAMPLES, terms: int = TERMS) -> Index:
-    """The index over a sample of the labelled rows that are not held out.
+def _ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All places from each start up to its end, and which range each is of."""
+    counts = (ends - starts).astype(np.int64)
+    of = np.repeat(np.arange(len(counts)), counts)
+    return np.arange(len(of)) + (starts - (np.cumsum(counts) - counts))[of], of
+
+
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", examples: int = EXAMPLES, terms: int | None = None) -> Index:
+    """The index over a sample of the labelled rows that are not held out, by all their terms.
 
     At most ``examples`` rows of each label, those with the smallest hash of their id. NULL labels and
     labels of no document are left out, the largest label of an id counts; without any label every score is 0.5.
+    ``terms`` keeps only that many terms, those that divide the labels best; op9 keeps all.
     """
     known = labels.where(F.col(label).isin(0, 1) & ~held_out("doc_id")).groupBy("doc_id").agg(F.max(label).alias("label"))
     known = stage(known.join(docs.select("doc_id"), "doc_id", "left_semi"), "toxicity_labels").table
@@ -161,20 +179,41 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", examples: int
 
     postings = stage(texts.select("doc_id", "label", "text").mapInArrow(counted, "doc_id long, label int, term long, n long, before long"), "toxicity_terms").table
     in_sample = {value: min(examples, sizes.get(value, 0)) for value in (0, 1)}
-    vocabulary = _vocabulary(postings, in_sample, terms)
+    vocabulary, gain = _vocabulary(postings, in_sample, terms)
     frequency, total = _frequencies(docs, vocabulary)
     idf = np.log((1 + total) / (1 + frequency)) + 1e-6
-    names = {int(h): i for i, h in enumerate(vocabulary.view(np.int64))}
-    chosen = F.broadcast(docs.sparkSession.createDataFrame([(k,) for k in names], "term long"))
-    rows = postings.join(chosen, "term").groupBy("doc_id", "term").agg(F.max("n").alias("n")).collect()  # examples x terms at most
-    return _built(vocabulary, idf, sample.orderBy("doc_id").collect(), rows, names, sizes, in_sample)
+    chosen = sample.orderBy("doc_id").collect()
+    doc_ids = np.array([row["doc_id"] for row in chosen], np.int64)
+    labels_ = np.array([row["label"] for row in chosen], float)
+    return _built(vocabulary, idf, gain, doc_ids, labels_, _placed(postings, vocabulary, doc_ids), sizes, in_sample)
+
+
+def _placed(postings: DataFrame, vocabulary: np.ndarray, doc_ids: np.ndarray) -> list[np.ndarray]:
+    """Term and example, by their places in the sorted vocabulary and doc_ids, and count: 12 bytes each for the driver."""
+    shared = postings.sparkSession.sparkContext.broadcast((vocabulary, doc_ids))
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary, doc_ids = shared.value
+        for batch in batches:
+            hashes = batch.column("term").to_numpy().view(np.uint64)
+            place = np.minimum(np.searchsorted(vocabulary, hashes), max(0, len(vocabulary) - 1))
+            known = np.flatnonzero(vocabulary[place] == hashes) if len(vocabulary) else np.zeros(0, np.int64)
+            example = np.searchsorted(doc_ids, batch.column("doc_id").to_numpy()[known])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(place[known].astype(np.int32)), pa.array(example.astype(np.int32)), batch.column("n").take(pa.array(known))],
+                names=["term", "example", "n"],
+            )
+
+    once = postings.groupBy("doc_id", "term").agg(F.max("n").cast("int").alias("n"))
+    rows = once.mapInArrow(placed, "term int, example int, n int").toArrow()
+    return [np.array(rows.column(c).to_numpy()) for c in ("term", "example", "n")]
 
 
-def _vocabulary(postings: DataFrame, in_sample: dict[int, int], most: int) -> np.ndarray:
-    """Sorted hashes of the terms that tell labels apart best.
+def _vocabulary(postings: DataFrame, in_sample: dict[int, int], most: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of the terms, and how much each weighs for telling labels apart: (1 + G squared) squared, so 1 at least.
 
-    A term must do so by the texts it is in, and by the terms that it follows, each counted once: copies of a
-    text or passage are many texts, but one context.
+    G squared is the smaller one of that by the texts a term is in, and that by the terms that it follows, each
+    counted once: copies of a text or passage are many texts, but one context.
     """
     n = {v: float(max(1, c)) for v, c in in_sample.items()}
     one, zero = F.col("label").cast("double"), 1.0 - F.col("label").cast("double")
@@ -189,8 +228,13 @@ def _vocabulary(postings: DataFrame, in_sample: dict[int, int], most: int) -> np
         return 2 * sum((F.when(seen > 0, seen * F.log(seen / due)).otherwise(0.0) for seen, due in parts), F.lit(0.0))
 
     least = F.least(g2(F.col("a"), F.col("b")), g2(F.col("a1"), F.col("b1")))
-    best = counts.withColumn("g2", least).where(F.col("g2") >= LEAST_G2).orderBy(F.desc("g2"), "term").limit(most).select("term").collect()
-    return np.sort(np.array([row["term"] for row in best], np.int64).view(np.uint64))
+    weighed = counts.select("term", F.pow(1 + F.greatest(least, F.lit(0.0)), 2).alias("gain"))
+    if most is not None:
+        weighed = weighed.orderBy(F.desc("gain"), "term").limit(most)
+    found = weighed.toArrow()
+    terms, gain = found.column("term").to_numpy().view(np.uint64), found.column("gain").to_numpy()
+    order = np.argsort(terms)
+    return terms[order], gain[order]
 
 
 def _frequencies(docs: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray, int]:
@@ -205,47 +249,46 @@ def _frequencies(docs: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray, i
         at = np.append(-1, np.flatnonzero(seen))
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(np.append(texts, seen[at[1:]]))], names=["term", "n"])
 
-    sums = docs.select("text").mapInArrow(counted, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
-    frequency, total = np.zeros(len(vocabulary)), 0
-    for row in sums:
-        if row["term"] < 0:
-            total = row["n"]
-        else:
-            frequency[row["term"]] = row["n"]
-    return frequency, total
+    sums = docs.select("text").mapInArrow(counted, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(len(vocabulary) + 1, np.int64)  # the last one is that of term -1, all texts
+    counts[sums.column("term").to_numpy()] = sums.column("n").to_numpy()
+    return counts[:-1].astype(float), int(counts[-1])
 
 
-def _built(vocabulary, idf, sample, rows, names, sizes, in_sample) -> Index:
-    sample = _alike_together(sample, rows, names, idf)
-    doc_ids = np.array([row["doc_id"] for row in sample], np.int64)
-    labels = np.array([row["label"] for row in sample], float)
-    place = {int(d): i for i, d in enumerate(doc_ids)}
-    stands = np.array([sizes.get(v, 0) / max(1, in_sample[v]) for v in (0, 1)])
-    example = np.array([place[row["doc_id"]] for row in rows], np.int64)
-    term = np.array([names[row["term"]] for row in rows], np.int64)
-    value = (1 + np.log(np.array([row["n"] for row in rows], float))) * idf[term]
+def _built(vocabulary, idf, gain, doc_ids, labels, postings, sizes, in_sample) -> Index:
+    term, example, n = postings
+    value = (1 + np.log(n)) * (idf * gain)[term]
+    place = _alike_together(example, term, value, len(doc_ids))
+    doc_ids[place], labels[place] = doc_ids.copy(), labels.copy()
+    example = place[example]
     lengths = np.sqrt(np.bincount(example, value * value, minlength=len(doc_ids)))
-    value = value / lengths[example]
+    value /= lengths[example]
     order = np.lexsort((example, term))
     example, term, value = example[order], term[order], value[order]
-    blocks = -(-len(doc_ids) // BLOCK) or 1
     starts = np.searchsorted(term, np.arange(len(vocabulary) + 1))
-    grid = np.arange(len(vocabulary))[:, None] * (blocks * BLOCK) + np.arange(blocks + 1)[None, :] * BLOCK
-    block_starts = np.searchsorted(term * (blocks * BLOCK) + example, grid).astype(np.int32)
-    block_max = np.zeros((len(vocabulary), blocks))
-    np.maximum.at(block_max, (term, example // BLOCK), value)
-    index = Index(vocabulary, idf, doc_ids, labels, stands[labels.astype(int)] if len(labels) else labels, starts, example, value,
-                  block_starts, block_max, np.full(BINS, 0.5), 0.5)
+    new = np.ones(len(term), bool)
+    new[1:] = (term[1:] != term[:-1]) | (example[1:] // BLOCK != example[:-1] // BLOCK)
+    first = np.flatnonzero(new)
+    highest = np.maximum.reduceat(value, first) if len(first) else np.zeros(0)
+    stands = np.array([sizes.get(v, 0) / max(1, in_sample[v]) for v in (0, 1)])
+    index = Index(vocabulary, idf, gain, doc_ids, labels, stands[labels.astype(int)] if len(labels) else labels, starts, example, value,
+                  np.searchsorted(first, starts), (example[first] // BLOCK).astype(np.int32), np.append(first, len(term)).astype(np.int32), highest,
+                  np.full(BINS, 0.5), 0.5)
     return _calibrated(index)
 
 
-def _alike_together(sample: list, rows: list, names: dict[int, int], idf: np.ndarray) -> list:
-    """The examples by their weightiest terms, so that a block's largest weights are near those of all in it."""
-    terms: dict[int, list[tuple[float, int]]] = {}
-    for row in rows:
-        term = names[row["term"]]
-        terms.setdefault(row["doc_id"], []).append((-float((1 + np.log(row["n"])) * idf[term]), term))
-    return sorted(sample, key=lambda row: ([t for _, t in sorted(terms.get(row["doc_id"], []))], row["doc_id"]))
+def _alike_together(example: np.ndarray, term: np.ndarray, value: np.ndarray, examples: int, leading: int = 8) -> np.ndarray:
+    """New numbers of the examples by their weightiest terms, so that a block's largest weights are near those of all in it."""
+    leaders = np.full((leading, examples), -1)
+    for low in range(0, examples, 512):  # some at once, for the driver's memory
+        some = np.flatnonzero((example >= low) & (example < low + 512))
+        some = some[np.lexsort((term[some], -value[some], example[some]))]
+        rank = np.arange(len(some)) - np.searchsorted(example[some], example[some])
+        top = some[rank < leading]
+        leaders[rank[rank < leading], example[top]] = term[top]
+    place = np.zeros(examples, np.int32)
+    place[np.lexsort((np.arange(examples), *leaders[::-1]))] = np.arange(examples)
+    return place
 
 
 def _calibrated(index: Index) -> Index:
@@ -277,14 +320,15 @@ def _calibrated(index: Index) -> Index:
             pooled[-1] = [(p[0] * p[1] + r * s) / (p[1] + s), p[1] + s, p[2] + n]
     index.rates = np.repeat([p[0] for p in pooled], [int(p[2]) for p in pooled])
     if len(index.doc_ids):
-        index.no_evidence = float((none_ones + 1) / (none + 2))
+        base = (index.weights @ index.labels + 1) / (index.weights.sum() + 2)
+        index.no_evidence = float((none_ones + 2 * base) / (none + 2))  # no such example, or few: the rate of all
     return index
 
 
 def score(docs: DataFrame, index: Index, neighbours: int = NEIGHBOURS) -> DataFrame:
     """The columns of docs but ``text``, with score, predicted, and the evidence: example ids and cosines.
 
-    A text without a term of the vocabulary, empty and NULL ones too, gets the rate of such examples and no
+    A text without a term of the examples, empty and NULL ones too, gets the rate of such examples and no
     evidence. Nothing is shuffled. Columns of docs named like a new one are replaced.
     """
     new = ["score", "evidence", "cosines"]
@@ -292,7 +336,7 @@ def score(docs: DataFrame, index: Index, neighbours: int = NEIGHBOURS) -> DataFr
     schema = docs.select(*kept).limit(0).withColumns({
         "score": F.lit(0.0), "evidence": F.lit(None).cast("array<long>"), "cosines": F.lit(None).cast("array<double>")
     }).schema
-    shared = docs.sparkSession.sparkContext.broadcast(index)  # examples x terms at most, whatever the input
+    shared = docs.sparkSession.sparkContext.broadcast(index)  # the terms of the examples, whatever the input
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, seen = shared.value, {}
@@ -302,9 +346,9 @@ def score(docs: DataFrame, index: Index, neighbours: int = NEIGHBOURS) -> DataFr
                 cuts = np.searchsorted(row, np.arange(len(chunk.starts) + 1)).tolist()
                 scores, evidence, cosines = [], [], []
                 for start, end in zip(cuts, cuts[1:]):
-                    key = term[start:end].tobytes() + n[start:end].tobytes()
+                    key = blake2b(term[start:end].tobytes() + n[start:end].tobytes(), digest_size=16).digest()
                     if key not in seen:
-                        if len(seen) > 100_000:
+                        if len(seen) >= ANSWERS:
                             seen.clear()
                         seen[key] = _answer(index, term[start:end], n[start:end], neighbours)
                     value, near, cosine = seen[key]

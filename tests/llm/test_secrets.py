@@ -35,3 +35,18 @@ def test_only_unseen_pairs_are_scanned(messy, spark, tmp_path):
 
 def test_empty_table(empty, tmp_path):
     assert scan(empty, str(tmp_path / "ledger")).collect() == []
+
+
+def test_raised_versions_and_removed_rules(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "token: abcdefgh secret=abcdefghijkl AKIA" + "B" * 16)], "doc_id long, text string")
+    ledger = str(tmp_path / "ledger")
+
+    def kinds(rules):
+        return [(s.kind, s.rule_no) for s in scan(docs, ledger, rules=rules).collect()[0].spans]
+
+    assign, access, _ = BASE_RULES
+    assert kinds([assign, access]) == [("assign", 0), ("assign", 0), ("access", 1)]
+    raised = Rule("assign", 2, assign.pattern, assign.group, 10)
+    assert kinds([raised, access]) == [("assign", 0), ("access", 1)]
+    assert kinds([access]) == [("access", 0)]
+    assert kinds([assign, access]) == [("assign", 0), ("assign", 0), ("access", 1)]

@@ -57,6 +57,8 @@ def scan(docs: DataFrame, ledger: str, path: str = "doc_id", text: str = "text",
 
     A text moves once, to be met with the blobs that are new; copies of a blob send their hash alone.
     """
+    if len({rule.kind for rule in rules}) < len(rules):
+        raise ValueError("a kind has two rules")
     spark = docs.sparkSession
     rows = docs.select(F.col(path).alias("path"), F.coalesce(text, F.lit("")).alias("text")).withColumn(
         "blob", F.unhex(F.sha2(F.encode("text", "UTF-8"), 256))
@@ -96,6 +98,9 @@ def findings(ledger: DataFrame, rules: list[Rule]) -> DataFrame:
     kinds = F.array(*[F.lit(rule.kind) for rule in rules])
     wanted = F.array(*[F.lit(rule.key) for rule in rules])
     current = ledger.where((F.size("spans") > 0) & F.arrays_overlap("rules", wanted))
+    # A row's rules name one version of a kind, so they tell that of its spans.
+    asked = F.transform(F.array_intersect("rules", wanted), lambda key: F.regexp_replace(key, "@[0-9]+$", ""))
+    current = current.withColumn("spans", F.filter("spans", lambda s: F.array_contains(asked, s["kind"]))).where(F.size("spans") > 0)
     ordered = current.select(
         "blob",
         F.transform("spans", lambda s: s.withField("rule_no", (F.array_position(kinds, s["kind"]) - 1).cast("int"))).alias("spans"),

@@ -52,21 +52,74 @@ def tag_opens(tag: Column) -> Column:
     return ~F.startswith(tag, F.lit("/"))
 
 
+#: Transitions that are carried along together. A row is under 2 GB, so over two levels of blocks few thousand are left.
+SCAN_BLOCK = 128
+SCAN_LEVELS = 2
+_BITS = len(TAG_NAMES)
+_ALL_ON = (1 << _BITS) - 1
+
+
+def _transition(piece: Column) -> Column:
+    """What a piece's tag does to the switches: the bits it keeps, and above them the bits it sets."""
+    tag = piece_tag(piece)
+    name, keeps = F.ltrim(tag, F.lit("/")), F.lit(_ALL_ON)
+    for i, names in enumerate(TAG_NAMES.values()):
+        on = F.lit(_ALL_ON ^ 1 << i | 1 << _BITS + i)
+        keeps = F.when(name.rlike(rf"^(?:{names})$"), F.when(tag_opens(tag), on).otherwise(F.lit(_ALL_ON ^ 1 << i))).otherwise(keeps)
+    return keeps
+
+
+def _then(first: Column, second: Column) -> Column:
+    """Both transitions as one; in whatever way a row of them is grouped, the whole is the same."""
+    kept = first.bitwiseAND(second).bitwiseAND(F.lit(_ALL_ON))
+    still_set = F.shiftright(first, _BITS).bitwiseAND(second.bitwiseAND(F.lit(_ALL_ON)))
+    return kept.bitwiseOR(F.shiftleft(F.shiftright(second, _BITS).bitwiseOR(still_set), _BITS))
+
+
+def _let(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often it is named."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _scan(steps: Column, levels: int) -> Column:
+    """For each transition the one that it and all before it make; a block is composed before its inside is walked."""
+
+    def walked(block: Column, before: Column) -> Column:
+        def step(done: Column, one: Column) -> Column:
+            return F.array_append(done, _then(F.coalesce(F.try_element_at(done, F.lit(-1)), before), one))
+
+        return F.aggregate(block, F.array().cast("array<int>"), step)
+
+    if levels == 0:
+        return walked(steps, F.lit(_ALL_ON))
+
+    def by_blocks(steps: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(steps), F.lit(SCAN_BLOCK))
+        blocks = F.transform(starts, lambda start: F.slice(steps, start, F.lit(SCAN_BLOCK)))
+
+        def carried(blocks: Column) -> Column:
+            totals = F.transform(blocks, lambda block: F.aggregate(block, F.lit(_ALL_ON), _then))
+
+            def inside(ends: Column) -> Column:
+                return F.flatten(F.transform(blocks, lambda block, i: walked(block, F.when(i > 0, F.get(ends, i - 1)).otherwise(F.lit(_ALL_ON)))))
+
+            return _let(_scan(totals, levels - 1), inside)
+
+        return _let(blocks, carried)
+
+    # One block needs no blocks above it.
+    return F.when(F.size(steps) <= SCAN_BLOCK, walked(steps, F.lit(_ALL_ON))).otherwise(_let(steps, by_blocks))
+
+
 def piece_states(pieces: Column) -> Column:
-    """For each piece the switches that are on in it, as one bit per kind in the order of TAG_NAMES."""
-
-    def step(states: Column, piece: Column) -> Column:
-        tag = F.regexp_extract(piece, r"^(/?\w+)[\s>]", 1)
-        name, before = F.ltrim(tag, F.lit("/")), F.coalesce(F.try_element_at(states, F.lit(-1)), F.lit(0))
-        bit = F.lit(0)
-        for i, names in enumerate(TAG_NAMES.values()):
-            bit = F.when(name.rlike(rf"^(?:{names})$"), 1 << i).otherwise(bit)
-        on = before.bitwiseOR(bit)
-        after = F.when(tag_opens(tag), on).otherwise(on.bitwiseXOR(bit))
-        # Only what follows a '<' has a tag; the first piece stands before any.
-        return F.array_append(states, F.when(F.size(states) > 0, after).otherwise(F.lit(0)))
-
-    return F.aggregate(pieces, F.array().cast("array<int>"), step)
+    """For each piece the switches that are on in it, as one bit per kind in the order of TAG_NAMES.
+
+    A tag is a transition of the switches, and transitions compose, so the states are a prefix scan: in time
+    proportional to the number of pieces, whatever the length of the page.
+    """
+    # Only what follows a '<' has a tag; the first piece stands before any.
+    steps = F.transform(pieces, lambda piece, i: F.when(i > 0, _transition(piece)).otherwise(F.lit(_ALL_ON)))
+    return F.transform(_let(steps, lambda found: _scan(found, SCAN_LEVELS)), lambda done: F.shiftright(done, _BITS))
 
 
 def is_on(state: Column, kind: str) -> Column:

@@ -17,4 +17,4 @@ LEXICON = _table(word=_STR, word_id=_LONG)
 POSTINGS = _table(word_id=_LONG, doc_id=_LONG, tf=_LONG)
 RUNS = _table(file_no=_LONG, word_id=_LONG, doc_id=_LONG, tf=_LONG)
 TRIPLES = _table(word_id=_INT, doc_id=_INT, tf=_INT)
-ADDED = _table(n=_LONG)
+FILTERS = _table(batch=_LONG, bucket=_INT, n=_LONG, max_id=_LONG, bits=T.ArrayType(_LONG))

@@ -1,84 +1,150 @@
 """Micro-batches of pages extend the dictionaries and append runs of postings.
 
-The state is three tables of folders batch=<n> under one root, url_map, lexicon and runs, the number of entries
-that each batch added, and the progress of the stream, which belongs to that state alone. A batch reads the
-dictionaries of earlier batches only and overwrites its own folders, so a replayed batch gives the same
-result. IDs follow the order of batches, and document order inside a batch.
+The state is a list of parts (``snapshots``): for each batch the new entries of both dictionaries by bucket
+with their filters (``buckets``), and a run of postings; and the progress of the stream, which belongs to that
+state alone. A batch reads the dictionaries' buckets that its keys may be in, writes all its tables to fresh
+folders and commits them in one step, so a batch that ends early changes nothing, and a batch that is
+committed is not added again. IDs follow the order of batches, and document order inside a batch.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+import logging
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from wordloom.operators import dictionaries, postings, runs
 from wordloom.operators.ids import dense_ids
 from wordloom.operators.tokens import doc_tokens, page_tokens
 from wordloom.plans.stages import Stage, passing_stages, side_by_side, stage, stage_dictionary, stage_firsts
-from wordloom.schemas import ADDED, LEXICON, POSTINGS, URL_MAP
+from wordloom.schemas import FILTERS, LEXICON, POSTINGS, URL_MAP
+from wordloom.streaming import buckets
+from wordloom.streaming.snapshots import Part, Snapshot, Snapshots
+
+logger = logging.getLogger(__name__)
 
-_TABLES = {"url_map": URL_MAP, "lexicon": LEXICON, "runs": POSTINGS, "url_map_added": ADDED, "lexicon_added": ADDED}
+_TABLES = {"url_map": URL_MAP, "lexicon": LEXICON, "runs": POSTINGS, "url_map_filters": FILTERS, "lexicon_filters": FILTERS}
+#: Buckets of each dictionary, fixed when a state is made: enough that the new entries of one of a batch fit a task.
+BUCKETS = 64
+#: Runs of like size that are merged into one, see ``merge_tiers``.
+DEGREE = 8
 
 
-def create(spark: SparkSession, root: str) -> None:
+def create(spark: SparkSession, root: str, n_buckets: int = BUCKETS) -> None:
     """Empty state under ``root``, unless there is one."""
-    for name, schema in _TABLES.items():
-        spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{root}/{name}/batch=-1")
+    state = Snapshots(spark, root)
+    if not state.versions():
+        state.commit(Snapshot(0, {"buckets": n_buckets}))
+
+
+def read_state(spark: SparkSession, root: str, name: str, version: int | None = None) -> DataFrame:
+    """Rows of a table in the last committed version, or in one of those before it that are kept."""
+    return _read(spark, root, Snapshots(spark, root).read(version).of(name), _TABLES[name])
+
 
+def _read(spark: SparkSession, root: str, parts: list[Part], schema: StructType) -> DataFrame:
+    return _folders(spark, [f"{root}/{part.folder}" for part in parts if part.rows], schema)
 
-def read_state(spark: SparkSession, root: str, name: str, before: int | None = None) -> DataFrame:
-    """Rows of all batches, or of those before one; other batches' folders are not read."""
-    table = spark.read.schema(f"{_ddl(_TABLES[name])}, batch BIGINT").parquet(f"{root}/{name}")
-    return (table if before is None else table.where(F.col("batch") < before)).drop("batch")
+
+def _folders(spark: SparkSession, paths: list[str], schema: StructType) -> DataFrame:
+    return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
 def extend_url_map(pages: DataFrame, batch: int, root: str) -> Stage:
     """Give new URLs of the batch their IDs; returns the entries of the batch's URLs."""
-    return _extend(dictionaries.url_firsts(pages), root, "url_map", "url", "doc_id", dictionaries.URL_ORDER, batch)
+    return _committed(pages.sparkSession, root, *_extend(dictionaries.url_firsts(pages), root, "url_map", "url", "doc_id", dictionaries.URL_ORDER, batch))
 
 
 def extend_lexicon(tokens: DataFrame, batch: int, root: str) -> Stage:
     """Give new words of the batch their IDs; returns the entries of the batch's words."""
-    return _extend(dictionaries.word_firsts(tokens), root, "lexicon", "word", "word_id", dictionaries.WORD_ORDER, batch)
+    return _committed(tokens.sparkSession, root, *_extend(dictionaries.word_firsts(tokens), root, "lexicon", "word", "word_id", dictionaries.WORD_ORDER, batch))
+
 
+def _committed(spark: SparkSession, root: str, found: Stage, parts: list[Part]) -> Stage:
+    state = Snapshots(spark, root)
+    state.commit(state.read().changed(parts))
+    return found
 
-def add_batch(pages: DataFrame, batch: int, root: str) -> None:
-    """Index one batch of pages (seq, file_no, url, doc)."""
-    with passing_stages(pages.sparkSession):
-        urls, (tokens, words) = side_by_side(
-            pages.sparkSession,
-            lambda: extend_url_map(pages, batch, root),
+
+def add_batch(pages: DataFrame, batch: int, root: str, degree: int = DEGREE) -> None:
+    """Index one batch of pages (seq, file_no, url, doc); a batch that is committed already is left alone."""
+    spark = pages.sparkSession
+    state = Snapshots(spark, root)
+    if batch <= state.read().last_batch("runs"):
+        return
+    with passing_stages(spark):
+        (urls, url_parts), (tokens, words, word_parts) = side_by_side(
+            spark,
+            lambda: _extend(dictionaries.url_firsts(pages), root, "url_map", "url", "doc_id", dictionaries.URL_ORDER, batch),
             lambda: _tokens_and_words(pages, batch, root),
         )
         tokens = doc_tokens(tokens, urls.table, **urls.measured)
         found = postings.postings(tokens, words.table, **words.measured)
-        _write(runs.by_posting(found), root, "runs", batch)
+        run = _write(runs.by_posting(found), root, "runs", batch)
+        state.commit(state.read().changed([*url_parts, *word_parts, run]))
+    merge_tiers(spark, root, degree)
 
 
-def _tokens_and_words(pages: DataFrame, batch: int, root: str) -> tuple[DataFrame, Stage]:
+def _tokens_and_words(pages: DataFrame, batch: int, root: str) -> tuple[DataFrame, Stage, list[Part]]:
     tokens = stage(page_tokens(pages), "page_tokens").table
-    return tokens, extend_lexicon(tokens, batch, root)
+    return tokens, *_extend(dictionaries.word_firsts(tokens), root, "lexicon", "word", "word_id", dictionaries.WORD_ORDER, batch)
 
 
-def global_postings(spark: SparkSession, root: str) -> DataFrame:
-    """(word_id, doc_id, tf) over all batches."""
-    return runs.roll_up(read_state(spark, root, "runs"))
+def live_runs(spark: SparkSession, root: str) -> list[Part]:
+    """The runs that the last version holds."""
+    return Snapshots(spark, root).read().of("runs")
 
 
-def index_stream(pages: DataFrame, root: str) -> StreamingQuery:
+def tier(rows: int, degree: int) -> int:
+    """Runs of one tier differ in size by less than the factor ``degree``."""
+    found = 0
+    while rows >= degree:
+        rows //= degree
+        found += 1
+    return found
+
+
+def merge_tiers(spark: SparkSession, root: str, degree: int = DEGREE) -> int:
+    """Merge runs until no tier has ``degree`` of them; returns the number of merges.
+
+    A merge adds up equal postings, writes one run and puts it in the place of the others in one step. So a
+    posting is written again once per tier, and a state of n batches has some degree * log(n) runs.
+    """
+    state, merges = Snapshots(spark, root), 0
+    while True:
+        now = state.read()
+        tiers: dict[int, list[Part]] = {}
+        for part in now.of("runs"):
+            tiers.setdefault(tier(part.rows, degree), []).append(part)
+        full = [parts for _, parts in sorted(tiers.items()) if len(parts) >= degree]
+        if not full:
+            return merges
+        old = full[0][:degree]
+        merged = runs.by_posting(runs.roll_up(_read(spark, root, old, POSTINGS)))
+        state.commit(now.changed([_write(merged, root, "runs", max(part.batch for part in old))], old))
+        merges += 1
+
+
+def global_postings(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
+    """(word_id, doc_id, tf) over all committed batches."""
+    return runs.roll_up(read_state(spark, root, "runs", version))
+
+
+def index_stream(pages: DataFrame, root: str, degree: int = DEGREE) -> StreamingQuery:
     """Index a stream of pages until its present input is used up.
 
     The progress is kept under ``root``: a stopped stream goes on where it was. A state whose batches were
-    added in another way has none; it is refused, as a stream that starts anew would write over its first batches.
+    added in another way has none; it is refused, as a stream that starts anew numbers its batches from 0.
     """
     spark = pages.sparkSession
     create(spark, root)
     marker = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/progress")
     there = marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
-    batches = spark.read.schema("batch BIGINT").parquet(f"{root}/runs")
-    if not there and batches.where("batch >= 0").limit(1).count():
+    if not there and live_runs(spark, root):
         raise ValueError(f"{root}: has batches, but no progress of a stream")
     return (
-        pages.writeStream.foreachBatch(lambda batch, number: add_batch(batch, number, root))
+        pages.writeStream.foreachBatch(lambda batch, number: add_batch(batch, number, root, degree))
         .option("checkpointLocation", f"{root}/progress")
         .trigger(availableNow=True)
         .start()
@@ -87,28 +153,40 @@ def index_stream(pages: DataFrame, root: str) -> StreamingQuery:
 
 def _extend(
     firsts: DataFrame, root: str, name: str, key: str, id_column: str, order: list[str], batch: int
-) -> Stage:
-    """Add the batch's new keys to a dictionary; returns the IDs of the batch's keys only, with page counts.
+) -> tuple[Stage, list[Part]]:
+    """Write the batch's new keys of a dictionary; returns the IDs of the batch's keys only, with page counts, and the parts to commit.
 
-    The dictionary is read once and, while the batch's keys are few enough to broadcast, never shuffled.
+    Earlier entries are read from the buckets that may hold a key of the batch and
+    while the batch's keys are few enough to broadcast, never shuffled. Which buckets these are comes to
+    the driver, a row per bucket of a batch, as a list of folders to read.
     """
-    known = read_state(firsts.sparkSession, root, name, batch)
-    stored = stage(firsts, f"{name}_firsts").table
-    old = stage_dictionary(known.join(stored, key), f"old_{name}", key)
-    new = stage_firsts(stored.join(old.table.select(key), key, "left_anti"), f"new_{name}")
+    spark = firsts.sparkSession
+    now = Snapshots(spark, root).read()
+    n_buckets, folders = now.settings["buckets"], {part.batch: part.folder for part in now.of(name)}
+    stored = stage(firsts.withColumn("bucket", buckets.bucket_of(key, n_buckets)), f"{name}_firsts").table
+    filters = _read(spark, root, now.of(f"{name}_filters"), FILTERS)
+    asked = buckets.asked(stored.select("bucket", key), key, filters).collect()
+    paths = [f"{root}/{folders[row['batch']]}/bucket={row['bucket']}" for row in asked]
+    entries = _folders(spark, paths, _TABLES[name])
+    keys = stored.drop("bucket")
+    old = stage_dictionary(entries.join(keys, key), f"old_{name}", key)
+    new = stage_firsts(keys.join(old.table.select(key), key, "left_anti"), f"new_{name}")
     last_seq = new.measured["last_seq"] or 0
-    earlier = read_state(firsts.sparkSession, root, f"{name}_added", batch).agg(F.sum("n")).first()[0] or 0
-    numbered = dense_ids(new.table, id_column, order, earlier, last_seq)
+    last_id = filters.agg(F.max("max_id")).first()[0]
+    numbered = dense_ids(new.table, id_column, order, 0 if last_id is None else last_id + 1, last_seq)
     added = stage_dictionary(numbered, f"added_{name}", key)
-    _write(added.table.select(key, id_column), root, name, batch)
-    _write(added.table.agg(F.count("*").alias("n")), root, f"{name}_added", batch)
-    sizes = [part.measured["dictionary_bytes"] for part in (old, added)]
-    return Stage(old.table.unionByName(added.table), {"dictionary_bytes": sum(sizes)})
-
-
-def _write(rows: DataFrame, root: str, name: str, batch: int) -> None:
-    rows.write.mode("overwrite").parquet(f"{root}/{name}/batch={batch}")
-
-
-def _ddl(schema) -> str:
-    return ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in schema)
+    placed = added.table.select(key, id_column, buckets.bucket_of(key, n_buckets))
+    parts = [
+        _write(placed.repartition("bucket").sortWithinPartitions("bucket", id_column), root, name, batch, "bucket"),
+        _write(buckets.filters(placed, key, id_column, batch), root, f"{name}_filters", batch),
+    ]
+    measured = {"dictionary_bytes": sum(part.measured["dictionary_bytes"] for part in (old, added))}
+    logger.info("%s, batch %d: %d buckets with %d entries read", name, batch, len(asked), sum(row["n"] for row in asked))
+    return Stage(old.table.unionByName(added.table), measured), parts
+
+
+def _write(rows: DataFrame, root: str, name: str, batch: int, *by: str) -> Part:
+    """Write a part of a table to a folder of its own; nobody reads it before it is committed."""
+    folder, observed = Snapshots(rows.sparkSession, root).new_folder(name), Observation()
+    rows.observe(observed, F.count("*").alias("n")).write.partitionBy(*by).parquet(f"{root}/{folder}")
+    return Part(name, folder, batch, observed.get["n"])

@@ -9,8 +9,8 @@ from __future__ import annotations
 import importlib
 import importlib.util
 import tempfile
-import time
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +21,7 @@ from wordloom.plans.index_build import Index
 from wordloom.plans.stages import new_folder, side_by_side, stage
 from wordloom.sinks import tables
 from wordloom.sinks import text as text_sinks
-from wordloom.sources import crawl
+from wordloom.sources import crawl, pair_stream, run_list
 from wordloom.sources import runs as run_sources
 from wordloom.sources.pages import from_pairs, from_table, urls_of_pairs
 from wordloom.streaming import index_stream
@@ -29,6 +29,10 @@ from wordloom.streaming import index_stream
 HEADER = "\r\nServer: x\r\n\r\n"
 COMPACTION_DEGREE = 3
 SMALL_SHARD = 16
+STREAM_BATCHES = 10
+TIERED_BATCHES = 20
+DICTIONARY_BUCKETS = 16
+PAGES_END_TO_END = 64
 VARIED_TAGS = [("b", "i"), ("b", "EM"), ("b", "strong"), ("h1", "h2"), ("h1", "H6"), ("b", "script")]
 
 
@@ -110,16 +114,23 @@ def page_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crawl.page_slices(index).withColumnRenamed("line_no", "page_id")
 
 
-def _pairs(spark: SparkSession, pages: DataFrame) -> DataFrame:
+_PAIR_NUMBER, _PAIR_KIND = r"file_no=(\d+)/[^_.]", r"/(index|data)/file_no="
+
+
+def _write_pairs(pages: DataFrame, root: str) -> None:
     """The pages written as gzip pairs, a response ending in the line feed the text writer adds."""
-    root = new_folder(spark, "pairs")
     pages = pages.withColumn("length", F.octet_length("doc") + 1)
     line = F.concat_ws(" ", "url", F.lit("0 0"), F.col("length").cast("string"))
     for kind, value in (("index", line), ("data", F.col("doc"))):
-        pages.repartition("file_no").sortWithinPartitions("file_no", "seq").select("file_no", value).write.partitionBy(
+        pages.repartition("file_no").sortWithinPartitions("file_no", "seq").select("file_no", value).write.mode("append").partitionBy(
             "file_no"
         ).option("compression", "gzip").text(f"{root}/{kind}")
-    return crawl.list_pairs(spark, root, r"file_no=(\d+)/[^_.]", r"/(index|data)/file_no=")
+
+
+def _pairs(spark: SparkSession, pages: DataFrame) -> DataFrame:
+    root = new_folder(spark, "pairs")
+    _write_pairs(pages, root)
+    return crawl.list_pairs(spark, root, _PAIR_NUMBER, _PAIR_KIND)
 
 
 def pair_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,6 +180,16 @@ def token_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.word_contexts(_pages(spark, sf_dir)).withColumnRenamed("seq", "page_id")
 
 
+def long_page_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages put end to end, so that a page has the tags of many."""
+    ends = F.array_sort(F.collect_list(F.struct("page_id", "html")))
+    joined = _table(spark, sf_dir, "pages").groupBy(F.expr(f"page_id div {PAGES_END_TO_END}").alias("page_id")).agg(
+        F.min_by("url", "page_id").alias("url"), F.array_join(F.transform(ends, lambda p: p["html"]), "").alias("html")
+    )
+    pages = from_table(joined, "page_id", "url", _response(F.lit("200 OK")))
+    return tokens.word_contexts(pages).withColumnRenamed("seq", "page_id")
+
+
 # --- dictionaries -----------------------------------------------------------------------------------
 
 
@@ -205,7 +226,7 @@ def _consecutive_parts(pages: DataFrame, parts: int = 3) -> list[DataFrame]:
 
 def _empty_state(spark: SparkSession) -> str:
     root = new_folder(spark, "state")
-    index_stream.create(spark, root)
+    index_stream.create(spark, root, DICTIONARY_BUCKETS)
     return root
 
 
@@ -224,6 +245,15 @@ def incremental_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index_stream.read_state(spark, root, "lexicon")
 
 
+def bucketed_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten batches, each asking the filters of those before which buckets it has to read."""
+    root = _empty_state(spark)
+    for batch, part in enumerate(_consecutive_parts(_pages(spark, sf_dir), STREAM_BATCHES)):
+        words = tokens.page_tokens(part)
+        index_stream.extend_lexicon(stage(words, "page_tokens").table, batch, root)
+    return index_stream.read_state(spark, root, "lexicon")
+
+
 # --- postings ---------------------------------------------------------------------------------------
 
 
@@ -382,17 +412,55 @@ def rolled_up_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages whose sites come back, landed in document order and indexed one landing per micro-batch."""
+    """Pages whose sites come back, landed in document order; the stream runs to its end after each landing."""
     landing, root = new_folder(spark, "landing"), new_folder(spark, "state")
     pages = _site_pages(spark, sf_dir)
     for part in _consecutive_parts(pages):
-        part.coalesce(1).write.mode("append").parquet(landing)
-        time.sleep(0.05)  # the file source goes by modification time
-    stream = spark.readStream.schema(pages.schema).option("maxFilesPerTrigger", 1).parquet(landing)
-    index_stream.index_stream(stream, root).awaitTermination()
+        part.write.mode("append").parquet(landing)
+        index_stream.index_stream(spark.readStream.schema(pages.schema).parquet(landing), root).awaitTermination()
     return index_stream.global_postings(spark, root)
 
 
+def archive_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archive pairs that land out of order: the second third waits for the first, the last comes on its own."""
+    landing, root = new_folder(spark, "crawl"), new_folder(spark, "state")
+    first, second, third = _consecutive_parts(_mixed_pages(spark, sf_dir))
+    for part in (second, first, third):
+        _write_pairs(part, landing)
+        pairs = pair_stream.stream_pairs(spark, landing, number=_PAIR_NUMBER, kind=_PAIR_KIND)
+        index_stream.index_stream(from_pairs(pairs), root).awaitTermination()
+    return index_stream.global_postings(spark, root)
+
+
+def snapshot_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(batch, word_id, doc_id, tf): the postings as each committed batch left them, read when all had been added."""
+    root = _empty_state(spark)
+    versions = []
+    for batch, part in enumerate(_consecutive_parts(_site_pages(spark, sf_dir))):
+        index_stream.add_batch(part, batch, root, degree=2)
+        versions.append(index_stream.last_version(spark, root))
+    found = [index_stream.global_postings(spark, root, v).withColumn("batch", F.lit(i).cast("long")) for i, v in enumerate(versions)]
+    return reduce(DataFrame.unionByName, found).select("batch", "word_id", "doc_id", "tf")
+
+
+def tiered_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twenty runs, merged by tiers as they come; the index is read from the few that are left."""
+    root = _empty_state(spark)
+    found = stage(Index(_site_pages(spark, sf_dir)).partial_postings, "partials").table
+    for batch in range(TIERED_BATCHES):
+        index_stream.add_run(found.where(F.col("file_no") % TIERED_BATCHES == batch).drop("file_no"), batch, root, COMPACTION_DEGREE)
+    return index_stream.global_postings(spark, root)
+
+
+def listed_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs written as files of binary triples, read by the list of their names, merged."""
+    path = new_folder(spark, "triples")
+    found = runs.by_posting(Index(_site_pages(spark, sf_dir)).partial_postings, "file_no")
+    files = stage(run_list.write_triples(found, f"{path}/files"), "triple_files").table
+    run_list.write_list(files, f"{path}/list")
+    return runs.merge_runs(run_list.read_listed(spark, f"{path}/list", split="1000"))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The global index, one line per word, of the smallest table set."""
     return _with_folder(global_index_lines)(spark, "/root/testdata/sf0.001")
@@ -400,13 +468,14 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = [
-        page_status, odd_status, page_slices, pair_scan, url_tokens, body_tokens, tag_events, token_contexts, varied_contexts,
+        page_status, odd_status, page_slices, pair_scan, url_tokens, body_tokens, tag_events, token_contexts, varied_contexts, long_page_contexts,
         url_map, lexicon, url_map_lines_by_id, url_map_lines_by_url, lexicon_lines_by_id, lexicon_lines_by_word,
-        incremental_url_map, incremental_lexicon,
+        incremental_url_map, incremental_lexicon, bucketed_lexicon,
         document_postings, partial_postings, revisit_postings, revisit_partial_postings, document_revisits,
         unindexed_docs, archive_postings, postings_shuffled, posting_lists, global_index_lines, sharded_lists,
         partial_index_lines, partial_index_text, posting_bytes, index_stats, word_stats,
-        merged_runs, compacted_runs, compacted_twice, compacted_run_list, rolled_up_runs, stream_index,
+        merged_runs, compacted_runs, compacted_twice, compacted_run_list, rolled_up_runs, listed_runs, tiered_runs,
+        stream_index, archive_stream, snapshot_postings,
     ]
     return {"postings": posting_rows} | {query.__name__: query for query in named}
 
@@ -580,6 +649,17 @@ def _varied() -> str:
     return varied + _CONTEXTS_SQL.replace("FROM pages", "FROM varied").replace("WITH", "", 1)
 
 
+def _end_to_end() -> str:
+    long_pages = f"""WITH long_page AS (SELECT page_id // {PAGES_END_TO_END} AS page_id, arg_min(url, page_id) AS url,
+        string_agg(html, '' ORDER BY page_id) AS html FROM pages GROUP BY page_id // {PAGES_END_TO_END}),"""
+    return long_pages + _CONTEXTS_SQL.replace("FROM pages", "FROM long_page").replace("WITH", "", 1)
+
+
+def _batches(parts: int) -> str:
+    """Number of the batch of each page, as the files are cut into consecutive parts."""
+    return f"file_no // (max(file_no) OVER () // {parts} + 1)"
+
+
 def _vbyte(n: str) -> str:
     arms = []
     for i in range(5):
@@ -618,6 +698,7 @@ def core_oracle_sql() -> dict[str, str]:
             FROM switched WHERE kind IS NOT NULL""",
         "token_contexts": _CONTEXTS_SQL,
         "varied_contexts": _varied(),
+        "long_page_contexts": _end_to_end(),
         "url_map": _index() + "SELECT url, doc_id FROM url_ids",
         "lexicon": _index() + "SELECT word, word_id FROM word_ids",
         "url_map_lines_by_id": _index() + "SELECT doc_id || ' ' || url AS line FROM url_ids ORDER BY doc_id",
@@ -626,6 +707,7 @@ def core_oracle_sql() -> dict[str, str]:
         "lexicon_lines_by_word": _index() + "SELECT word || ' ' || word_id AS line FROM word_ids ORDER BY word",
         "incremental_url_map": site_index + "SELECT url, doc_id FROM url_ids",
         "incremental_lexicon": _index() + "SELECT word, word_id FROM word_ids",
+        "bucketed_lexicon": _index() + "SELECT word, word_id FROM word_ids",
         "postings": _index() + "SELECT * FROM posting",
         "document_postings": _index(_DOCUMENTS) + "SELECT * FROM posting",
         "partial_postings": _index() + "SELECT * FROM run",
@@ -649,6 +731,12 @@ def core_oracle_sql() -> dict[str, str]:
         "compacted_runs": site_index + f"SELECT file_no // {COMPACTION_DEGREE} AS run_group, word_id, doc_id, tf FROM run",
         "rolled_up_runs": site_index + "SELECT * FROM posting",
         "stream_index": site_index + "SELECT * FROM posting",
+        "archive_stream": _index(_OK, known=_ALL) + "SELECT * FROM posting",
+        "snapshot_postings": site_index + f""", batched AS (SELECT *, {_batches(3)} AS batch FROM tf)
+            SELECT s.batch, word_id, doc_id, CAST(sum(n) AS BIGINT) AS tf
+            FROM batched JOIN (SELECT DISTINCT batch FROM batched) AS s ON batched.batch <= s.batch GROUP BY ALL""",
+        "tiered_runs": site_index + "SELECT * FROM posting",
+        "listed_runs": site_index + "SELECT word_id, doc_id, tf FROM run ORDER BY word_id, doc_id",
         "archive_postings": _index(_OK, known=_ALL) + "SELECT * FROM posting",
         "postings_shuffled": _index() + "SELECT * FROM posting",
         "sharded_lists": _index() + f"""SELECT word_id, shard, df, hex, word_id || ' : ' || list AS line FROM (

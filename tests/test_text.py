@@ -1,9 +1,12 @@
+import random
+import time
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from wordloom.functions import text
+from wordloom.functions import markup, text
 from wordloom.operators import tokens
 
 from sequential import contexts
@@ -115,3 +118,43 @@ def test_url_words(spark):
 def test_text_ends_at_nul(spark):
     row = spark.createDataFrame([("ab\0cd",), ("ab",)], "t STRING").select(text.until_nul("t").alias("t")).collect()
     assert [r.t for r in row] == ["ab", "ab"]
+
+
+_NAMES = {"b": 1, "strong": 1, "h1": 2, "h6": 2, "i": 4, "em": 4, "title": 8, "script": 16}
+
+
+def _tagged(n):
+    rng = random.Random(n)
+    tags = [rng.choice(["", "/"]) + rng.choice(list(_NAMES)) for _ in range(n)]
+    return ["word"] + [tag + rng.choice(["> word", " x> word", ">"]) for tag in tags]
+
+
+def _states(pieces):
+    state, found = 0, []
+    for i, piece in enumerate(pieces):
+        tag = piece.split(">")[0].split(" ")[0]
+        bit = _NAMES[tag.lstrip("/")] if i else 0
+        state = state & ~bit if tag.startswith("/") else state | bit
+        found.append(state)
+    return found
+
+
+def test_states_are_carried_over_blocks(spark):
+    block = markup.SCAN_BLOCK
+    pages = [_tagged(n) for n in (0, 1, 7, block - 2, block - 1, block, block + 1, 5 * block + 3)]
+    rows = spark.createDataFrame(list(enumerate(pages)), "i int, pieces array<string>")
+    found = {r.i: r.states for r in rows.select("i", markup.piece_states(F.col("pieces")).alias("states")).collect()}
+    assert found == {i: _states(page) for i, page in enumerate(pages)}
+
+
+def test_states_take_time_in_proportion_to_the_tags(spark):
+    taken = []
+    for n in (8_000, 64_000):
+        rows = spark.createDataFrame([(_tagged(n),)], "pieces array<string>").cache()
+        rows.count()
+        states = rows.select(F.aggregate(markup.piece_states(F.col("pieces")), F.lit(0), lambda a, b: a + b))
+        states.collect()
+        began = time.monotonic()
+        states.collect()
+        taken.append(time.monotonic() - began)
+    assert taken[1] < 8 * taken[0] + 2  # the square would be 64 times

@@ -52,9 +52,8 @@ def tag_opens(tag: Column) -> Column:
     return ~F.startswith(tag, F.lit("/"))
 
 
-#: Transitions that are carried along together. A row is under 2 GB, so over two levels of blocks few thousand are left.
-SCAN_BLOCK = 128
-SCAN_LEVELS = 2
+#: Transitions that are walked together; over the blocks' ends the walk is one step for so many tags.
+SCAN_BLOCK = 512
 _BITS = len(TAG_NAMES)
 _ALL_ON = (1 << _BITS) - 1
 
@@ -81,34 +80,30 @@ def _let(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def _scan(steps: Column, levels: int) -> Column:
-    """For each transition the one that it and all before it make; a block is composed before its inside is walked."""
+def _walked(steps: Column, before: Column) -> Column:
+    """For each transition the one that ``before``, those in front of it and itself make. Appending copies, so steps are few."""
 
-    def walked(block: Column, before: Column) -> Column:
-        def step(done: Column, one: Column) -> Column:
-            return F.array_append(done, _then(F.coalesce(F.try_element_at(done, F.lit(-1)), before), one))
+    def step(done: Column, one: Column) -> Column:
+        return F.array_append(done, _then(F.coalesce(F.try_element_at(done, F.lit(-1)), before), one))
 
-        return F.aggregate(block, F.array().cast("array<int>"), step)
+    return F.aggregate(steps, F.array().cast("array<int>"), step)
 
-    if levels == 0:
-        return walked(steps, F.lit(_ALL_ON))
 
-    def by_blocks(steps: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.size(steps), F.lit(SCAN_BLOCK))
-        blocks = F.transform(starts, lambda start: F.slice(steps, start, F.lit(SCAN_BLOCK)))
-
-        def carried(blocks: Column) -> Column:
-            totals = F.transform(blocks, lambda block: F.aggregate(block, F.lit(_ALL_ON), _then))
+def _scan(steps: Column) -> Column:
+    """For each transition the one that it and all before it make: blocks are composed first, then walked inside."""
 
-            def inside(ends: Column) -> Column:
-                return F.flatten(F.transform(blocks, lambda block, i: walked(block, F.when(i > 0, F.get(ends, i - 1)).otherwise(F.lit(_ALL_ON)))))
+    def by_blocks(steps: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(steps), F.lit(1)), F.lit(SCAN_BLOCK))
+        return _let(F.transform(starts, lambda start: F.slice(steps, start, F.lit(SCAN_BLOCK))), carried)
 
-            return _let(_scan(totals, levels - 1), inside)
+    def carried(blocks: Column) -> Column:
+        totals = F.transform(blocks, lambda block: F.aggregate(block, F.lit(_ALL_ON), _then))
+        return _let(_walked(totals, F.lit(_ALL_ON)), lambda ends: inside(blocks, ends))
 
-        return _let(blocks, carried)
+    def inside(blocks: Column, ends: Column) -> Column:
+        return F.flatten(F.transform(blocks, lambda block, i: _walked(block, F.coalesce(F.get(ends, i - 1), F.lit(_ALL_ON)))))
 
-    # One block needs no blocks above it.
-    return F.when(F.size(steps) <= SCAN_BLOCK, walked(steps, F.lit(_ALL_ON))).otherwise(_let(steps, by_blocks))
+    return _let(steps, by_blocks)
 
 
 def piece_states(pieces: Column) -> Column:
@@ -119,7 +114,7 @@ def piece_states(pieces: Column) -> Column:
     """
     # Only what follows a '<' has a tag; the first piece stands before any.
     steps = F.transform(pieces, lambda piece, i: F.when(i > 0, _transition(piece)).otherwise(F.lit(_ALL_ON)))
-    return F.transform(_let(steps, lambda found: _scan(found, SCAN_LEVELS)), lambda done: F.shiftright(done, _BITS))
+    return F.transform(_scan(steps), lambda done: F.shiftright(done, _BITS))
 
 
 def is_on(state: Column, kind: str) -> Column:

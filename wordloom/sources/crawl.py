@@ -19,9 +19,12 @@ _ROWS = 10_000
 _CHUNK = 1 << 20
 
 
-def list_pairs(
-    spark: SparkSession, root: str, number: str = r"(\d+)_(?:index|data)$", kind: str = r"\d+_(index|data)$"
-) -> DataFrame:
+#: Patterns on a path: the number of its pair, and which half of it the file is.
+NUMBER = r"(\d+)_(?:index|data)$"
+KIND = r"\d+_(index|data)$"
+
+
+def list_pairs(spark: SparkSession, root: str, number: str = NUMBER, kind: str = KIND) -> DataFrame:
     """(file_no, index_path, data_path, data_bytes) of the files under ``root``: both halves are found by name and paired by number.
 
     Only names and sizes are read; ``number`` and ``kind`` are patterns on the path, with one group each, and
@@ -116,7 +119,7 @@ def _one_task_each(pairs: DataFrame, count: int) -> DataFrame:
 def _read_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for pair in batch.to_pylist():
-            yield from _read_pair(pair["file_no"], pair["index_path"], pair["data_path"])
+            yield from read_pair(pair["file_no"], pair["index_path"], pair["data_path"])
 
 
 def _read_index_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,7 +131,8 @@ def _read_index_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
                     yield _batch(rows, PAGE_INDEX)
 
 
-def _read_pair(file_no: int, index_path: str, data_path: str) -> Iterator[pa.RecordBatch]:
+def read_pair(file_no: int, index_path: str, data_path: str) -> Iterator[pa.RecordBatch]:
+    """RAW_PAGES of one pair, from two streams."""
     rows, held, start = [], 0, 0
     with open_gzip(index_path) as index, open_gzip(data_path) as data:
         for line_no, url, length in _entries(index, index_path):

@@ -4,6 +4,13 @@ from urllib.parse import unquote
 
 import pyarrow as pa
 from pyarrow import fs
+from pyspark.sql import SparkSession
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme, as Spark reports it; one without a scheme is on the default file system."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(found).toString()
 
 
 def locate(path: str) -> tuple[fs.FileSystem, str]:

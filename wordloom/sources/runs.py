@@ -38,10 +38,11 @@ def read_triples(spark: SparkSession, *paths: str, triples_per_split: int = _TRI
 def _read_splits(batches: Iterator[pa.RecordBatch], step: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for split in batch.to_pylist():
-            yield from _read_split(split["path"], split["length"], split["start"], step)
+            yield from read_range(split["path"], split["length"], split["start"], step)
 
 
-def _read_split(path: str, length: int, start: int, step: int) -> Iterator[pa.RecordBatch]:
+def read_range(path: str, length: int, start: int, step: int) -> Iterator[pa.RecordBatch]:
+    """TRIPLES from byte ``start`` of a file of ``length`` bytes, ``step`` bytes at most."""
     if length % TRIPLE_BYTES:
         raise ValueError(f"{path}: {length} bytes are no whole number of records")
     left = min(step, length - start)

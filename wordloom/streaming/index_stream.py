@@ -91,6 +91,19 @@ def _tokens_and_words(pages: DataFrame, batch: int, root: str) -> tuple[DataFram
     return tokens, *_extend(dictionaries.word_firsts(tokens), root, "lexicon", "word", "word_id", dictionaries.WORD_ORDER, batch)
 
 
+def add_run(found: DataFrame, batch: int, root: str, degree: int = DEGREE) -> None:
+    """Append a run of postings (word_id, doc_id, tf) made elsewhere; a batch that is committed already is left alone."""
+    state = Snapshots(found.sparkSession, root)
+    now = state.read()
+    if batch > now.last_batch("runs"):
+        state.commit(now.changed([_write(runs.by_posting(found), root, "runs", batch)]))
+        merge_tiers(found.sparkSession, root, degree)
+
+
+def last_version(spark: SparkSession, root: str) -> int:
+    return Snapshots(spark, root).read().version
+
+
 def live_runs(spark: SparkSession, root: str) -> list[Part]:
     """The runs that the last version holds."""
     return Snapshots(spark, root).read().of("runs")

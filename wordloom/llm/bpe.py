@@ -22,6 +22,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wordloom.llm.words import frugal
+
 #: Words whose codes a worker keeps from batch to batch; beyond it forgets them and starts anew.
 KEPT_WORDS = 600_000
 #: Words encoded together.
@@ -304,7 +306,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", dec
                     made.append(pa.array([decode_ids(vocabulary, flat[i:j]) for i, j in zip(at, at[1:])], pa.string()))
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], *made], names=[*kept, *new])
 
-    return docs.select(*kept, text).mapInArrow(coded, schema)
+    return docs.select(*kept, text).mapInArrow(frugal(coded), schema)
 
 
 def decode(rows: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -318,4 +320,4 @@ def decode(rows: DataFrame, path: str, ids: str = "ids", text: str = "decoded")
             texts = [None if c is None else decode_ids(vocabulary, c) for c in batch.column(ids).to_pylist()]
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(texts, pa.string())], names=[*kept, text])
 
-    return rows.select(*kept).mapInArrow(decoded, schema)
+    return rows.select(*kept).mapInArrow(frugal(decoded), schema)

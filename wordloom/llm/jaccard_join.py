@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.llm.components import components
-from wordloom.llm.words import Chunk, chunks, mixed
+from wordloom.llm.words import Chunk, chunks, frugal, mixed
 from wordloom.plans.stages import stage
 
 #: Counters of shingles by their hash, for an order with rare ones first; any counts give right results.
@@ -65,7 +65,7 @@ def near_duplicates(docs: DataFrame, measure: Measure = Measure(), doc_id: str =
     so are sets. An empty table gives an empty result.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    made = stage(rows.mapInArrow(_nodes(measure), NODES), "shingle_nodes").table
+    made = stage(rows.mapInArrow(frugal(_nodes(measure)), NODES), "shingle_nodes").table
     nodes = made.where("slice IS NULL").select("doc_id", "node", "n")
     links = _links(rows, made, nodes, measure, region_shingles)
     roots = components(links)
@@ -80,7 +80,7 @@ def near_duplicates(docs: DataFrame, measure: Measure = Measure(), doc_id: str =
 
 def _links(rows: DataFrame, made: DataFrame, nodes: DataFrame, measure: Measure, region_shingles: int) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(_counters(made))
-    rare = rows.mapInArrow(_rare(measure, shared), "shingle long, node long, n long")
+    rare = rows.mapInArrow(frugal(_rare(measure, shared)), "shingle long, node long, n long")
     met = rare.groupBy("shingle").agg(F.min("node").alias("pivot"), F.max("node").alias("_last")).where("pivot < _last").select("shingle", "pivot")
     pairs = rare.join(met, "shingle").groupBy("pivot", "node").agg(F.max("n").alias("n"))
     pairs = stage(_of_like_size(stage(pairs, "region_nodes").table, measure), "region_pairs").table
@@ -120,7 +120,7 @@ def _of_like_size(pairs: DataFrame, measure: Measure) -> DataFrame:
 def _with_texts(rows: DataFrame, nodes: DataFrame, members: DataFrame, measure: Measure) -> DataFrame:
     """members, a stored table, with their texts: those of each node's smallest doc_id, so that copies are left out."""
     first = nodes.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("_first"))
-    keyed = rows.mapInArrow(_keyed(measure, _filter(members)), "doc_id long, node long, text string")
+    keyed = rows.mapInArrow(frugal(_keyed(measure, _filter(members))), "doc_id long, node long, text string")
     held = members.join(first, "node")
     return keyed.join(held, (keyed["node"] == held["node"]) & keyed["doc_id"].eqNullSafe(held["_first"])).select(
         *[held[c] for c in members.columns], "text"
@@ -150,7 +150,7 @@ def _filter(members: DataFrame):
         return pa.table({"slice": rows.column("slice")[:1].combine_chunks(), "flags": pa.array([total.tobytes()], pa.binary())})
 
     types = "slice int, flags binary"
-    parts = members.select("node").mapInArrow(marked, types).groupBy("slice").applyInArrow(joined, types).collect()
+    parts = members.select("node").mapInArrow(frugal(marked), types).groupBy("slice").applyInArrow(joined, types).collect()
     packed = {row["slice"]: np.frombuffer(row["flags"], np.uint8) for row in parts}
     flags = np.concatenate([packed.get(i, np.zeros(size, np.uint8)) for i in range(_SLICES)])
     return members.sparkSession.sparkContext.broadcast(np.unpackbits(flags).astype(bool))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.llm.words import chunks, mixed, powers, prefix_hashes, span_hashes
+from wordloom.llm.words import chunks, frugal, mixed, powers, prefix_hashes, span_hashes
 from wordloom.plans.stages import stage
 
 MIN_CHARS = 10
@@ -82,7 +82,7 @@ def hashed_lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                     names=["doc", "no_doc", "text_key", "line_no", "h1", "h2"],
                 )
 
-    return rows.mapInArrow(hashed, LINES)
+    return rows.mapInArrow(frugal(hashed), LINES)
 
 
 def _second_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:

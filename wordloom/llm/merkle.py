@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wordloom.llm.words import frugal
 from wordloom.plans.stages import stage
 
 ARITY = 16
@@ -210,7 +211,7 @@ def _descend(blocks: DataFrame, paths: DataFrame, height: int) -> DataFrame:
                     ["tree", "id", "pos", "path"],
                 )
 
-    return blocks.join(paths, ["tree", "block"]).select("tree", "block", "n", "ids", "nodes", "path").mapInArrow(follow, f"tree long, id long, pos long, path {_PATH}")
+    return blocks.join(paths, ["tree", "block"]).select("tree", "block", "n", "ids", "nodes", "path").mapInArrow(frugal(follow), f"tree long, id long, pos long, path {_PATH}")
 
 
 def _paths(layers: list[DataFrame], tops: DataFrame, height: int) -> DataFrame:
@@ -265,5 +266,5 @@ def proofs(manifest: Manifest, height: int = HEIGHT) -> DataFrame:
                 })
 
     return manifest.blocks[0].join(below, ["tree", "block"]).select("n", "ids", "claimed", "nodes", "subroot", "path").mapInArrow(
-        fold, "id long, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean"
+        frugal(fold), "id long, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean"
     )

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.llm.words import PUNCTUATION, Chunk, chunks
+from wordloom.llm.words import PUNCTUATION, Chunk, chunks, frugal
 from wordloom.plans.stages import stage
 
 #: Bound of the fit: labelled examples of each label.
@@ -177,7 +177,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", examples: int
                     names=["doc_id", "label", "term", "n", "before"],
                 )
 
-    postings = stage(texts.select("doc_id", "label", "text").mapInArrow(counted, "doc_id long, label int, term long, n long, before long"), "toxicity_terms").table
+    postings = stage(texts.select("doc_id", "label", "text").mapInArrow(frugal(counted), "doc_id long, label int, term long, n long, before long"), "toxicity_terms").table
     in_sample = {value: min(examples, sizes.get(value, 0)) for value in (0, 1)}
     vocabulary, gain = _vocabulary(postings, in_sample, terms)
     frequency, total = _frequencies(docs, vocabulary)
@@ -205,7 +205,7 @@ def _placed(postings: DataFrame, vocabulary: np.ndarray, doc_ids: np.ndarray) ->
             )
 
     once = postings.groupBy("doc_id", "term").agg(F.max("n").cast("int").alias("n"))
-    rows = once.mapInArrow(placed, "term int, example int, n int").toArrow()
+    rows = once.mapInArrow(frugal(placed), "term int, example int, n int").toArrow()
     return [np.array(rows.column(c).to_numpy()) for c in ("term", "example", "n")]
 
 
@@ -249,7 +249,7 @@ def _frequencies(docs: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray, i
         at = np.append(-1, np.flatnonzero(seen))
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(np.append(texts, seen[at[1:]]))], names=["term", "n"])
 
-    sums = docs.select("text").mapInArrow(counted, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    sums = docs.select("text").mapInArrow(frugal(counted), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(len(vocabulary) + 1, np.int64)  # the last one is that of term -1, all texts
     counts[sums.column("term").to_numpy()] = sums.column("n").to_numpy()
     return counts[:-1].astype(float), int(counts[-1])
@@ -361,7 +361,7 @@ def score(docs: DataFrame, index: Index, neighbours: int = NEIGHBOURS) -> DataFr
                     names=[*kept, *new],
                 )
 
-    made = docs.select(*kept, "text").mapInArrow(scored, schema)
+    made = docs.select(*kept, "text").mapInArrow(frugal(scored), schema)
     return made.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 

@@ -6,9 +6,10 @@ megabytes, so a task's memory follows the chunk or its longest text, never the n
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, wraps
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,45 @@ _LOWER[65:91] += 32
 _powers: list[np.ndarray] = [np.ones(1, _U), np.ones(1, _U)]
 
 
+#: A malloc option of the C library: blocks from this size on are mapped, and so given back when they are freed.
+_MMAP_THRESHOLD = -3
+_MAPPED_BYTES = 1 << 18
+
+
+def _libc() -> ctypes.CDLL | None:
+    try:
+        libc = ctypes.CDLL(None)
+        libc.mallopt, libc.malloc_trim  # noqa: B018  other C libraries lack them
+    except (OSError, AttributeError):
+        return None
+    return libc
+
+
+if (_LIBC := _libc()) is not None:
+    # Workers stay alive between tasks and stages; what one stage has needed must not add to the next.
+    _LIBC.mallopt(_MMAP_THRESHOLD, _MAPPED_BYTES)
+    pa.set_memory_pool(pa.system_memory_pool())
+
+
+def give_back() -> None:
+    """Return freed memory to the system."""
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
+
+
+def frugal(function: Callable) -> Callable:
+    """A task function over batches that gives its memory back when it ends."""
+
+    @wraps(function)
+    def run(batches):
+        try:
+            yield from function(batches)
+        finally:
+            give_back()
+
+    return run
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """64-bit values with their bits spread (splitmix64's last steps)."""
     x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)

@@ -14,20 +14,22 @@ Equal vectors are one node. A cell above ``CELL`` members is cut into tiles, pai
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.llm.components import components
+from wordloom.llm.words import frugal
 from wordloom.plans.stages import stage
 
 BLOCK = 8
 #: Members that a cell, or a part of one, may have at most.
-CELL = 1024
+CELL = 4096
 _SEED = 20240601
 _SLACK = 1e-9
 _KEY = ["label", "dims", "part", "cell"]
@@ -73,16 +75,26 @@ def _matrix(column: pa.Array, dims: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), dims)
 
 
-def grid_dims(n: int, dims: int, side: float, width: int, cell: int = CELL) -> int:
-    """Dimensions of a block that its grid cuts: as many as make cells of usual size small, for so many vectors."""
+def grid_dims(n: int, dims: int, side: float, width: int) -> int:
+    """Dimensions of a block that its grid cuts, for so many vectors: those that cost least.
+
+    Each further one makes cells smaller and visits to other cells more. A row costs some two thousand times
+    what a comparison of two does.
+    """
     cuts = max(1.5, 2.5 / (np.sqrt(dims) * side))
-    return int(np.clip(np.ceil(np.log(max(1, 4 * n / cell)) / np.log(cuts)), 1, width))
+
+    def cost(cut: int) -> float:
+        # Volumes of balls of half a side's radius, over the faces that they can cross.
+        touched = sum(math.comb(cut, j) * math.pi ** (j / 2) / math.gamma(j / 2 + 1) / 2**j for j in range(1, cut + 1))
+        return (1 + touched / 2) * (2000 + n / (2 * cuts**cut))
+
+    return min(range(1, width + 1), key=cost)
 
 
-def _cells(points: np.ndarray, part: slice, radius: float, n: int, block: int, cell: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _cells(points: np.ndarray, part: slice, radius: float, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rows, cells and whether home: each vector in its own cell and in those before it that its range touches."""
     dims, side = points.shape[1], 2 * radius * (1 + 1e-6)
-    cut = grid_dims(n, dims, side, part.stop - part.start, cell)
+    cut = grid_dims(n, dims, side, part.stop - part.start)
     at = points[:, part][:, :cut] / side
     home = np.floor(at)
     inside = at - home
@@ -102,7 +114,7 @@ def _cells(points: np.ndarray, part: slice, radius: float, n: int, block: int, c
     return np.concatenate(rows), np.concatenate(cells).astype(">i4"), np.concatenate(homes)
 
 
-def _met(nodes: DataFrame, budget: float, block: int, cell: int) -> DataFrame:
+def _met(nodes: DataFrame, budget: float, block: int) -> DataFrame:
     """(label, dims, part, cell, node, home, at): the coordinates of vectors in one block, once for each cell they meet."""
     out = pa.schema([("label", pa.string()), ("dims", pa.int32()), ("part", pa.int32()), ("cell", pa.binary()), ("node", pa.int64()), ("home", pa.bool_()), ("at", pa.binary())])
 
@@ -110,7 +122,7 @@ def _met(nodes: DataFrame, budget: float, block: int, cell: int) -> DataFrame:
         for whole in batches:
             table = pa.table(whole)
             for dims in set(table["dims"].to_pylist()):
-                same = table.filter(pa.compute.equal(table["dims"], dims)).combine_chunks()
+                same = table.filter(pc.equal(table["dims"], dims)).combine_chunks()
                 points = turned(_matrix(same["v"].combine_chunks(), dims))
                 label, node, counts = same["label"], same["node"].to_numpy(), same["n"].to_numpy()
                 cuts = _cuts(dims, block)
@@ -119,7 +131,7 @@ def _met(nodes: DataFrame, budget: float, block: int, cell: int) -> DataFrame:
                     chosen = np.flatnonzero(counts == n)
                     for i, part in enumerate(cuts):
                         radius = np.sqrt(budget * (part.stop - part.start) / dims) + _SLACK
-                        rows, cells, homes = _cells(points[chosen], part, radius, int(n), block, cell)
+                        rows, cells, homes = _cells(points[chosen], part, radius, int(n))
                         rows = chosen[rows]
                         coordinates = points[rows, part].astype("<f8")
                         yield pa.RecordBatch.from_arrays([
@@ -127,7 +139,7 @@ def _met(nodes: DataFrame, budget: float, block: int, cell: int) -> DataFrame:
                             pa.array([c.tobytes() for c in cells], pa.binary()), pa.array(node[rows]), pa.array(homes), pa.array([c.tobytes() for c in coordinates], pa.binary()),
                         ], schema=out)
 
-    return nodes.select("label", "dims", "node", "n", "v").mapInArrow(meet, "label string, dims int, part int, cell binary, node long, home boolean, at binary")
+    return nodes.select("label", "dims", "node", "n", "v").mapInArrow(frugal(meet), "label string, dims int, part int, cell binary, node long, home boolean, at binary")
 
 
 def _tiled(met: DataFrame, cell: int) -> DataFrame:
@@ -136,7 +148,25 @@ def _tiled(met: DataFrame, cell: int) -> DataFrame:
     parts = F.ceil(F.coalesce("members", F.lit(1)) / cell).cast("int")
     own = met.join(sizes, _KEY, "left").withColumn("parts", parts).withColumn("p", F.pmod(F.xxhash64("node"), "parts").cast("int"))
     met_by = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    return own.withColumn("q", met_by).select(*met.columns, "p", F.least("p", "q").alias("t"), F.greatest("p", "q").alias("u")).repartition(*_KEY, "t", "u")
+    return own.withColumn("q", met_by).select(*met.columns, "p", F.least("p", "q").alias("t"), F.greatest("p", "q").alias("u"))
+
+
+def _by_tile(rows: DataFrame, n: int, function: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
+    """``function`` of each tile's rows. Tiles go to tasks in groups of some 16,000 rows, as most are small."""
+    groups = F.lit(max(1, n >> 14)).cast("long")
+    tile = [*_KEY, "t", "u"]
+
+    def each(table: pa.Table) -> pa.Table:
+        table = table.sort_by([(column, "ascending") for column in tile]).combine_chunks()
+        edge = np.zeros(table.num_rows, bool)
+        edge[0] = True
+        for column in tile:
+            values = table[column].combine_chunks()
+            edge[1:] |= pc.not_equal(values[1:], values[:-1]).to_numpy(zero_copy_only=False)
+        starts = np.flatnonzero(edge)
+        return pa.concat_tables([function(table.slice(i, j - i)) for i, j in zip(starts, np.append(starts[1:], table.num_rows))])
+
+    return rows.withColumn("_group", F.pmod(F.xxhash64(*tile), groups)).groupBy("_group").applyInArrow(each, schema)
 
 
 def _partners(p: np.ndarray, tile: tuple[int, int], home: np.ndarray, at: np.ndarray, budget: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -176,7 +206,7 @@ def near_vectors(vectors: DataFrame, least: float = 0.98, vec_id: str = "vec_id"
     distinct = stage(sized.select("node", "label", "dims", "v"), "distinct_vectors").table
     counts = distinct.groupBy(F.col("label").alias("_label"), F.col("dims").alias("_dims")).agg(F.count("*").alias("n"))
     counted = distinct.join(counts, (F.col("label") == F.col("_label")) & (F.col("dims") == F.col("_dims"))).select("node", "label", "dims", "v", "n")
-    met = stage(_met(counted, budget, block, cell), "vector_cells").table
+    met = stage(_met(counted, budget, block), "vector_cells", n=F.count("*"))
 
     def coordinates(table: pa.Table) -> np.ndarray:
         return np.frombuffer(b"".join(table["at"].to_pylist()), "<f8").reshape(table.num_rows, -1)
@@ -192,9 +222,8 @@ def near_vectors(vectors: DataFrame, least: float = 0.98, vec_id: str = "vec_id"
                 partnered[a] = partnered[b] = True
         return table.select([*_KEY, "t", "u", "p", "home", "node"]).filter(pa.array(partnered))
 
-    flagged = stage(
-        _tiled(met, cell).groupBy(*_KEY, "t", "u").applyInArrow(flag, "label string, dims int, part int, cell binary, t int, u int, p int, home boolean, node long"), "vector_candidates"
-    ).table
+    keys = "label string, dims int, part int, cell binary, t int, u int, p int, home boolean, node long"
+    flagged = stage(_by_tile(_tiled(met.table, cell), met.measured["n"], flag, keys), "vector_candidates", n=F.count("*"))
 
     def verify(table: pa.Table) -> pa.Table:
         dims, part = table["dims"][0].as_py(), table["part"][0].as_py()
@@ -226,8 +255,8 @@ def near_vectors(vectors: DataFrame, least: float = 0.98, vec_id: str = "vec_id"
         ends = [(int(n), None, int(c)) for n, c in zip(node, links) if c] + [(a, b, 0) for a, b in told]
         return pa.table({"a": pa.array([e[0] for e in ends], pa.int64()), "b": pa.array([e[1] for e in ends], pa.int64()), "n": pa.array([e[2] for e in ends], pa.int64())})
 
-    whole = flagged.join(distinct.select("node", "v"), "node").join(nodes.select("node", "copies"), "node")
-    told = stage(whole.groupBy(*_KEY, "t", "u").applyInArrow(verify, "a long, b long, n long"), "vector_links").table
+    whole = flagged.table.join(distinct.select("node", "v"), "node").join(nodes.select("node", "copies"), "node")
+    told = stage(_by_tile(whole, flagged.measured["n"], verify, "a long, b long, n long"), "vector_links").table
     direct = told.where("b IS NULL").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("links"))
     roots = components(told.where("b IS NOT NULL").select("a", "b"))
     grouped = nodes.join(direct, "node", "left").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

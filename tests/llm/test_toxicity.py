@@ -5,8 +5,10 @@ from collections import Counter
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from wordloom.llm.toxicity import NEIGHBOURS, fit, held_out, score
+from wordloom.llm.words import PUNCTUATION, chunks
 
 BAD = ["nasty", "vile", "rotten"]
 
@@ -44,7 +46,7 @@ def test_neighbours_are_those_of_all_examples(corpus):
     docs, labels = corpus
     index = fit(docs, labels, terms=60)
     dense = np.zeros((len(index.doc_ids), len(index.vocabulary)))
-    dense[index.examples, np.repeat(np.arange(len(index.vocabulary)), np.diff(index.starts))] = index.values
+    dense[np.repeat(np.arange(len(index.doc_ids)), np.diff(index.own_starts)), index.own_terms] = index.own_values
     rng = np.random.default_rng(1)
     for _ in range(200):
         terms = np.sort(rng.choice(len(index.vocabulary), min(len(index.vocabulary), int(rng.integers(1, 4))), replace=False))
@@ -56,6 +58,31 @@ def test_neighbours_are_those_of_all_examples(corpus):
         assert got.tolist() == order.tolist() and np.allclose(cosines, all_[order])
 
 
+def test_cosines_are_those_of_whole_texts(corpus, spark):
+    docs, labels = corpus
+    index = fit(docs, labels)
+    place = {t: i for i, t in enumerate(index.vocabulary.tolist())}
+    by_id = {r.doc_id: r.text or "" for r in docs.collect()}
+
+    def vector(text):
+        counts = Counter((text or "").lower().replace(",", " ").replace(".", " ").split())
+        hashes = {w: int(next(chunks(pa.array([w]), apart=PUNCTUATION)).word_hashes[0]) for w in counts}
+        weights = {w: (1 + math.log(n)) * (index.idf[place[hashes[w]]] * index.gain[place[hashes[w]]] if hashes[w] in place else index.other_idf) for w, n in counts.items()}
+        length = math.sqrt(sum(x * x for x in weights.values()))
+        return {w: x / length for w, x in weights.items()}
+
+    examples = {int(i): vector(by_id[int(i)]) for i in index.doc_ids}
+    texts = ["w1 w2 w3 w4 w5", "w1 w2 w3 w4 w5 " + " ".join(f"new{i} new{i % 7}" for i in range(500)), "vile w1 unseen", "unseen"]
+    found = score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), index).collect()
+    for r in found:
+        query = vector(texts[r.doc_id])
+        expected = sorted((round(sum(x * example.get(w, 0.0) for w, x in query.items()), 9) for example in examples.values()), reverse=True)[:NEIGHBOURS]
+        assert np.allclose(r.cosines, [x for x in expected if x > 0], atol=3e-9)
+        assert np.allclose(r.cosines, [sum(x * examples[e].get(w, 0.0) for w, x in query.items()) for e in r.evidence], atol=3e-9)
+    cosines = {r.doc_id: r.cosines for r in found}
+    assert cosines[0][0] > cosines[1][0] and cosines[3] == []
+
+
 def test_frequencies_cover_all_texts(corpus, spark):
     docs, labels = corpus
     index = fit(docs, labels)

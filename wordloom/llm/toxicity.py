@@ -2,8 +2,8 @@
 
 A bounded sample of labelled texts gives the examples; all their terms are indexed. A term weighs by TF-IDF
 and by how it divides the labels, in degrees and never by a cut. Document frequencies are counted over all
-texts. The index has the examples' postings in blocks with the largest weight of each term in a block, so
-whole blocks are passed over, never a neighbour. Distance-weighted votes become scores through rates measured on the examples themselves, each
+texts; a text's terms that no example has count for its length too. The index has the examples' postings in
+blocks with the largest weight of each term in a block, so whole blocks are passed over, never a neighbour. Distance-weighted votes become scores through rates measured on the examples themselves, each
 scored without its own vote.
 """
 
@@ -11,11 +11,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordloom.llm.words import PUNCTUATION, Chunk, chunks, frugal
@@ -31,6 +32,12 @@ FOLDS = 5
 ANSWERS = 10_000
 
 
+#: More than 32 bits can be off in a sum of weights of unit vectors.
+_SLACK = 2e-6
+#: Times k: so few examples are computed in full rather than narrowed down further.
+_FEW = 16
+
+
 def held_out(doc_id: Column | str) -> Column:
     """Rows never learned from: crc32 of the id as text divisible by FOLDS; NULL ids are among them."""
     doc_id = F.col(doc_id) if isinstance(doc_id, str) else doc_id
@@ -53,85 +60,122 @@ def terms_of(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
 
 def _known(chunk: Chunk, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, term, count) of the terms in the sorted vocabulary, terms by their place in it."""
+    pairs, counts = np.unique(_found(chunk, vocabulary)[0], return_counts=True)
+    return pairs // max(1, len(vocabulary)), pairs % max(1, len(vocabulary)), counts
+
+
+def _found(chunk: Chunk, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Text and place in the vocabulary, as one number, of each word that is in it; and which words are not."""
     hashes = chunk.word_hashes
     place = np.minimum(np.searchsorted(vocabulary, hashes), max(0, len(vocabulary) - 1))
-    hit = np.flatnonzero(vocabulary[place] == hashes) if len(vocabulary) else np.zeros(0, np.int64)
+    known = vocabulary[place] == hashes if len(vocabulary) else np.zeros(len(hashes), bool)
+    hit = np.flatnonzero(known)
     row = np.searchsorted(chunk.word_rows, hit, side="right") - 1
-    pairs, counts = np.unique(row * len(vocabulary) + place[hit], return_counts=True)
-    return pairs // max(1, len(vocabulary)), pairs % max(1, len(vocabulary)), counts
+    return row * len(vocabulary) + place[hit], np.flatnonzero(~known)
+
+
+def _others(chunk: Chunk, unknown: np.ndarray) -> np.ndarray:
+    """Per text, the sum of (1 + log count) squared over its terms among the words ``unknown``."""
+    row, hashes = np.searchsorted(chunk.word_rows, unknown, side="right") - 1, chunk.word_hashes[unknown]
+    order = np.lexsort((hashes, row))
+    row, hashes = row[order], hashes[order]
+    first = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (hashes[1:] != hashes[:-1]))) if len(row) else row
+    counts = np.diff(np.append(first, len(row)))
+    return np.bincount(row[first], (1 + np.log(counts)) ** 2, minlength=len(chunk.starts))
 
 
 @dataclass
 class Index:
-    """Examples in blocks; the postings of a term are sorted by example.
+    """Examples in blocks: postings by term, each example's terms, and for each term and block its largest weight there.
 
-    A term has an entry for each block with an example of it: the block, its first posting there and its
-    largest weight there.
+    Postings by term hold weights in 32 bits, as they only tell which examples may be near; cosines come from
+    the examples' own terms in 64.
     """
 
     vocabulary: np.ndarray
     idf: np.ndarray
     gain: np.ndarray
+    other_idf: float
     doc_ids: np.ndarray
     labels: np.ndarray
     weights: np.ndarray
-    starts: np.ndarray
     examples: np.ndarray
     values: np.ndarray
     entry_starts: np.ndarray
     entry_block: np.ndarray
     entry_first: np.ndarray
     entry_max: np.ndarray
+    own_starts: np.ndarray
+    own_terms: np.ndarray
+    own_values: np.ndarray
     rates: np.ndarray
     no_evidence: float
 
-    def vector(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """TF-IDF weights times the terms' gains, of unit length."""
+    def vector(self, terms: np.ndarray, counts: np.ndarray, others: float = 0.0) -> np.ndarray:
+        """TF-IDF weights times the terms' gains, parts of a vector of unit length.
+
+        ``others`` are the text's terms that no example has: they count for its length, with a gain of 1 and
+        the frequency of a term that is in a single text.
+        """
         made = (1 + np.log(counts)) * self.idf[terms] * self.gain[terms]
-        length = np.sqrt((made * made).sum())
+        length = np.sqrt((made * made).sum() + others * self.other_idf**2)
         return made / length if length else made
 
+    @cached_property
+    def _query(self) -> np.ndarray:
+        return np.zeros(len(self.vocabulary))
+
+    @cached_property
+    def _term_max(self) -> np.ndarray:
+        """Largest weight of a term in any block; each has an entry."""
+        return np.maximum.reduceat(self.entry_max, self.entry_starts[:-1]) if len(self.entry_max) else np.zeros(0)
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k not in ("_query", "_term_max")}
+
     def nearest(self, terms: np.ndarray, vector: np.ndarray, k: int = NEIGHBOURS, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of highest cosine over 0, ties to the lower number, and their cosines.
 
-        Blocks go by their bound, the highest first, a few at once and then more; the search ends where a
-        bound is under the k-th cosine.
+        Terms go by the most that they can add, a few at once and then more. After each step the k-th partial
+        sum is a lower bound; a block whose best partial sum and the largest weights of the terms to come in it do
+        not reach that is passed over from then on. What is left in the end is computed in full.
         """
+        blocks = -(-len(self.doc_ids) // BLOCK)
+        order = np.argsort(-vector * self._term_max[terms], kind="stable")
+        terms, vector = terms[order], vector[order]
         entries, of = _ranges(self.entry_starts[terms], self.entry_starts[terms + 1])
-        weights = vector[of]
-        bounds = np.bincount(self.entry_block[entries], weights * self.entry_max[entries], minlength=-(-len(self.doc_ids) // BLOCK))
-        order = np.argsort(-bounds, kind="stable")
-        order = order[: np.count_nonzero(bounds > 0)]
-        falling = -bounds[order]
-        found, cosines, kth = np.zeros(0, np.int64), np.zeros(0), 0.0
-        at, size, end = 0, 4, len(order)
-        while at < end:
-            blocks = order[at : min(at + size, end)]
+        block, most = self.entry_block[entries], vector[of] * self.entry_max[entries]
+        cuts = np.searchsorted(of, np.arange(len(terms) + 1))
+        to_come = np.bincount(block, most, minlength=blocks)
+        live, sums = to_come > 0, np.zeros(blocks * BLOCK)
+        could, kth, at, size = np.zeros(len(sums), bool), 0.0, 0, 8
+        while at < len(terms):
+            step = slice(cuts[at], cuts[min(at + size, len(terms))])
+            to_come -= np.bincount(block[step], most[step], minlength=blocks)
+            kept = np.flatnonzero(live[block[step]]) + step.start
+            places, which = _ranges(self.entry_first[entries[kept]], self.entry_first[entries[kept] + 1])
+            sums += np.bincount(self.examples[places], vector[of[kept]][which] * self.values[places], minlength=len(sums))
             at, size = at + size, 2 * size
-            if len(found) == k:  # others could only tie, with higher numbers
-                blocks = blocks[(bounds[blocks] > kth + 1e-9) | (blocks * BLOCK < found.max())]
-            near, sums = self._cosines(entries, weights, blocks, len(bounds))
             if without >= 0:
-                near, sums = near[near != without], sums[near != without]
-            found, cosines = np.append(found, near), np.append(cosines, np.round(sums, 9))
-            best = np.lexsort((found, -cosines))[:k]
-            found, cosines = found[best], cosines[best]
-            if len(found) == k:
-                kth = cosines[-1]
-                end = min(end, int(np.searchsorted(falling, 1e-9 - kth, side="right")))
-        return found, cosines
-
-    def _cosines(self, entries: np.ndarray, weights: np.ndarray, blocks: np.ndarray, of_all: int) -> tuple[np.ndarray, np.ndarray]:
-        """Examples of the blocks with a cosine over 0, and it."""
-        rank = np.full(of_all, -1)
-        rank[blocks] = np.arange(len(blocks))
-        ranks = rank[self.entry_block[entries]]
-        here = np.flatnonzero(ranks >= 0)
-        at, of = _ranges(self.entry_first[entries[here]], self.entry_first[entries[here] + 1])
-        place = ranks[here][of] * BLOCK + self.examples[at] % BLOCK
-        sums = np.bincount(place, weights[here][of] * self.values[at], minlength=len(blocks) * BLOCK)
-        hit = np.flatnonzero(sums > 0)
-        return blocks[hit // BLOCK] * BLOCK + hit % BLOCK, sums[hit]
+                sums[without] = -1.0
+            kth = np.partition(sums, -k)[-k] if len(sums) >= k else 0.0
+            could = sums > 0
+            if kth > 0:
+                could = (sums.reshape(blocks, BLOCK) + (to_come[:, None] + _SLACK) >= kth) & live[:, None]
+                live = could.any(axis=1)
+                could = could.ravel()
+                if np.count_nonzero(could) <= _FEW * k:
+                    break
+        found = np.flatnonzero(could[: len(self.doc_ids)])
+        self._query[terms] = vector
+        places, which = _ranges(self.own_starts[found], self.own_starts[found + 1])
+        cosines = np.round(np.bincount(which, self._query[self.own_terms[places]] * self.own_values[places], minlength=len(found)), 9)
+        self._query[terms] = 0
+        found, cosines = found[cosines > 0], cosines[cosines > 0]
+        best = np.lexsort((found, -cosines))
+        if without >= 0:
+            best = best[found[best] != without]
+        return found[best[:k]], cosines[best[:k]]
 
     def vote(self, found: np.ndarray, cosines: np.ndarray) -> float:
         """Share of the votes for label 1; a vote weighs by nearness and by what its label's sample stands for."""
@@ -185,7 +229,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", examples: int
     chosen = sample.orderBy("doc_id").collect()
     doc_ids = np.array([row["doc_id"] for row in chosen], np.int64)
     labels_ = np.array([row["label"] for row in chosen], float)
-    return _built(vocabulary, idf, gain, doc_ids, labels_, _placed(postings, vocabulary, doc_ids), sizes, in_sample)
+    return _calibrated(docs.sparkSession, _built(vocabulary, idf, gain, total, doc_ids, labels_, _placed(postings, vocabulary, doc_ids), sizes, in_sample))
 
 
 def _placed(postings: DataFrame, vocabulary: np.ndarray, doc_ids: np.ndarray) -> list[np.ndarray]:
@@ -255,7 +299,7 @@ def _frequencies(docs: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray, i
     return counts[:-1].astype(float), int(counts[-1])
 
 
-def _built(vocabulary, idf, gain, doc_ids, labels, postings, sizes, in_sample) -> Index:
+def _built(vocabulary, idf, gain, total, doc_ids, labels, postings, sizes, in_sample) -> Index:
     term, example, n = postings
     value = (1 + np.log(n)) * (idf * gain)[term]
     place = _alike_together(example, term, value, len(doc_ids))
@@ -263,18 +307,20 @@ def _built(vocabulary, idf, gain, doc_ids, labels, postings, sizes, in_sample) -
     example = place[example]
     lengths = np.sqrt(np.bincount(example, value * value, minlength=len(doc_ids)))
     value /= lengths[example]
+    order = np.lexsort((term, example))
+    own = np.searchsorted(example[order], np.arange(len(doc_ids) + 1)), term[order].astype(np.int32), value[order]
     order = np.lexsort((example, term))
     example, term, value = example[order], term[order], value[order]
-    starts = np.searchsorted(term, np.arange(len(vocabulary) + 1))
     new = np.ones(len(term), bool)
     new[1:] = (term[1:] != term[:-1]) | (example[1:] // BLOCK != example[:-1] // BLOCK)
     first = np.flatnonzero(new)
     highest = np.maximum.reduceat(value, first) if len(first) else np.zeros(0)
     stands = np.array([sizes.get(v, 0) / max(1, in_sample[v]) for v in (0, 1)])
-    index = Index(vocabulary, idf, gain, doc_ids, labels, stands[labels.astype(int)] if len(labels) else labels, starts, example, value,
-                  np.searchsorted(first, starts), (example[first] // BLOCK).astype(np.int32), np.append(first, len(term)).astype(np.int32), highest,
-                  np.full(BINS, 0.5), 0.5)
-    return _calibrated(index)
+    return Index(
+        vocabulary, idf, gain, float(np.log((1 + total) / 2) + 1e-6), doc_ids, labels, stands[labels.astype(int)] if len(labels) else labels,
+        example.astype(np.int32), value.astype(np.float32), np.searchsorted(term[first], np.arange(len(vocabulary) + 1)), (example[first] // BLOCK).astype(np.int32),
+        np.append(first, len(term)).astype(np.int32), highest * (1 + 1e-9), *own, np.full(BINS, 0.5), 0.5,
+    )
 
 
 def _alike_together(example: np.ndarray, term: np.ndarray, value: np.ndarray, examples: int, leading: int = 8) -> np.ndarray:
@@ -291,19 +337,37 @@ def _alike_together(example: np.ndarray, term: np.ndarray, value: np.ndarray, ex
     return place
 
 
-def _calibrated(index: Index) -> Index:
+def _votes(spark: SparkSession, index: Index) -> dict[int, float]:
+    """Each example's vote without itself, for those that have neighbours; the examples are spread over the tasks."""
+    shared = spark.sparkContext.broadcast(index)
+
+    def voted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = shared.value
+        for batch in batches:
+            numbers, votes = [], []
+            for i in batch.column("id").to_pylist():
+                own = slice(index.own_starts[i], index.own_starts[i + 1])
+                found, cosines = index.nearest(index.own_terms[own], index.own_values[own], without=i) if own.stop > own.start else ([], [])
+                if len(found):
+                    numbers.append(i)
+                    votes.append(index.vote(found, cosines))
+            yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), pa.array(votes, pa.float64())], names=["id", "vote"])
+
+    rows = spark.range(0, len(index.doc_ids), numPartitions=4 * spark.sparkContext.defaultParallelism).mapInArrow(frugal(voted), "id long, vote double")
+    found = {row["id"]: row["vote"] for row in rows.collect()}  # as many as examples at most
+    shared.destroy()
+    return found
+
+
+def _calibrated(spark: SparkSession, index: Index) -> Index:
     """Rates of label 1 by vote, each example scored without itself; rising with the vote, and smoothed."""
     hits, ones = np.zeros(BINS), np.zeros(BINS)
     none, none_ones = 0.0, 0.0
-    order = np.lexsort((np.arange(len(index.examples)), index.examples))
-    by_example = np.searchsorted(index.examples[order], np.arange(len(index.doc_ids) + 1))
-    term_of = np.repeat(np.arange(len(index.vocabulary)), np.diff(index.starts))
+    votes = _votes(spark, index) if len(index.doc_ids) else {}
     for i in range(len(index.doc_ids)):
-        own = order[by_example[i] : by_example[i + 1]]
-        found, cosines = index.nearest(term_of[own], index.values[own], without=i) if len(own) else (own, own)
         weight, label = index.weights[i], index.labels[i]
-        if len(found):
-            b = min(BINS - 1, int(index.vote(found, cosines) * BINS))
+        if i in votes:
+            b = min(BINS - 1, int(votes[i] * BINS))
             hits[b] += weight
             ones[b] += weight * label
         else:
@@ -342,15 +406,18 @@ def score(docs: DataFrame, index: Index, neighbours: int = NEIGHBOURS) -> DataFr
         index, seen = shared.value, {}
         for batch in batches:
             for chunk in chunks(batch.column("text"), lower=True, apart=PUNCTUATION):
-                row, term, n = _known(chunk, index.vocabulary)
+                pairs, unknown = _found(chunk, index.vocabulary)
+                pairs, n = np.unique(pairs, return_counts=True)
+                row, term = pairs // max(1, len(index.vocabulary)), pairs % max(1, len(index.vocabulary))
+                others = _others(chunk, unknown)
                 cuts = np.searchsorted(row, np.arange(len(chunk.starts) + 1)).tolist()
                 scores, evidence, cosines = [], [], []
-                for start, end in zip(cuts, cuts[1:]):
-                    key = blake2b(term[start:end].tobytes() + n[start:end].tobytes(), digest_size=16).digest()
+                for start, end, other in zip(cuts, cuts[1:], others):
+                    key = blake2b(term[start:end].tobytes() + n[start:end].tobytes() + other.tobytes(), digest_size=16).digest()
                     if key not in seen:
                         if len(seen) >= ANSWERS:
                             seen.clear()
-                        seen[key] = _answer(index, term[start:end], n[start:end], neighbours)
+                        seen[key] = _answer(index, term[start:end], n[start:end], other, neighbours)
                     value, near, cosine = seen[key]
                     scores.append(value)
                     evidence.append(near)
@@ -365,8 +432,8 @@ def score(docs: DataFrame, index: Index, neighbours: int = NEIGHBOURS) -> DataFr
     return made.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
-def _answer(index: Index, terms: np.ndarray, counts: np.ndarray, k: int) -> tuple[float, list[int], list[float]]:
-    found, cosines = index.nearest(terms, index.vector(terms, counts), k) if len(terms) else ([], [])
+def _answer(index: Index, terms: np.ndarray, counts: np.ndarray, others: float, k: int) -> tuple[float, list[int], list[float]]:
+    found, cosines = index.nearest(terms, index.vector(terms, counts, others), k) if len(terms) else ([], [])
     if not len(found):
         return index.score(None), [], []
     return index.score(index.vote(found, cosines)), index.doc_ids[found].tolist(), cosines.tolist()

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.llm.words import Chunk, chunks
+from wordloom.llm.words import Chunk, chunks, give_back
 
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_upper_words", "n_lines", "n_dup_lines", "n_repeat_words"]
 REPEAT_WINDOW = 5
@@ -78,24 +78,34 @@ def ledger(docs: DataFrame, text: str = "text", rules: list[Rule] = RULES) -> Da
     shuffled. Columns of docs that are named like a measurement are replaced by it.
     """
     kept = [c for c in docs.columns if c not in [text, *MEASURES, "failed"]]
-    schema = docs.select(*kept, text).limit(0).withColumns({m: F.lit(0).cast("long") for m in MEASURES}).drop(text).schema
-
-    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for chunk in chunks(batch.column(text)):
-                rows = batch.slice(chunk.first, chunk.last - chunk.first)
-                found = measure(chunk)
-                yield pa.RecordBatch.from_arrays(
-                    [*[rows.column(c) for c in kept], *[pa.array(found[m], pa.int64()) for m in MEASURES]],
-                    names=[*kept, *MEASURES],
-                )
-
-    made = docs.select(*kept, text).mapInArrow(measured, schema)
+    found = docs.select(*kept, measurements(F.col(text)).alias("_found"))
+    made = found.select(*kept, *[F.col(f"_found.{m}").alias(m) for m in MEASURES])
+    return made.withColumn("failed", failed_bits(rules))
+
+
+def measurements(text: Column) -> Column:
+    """A struct of the MEASURES of each text. Only the text goes to Python, and only numbers come back."""
+
+    @F.arrow_udf(", ".join(f"{m} long" for m in MEASURES))
+    def measured(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        try:
+            for batch in batches:
+                parts = [measure(chunk) for chunk in chunks(batch)]
+                columns = [np.concatenate([np.asarray(part[m], np.int64) for part in parts] or [np.zeros(0, np.int64)]) for m in MEASURES]
+                yield pa.StructArray.from_arrays([pa.array(c) for c in columns], MEASURES)
+        finally:
+            give_back()
+
+    return measured(text)
+
+
+def failed_bits(rules: list[Rule] = RULES) -> Column:
+    """A bit for each rule that the measurements in the row fail."""
     bits = [F.when(F.expr(rule.fails), F.lit(1 << rule.bit)).otherwise(F.lit(0)).cast("long") for rule in rules]
     failed = F.lit(0).cast("long")
     for bit in bits:
         failed = failed.bitwiseOR(bit)
-    return made.withColumn("failed", failed)
+    return failed
 
 
 def passes(policy: Policy, failed: Column | str = "failed") -> Column:

@@ -15,10 +15,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.llm.words import Chunk, chunks, mixed, powers, prefix_hashes
+from wordloom.llm.words import Chunk, chunks, frugal, mixed, powers, prefix_hashes
 from wordloom.plans.stages import stage
 
 LENGTH = 200
@@ -55,7 +56,8 @@ def dedup_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     sizes = rows.agg(F.sum(F.octet_length("data")).alias("bytes")).first()
     runs = max(1, -(-(sizes["bytes"] or 0) // run_bytes))
     placed = rows.withColumn("run", F.pmod(F.xxhash64("k", "doc_id"), F.lit(runs)))
-    anchors = placed.where(F.octet_length("data") >= length).select("k", "run", "data").mapInArrow(_anchors(length, gram), ANCHORS)
+    scanned = placed.where(F.octet_length("data") >= length).select("k", "run", "data").mapInArrow(frugal(_anchors(length, gram)), ANCHORS)
+    anchors = stage(scanned, "passage_scan").table
     met = anchors.groupBy("h").agg(F.min("at").alias("_first"), F.max("at").alias("_last"), F.count("*").alias("_n")).where("_first < _last")
     again = stage(met.select("h", (F.col("_n") > hot_items).alias("hot")), "passage_pieces").table
     found = anchors.join(again, "h").groupBy("k", "pos").agg(
@@ -143,7 +145,7 @@ class Run:
         self.keys = texts.column("k").to_pylist()
         self.data = texts.column("data").to_pylist()
         row_of = {k: i for i, k in reversed(list(enumerate(self.keys)))}
-        anchors = facts.filter(pa.compute.is_valid(facts.column("pos")))
+        anchors = facts.filter(pc.is_valid(facts.column("pos")))
         items = []
         for k, pos, low, high, hot in zip(*(anchors.column(c).to_pylist() for c in ("k", "pos", "low", "high", "hot"))):
             row = row_of[k]
@@ -346,10 +348,10 @@ def matched(shared: np.ndarray, lefts: list[bytes], lows: np.ndarray, repeats: n
 
 def _cut(length: int, gram: int):
     def made(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        is_range = pa.compute.is_valid(answers.column("item"))
-        facts, ranges = answers.filter(pa.compute.invert(is_range)), answers.filter(is_range)
+        is_range = pc.is_valid(answers.column("item"))
+        facts, ranges = answers.filter(pc.invert(is_range)), answers.filter(is_range)
         run = Run(texts, facts, length)
-        copied = set(facts.filter(pa.compute.is_null(facts.column("pos"))).column("k").to_pylist())
+        copied = set(facts.filter(pc.is_null(facts.column("pos"))).column("k").to_pylist())
         item, low, high = (ranges.column(c).to_numpy().astype(np.int64) for c in ("item", "low", "high"))
         first, after = np.searchsorted(run.item_of, item), np.searchsorted(run.item_of, item, side="right")
         each = np.repeat(np.arange(len(item)), after - first)

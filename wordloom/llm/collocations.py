@@ -18,14 +18,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wordloom.llm.words import chunks, mixed, prefix_hashes, span_hashes
+from wordloom.llm.words import chunks, frugal, give_back, mixed, prefix_hashes, span_hashes
 from wordloom.plans.stages import stage
 
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 #: Words of the corpus that a hash range stands for at most: some 60 MB in the task that adds it up.
 RANGE_WORDS = 8 << 20
 _BREAK = re.compile(rb"[.,;:!?\x0A-\x0D]")
@@ -44,7 +45,7 @@ class FmIndex:
         self.bwt = bwt
         self.first = np.repeat(np.arange(len(counts := np.bincount(bwt)), dtype=bwt.dtype), counts)
         #: Where the suffix that follows by one word stands: the inverse of the last-to-first mapping.
-        self.onward = np.argsort(bwt, kind="stable")
+        self.onward = np.argsort(bwt, kind="stable").astype(np.int32)
 
     @staticmethod
     def transform(ids: np.ndarray, depth: int) -> np.ndarray:
@@ -63,12 +64,12 @@ class FmIndex:
     def intervals(self, depth: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
         """For phrases of 1 to ``depth`` words: their words by row, counts, and occurrences with a word before and after."""
         n = len(self.bwt)
-        at, word = np.arange(n), self.first
+        at, word = np.arange(n, dtype=np.int32), self.first
         words: list[np.ndarray] = []
         edge = np.zeros(n, bool)
         edge[:1] = True
         whole = np.ones(n, bool)
-        before = np.append(0, np.cumsum(self.bwt != 0))
+        before = np.append(np.int32(0), np.cumsum(self.bwt != 0, dtype=np.int32))
         for _ in range(depth):
             words.append(word)
             whole = whole & (word != 0)
@@ -78,7 +79,7 @@ class FmIndex:
             ends = np.append(starts[1:], n)
             at = self.onward[at]
             word = self.first[at]
-            after = np.append(0, np.cumsum(word != 0))
+            after = np.append(np.int32(0), np.cumsum(word != 0, dtype=np.int32))
             kept = whole[starts]
             lo, hi = starts[kept], ends[kept]
             yield np.array([w[lo] for w in words]).T, hi - lo, before[hi] - before[lo], after[hi] - after[lo]
@@ -118,18 +119,30 @@ def _shards(docs: DataFrame, depth: int, shard_bytes: int) -> DataFrame:
                 # A word of two languages is two words.
                 both, ids = np.unique(words.indices.to_numpy().astype(np.int64) * len(names) + lang, return_inverse=True)
                 dictionary = words.dictionary.take(pa.array(both // len(names))).to_pylist()
-                breaks = np.cumsum(_BREAKS[chunk.data])
+                breaks = np.cumsum(_BREAKS[chunk.data], dtype=np.int32)
                 ends_piece = np.append(np.flatnonzero(np.diff(breaks[starts])), len(starts) - 1)
                 sequence = np.insert(ids + 1, ends_piece + 1, 0).astype(np.int32)
                 yield pa.RecordBatch.from_pydict({
                     "shard": pa.array([made], pa.int64()), "n_words": [len(starts)], "langs": [names],
                     "lang_words": pa.array([np.bincount(lang, minlength=len(names))]),
-                    "dictionary": [b"\n".join(dictionary)], "word_langs": [(both % len(names)).astype(np.int32).tobytes()],
-                    "bwt": [FmIndex.transform(sequence, depth).tobytes()],
+                    "dictionary": [b"\n".join(dictionary)], "word_langs": [packed((both % len(names)).astype(np.int32))],
+                    "bwt": [packed(FmIndex.transform(sequence, depth))],
                 })
                 made += 1
 
-    return docs.select("text", "lang").mapInArrow(index, SHARD)
+    return docs.select("text", "lang").mapInArrow(frugal(index), SHARD)
+
+
+def packed(values: np.ndarray) -> bytes:
+    """Integers in few bytes: equal places of all numbers stand together, then zstd."""
+    planes = values.view(np.uint8).reshape(len(values), values.itemsize).T
+    return len(values).to_bytes(8, "little") + pa.compress(np.ascontiguousarray(planes).tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes, kind: type) -> np.ndarray:
+    n, size = int.from_bytes(data[:8], "little"), np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.decompress(data[8:], n * size, codec="zstd", asbytes=True), np.uint8).reshape(size, n)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
 def _hashed(row: dict) -> np.ndarray:
@@ -140,12 +153,12 @@ def _hashed(row: dict) -> np.ndarray:
     names = [np.frombuffer((lang or "").encode(), np.uint8) for lang in row["langs"]]
     langs = np.array([span_hashes(prefix_hashes(n), np.array([0]), np.array([len(n)]))[0] for n in names], _U)
     words = span_hashes(prefix_hashes(blob), starts, ends)
-    return np.append(_U(0), mixed(words ^ mixed(langs[np.frombuffer(row["word_langs"], np.int32)] + _U(1))))
+    return np.append(_U(0), mixed(words ^ mixed(langs[unpacked(row["word_langs"], np.int32)] + _U(1))))
 
 
 def _phrases(row: dict, depth: int, ranges: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """By phrase length: words, counts, neighbours before and after, hash range and 32 bits of hash, sorted by these two."""
-    index, word_hash = FmIndex(np.frombuffer(row["bwt"], np.int32)), _hashed(row)
+    index, word_hash = FmIndex(unpacked(row["bwt"], np.int32)), _hashed(row)
     for words, counts, before, after in index.intervals(depth):
         found = np.zeros(len(words), _U)
         for column in words.T:
@@ -175,14 +188,14 @@ def _frequent(shards: DataFrame, n_words: int, depth: int, least: int) -> DataFr
                     yield pa.RecordBatch.from_pydict({
                         "part": pa.array(part[cuts[:-1]], pa.int64()), "shard": pa.array([row["shard"]] * (len(cuts) - 1), pa.int64()),
                         "length": pa.array([length] * (len(cuts) - 1), pa.int32()),
-                        "hashes": pa.array([low[i:j].tobytes() for i, j in zip(cuts, cuts[1:])], pa.binary()),
-                        "counts": pa.array([counts[i:j].tobytes() for i, j in zip(cuts, cuts[1:])], pa.binary()),
+                        "hashes": pa.array([packed(np.diff(low[i:j], prepend=np.uint32(0))) for i, j in zip(cuts, cuts[1:])], pa.binary()),
+                        "counts": pa.array([packed(counts[i:j]) for i, j in zip(cuts, cuts[1:])], pa.binary()),
                     })
 
     def resolve(table: pa.Table) -> pa.Table:
-        hashes = [np.frombuffer(x, np.uint32) for x in table["hashes"].to_pylist()]
+        hashes = [np.cumsum(unpacked(x, np.uint32), dtype=np.uint32) for x in table["hashes"].to_pylist()]
         whole = np.concatenate(hashes)
-        counts = np.concatenate([np.frombuffer(x, small) for x in table["counts"].to_pylist()])
+        counts = np.concatenate([unpacked(x, small) for x in table["counts"].to_pylist()])
         order = np.argsort(whole, kind="stable")
         starts = np.flatnonzero(np.diff(whole[order].astype(np.int64), prepend=-1))
         totals = np.add.reduceat(counts[order].astype(np.int64), starts)
@@ -192,33 +205,35 @@ def _frequent(shards: DataFrame, n_words: int, depth: int, least: int) -> DataFr
         bits = [np.packbits(kept[j - len(h) : j]).tobytes() for h, j in zip(hashes, ends)]
         return pa.table({"shard": table["shard"], "part": table["part"], "length": table["length"], "bits": pa.array(bits, pa.binary())})
 
-    proposed = shards.select("shard", "langs", "dictionary", "word_langs", "bwt").mapInArrow(propose, "part long, shard long, length int, hashes binary, counts binary")
+    proposed = shards.select("shard", "langs", "dictionary", "word_langs", "bwt").mapInArrow(frugal(propose), "part long, shard long, length int, hashes binary, counts binary")
     answers = proposed.groupBy("part", "length").applyInArrow(resolve, "shard long, part long, length int, bits binary")
 
     def send(shard: pa.Table, bits: pa.Table) -> pa.Table:
-        found: dict[str, list] = {"lang": [], "words": [], "a": [], "n_before": [], "n_after": []}
         answered = {(r["length"], r["part"]): r["bits"] for r in _rows(bits)}
+        found: list[pa.Table] = []
         for row in _rows(shard):
-            names = row["dictionary"].split(b"\n")
-            word_langs = np.frombuffer(row["word_langs"], np.int32)
+            names = pa.array([name.decode() for name in row["dictionary"].split(b"\n")])
+            langs, word_langs = pa.array(row["langs"]), unpacked(row["word_langs"], np.int32)
             for length, (words, counts, before, after, part, _) in enumerate(_phrases(row, depth, ranges), 1):
                 cuts = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(part))
                 kept = [np.unpackbits(np.frombuffer(answered[length, int(part[i])], np.uint8), count=int(j - i)) for i, j in zip(cuts, cuts[1:])]
-                chosen = np.flatnonzero(np.concatenate(kept)) if kept else []
-                for i in chosen:
-                    found["lang"].append(row["langs"][word_langs[words[i, 0] - 1]])
-                    found["words"].append([names[w - 1].decode() for w in words[i]])
-                found["a"] += counts[chosen].tolist()
-                found["n_before"] += before[chosen].tolist()
-                found["n_after"] += after[chosen].tolist()
-        kinds = {"lang": pa.string(), "words": pa.list_(pa.string()), "a": pa.int64(), "n_before": pa.int64(), "n_after": pa.int64()}
-        return pa.table({k: pa.array(v, kinds[k]) for k, v in found.items()})
+                chosen = np.flatnonzero(np.concatenate(kept)) if kept else np.zeros(0, np.int64)
+                words = words[chosen]
+                found.append(pa.table({
+                    "lang": langs.take(pa.array(word_langs[words[:, 0] - 1])),
+                    "phrase": pc.binary_join_element_wise(*[names.take(pa.array(column - 1)) for column in words.T], " "),
+                    "length": pa.array(np.full(len(chosen), length, np.int32)),
+                    **{k: pa.array(v[chosen].astype(np.int64)) for k, v in (("a", counts), ("n_before", before), ("n_after", after))},
+                }))
+        give_back()
+        return pa.concat_tables(found)
 
     sent = shards.select("shard", "langs", "dictionary", "word_langs", "bwt").groupBy("shard").cogroup(answers.groupBy("shard")).applyInArrow(
-        send, "lang string, words array<string>, a long, n_before long, n_after long"
+        send, "lang string, phrase string, length int, a long, n_before long, n_after long"
     )
-    summed = sent.groupBy("lang", "words").agg(*[F.sum(c).alias(c) for c in ("a", "n_before", "n_after")])
-    return summed.where(F.col("a") >= least)
+    # A word holds no blank, so the phrase tells its words.
+    summed = sent.groupBy("lang", "phrase", "length").agg(*[F.sum(c).alias(c) for c in ("a", "n_before", "n_after")])
+    return summed.where(F.col("a") >= least).select("lang", F.split("phrase", " ").alias("words"), "a", "n_before", "n_after")
 
 
 def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", most_words: int = 3, least: int = 10, percent: int = 50, top: int = 2000, shard_bytes: int = SHARD_BYTES) -> DataFrame:
@@ -258,8 +273,11 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", most_w
     phrases = kept.join(lowest, ["lang", "words"]).select(
         "lang", F.array_join("words", " ").alias("phrase"), "a", "cut.l", "cut.r", F.col("cut.score").cast("long").alias("score"), "n_before", "n_after"
     )
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    best = phrases.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    # First in some parts of a language, so that few rows are left for the task that ranks it.
+    by = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    parted = phrases.withColumn("_part", F.pmod(F.xxhash64("phrase"), F.lit(8)))
+    leading = parted.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "_part").orderBy(*by))).where(F.col("rank") <= top)
+    best = leading.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*by))).where(F.col("rank") <= top)
     return best.join(sizes, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score", "n_before", "n_after")
 
 

@@ -36,12 +36,12 @@ def line_dedup(docs):
 
 
 def components(docs, k, percent):
-    """{position: (set size, smallest linked doc_id)} of [(doc_id, text)]."""
+    """{position: (set size, smallest linked doc_id, number of links)} of [(doc_id, text)]."""
     sets = []
     for _, text in docs:
         w = words((text or "").translate(LOWER))
         sets.append({tuple(w)} if 0 < len(w) < k else {tuple(w[i : i + k]) for i in range(len(w) - k + 1)})
-    root = list(range(len(docs)))
+    root, links = list(range(len(docs))), [0] * len(docs)
 
     def find(x):
         while root[x] != x:
@@ -53,12 +53,14 @@ def components(docs, k, percent):
             both = len(a & sets[j])
             if a and sets[j] and 100 * both >= percent * (len(a) + len(sets[j]) - both):
                 root[find(i)] = find(j)
+                links[i] += 1
+                links[j] += 1
     least = {}
     for i, (doc_id, _) in enumerate(docs):
         if doc_id is not None:
             r = find(i)
             least[r] = min(least.get(r, doc_id), doc_id)
-    return {i: (len(sets[i]), least.get(find(i))) for i in range(len(docs))}
+    return {i: (len(sets[i]), least.get(find(i)), links[i]) for i in range(len(docs))}
 
 
 def quality(text):

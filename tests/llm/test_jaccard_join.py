@@ -1,10 +1,12 @@
+import random
+
 import brute
 import pytest
 from wordloom.llm.components import components
 from wordloom.llm.jaccard_join import Measure, near_duplicates
 
 
-@pytest.mark.parametrize("k, percent, region", [(4, 85, 1 << 20), (5, 80, 1 << 20), (2, 50, 200), (1, 40, 60)])
+@pytest.mark.parametrize("k, percent, region", [(4, 85, 1 << 20), (5, 80, 1 << 20), (2, 50, 200), (1, 40, 60), (1, 20, 1 << 20), (4, 100, 1 << 20), (3, 85, 100)])
 def test_equals_brute_force(messy, k, percent, region):
     rows = [(r.doc_id, r.text) for r in messy.collect()]
     expected = brute.components(rows, k, percent)
@@ -12,6 +14,31 @@ def test_equals_brute_force(messy, k, percent, region):
     assert sorted(map(repr, map(tuple, found))) == sorted(repr((d, *expected[i])) for i, (d, _) in enumerate(rows))
 
 
+def test_a_small_set_in_a_larger_one(spark):
+    """7 of 16 words: sizes two powers of two apart."""
+    words = [f"w{i}" for i in range(16)]
+    docs = spark.createDataFrame([(1, " ".join(words[:7])), (2, " ".join(words)), (3, "other words")], "doc_id long, text string")
+    found = near_duplicates(docs, Measure(1, 40)).collect()
+    assert sorted(map(tuple, found)) == [(1, 7, 1, 1), (2, 16, 1, 1), (3, 2, 3, 0)]
+
+
+@pytest.mark.parametrize("region", [1 << 20, 2000])
+def test_links_of_a_dense_group(spark, region):
+    """Near copies of one text and copies of those, in one region and in many blocks."""
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(150):
+        words = list(base)
+        for _ in range(rng.randrange(5)):
+            words[rng.randrange(60)] = f"x{rng.randrange(30)}"
+        rows.append((i, " ".join(words)))
+    rows += [(1000 + i, rows[3][1]) for i in range(20)]
+    expected = brute.components(rows, 2, 80)
+    found = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), Measure(2, 80), region_shingles=region).collect()
+    assert sorted(map(tuple, found)) == sorted((d, *expected[i]) for i, (d, _) in enumerate(rows))
+
+
 def test_empty_table(empty):
     assert near_duplicates(empty).collect() == []
 

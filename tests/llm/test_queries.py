@@ -23,7 +23,7 @@ def run(spark, name):
 
 def test_all_are_registered():
     names = entry.queries()
-    assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))
+    assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -42,7 +42,9 @@ def test_equals_its_sql(spark, name):
 def test_jaccard(spark, texts):
     rows = sorted(texts.items())
     expected = brute.components(rows, 4, 85)
-    assert sorted(map(tuple, run(spark, "op2_jaccard_join").collect())) == [(d, *expected[i]) for i, (d, _) in enumerate(rows)]
+    found = run(spark, "op2_jaccard_join")
+    assert found.columns == ["doc_id", "n_shingles", "component_id", "n_links"]
+    assert sorted(map(tuple, found.collect())) == [(d, *expected[i]) for i, (d, _) in enumerate(rows)]
 
 
 def test_secrets(spark, texts):
@@ -62,12 +64,13 @@ def test_suffixes(spark, texts):
 def test_pipeline(spark, texts):
     import corpus_pipeline
     from wordloom.llm.quality import STANDARD, ledger, passes
+    from wordloom.plans.stages import stage
 
     docs = spark.read.parquet(f"{TABLES}/documents.parquet")
     good = corpus_pipeline.quality_rules(spark, docs, TABLES)
     assert good.columns == docs.columns
     assert {r.doc_id for r in good.collect()} == {r.doc_id for r in ledger(docs).where(passes(STANDARD)).collect()}
-    lined = corpus_pipeline.dedup_lines(spark, good, TABLES)
+    lined = stage(corpus_pipeline.dedup_lines(spark, good, TABLES), "lined").table
     assert lined.columns == docs.columns
     rows = [(r.doc_id, r.text) for r in good.collect()]
     expected = brute.line_dedup(rows)

@@ -6,6 +6,10 @@ with; the pivot of a shingle in a band is its smallest node, and a region holds
 triangle inequality members near the pivot are linked through it, and a member further off can only reach
 those whose distance to the pivot differs by no more than the limit: it becomes a pivot for that window in
 turn. Regions of more words than a task should hold are cut into parts, and their windows into blocks.
+
+Links are counted where they are found: a pair that stands in several regions belongs to the one of the
+smallest pivot, and pairs whose distances to the pivot add up to no more than the limit need no comparison. Only links that
+join groups leave a task; components need no others.
 """
 
 from __future__ import annotations
@@ -57,9 +61,9 @@ class Measure:
 
 def near_duplicates(docs: DataFrame, measure: Measure = Measure(), doc_id: str = "doc_id", text: str = "text",
                     region_shingles: int = REGION_SHINGLES) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row.
+    """(doc_id, n_shingles, component_id, n_links) of every row.
 
-    component_id is the smallest doc_id that links lead to. A-Z is lowered; a text with fewer words than a
+    component_id is the smallest doc_id that links lead to, n_links the number of other rows linked directly. A-Z is lowered; a text with fewer words than a
     shingle is one shingle, one without words (NULL, empty) has none and links with nothing. Rows with a NULL
     doc_id are linked but name no component; rows that repeat keep their rows. Shingles are 64-bit hashes, and
     so are sets. An empty table gives an empty result.
@@ -67,22 +71,32 @@ def near_duplicates(docs: DataFrame, measure: Measure = Measure(), doc_id: str =
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     made = stage(rows.mapInArrow(frugal(_nodes(measure)), NODES), "shingle_nodes").table
     nodes = made.where("slice IS NULL").select("doc_id", "node", "n")
-    links = _links(rows, made, nodes, measure, region_shingles)
-    roots = components(links)
-    named = nodes.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
+    found = _links(rows, made, nodes, measure, region_shingles)
+    roots = components(found.where("kind = 0").select("a", "b"))
+    direct = found.where("kind = 3").groupBy(F.col("a").alias("node")).agg(F.sum("b").alias("_links"))
+    named = nodes.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"), F.count("*").alias("_copies"))
     rooted = named.join(roots, "node")
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    found = stage(
-        named.join(roots.join(names, "root"), "node", "left").select("node", F.coalesce("component_id", "least").alias("component_id")), "components"
+    classes = stage(
+        named.join(roots.join(names, "root"), "node", "left").join(direct, "node", "left").select(
+            "node", F.coalesce("component_id", "least").alias("component_id"), (F.col("_copies") - 1 + F.coalesce("_links", F.lit(0))).alias("n_links")
+        ),
+        "components",
     ).table
-    return nodes.join(found, "node", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    return nodes.join(classes, "node", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")
+    )
 
 
 def _links(rows: DataFrame, made: DataFrame, nodes: DataFrame, measure: Measure, region_shingles: int) -> DataFrame:
+    """FOUND: the links that components need (kind 0), and counts of links of a node, to be added up (kind 3)."""
     shared = rows.sparkSession.sparkContext.broadcast(_counters(made))
     rare = rows.mapInArrow(frugal(_rare(measure, shared)), "shingle long, node long, n long")
     met = rare.groupBy("shingle").agg(F.min("node").alias("pivot"), F.max("node").alias("_last")).where("pivot < _last").select("shingle", "pivot")
-    pairs = rare.join(met, "shingle").groupBy("pivot", "node").agg(F.max("n").alias("n"))
+    met = stage(met, "met_shingles").table
+    # Most shingles meet no other node; those are not sent a second time.
+    again = rows.mapInArrow(frugal(_rare(measure, shared, _filter(met.select(F.col("shingle").alias("node"))))), "shingle long, node long, n long")
+    pairs = again.join(met, "shingle").groupBy("pivot", "node").agg(F.max("n").alias("n"))
     pairs = stage(_of_like_size(stage(pairs, "region_nodes").table, measure), "region_pairs").table
     parts = pairs.groupBy("pivot").agg(F.sum("n").alias("_n"), F.min("node").alias("centre")).select(
         "pivot", "centre", F.floor(F.col("_n") / region_shingles + 1).cast("int").alias("parts")
@@ -95,35 +109,45 @@ def _links(rows: DataFrame, made: DataFrame, nodes: DataFrame, measure: Measure,
     members = members.unionByName(
         parts.select("pivot", "centre", F.col("centre").alias("node"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "parts")
     )
-    regions = _with_texts(rows, nodes, stage(members, "region_members").table, measure)
-    found = stage(regions.groupBy("pivot", "part").applyInArrow(_region(measure), FOUND), "region_links", far=F.count_if(F.col("kind") == 1))
-    links = found.table.where("kind = 0").select("a", "b")
-    if found.measured["far"]:
-        links = links.unionByName(_between_parts(rows, nodes, found.table, measure, region_shingles))
+    facts = _facts(nodes, pairs)
+    regions = _with_texts(rows, facts, stage(members, "region_members").table, measure)
+    found = stage(regions.groupBy("pivot", "part").applyInArrow(_region(measure), FOUND), "region_links", apart=F.count_if(F.col("kind") == 1))
+    links = found.table.where("kind <> 1")
+    if found.measured["apart"]:
+        links = links.unionByName(_between_parts(rows, nodes, facts, found.table, measure, region_shingles))
     return links
 
 
+def _facts(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(node, _first, copies, pivots) of the nodes in regions: its smallest doc_id, its rows, and the regions that it is in.
+
+    A node is in no more regions than it has shingles.
+    """
+    regions = pairs.groupBy("node").agg(F.collect_set("pivot").alias("pivots"))
+    copies = nodes.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("_first"), F.count("*").alias("copies"))
+    return stage(copies.join(regions, "node"), "region_facts").table
+
+
 def _of_like_size(pairs: DataFrame, measure: Measure) -> DataFrame:
     """(pivot, node, n) of the members that have another one in their region of a size with which they could link.
 
     Sizes fall into strips as wide as the similarity allows, so two that link are in one strip or in neighbours.
     Strips are counted, so a region of any size is dealt with by partial sums.
     """
-    width = -math.log(measure.percent / 100) * 1.0001
-    strips = pairs.withColumn("strip", F.floor(F.log("n") / width).cast("int"))
+    width = max(-math.log(measure.percent / 100) * 1.0001, 1e-12)
+    strips = pairs.withColumn("strip", F.floor(F.log("n") / width).cast("long"))
     counts = strips.groupBy("pivot", "strip").agg(F.count("*").alias("_n"))
     around = counts.select("pivot", F.explode(F.array(F.col("strip") - 1, "strip", F.col("strip") + 1)).alias("strip"), "_n")
     full = around.groupBy("pivot", "strip").agg(F.sum("_n").alias("_n")).where("_n > 1").select("pivot", "strip")
     return strips.join(full, ["pivot", "strip"]).select("pivot", "node", "n")
 
 
-def _with_texts(rows: DataFrame, nodes: DataFrame, members: DataFrame, measure: Measure) -> DataFrame:
-    """members, a stored table, with their texts: those of each node's smallest doc_id, so that copies are left out."""
-    first = nodes.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("_first"))
+def _with_texts(rows: DataFrame, facts: DataFrame, members: DataFrame, measure: Measure) -> DataFrame:
+    """members, a stored table, with copies, pivots and texts: those of each node's smallest doc_id, so that copies are left out."""
     keyed = rows.mapInArrow(frugal(_keyed(measure, _filter(members))), "doc_id long, node long, text string")
-    held = members.join(first, "node")
+    held = members.join(facts, "node")
     return keyed.join(held, (keyed["node"] == held["node"]) & keyed["doc_id"].eqNullSafe(held["_first"])).select(
-        *[held[c] for c in members.columns], "text"
+        *[held[c] for c in [*members.columns, "copies", "pivots"]], "text"
     )
 
 
@@ -132,7 +156,7 @@ def _places(nodes: np.ndarray) -> np.ndarray:
 
 
 def _filter(members: DataFrame):
-    """Broadcast flags of the places that members' nodes have in the filter."""
+    """Broadcast flags of the places that members' nodes, or other hashes in their stead, have in the filter."""
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flags = np.zeros(1 << FILTER_BITS, bool)
@@ -224,7 +248,9 @@ def _counters(made: DataFrame) -> np.ndarray:
     return out.ravel()
 
 
-def _rare(measure: Measure, shared):
+def _rare(measure: Measure, shared, wanted=None):
+    """(shingle, node, n) of each node's rarest shingles and bands, of those that pass the filter if one is given."""
+
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, seen = shared.value, set()
         for batch in batches:
@@ -236,13 +262,17 @@ def _rare(measure: Measure, shared):
                 order = np.lexsort((hashes, counts[(hashes >> _U(64 - COUNTER_BITS)).astype(np.int64)], row))
                 kept = order[(np.arange(len(order)) - starts[row] < measure.prefix(sizes)[row]) & new[row]]
                 band = np.frexp(sizes.astype(float))[1]  # sizes from 2^(band - 1) up to 2^band
-                also = 100 * sizes >= measure.percent * (1 << band.astype(np.int64))  # could link with the next band
-                more = kept[also[row[kept]]]
-                key = np.append(hashes[kept] + band[row[kept]].astype(_U), hashes[more] + (band[row[more]] + 1).astype(_U))
-                held = row[np.append(kept, more)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(mixed(key).view(np.int64)), pa.array(nodes[held]), pa.array(sizes[held])], names=["shingle", "node", "n"]
-                )
+                key, held = [hashes[kept] + band[row[kept]].astype(_U)], [row[kept]]
+                for further in range(1, math.ceil(math.log2(100 / measure.percent)) + 1):
+                    also = 100 * sizes >= measure.percent * (1 << (band + further - 1).astype(np.int64))  # could link with that band
+                    more = kept[also[row[kept]]]
+                    key.append(hashes[more] + (band[row[more]] + further).astype(_U))
+                    held.append(row[more])
+                found, held = mixed(np.concatenate(key)).view(np.int64), np.concatenate(held)
+                if wanted is not None:
+                    some = wanted.value[_places(found)]
+                    found, held = found[some], held[some]
+                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(nodes[held]), pa.array(sizes[held])], names=["shingle", "node", "n"])
 
     return made
 
@@ -266,18 +296,35 @@ def _keyed(measure: Measure, wanted):
 
 
 class Members:
-    """The shingle sets of some nodes, each once, with postings by shingle."""
-
-    def __init__(self, nodes: pa.ChunkedArray, texts: pa.ChunkedArray, k: int):
-        sets: dict[int, np.ndarray] = {}
-        for node, text in zip(nodes.to_pylist(), texts.to_pylist()):
-            if node not in sets:
-                hashes, _, _ = sets_of(next(chunks(pa.array([text]), lower=True)), k)
-                sets[node] = hashes
-        self.nodes = np.array(sorted(sets), np.int64)
-        self.sets = [sets[n] for n in self.nodes.tolist()]
+    """The shingle sets of some nodes, each once, with postings by shingle; their copies and the regions that they are in."""
+
+    def __init__(self, rows: pa.Table, k: int):
+        first = dict(reversed([(node, i) for i, node in enumerate(rows.column("node").to_pylist())]))
+        self.nodes = np.array(sorted(first), np.int64)
+        at = pa.array([first[node] for node in self.nodes.tolist()], pa.int64())
+        some = rows.take(at)
+        self.sets: list[np.ndarray] = []
+        for chunk in chunks(some.column("text").combine_chunks(), lower=True):
+            hashes, starts, _ = sets_of(chunk, k)
+            self.sets += np.split(hashes, starts[1:-1])
         self.sizes = np.array([len(s) for s in self.sets], np.int64)
+        self.copies = some.column("copies").to_numpy()
+        self._pivots = [np.sort(np.array(p, np.int64)) for p in some.column("pivots").to_pylist()]
         self._postings = None
+        self._regions = None
+
+    def elsewhere(self, x: int, pivot: int) -> np.ndarray:
+        """Which members share a region of a smaller pivot with member x: pairs that belong to that region."""
+        if self._regions is None:
+            lower = [p[p < pivot] for p in self._pivots]
+            flat = np.concatenate([np.zeros(0, np.int64), *lower])
+            order = np.argsort(flat, kind="stable")
+            self._regions = lower, flat[order], np.repeat(np.arange(len(lower)), [len(p) for p in lower])[order]
+        lower, flat, owner = self._regions
+        found = np.zeros(len(self.nodes), bool)
+        for start, end in zip(np.searchsorted(flat, lower[x]), np.searchsorted(flat, lower[x], side="right")):
+            found[owner[start:end]] = True
+        return found
 
     def place(self, node: int) -> int:
         return int(np.searchsorted(self.nodes, node))
@@ -307,12 +354,12 @@ def _rows(kind: int, a: int, b: np.ndarray, distance: np.ndarray) -> tuple[np.nd
 
 
 def _region(measure: Measure):
-    """Links of a region (kind 0); of one in parts also its members far from the pivot (1) and near it (2)."""
+    """Links (kind 0) and their numbers (3) of a region; of one in parts links with the pivot, and all members' distances from it (1)."""
 
     def made(rows: pa.Table) -> pa.Table:
         pivot, parts = rows.column("pivot")[0].as_py(), rows.column("parts")[0].as_py()
         centre = rows.column("centre")[0].as_py()
-        members = Members(rows.column("node"), rows.column("text"), measure.words)
+        members = Members(rows, measure.words)
         p = members.place(centre)
         both = members.shared_with(members.sets[p])
         distance = 1 - both / (members.sizes + members.sizes[p] - both)
@@ -321,14 +368,40 @@ def _region(measure: Measure):
         far = ~near & others
         out = [_rows(0, centre, members.nodes[near], distance[near])]
         if parts > 1:
-            out += [_rows(1, pivot, members.nodes[far], distance[far]), _rows(2, pivot, members.nodes[near], distance[near])]
+            told = others | (rows.column("part")[0].as_py() == 0)  # the pivot is in every part
+            out += [_rows(1, pivot, members.nodes[told], distance[told])]
         else:
             out += window_links(members, near, far, others, distance, measure, p)
+            everyone = np.ones(len(members.nodes), bool)
+            out += counted(members, pivot, everyone, everyone, distance, measure)
         return _found(out)
 
     return made
 
 
+def counted(
+    members: Members, pivot: int, left: np.ndarray, right: np.ndarray, distance: np.ndarray, measure: Measure
+) -> list[tuple[np.ndarray, ...]]:
+    """Numbers of links between members on the left and on the right, a pair once, of pairs that belong to the pivot's region."""
+    links = np.zeros(len(members.nodes), np.int64)
+    for x in np.flatnonzero(left).tolist():
+        # Those on both sides meet from the lower one.
+        own = right & ~members.elsewhere(x, pivot)
+        own[: x + 1] &= ~left[: x + 1] | ~right[x]
+        own[x] = False
+        own &= np.abs(distance - distance[x]) <= measure.reach + 1e-9
+        if not own.any():
+            continue
+        linked = own & (distance + distance[x] <= measure.reach - 1e-9)
+        open_ = own & ~linked
+        if open_.any():
+            linked |= open_ & measure.linked(members.shared_with(members.sets[x]), members.sizes, members.sizes[x])
+        links[x] += members.copies[linked].sum()
+        links[linked] += members.copies[x]
+    some = np.flatnonzero(links)
+    return [(np.full(len(some), 3), members.nodes[some], links[some], np.zeros(len(some)))]
+
+
 def window_links(
     members: Members, near: np.ndarray, far: np.ndarray, others: np.ndarray, distance: np.ndarray, measure: Measure, centre: int
 ) -> list[tuple[np.ndarray, ...]]:
@@ -364,50 +437,49 @@ def _joins(members: Members, x: int, linked: np.ndarray, group: np.ndarray, dist
     return [_rows(0, int(members.nodes[x]), members.nodes[ends], distance[ends])]
 
 
-def _between_parts(rows: DataFrame, nodes: DataFrame, found: DataFrame, measure: Measure, region_shingles: int) -> DataFrame:
-    """Links of the far members of regions in parts: blocks of them meet the blocks within their windows.
+def _between_parts(rows: DataFrame, nodes: DataFrame, facts: DataFrame, found: DataFrame, measure: Measure, region_shingles: int) -> DataFrame:
+    """FOUND within the regions in parts: blocks of their members meet the blocks within their windows, each two once.
 
     Distances are cut into strips as wide as the reach, so a window lies in three of them.
     """
     sizes = nodes.where("n > 0").groupBy("node").agg(F.max("n").alias("n"))
-    held = found.where("kind > 0").select(F.col("a").alias("pivot"), F.col("b").alias("node"), "kind", "distance").join(sizes, "node")
-    held = stage(held.withColumn("strip", F.floor(F.col("distance") / measure.reach).cast("int")), "region_strips").table
-
-    def blocked(some: DataFrame, name: str, words: int) -> DataFrame:
-        cuts = some.groupBy("pivot", "strip").agg(F.sum("n").alias("_n")).select(
-            "pivot", "strip", F.floor(F.col("_n") / words + 1).cast("int").alias("_cuts")
-        )
-        return some.join(cuts, ["pivot", "strip"]).withColumn(name, F.pmod(F.xxhash64("node"), F.col("_cuts")).cast("int")).drop("_cuts")
-
-    far = blocked(held.where("kind = 1"), "far_block", region_shingles // 4)
-    every = blocked(held, "block", region_shingles)
-    far_blocks = far.select("pivot", F.col("strip").alias("far_strip"), "far_block").distinct()
-    blocks = every.select("pivot", "strip", "block").distinct()
-    meetings = stage(
-        far_blocks.withColumn("strip", F.explode(F.array(F.col("far_strip") - 1, "far_strip", F.col("far_strip") + 1))).join(blocks, ["pivot", "strip"]),
-        "region_meetings",
+    held = found.where("kind = 1").select(F.col("a").alias("pivot"), F.col("b").alias("node"), "distance").join(sizes, "node")
+    held = stage(held.withColumn("strip", F.floor(F.col("distance") / max(measure.reach, 1e-9)).cast("long")), "region_strips").table
+    cuts = held.groupBy("pivot", "strip").agg(F.sum("n").alias("_n")).select(
+        "pivot", "strip", F.floor(F.col("_n") / (region_shingles / 2) + 1).cast("int").alias("_cuts")
+    )
+    cells = stage(
+        held.join(cuts, ["pivot", "strip"]).select("pivot", "strip", F.pmod(F.xxhash64("node"), F.col("_cuts")).cast("int").alias("block"), "node", "distance"),
+        "region_cells",
     ).table
-    columns = ["pivot", "far_strip", "far_block", "strip", "block"]
-    left = far.withColumnRenamed("strip", "far_strip").join(meetings, ["pivot", "far_strip", "far_block"]).select(*columns, "node", "distance", F.lit(True).alias("far"))
-    right = every.join(meetings, ["pivot", "strip", "block"]).select(*columns, "node", "distance", F.lit(False).alias("far"))
+    blocks = cells.select("pivot", "strip", "block").distinct()
+    left = blocks.select("pivot", F.col("strip").alias("s"), F.col("block").alias("b"), F.explode(F.array(F.col("strip"), F.col("strip") + 1)).alias("strip"))
+    meetings = stage(left.join(blocks, ["pivot", "strip"]).where("strip > s OR block >= b").select("pivot", "s", "b", F.col("strip").alias("t"), F.col("block").alias("c")), "region_meetings").table
+    columns = ["pivot", "s", "b", "t", "c"]
+
+    def side(strip: str, block: str, number: int, some: DataFrame) -> DataFrame:
+        met = cells.withColumnsRenamed({"strip": strip, "block": block}).join(some, ["pivot", strip, block])
+        return met.select(*columns, "node", "distance", F.lit(number).alias("side"))
+
+    both = side("s", "b", 0, meetings).unionByName(side("t", "c", 1, meetings.where("s <> t OR b <> c")))
 
     def made(group: pa.Table) -> pa.Table:
-        members = Members(group.column("node"), group.column("text"), measure.words)
-        far_here, there, distance = (np.zeros(len(members.nodes), t) for t in (bool, bool, float))
-        for node, is_far, d in zip(*(group.column(c).to_pylist() for c in ("node", "far", "distance"))):
+        members = Members(group, measure.words)
+        left, right, distance = (np.zeros(len(members.nodes), t) for t in (bool, bool, float))
+        for node, number, d in zip(*(group.column(c).to_pylist() for c in ("node", "side", "distance"))):
             at = members.place(node)
-            far_here[at] |= is_far
-            there[at] |= not is_far
+            (right if number else left)[at] = True
             distance[at] = d
-        out: list[tuple[np.ndarray, ...]] = []
+        if not right.any():
+            right = left
+        out = counted(members, group.column("pivot")[0].as_py(), left, right, distance, measure)
         groups = np.arange(len(members.nodes))
-        for x in np.flatnonzero(far_here).tolist():
-            window = there & (np.abs(distance - distance[x]) <= measure.reach + 1e-9)
+        for x in np.flatnonzero(left & (distance > 0)).tolist():
+            window = right & (np.abs(distance - distance[x]) <= measure.reach + 1e-9)
             window[x] = False
-            both = members.shared_with(members.sets[x])
-            linked = np.flatnonzero(window & measure.linked(both, members.sizes, members.sizes[x]))
+            linked = np.flatnonzero(window & measure.linked(members.shared_with(members.sets[x]), members.sizes, members.sizes[x]))
             out += _joins(members, x, linked, groups, distance)
         return _found(out)
 
-    held_texts = _with_texts(rows, nodes, stage(left.unionByName(right), "region_blocks").table, measure)
-    return held_texts.groupBy(*columns).applyInArrow(made, FOUND).select("a", "b")
+    held_texts = _with_texts(rows, facts, stage(both, "region_blocks").table, measure)
+    return held_texts.groupBy(*columns).applyInArrow(made, FOUND)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordloom.llm import bpe, jaccard_join, line_dedup, mixing, quality
-from wordloom.plans.stages import new_folder
+from wordloom.plans.stages import new_folder, stage
 
 #: Five words a shingle and a similarity of 0.8.
 NEAR = jaccard_join.Measure(words=5, percent=80)
@@ -21,9 +21,8 @@ _COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that pass the standard policy."""
-    held = docs.withColumn("_text", F.col("text"))
-    rows = quality.ledger(held.select(*_COLUMNS, "_text"))
-    return rows.where(quality.passes(quality.STANDARD)).select(*[F.col("_text").alias("text") if c == "text" else c for c in _COLUMNS])
+    measured = docs.select(*_COLUMNS, quality.measurements(F.col("text")).alias("_found")).select(*_COLUMNS, "_found.*")
+    return measured.where(quality.passes(quality.STANDARD, quality.failed_bits())).select(*_COLUMNS)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,13 +31,18 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: the one with the smallest id, the first to name it. Rows without an id stay.
+    """One row of each group: that of the smallest id, rows without an id last, and the first of those that tie.
 
-    Documents without words are no group and stay each.
+    Groups are of rows, so copies without an id or with the same id are a group too. Rows without words
+    are no group and stay each.
     """
-    classes = jaccard_join.near_duplicates(docs, NEAR)
-    kept = classes.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*_COLUMNS).unionByName(docs.where("doc_id IS NULL").select(*_COLUMNS))
+    # docs is a stored table, of which every reading numbers the rows alike.
+    rows = docs.select(*_COLUMNS).withColumn("_row", F.monotonically_increasing_id())
+    classes = jaccard_join.near_duplicates(rows, NEAR, doc_id="_row").select(F.col("doc_id").alias("_row"), "component_id")
+    named = rows.select("_row", "doc_id").join(classes, "_row")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row"))
+    kept = stage(named.groupBy("component_id").agg(first.alias("one")).select("one._row"), "near_kept").table
+    return rows.join(kept, "_row", "left_semi").select(*_COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ import tempfile
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wordloom.functions import http, text
@@ -144,6 +144,30 @@ def pair_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _damaged_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of which three in four are damaged: a page cut short, a line without its columns, data after the last page."""
+    root = new_folder(spark, "damaged")
+    in_file = Window.partitionBy("file_no")
+    pages = _pages(spark, sf_dir).withColumn("last", F.col("seq") == F.max("seq").over(in_file)).withColumn("line_no", F.expr("seq % 32"))
+    kind = F.col("file_no") % 4
+    length = F.octet_length("doc") + 1 + F.when(F.col("last") & (kind == 1), 7).otherwise(0)
+    line = F.when((kind == 2) & (F.col("line_no") == 2), F.col("url")).otherwise(F.concat_ws(" ", "url", F.lit("0 0"), length.cast("string")))
+    data = F.concat("doc", F.when(F.col("last") & (kind == 3), F.lit("\nmore")).otherwise(F.lit("")))
+    for name, value in (("index", line), ("data", data)):
+        pages.repartition("file_no").sortWithinPartitions("file_no", "seq").select("file_no", value).write.partitionBy("file_no").option(
+            "compression", "gzip"
+        ).text(f"{root}/{name}")
+    return stage(crawl.scan_pairs(crawl.list_pairs(spark, root, _PAIR_NUMBER, _PAIR_KIND)), "scanned").table
+
+
+def refused_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crawl.refused_pages(_damaged_scan(spark, sf_dir)).select("file_no", "line_no", "reason")
+
+
+def archive_account(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crawl.account(_damaged_scan(spark, sf_dir)).drop("bytes")
+
+
 def _positions(exploded: DataFrame) -> DataFrame:
     return exploded.select(F.col("seq").alias("page_id"), F.col("pos").cast("long").alias("pos"), "word")
 
@@ -443,6 +467,14 @@ def snapshot_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, found).select("batch", "word_id", "doc_id", "tf")
 
 
+def incremental_word_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics kept up batch by batch, of sites that come back in later batches."""
+    root = _empty_state(spark)
+    for batch, part in enumerate(_consecutive_parts(_site_pages(spark, sf_dir))):
+        index_stream.add_batch(part, batch, root)
+    return index_stream.word_stats(spark, root)
+
+
 def tiered_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Twenty runs, merged by tiers as they come; the index is read from the few that are left."""
     root = _empty_state(spark)
@@ -468,14 +500,14 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = [
-        page_status, odd_status, page_slices, pair_scan, url_tokens, body_tokens, tag_events, token_contexts, varied_contexts, long_page_contexts,
+        page_status, odd_status, page_slices, pair_scan, refused_pages, archive_account, url_tokens, body_tokens, tag_events, token_contexts, varied_contexts, long_page_contexts,
         url_map, lexicon, url_map_lines_by_id, url_map_lines_by_url, lexicon_lines_by_id, lexicon_lines_by_word,
         incremental_url_map, incremental_lexicon, bucketed_lexicon,
         document_postings, partial_postings, revisit_postings, revisit_partial_postings, document_revisits,
         unindexed_docs, archive_postings, postings_shuffled, posting_lists, global_index_lines, sharded_lists,
         partial_index_lines, partial_index_text, posting_bytes, index_stats, word_stats,
         merged_runs, compacted_runs, compacted_twice, compacted_run_list, rolled_up_runs, listed_runs, tiered_runs,
-        stream_index, archive_stream, snapshot_postings,
+        stream_index, archive_stream, snapshot_postings, incremental_word_stats,
     ]
     return {"postings": posting_rows} | {query.__name__: query for query in named}
 
@@ -649,6 +681,15 @@ def _varied() -> str:
     return varied + _CONTEXTS_SQL.replace("FROM pages", "FROM varied").replace("WITH", "", 1)
 
 
+def _refused_sql() -> str:
+    return f"""SELECT file_no, line_no, '{crawl.CUT_SHORT}' AS reason FROM (
+          SELECT page_id // 32 AS file_no, max(page_id % 32) AS line_no FROM pages GROUP BY 1) WHERE file_no % 4 = 1
+        UNION ALL SELECT page_id // 32, page_id % 32, CASE WHEN page_id % 32 = 2 THEN '{crawl.FEW_COLUMNS}' ELSE '{crawl.NO_PLACE}' END
+          FROM pages WHERE page_id // 32 % 4 = 2 AND page_id % 32 >= 2
+        UNION ALL SELECT file_no, line_no, '{crawl.MORE_DATA}' FROM (
+          SELECT page_id // 32 AS file_no, max(page_id % 32) + 1 AS line_no FROM pages GROUP BY 1) WHERE file_no % 4 = 3"""
+
+
 def _end_to_end() -> str:
     long_pages = f"""WITH long_page AS (SELECT page_id // {PAGES_END_TO_END} AS page_id, arg_min(url, page_id) AS url,
         string_agg(html, '' ORDER BY page_id) AS html FROM pages GROUP BY page_id // {PAGES_END_TO_END}),"""
@@ -689,6 +730,10 @@ def core_oracle_sql() -> dict[str, str]:
             SELECT file_no, row_number() OVER f - 1 AS line_no, url, CAST(coalesce(sum(strlen(d)) OVER
             (f ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start_at, strlen(d) AS length,
             md5(d) AS doc_md5 FROM doc WINDOW f AS (PARTITION BY file_no ORDER BY page_id)""",
+        "refused_pages": _refused_sql(),
+        "archive_account": f"""WITH refused AS ({_refused_sql()}), listed AS (SELECT page_id // 32 AS file_no, page_id % 32 AS line_no FROM pages)
+            SELECT file_no, count(*) AS rows, count(*) FILTER (reason IS NULL) AS good, count(reason) AS refused
+            FROM listed FULL JOIN refused USING (file_no, line_no) GROUP BY file_no""",
         "url_tokens": f"""SELECT page_id, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS pos
             FROM (SELECT page_id, {_words('url')} AS w FROM pages)""",
         "body_tokens": f"""SELECT page_id, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS pos
@@ -735,6 +780,8 @@ def core_oracle_sql() -> dict[str, str]:
         "snapshot_postings": site_index + f""", batched AS (SELECT *, {_batches(3)} AS batch FROM tf)
             SELECT s.batch, word_id, doc_id, CAST(sum(n) AS BIGINT) AS tf
             FROM batched JOIN (SELECT DISTINCT batch FROM batched) AS s ON batched.batch <= s.batch GROUP BY ALL""",
+        "incremental_word_stats": site_index + """SELECT word_id, count(*) AS df, CAST(sum(tf) AS BIGINT) AS tf_sum,
+            max(doc_id) AS max_doc_id FROM posting GROUP BY ALL""",
         "tiered_runs": site_index + "SELECT * FROM posting",
         "listed_runs": site_index + "SELECT word_id, doc_id, tf FROM run ORDER BY word_id, doc_id",
         "archive_postings": _index(_OK, known=_ALL) + "SELECT * FROM posting",

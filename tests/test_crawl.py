@@ -125,3 +125,52 @@ def test_binary_triples(spark, tmp_path, per_split):
 def test_no_binary_triples_at_all(spark, tmp_path):
     (tmp_path / "empty").write_bytes(b"")
     assert read_triples(spark, str(tmp_path / "empty")).agg(F.count("*")).first()[0] == 0
+
+
+def _scan(spark, tmp_path):
+    return crawl.scan_pairs(crawl.list_pairs(spark, str(tmp_path)))
+
+
+def test_a_sound_archive_is_scanned_as_it_is_read(spark, tmp_path):
+    for file_no in (0, 1):
+        _write_pair(tmp_path, file_no, _documents(30, file_no))
+    _write_pair(tmp_path, 2, [])
+    scanned = _scan(spark, tmp_path)
+    expected = crawl.read_pairs(crawl.list_pairs(spark, str(tmp_path)))
+    assert sorted(map(tuple, crawl.good_pages(scanned).collect())) == sorted(map(tuple, expected.collect()))
+    assert crawl.refused_pages(scanned).count() == 0
+    assert sorted((r.file_no, r.rows, r.good, r.refused) for r in crawl.account(scanned).collect()) == [(0, 30, 30, 0), (1, 30, 30, 0)]
+
+
+def test_damaged_pairs_are_set_aside(spark, tmp_path):
+    documents = [(f"u{i}", b"x" * 50) for i in range(10)]
+    _write_pair(tmp_path, 0, documents)
+    _write_pair(tmp_path, 1, documents, cut=70)
+    _write_pair(tmp_path, 2, documents, extra=b"more")
+    _write_pair(tmp_path, 3, documents)
+    lines = [b"u0 1 2 50", b"u1", b"u2 1 2 50"]
+    (tmp_path / "3_index").write_bytes(gzip.compress(b"\n".join(lines)))
+    _write_pair(tmp_path, 4, documents)
+    (tmp_path / "4_index").write_bytes(gzip.compress(b"u0 1 2 -5 6\n"))
+    rng = random.Random(1)
+    noise = [(f"n{i}", bytes(rng.randrange(256) for _ in range(400))) for i in range(40)]
+    for file_no, half in ((5, "data"), (6, "index")):
+        _write_pair(tmp_path, file_no, noise)
+        name = tmp_path / f"{file_no}_{half}"
+        name.write_bytes(name.read_bytes()[: 6000 if half == "data" else 60])  # gzip streams cut short
+    scanned = _scan(spark, tmp_path)
+    found = {}
+    for r in crawl.refused_pages(scanned).collect():
+        found.setdefault(r.file_no, []).append((r.line_no, r.reason))
+    assert 0 not in found
+    assert sorted(found[1]) == [(8, crawl.CUT_SHORT), (9, crawl.NO_PLACE)]
+    assert found[2] == [(10, crawl.MORE_DATA)]
+    assert sorted(found[3]) == [(1, crawl.FEW_COLUMNS), (2, crawl.NO_PLACE)]
+    assert found[4] == [(0, crawl.BAD_LENGTH)]
+    accounts = {r.file_no: r for r in crawl.account(scanned).collect()}
+    assert all(r.rows == r.good + r.refused for r in accounts.values())
+    assert accounts[1].good == 8 and accounts[1].bytes == 400 and accounts[2].good == 10
+    assert accounts[5].rows == 40 and 0 < accounts[5].good < 20 and sorted(found[5])[0][1] in (crawl.BAD_DATA, crawl.CUT_SHORT)
+    assert found[6][-1][1].startswith(crawl.BAD_INDEX)
+    with pytest.raises(Exception, match="ends inside page|fewer than 4|more bytes|negative length|Truncated"):
+        crawl.read_pairs(crawl.list_pairs(spark, str(tmp_path))).count()

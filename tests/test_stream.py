@@ -72,6 +72,12 @@ def test_batches_without_anything_new(spark, tmp_path):
     index_stream.add_batch(pages.where("seq < 0"), 2, root)
     urls, lexicon, counts = sequential.build(corpus)[:3]
     assert _state(spark, root) == (urls, lexicon, {key: 2 * tf for key, tf in counts.items()})
+    stats = {r.word_id: (r.df, r.tf_sum, r.max_doc_id) for r in index_stream.word_stats(spark, root).collect()}
+    expected = {}
+    for (word, doc), tf in counts.items():
+        df, total, last = expected.get(word, (0, 0, -1))
+        expected[word] = (df + 1, total + 2 * tf, max(last, doc))
+    assert stats == expected
 
 
 def test_index_of_no_pages(spark):
@@ -121,7 +127,7 @@ def test_a_batch_that_ends_early_changes_nothing(spark, tmp_path, monkeypatch):
         index_stream.add_batch(pages.where("seq >= 30"), 1, root)
     monkeypatch.undo()
     assert _state(spark, root) == before
-    assert len(Snapshots(spark, root).vacuum()) == 4  # two dictionaries, each with its filters
+    assert len(Snapshots(spark, root).vacuum()) == 4  # two dictionaries with their filters
     index_stream.add_batch(pages.where("seq >= 30"), 1, root)
     assert _state(spark, root) == sequential.build(corpus)[:3]
 

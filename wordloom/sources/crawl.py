@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from wordloom.schemas import PAGE_INDEX, RAW_PAGES
+from wordloom.schemas import PAGE_INDEX, RAW_PAGES, SCANNED_PAGES
 from wordloom.sources.files import open_gzip
 
 PAGE_BATCH_BYTES = 16 << 20
@@ -82,6 +82,37 @@ def read_pairs(pairs: DataFrame, one_task_bytes: int = ONE_TASK_BYTES) -> DataFr
     return small.unionByName(_scan(pairs.where(is_big), counts["big"]).repartition("file_no", "line_no"))
 
 
+def scan_pairs(pairs: DataFrame) -> DataFrame:
+    """SCANNED_PAGES of the pairs: every listed page, with the reason if it could not be read, in one pass.
+
+    For crawls in which a damaged file must not end the job; ``read_pairs`` refuses them. A page is refused, its
+    place, length and text as far as known, when its line or its data are damaged, and so are those behind it whose
+    place depends on it. What is wrong behind the last page has a row of its own, numbered after it. One task
+    reads a pair. Store the result before it is used twice.
+    """
+    rows = pairs.select("file_no", "index_path", "data_path")
+    return _one_task_each(rows, pairs.count()).mapInArrow(_scan_batches, SCANNED_PAGES)
+
+
+def good_pages(scanned: DataFrame) -> DataFrame:
+    """RAW_PAGES of the pages that could be read."""
+    return scanned.where("reason IS NULL").select(*RAW_PAGES.names)
+
+
+def refused_pages(scanned: DataFrame) -> DataFrame:
+    """(file_no, line_no, url, reason) of what could not be read."""
+    return scanned.where("reason IS NOT NULL").select("file_no", "line_no", "url", "reason")
+
+
+def account(scanned: DataFrame) -> DataFrame:
+    """(file_no, rows, good, refused, bytes): what became of each file; rows is the sum of the next two."""
+    refused = F.col("reason").isNotNull()
+    return scanned.groupBy("file_no").agg(
+        F.count("*").alias("rows"), F.count_if(~refused).alias("good"), F.count_if(refused).alias("refused"),
+        F.coalesce(F.sum(F.when(~refused, F.col("length"))), F.lit(0)).alias("bytes"),
+    )
+
+
 def page_slices(page_index: DataFrame, block_bits: int = BLOCK_LINES_BITS) -> DataFrame:
     """(file_no, line_no, start_at, length): a page starts where the earlier lengths of its file end.
 
@@ -151,6 +182,69 @@ def read_pair(file_no: int, index_path: str, data_path: str) -> Iterator[pa.Reco
         yield _batch(rows, RAW_PAGES)
 
 
+# Why a page was refused.
+CUT_SHORT = "the data end inside the page"
+FEW_COLUMNS = "the line has fewer than 4 columns"
+BAD_LENGTH = "the line has no length"
+NO_PLACE = "its place is not known"
+BAD_DATA = "the data are damaged"
+BAD_INDEX = "the index is damaged"
+MORE_DATA = "there are data after the last page"
+
+
+def _scan_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for pair in batch.to_pylist():
+            rows, held = [], 0
+            for row in _scanned(pair["file_no"], pair["index_path"], pair["data_path"]):
+                rows.append(row)
+                held += len(row[5] or b"")
+                if held >= PAGE_BATCH_BYTES or len(rows) >= _ROWS:
+                    yield _batch(rows, SCANNED_PAGES)
+                    rows, held = [], 0
+            if rows:
+                yield _batch(rows, SCANNED_PAGES)
+
+
+def _scanned(file_no: int, index_path: str, data_path: str) -> Iterator[tuple]:
+    start, spoilt, line_no = 0, None, -1
+    with open_gzip(index_path) as index, open_gzip(data_path) as data:
+        try:
+            for line_no, line in enumerate(_lines(index)):
+                columns = [c for c in line.split(b" ") if c]
+                url, length = (columns[0] if columns else None), None
+                reason = spoilt
+                if len(columns) < 4:
+                    reason = FEW_COLUMNS
+                elif not columns[3].isdigit():
+                    reason = BAD_LENGTH
+                else:
+                    length = int(columns[3])
+                if reason:
+                    yield file_no, line_no, url, None, length, None, reason
+                    spoilt = NO_PLACE
+                    continue
+                doc, reason = _page(data, length)
+                yield file_no, line_no, url, start, length, None if reason else doc, reason
+                spoilt, start = (NO_PLACE if reason else None), start + length
+        except (OSError, EOFError) as error:
+            yield file_no, line_no + 1, None, None, None, None, f"{BAD_INDEX}: {error}"
+            return
+        if not spoilt:
+            more, reason = _page(data, 1)
+            if more or reason == BAD_DATA:
+                yield file_no, line_no + 1, None, start, None, None, reason if reason == BAD_DATA else MORE_DATA
+
+
+def _page(data: pa.NativeFile, length: int) -> tuple[bytes, str | None]:
+    """A page, or the reason why it is not whole."""
+    try:
+        doc = data.read(length)
+    except (OSError, EOFError):
+        return b"", BAD_DATA
+    return doc, CUT_SHORT if len(doc) < length else None
+
+
 def _entries(index: pa.NativeFile, path: str) -> Iterator[tuple[int, bytes, int]]:
     """Line number, URL (column 0) and page length (column 3) of every index line."""
     for line_no, line in enumerate(_lines(index)):

@@ -18,13 +18,13 @@ from wordloom.operators import dictionaries, postings, runs
 from wordloom.operators.ids import dense_ids
 from wordloom.operators.tokens import doc_tokens, page_tokens
 from wordloom.plans.stages import Stage, passing_stages, side_by_side, stage, stage_dictionary, stage_firsts
-from wordloom.schemas import FILTERS, LEXICON, POSTINGS, URL_MAP
+from wordloom.schemas import FILTERS, LEXICON, POSTINGS, URL_MAP, WORD_STATS
 from wordloom.streaming import buckets
 from wordloom.streaming.snapshots import Part, Snapshot, Snapshots
 
 logger = logging.getLogger(__name__)
 
-_TABLES = {"url_map": URL_MAP, "lexicon": LEXICON, "runs": POSTINGS, "url_map_filters": FILTERS, "lexicon_filters": FILTERS}
+_TABLES = {"url_map": URL_MAP, "lexicon": LEXICON, "runs": POSTINGS, "stats": WORD_STATS, "url_map_filters": FILTERS, "lexicon_filters": FILTERS}
 #: Buckets of each dictionary, fixed when a state is made: enough that the new entries of one of a batch fit a task.
 BUCKETS = 64
 #: Runs of like size that are merged into one, see ``merge_tiers``.
@@ -80,12 +80,37 @@ def add_batch(pages: DataFrame, batch: int, root: str, degree: int = DEGREE) ->
             lambda: _tokens_and_words(pages, batch, root),
         )
         tokens = doc_tokens(tokens, urls.table, **urls.measured)
-        found = postings.postings(tokens, words.table, **words.measured)
+        found = stage(postings.postings(tokens, words.table, **words.measured), "postings").table
+        now = state.read()
         run = _write(runs.by_posting(found), root, "runs", batch)
-        state.commit(state.read().changed([*url_parts, *word_parts, run]))
+        stats = _write(_new_stats(found, now, root), root, "stats", batch)
+        state.commit(now.changed([*url_parts, *word_parts, run, stats]))
     merge_tiers(spark, root, degree)
 
 
+def word_stats(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
+    """(word_id, df, tf_sum, max_doc_id) over all committed batches, from what each has added; no posting is read."""
+    rows = read_state(spark, root, "stats", version)
+    return rows.groupBy("word_id").agg(F.sum("df").alias("df"), F.sum("tf_sum").alias("tf_sum"), F.max("max_doc_id").alias("max_doc_id"))
+
+
+def _new_stats(found: DataFrame, now: Snapshot, root: str) -> DataFrame:
+    """What a batch's postings add to each word's statistics.
+
+    A posting counts for df unless an earlier batch has one of its word and document. Only documents that return
+    can have one; the runs are asked for these alone, and not read at all if the batch has none.
+    """
+    spark = found.sparkSession
+    last = _read(spark, root, now.of("url_map_filters"), FILTERS).agg(F.max("max_id")).first()[0]
+    returning = found.where(F.col("doc_id") <= F.lit(-1 if last is None else last))
+    new = F.lit(1)
+    if returning.limit(1).count():
+        docs = returning.select("doc_id").distinct()
+        known = _read(spark, root, now.of("runs"), POSTINGS).join(docs, "doc_id", "left_semi").select("word_id", "doc_id", F.lit(0).alias("_new")).distinct()
+        found, new = found.join(known, ["word_id", "doc_id"], "left"), F.coalesce("_new", F.lit(1))
+    return found.groupBy("word_id").agg(F.sum(new).alias("df"), F.sum("tf").alias("tf_sum"), F.max("doc_id").alias("max_doc_id"))
+
+
 def _tokens_and_words(pages: DataFrame, batch: int, root: str) -> tuple[DataFrame, Stage, list[Part]]:
     tokens = stage(page_tokens(pages), "page_tokens").table
     return tokens, *_extend(dictionaries.word_firsts(tokens), root, "lexicon", "word", "word_id", dictionaries.WORD_ORDER, batch)

@@ -25,10 +25,10 @@ from pyspark.sql import functions as F
 from wordloom.llm.words import frugal
 
 #: Words whose codes a worker keeps from batch to batch; beyond it forgets them and starts anew.
-KEPT_WORDS = 600_000
+KEPT_WORDS = 250_000
 #: Words encoded together.
-INDEXED_WORDS = 100_000
-BATCH_BYTES = 8 << 20
+INDEXED_WORDS = 50_000
+BATCH_BYTES = 4 << 20
 _SIGMA = "Σ"
 # White space as the tokenizer's patterns take it.
 _SPACE = r"\t-\r\x20\x85\xa0  -     　"

@@ -779,7 +779,7 @@ def core_oracle_sql() -> dict[str, str]:
         "archive_stream": _index(_OK, known=_ALL) + "SELECT * FROM posting",
         "snapshot_postings": site_index + f""", batched AS (SELECT *, {_batches(3)} AS batch FROM tf)
             SELECT s.batch, word_id, doc_id, CAST(sum(n) AS BIGINT) AS tf
-            FROM batched JOIN (SELECT DISTINCT batch FROM batched) AS s ON batched.batch <= s.batch GROUP BY ALL""",
+            FROM batched JOIN (SELECT unnest(range(3)) AS batch) AS s ON batched.batch <= s.batch GROUP BY ALL""",
         "incremental_word_stats": site_index + """SELECT word_id, count(*) AS df, CAST(sum(tf) AS BIGINT) AS tf_sum,
             max(doc_id) AS max_doc_id FROM posting GROUP BY ALL""",
         "tiered_runs": site_index + "SELECT * FROM posting",

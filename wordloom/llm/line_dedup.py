@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wordloom.llm.columns import set_aside
 from wordloom.llm.words import chunks, frugal, mixed, powers, prefix_hashes, span_hashes
 from wordloom.plans.stages import stage
 
@@ -36,15 +37,16 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sha
     A line's key is the line without white space at its ends, A-Z lowered. Keys of MIN_CHARS code points
     or more that several documents hold lose their lines everywhere but in the smallest doc_id. NULL and
     empty texts are one empty line. All rows with a NULL doc_id count as one document that comes last;
-    rows that repeat a doc_id are one document. Other columns stay as they are.
+    rows that repeat a doc_id are one document. Other columns stay as they are; n_lines and n_dropped are replaced.
     """
+    docs, named = set_aside(docs, ["n_lines", "n_dropped"], ["_doc", "_no_doc", "_key", "_drops"], [doc_id, text])
     lines = stage(hashed_lines(docs, doc_id, text), "lines", n=F.count("*"))
     shards = max(1, -(-lines.measured["n"] // shard_lines))
     repeated = stage(repeated_lines(lines.table), "repeated_lines").table
     index = stage(build_index(repeated, shards), "line_index").table
     drops = probe(lines.table, index, repeated, shards, shard_lines)
     per_text = drops.groupBy("doc", "no_doc", "text_key").agg(F.collect_list("line_no").alias("_drops"))
-    return _apply(docs, per_text, doc_id, text)
+    return named(_apply(docs, per_text, doc_id, text))
 
 
 def hashed_lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:

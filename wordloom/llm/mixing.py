@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wordloom.llm.columns import set_aside
 from wordloom.plans.stages import stage
 
 MAX_REPEATS = 3
@@ -70,13 +71,16 @@ def mix(docs: DataFrame, seed: int = 7, doc_id: str = "doc_id", text: str = "tex
     The size of a text is its number of words, 0 for NULL. ``merit`` weighs a document's chance among
     those of its source, 1 for all by default; merits must be positive. Reruns agree: the random numbers come from seed,
     doc_id and text, so rows that repeat both are taken or left together.
-    No source: NULL is a source like others. An empty table gives an empty result.
+    No source: NULL is a source like others. An empty table gives an empty result. Columns of docs named like
+    the new ones are replaced.
 
     Only (source, rank, size) is shuffled. Where a source's sample ends is found by summing sizes over
     ranges of the rank, each pass splitting the range in which the target is reached into 4096; no task
     sorts or holds a source.
     """
-    columns = [c for c in docs.columns if c not in ("size", "source_size", "target", "copies")]
+    made, inner = ["size", "source_size", "target", "copies"], ["_source", "_whole", "_chance", "_rest", "_rank", "_cut"]
+    docs, named = set_aside(docs, made, inner, [doc_id, text, source])
+    columns = docs.columns
     sized = docs.select(*columns, words_in(text).alias("size"))
     sizes = stage(
         sized.select(F.col(source).alias("source"), "size").groupBy("source").agg(F.sum("size").alias("source_size")), "mix_sizes"
@@ -97,10 +101,10 @@ def mix(docs: DataFrame, seed: int = 7, doc_id: str = "doc_id", text: str = "tex
     cut = _cuts(facts).select(F.col("source").alias("_source"), "_cut")
     met = ranked.join(cut, F.col(source).eqNullSafe(F.col("_source")), "left").drop("_source")
     extra = F.coalesce((F.col("_rank") < F.col("_cut")).cast("long"), F.lit(0).cast("long"))
-    return met.select(
+    return named(met.select(
         *columns, "size", "source_size", "target",
         F.when(F.col("size") > 0, F.col("_whole") + extra).otherwise(F.lit(0)).cast("long").alias("copies"),
-    )
+    ))
 
 
 def _rank(seed: int, doc_id: str, text: str, merit: Column) -> Column:
@@ -150,7 +154,9 @@ def _cuts(facts: DataFrame) -> DataFrame:
 
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:
     """The mixed corpus itself: every row as often as ``mix`` takes it, with the columns of docs."""
-    found = mix(docs, **options)
-    return found.where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(
-        *docs.columns
-    )
+    # mix replaces columns that are named like its own.
+    others = {c: f"{c}_of_the_table" for c in docs.columns if c in ("size", "source_size", "target", "copies")}
+    renamed = docs.withColumnsRenamed(others)
+    found = mix(renamed, **options).where("copies > 0")
+    copied = found.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    return copied.select(*renamed.columns).toDF(*docs.columns)

@@ -51,14 +51,15 @@ def shards(table: DataFrame, keys: list[str], count: int, order: list[str], keep
 
     A row's shard depends on its ``keys`` and ``count`` alone. slot numbers the rows of a shard from 0
     without gaps, by the columns ``order`` (NULL first); rows that tie in it are numbered in any order.
-    Rows with NULL keys share a shard. An empty table gives an empty result; repeated rows are all kept.
+    Kept columns named like these three are replaced. Rows with NULL keys share a shard. An empty table gives an empty result; repeated rows are all kept.
 
     Slots need no task per shard: rows are sorted by range of (shard, order), counted per range and
     shard, and each range is numbered from the sum of those before it. The ranges are stored before
     that, as a lost executor could cut them anew. Only ``keep`` is shuffled, never other columns.
     """
+    kept = [c for c in keep if c not in ("shard", "grown_shard", "slot")]
     placed = table.select(
-        *keep,
+        *[F.col(c).alias(f"_kept{i}") for i, c in enumerate(kept)],
         *[F.col(c).alias(f"_by{i}") for i, c in enumerate(order)],
         shard_of(stable_key(*keys), count).alias("shard"),
         shard_of(stable_key(*keys), count + 1).alias("grown_shard"),
@@ -74,5 +75,5 @@ def shards(table: DataFrame, keys: list[str], count: int, order: list[str], keep
     inside = Window.partitionBy("shard", "_range").orderBy(*by)
     numbered = stored.withColumn("_row", F.row_number().over(inside).cast("long") - 1)
     return numbered.join(offsets, ["shard", "_range"], "left").select(
-        *keep, "shard", "grown_shard", (F.col("_offset") + F.col("_row")).alias("slot")
+        *[F.col(f"_kept{i}").alias(c) for i, c in enumerate(kept)], "shard", "grown_shard", (F.col("_offset") + F.col("_row")).alias("slot")
     )

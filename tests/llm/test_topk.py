@@ -1,4 +1,5 @@
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -27,3 +28,19 @@ def test_few_and_no_rows(spark):
     table = spark.createDataFrame([(0, [1]), (1, [2])], "vec_id long, vector array<long>")
     assert [tuple(r) for r in top_k(table, F.col("vec_id") == 0).collect()] == [(0, 1, 1, 2)]
     assert top_k(table.limit(0), F.col("vec_id") == 0).collect() == []
+
+
+def test_large_components(spark):
+    """Components of 2^41, and of 50,000 in 64 dimensions: scores that doubles cannot hold but 64 bits can."""
+    rng = random.Random(7)
+    rows = [(i, [float(rng.randint(-16, 16)), rng.uniform(-(2.0**22), 2.0**22), 1.0 / 256, float(i)]) for i in range(40)]
+    rows += [(100 + i, [0.0] + [50_000.0 + i % 3] * 63) for i in range(8)]
+    rows += [(200, [2.0**41, 0.0]), (201, [1.0 / 256, 3.0]), (202, [2.0**60]), (203, [float("inf")])]
+    table = spark.createDataFrame(rows, "vec_id long, e array<double>").select("vec_id", quantized("e").alias("v"))
+    whole = {r.vec_id: r.v for r in table.collect() if r.v is not None}
+    assert set(whole) == {i for i, _ in rows} - {202, 203}
+    found = top_k(table, F.col("vec_id") % 2 == 0, k=4, vector="v", candidate_block=16, query_block=8).collect()
+    for q in whole:
+        if q % 2 == 0:
+            scores = sorted((-sum(a * b for a, b in zip(whole[q], v)), i) for i, v in whole.items() if i != q)[:4]
+            assert [(r.vec_id, r.score) for r in sorted(found, key=lambda r: r.rank) if r.query_id == q] == [(i, -s) for s, i in scores]

@@ -27,10 +27,10 @@ PACKED = "block long, ids binary, dims long, vectors binary"
 def quantized(vector: Column | str) -> Column:
     """floor(256 * x) of each component, NULL for vectors that are NULL or hold NULL, NaN or infinity.
 
-    Components of 2^40 and more are beyond what integer scores can hold; such vectors are NULL too.
+    A component of 2^55 and more has no such whole number of 64 bits; its vector is NULL too.
     """
     values = F.transform(vector, lambda x: x.cast("double"))
-    usable = F.forall(values, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float(1 << 40)))
+    usable = F.forall(values, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float(1 << 55)))
     return F.when(usable, F.transform(values, lambda x: F.floor(x * 256).cast("long")))
 
 
@@ -41,6 +41,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_i
     ``vector`` holds integers. Ties go to the smaller vec_id; fewer candidates than k give fewer rows.
     Rows with a NULL id or vector take no part; an id that repeats counts once, with its smallest vector;
     a query is never its own result. Shorter vectors count as filled up with zeros, empty ones score 0.
+    Scores must fit 64 bits. Where sums of products may pass 2^53, bounds are widened by what doubles can be off, and
+    scores are computed in whole numbers.
 
     A block sends k rows per query at most, so neither many equal vectors nor a loose cutoff can grow
     what a query's results are picked from beyond k for each block.
@@ -61,7 +63,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_i
 
     def leaders(candidate: pd.DataFrame, query: pd.DataFrame) -> pd.DataFrame:
         found = []
-        for q_ids, ids, parts in _scores(candidate, query, lists):
+        for q_ids, ids, parts, slack, _ in _scores(candidate, query, lists):
             total = parts.sum(axis=0)
             own = q_ids[:, None] == ids[None, :]
             lead = np.zeros(total.shape, bool)
@@ -70,7 +72,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_i
                 np.put_along_axis(lead, at, True, axis=1)
             known = np.where(lead & ~own, total, -np.inf)
             kth = -np.sort(-known, axis=1)[:, k - 1] if known.shape[1] >= k else np.full(len(q_ids), -np.inf)
-            tops = parts.max(axis=2)
+            kth, tops = kth - slack, parts.max(axis=2) + slack
             found.append(pd.DataFrame({"query_id": q_ids, "cutoff": kth, **{f"top{g}": tops[g] for g in range(lists)}}))
         return pd.concat(found) if found else pd.DataFrame(columns=["query_id", "cutoff", *[f"top{g}" for g in range(lists)]])
 
@@ -94,25 +96,25 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_i
     def resolve(candidate: pd.DataFrame, query: pd.DataFrame) -> pd.DataFrame:
         found = []
         bounds = query.iloc[0] if len(query) else None
-        for q_ids, ids, parts in _scores(candidate, query, lists):
+        for q_ids, ids, parts, off, exact in _scores(candidate, query, lists):
             at = np.searchsorted(bounds["b_query_id"], q_ids)
             cutoff = np.asarray(bounds["b_cutoff"], float)[at]
             most = np.array([np.asarray(bounds[f"b_{t}"], float)[at] for t in tops])
             slack = np.where(np.isfinite(cutoff), (most.sum(axis=0) - cutoff) / lists, np.inf)
             share = (most - slack)[:, :, None]
-            over = parts >= share
+            over = parts >= share - off
             seen = over.any(axis=0) | ~np.isfinite(cutoff)[:, None]
-            could = np.where(over, parts, np.minimum(share, most[:, :, None])).sum(axis=0) + 1e-6
+            could = np.where(over, parts, np.minimum(share, most[:, :, None])).sum(axis=0) + 1e-6 + lists * off
             open_ = seen & ((could >= cutoff[:, None]) | ~np.isfinite(cutoff)[:, None]) & (q_ids[:, None] != ids[None, :])
             q, c = np.nonzero(open_)
-            score = parts[:, q, c].sum(axis=0)
-            kept = score >= cutoff[q]
+            score = exact(q, c)
+            kept = score >= cutoff[q] - off
             q, c, score = q[kept], c[kept], score[kept]
             order = np.lexsort((ids[c], -score, q))
             q, c, score = q[order], c[order], score[order]
             place = np.arange(len(q)) - np.searchsorted(q, q)
             best = place < k
-            found.append(pd.DataFrame({"query_id": q_ids[q[best]], "vec_id": ids[c[best]], "score": score[best].astype(np.int64)}))
+            found.append(pd.DataFrame({"query_id": q_ids[q[best]], "vec_id": ids[c[best]], "score": score[best]}))
         return pd.concat(found) if found else pd.DataFrame(columns=["query_id", "vec_id", "score"])
 
     rest = left.groupBy(*by).cogroup(with_bounds.groupBy(*by)).applyInPandas(resolve, "query_id long, vec_id long, score long")
@@ -145,7 +147,8 @@ def _packed(rows: DataFrame, blocks: int) -> DataFrame:
 
 
 def _scores(candidate: pd.DataFrame, query: pd.DataFrame, lists: int):
-    """Query ids, candidate ids and the score parts (list, query, candidate), some queries at a time."""
+    """Some queries at a time: their ids, candidate ids, the score parts (list, query, candidate) as doubles, how far
+    these may be off, and a function that gives the whole scores of (query, candidate) pairs."""
     if candidate.empty or query.empty:
         return
     c, q = candidate.iloc[0], query.iloc[0]
@@ -155,10 +158,19 @@ def _scores(candidate: pd.DataFrame, query: pd.DataFrame, lists: int):
     left[:, : c["dims"]] = np.frombuffer(c["vectors"], np.int64).reshape(len(ids), c["dims"])
     right = np.zeros((len(q_ids), dims), np.int64)
     right[:, : q["q_dims"]] = np.frombuffer(q["q_vectors"], np.int64).reshape(len(q_ids), q["q_dims"])
-    largest = float(np.abs(left).max(initial=0)) * float(np.abs(right).max(initial=0)) * dims
-    if largest >= _EXACT:
-        raise ValueError("scores of these vectors pass 2^53")
-    left, right = left.astype(float), right.astype(float)
+    floats, q_floats = left.astype(float), right.astype(float)
+    largest = np.abs(floats).max(initial=0) * np.abs(q_floats).max(initial=0) * dims
+    off = 0.0 if largest < _EXACT else largest * (dims + 4) * 2.0**-52
     groups = [g for g in np.array_split(np.arange(dims), lists)]
     for i in range(0, len(q_ids), _AT_ONCE):
-        yield q_ids[i : i + _AT_ONCE], ids, np.array([right[i : i + _AT_ONCE, g] @ left[:, g].T for g in groups])
+        parts = np.array([q_floats[i : i + _AT_ONCE, g] @ floats[:, g].T for g in groups])
+
+        def exact(some: np.ndarray, of: np.ndarray, first: int = i, parts: np.ndarray = parts) -> np.ndarray:
+            if not off:
+                return parts[:, some, of].sum(axis=0).astype(np.int64)
+            # What wraps around on the way comes back if the sum fits.
+            cuts = range(0, len(some), 1 << 14)
+            found = [(right[first + some[j : j + (1 << 14)]] * left[of[j : j + (1 << 14)]]).sum(axis=1) for j in cuts]
+            return np.concatenate([np.zeros(0, np.int64), *found])
+
+        yield q_ids[i : i + _AT_ONCE], ids, parts, off, exact

@@ -27,9 +27,10 @@ _LOWER[65:91] += 32
 _powers: list[np.ndarray] = [np.ones(1, _U), np.ones(1, _U)]
 
 
-#: A malloc option of the C library: blocks from this size on are mapped, and so given back when they are freed.
-_MMAP_THRESHOLD = -3
-_MAPPED_BYTES = 1 << 18
+#: Options of the C library's malloc: blocks from this size on are mapped, and so given back when they are freed; of
+#: the rest so much may stay at hand, as arrays that come and go for every text would cost more in mapping than in use.
+_MMAP_THRESHOLD, _TRIM_THRESHOLD = -3, -1
+_MAPPED_BYTES, _KEPT_BYTES = 4 << 20, 32 << 20
 
 
 def _libc() -> ctypes.CDLL | None:
@@ -44,6 +45,7 @@ def _libc() -> ctypes.CDLL | None:
 if (_LIBC := _libc()) is not None:
     # Workers stay alive between tasks and stages; what one stage has needed must not add to the next.
     _LIBC.mallopt(_MMAP_THRESHOLD, _MAPPED_BYTES)
+    _LIBC.mallopt(_TRIM_THRESHOLD, _KEPT_BYTES)
     pa.set_memory_pool(pa.system_memory_pool())
 
 

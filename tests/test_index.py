@@ -229,3 +229,27 @@ def test_build_writes_the_text_formats(spark, index, expected, tmp_path):
 
     partial = postings.partial_index_lines(index.partial_postings).where("file_no = 3").orderBy("word_id").collect()
     assert lines("partial_index/file_no=3") == [r.line for r in partial]
+
+
+def test_repeated_positions_of_one_document_are_one_visit(spark):
+    rows = [(0, 1, ["b", "a", "b"]), (0, 1, ["b"]), (1, 1, ["b"]), (2, 0, []), (3, 0, ["b"]), (3, 1, ["a"]), (4, 1, ["b"]), (5, 1, None)]
+    tokens = spark.createDataFrame(rows, "seq long, doc_id long, tokens array<string>")
+    lexicon = spark.createDataFrame([("a", 0, 2), ("b", 1, 5)], "word string, word_id long, n_pages long")
+    for bits in (0, 1, 16):
+        found = postings.revisit_postings(postings.visits(tokens, lexicon, block_bits=bits)).collect()
+        assert sorted((r.word_id, r.ordinal, r.doc_id, r.tf) for r in found) == [(0, 0, 1, 2), (1, 0, 1, 4), (1, 1, 0, 1), (1, 2, 1, 1)]
+
+
+def test_lines_by_shard_make_no_file_per_task_and_shard(spark, tmp_path):
+    rows = spark.range(40_000).selectExpr("id % 400 AS word_id", "id div 40 AS doc_id", "1L AS tf")
+    before = {key: spark.conf.get(key) for key in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        text.write_lists(postings.global_index_lines(rows, 50), f"{tmp_path}/lines")
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert len(list(tmp_path.glob("lines/shard=*/part-*"))) <= 20 + 8
+    lines = spark.read.text(f"{tmp_path}/lines")
+    assert lines.count() == rows.selectExpr("word_id", "doc_id div 50").distinct().count()

@@ -85,15 +85,16 @@ def unindexed_docs(url_map: DataFrame, tokens: DataFrame) -> DataFrame:
     return url_map.join(indexed, "doc_id", "left_anti").select("doc_id", "url")
 
 
-def _sharded(postings: DataFrame, keys: list[str], shard_docs: int) -> DataFrame:
+def _sharded(postings: DataFrame, keys: list[str], shard_docs: int, order: list[str] | None = None) -> DataFrame:
     """(*keys, shard, df, postings): (doc_id, tf) of up to ``shard_docs`` documents in document order.
 
     A shard bounds what one task gathers, however long the word's list is. Rows are dealt out by range of
-    (*keys, shard), which serves both the grouping and a sorted output: writers sort inside the partitions only.
+    ``order``, (*keys, shard) by default, which serves both the grouping and a sorted output: writers sort inside the
+    partitions only.
     """
-    order = [*keys, "shard"]
-    rows = postings.select(*keys, F.expr(f"doc_id div {shard_docs}").alias("shard"), "doc_id", "tf").repartitionByRange(*order)
-    return rows.groupBy(*order).agg(
+    grouped = [*keys, "shard"]
+    rows = postings.select(*keys, F.expr(f"doc_id div {shard_docs}").alias("shard"), "doc_id", "tf").repartitionByRange(*(order or grouped))
+    return rows.groupBy(*grouped).agg(
         F.count("*").alias("df"), F.array_sort(F.collect_list(F.struct("doc_id", "tf"))).alias("postings")
     )
 
@@ -109,8 +110,11 @@ def posting_lists(postings: DataFrame, shard_docs: int = SHARD_DOCS) -> DataFram
 
 
 def global_index_lines(postings: DataFrame, shard_docs: int = SHARD_DOCS) -> DataFrame:
-    """(word_id, shard, line): '12 :  3 2 7 1'. A word has one line per shard that holds it."""
-    return _sharded(postings, ["word_id"], shard_docs).select(
+    """(word_id, shard, line): '12 :  3 2 7 1'. A word has one line per shard that holds it.
+
+    Lines are in ranges of shards, then words: written as a folder per shard, they make hardly more files than shards.
+    """
+    return _sharded(postings, ["word_id"], shard_docs, ["shard", "word_id"]).select(
         "word_id", "shard", F.concat(lines.list_head(), _joined(lines.global_piece)).alias("line")
     )
 

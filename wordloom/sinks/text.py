@@ -27,7 +27,7 @@ def write_lines(lines: DataFrame, path: str, *order: str) -> None:
 
 
 def write_lists(lines: DataFrame, path: str) -> None:
-    """Write global index lines, one folder per shard; they are in ranges of words already."""
+    """Write global index lines, one folder per shard; they are in ranges of shards and words already."""
     ordered = lines.sortWithinPartitions("shard", "word_id")
     ordered.select("shard", "line").write.mode("overwrite").partitionBy("shard").text(path)
 

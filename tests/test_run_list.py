@@ -62,3 +62,17 @@ def test_no_runs(spark, tmp_path):
     files = stage(write_triples(_runs(spark, 0), f"{tmp_path}/files"), "files").table
     write_list(files, f"{tmp_path}/list")
     assert read_listed(spark, f"{tmp_path}/list").count() == 0
+
+
+def test_many_small_splits_share_tasks(spark, tmp_path):
+    records = [(i % 50, i, 1 + i % 3) for i in range(6000)]
+    for k in range(3):
+        part = records[k::3]
+        (tmp_path / f"{k}.run").write_bytes(b"".join(struct.pack("<3i", *r) for r in part))
+    (tmp_path / "runs.txt").write_text("0.run\n1.run\n2.run\n")
+    rows = read_listed(spark, f"{tmp_path}/runs.txt", split="1")
+    assert 500 <= rows.rdd.getNumPartitions() <= 1024
+    assert sorted(map(tuple, rows.collect())) == sorted(records)
+    for split, most in ((1, 1024), (7, 861), (5000, 3)):
+        parts = TripleReader({"list": f"file:{tmp_path}/runs.txt", "split": str(split)}).partitions()
+        assert len(parts) <= most and all(sum(s.step for s in p.splits) <= max(12 * split, 12 << 22) for p in parts)

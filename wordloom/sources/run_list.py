@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass, replace
+from itertools import batched, groupby
 from uuid import uuid4
 
 import numpy as np
@@ -20,11 +21,14 @@ from wordloom.sources.runs import TRIPLE_BYTES, read_range
 
 FORMAT = "triple_runs"
 RECORDS_PER_SPLIT = 4 << 20
+#: Tasks from which on a task reads several splits.
+MANY_TASKS = 1024
+_NAMES = 1000
 _WRITTEN = "file_no long, file string, n long, first_word int, first_doc int"
 
 
 @dataclass
-class Split(InputPartition):
+class Split:
     """Whole records of one file."""
 
     path: str
@@ -33,10 +37,18 @@ class Split(InputPartition):
     step: int
 
 
+@dataclass
+class Splits(InputPartition):
+    """What one task reads."""
+
+    splits: list[Split]
+
+
 class TripleRuns(DataSource):
     """Options: ``list``, a text file or a folder of them with a name per line, and ``split``, the records of a task at most.
 
-    Names without a scheme or a leading slash are taken from the list's folder.
+    Where that makes more than MANY_TASKS tasks, a task reads as many splits as bring them near that number, but no more
+    than RECORDS_PER_SPLIT records: small files and splits do not cost a task each. Names without a scheme or a leading slash are taken from the list's folder.
     """
 
     @classmethod
@@ -54,17 +66,24 @@ class TripleReader(DataSourceReader):
     def __init__(self, options):
         self.list, self.step = options["list"], TRIPLE_BYTES * int(options.get("split", RECORDS_PER_SPLIT))
 
-    def partitions(self) -> list[Split]:
+    def partitions(self) -> list[Splits]:
         found: list[Split] = []
-        for path in self.names():
-            filesystem, name = locate(path)
-            info = filesystem.get_file_info(name)
+        for path, info in self._files():
             if info.type != fs.FileType.File:
                 raise FileNotFoundError(f"{path}: listed, but no file")
             if info.size % TRIPLE_BYTES:
                 raise ValueError(f"{path}: {info.size} bytes are no whole number of records")
             found += [Split(path, info.size, start, self.step) for start in range(0, info.size, self.step)]
-        return found or [Split("", 0, 0, self.step)]  # Spark wants a partition
+        each = min(-(-len(found) // MANY_TASKS), RECORDS_PER_SPLIT * TRIPLE_BYTES // self.step)
+        # Spark wants a partition
+        return [Splits(_joined(part)) for part in batched(found, max(1, each))] or [Splits([])]
+
+    def _files(self) -> Iterator[tuple[str, fs.FileInfo]]:
+        """The listed names with what their file system says, asked for many at once."""
+        located = [(path, *locate(path)) for path in self.names()]
+        for filesystem, group in groupby(located, key=lambda file: file[1]):
+            for files in batched(group, _NAMES):
+                yield from zip([file[0] for file in files], filesystem.get_file_info([file[2] for file in files]))
 
     def names(self) -> list[str]:
         """The listed files in order, each name once per line that has it."""
@@ -78,9 +97,20 @@ class TripleReader(DataSourceReader):
         names = [line.strip() for line in lines if line.strip()]
         return [name if ":/" in name or name.startswith("/") else f"{folder}/{name}" for name in names]
 
-    def read(self, partition: Split) -> Iterator[pa.RecordBatch]:
-        if partition.length:
-            yield from read_range(partition.path, partition.length, partition.start, partition.step)
+    def read(self, partition: Splits) -> Iterator[pa.RecordBatch]:
+        for split in partition.splits:
+            yield from read_range(split.path, split.length, split.start, split.step)
+
+
+def _joined(splits: Sequence[Split]) -> list[Split]:
+    """The same records, those that follow each other in a file as one split."""
+    joined: list[Split] = []
+    for split in splits:
+        if joined and joined[-1].path == split.path and joined[-1].start + joined[-1].step == split.start:
+            joined[-1] = replace(joined[-1], step=joined[-1].step + split.step)
+        else:
+            joined.append(split)
+    return joined
 
 
 def read_listed(spark: SparkSession, path: str, **options: str) -> DataFrame:

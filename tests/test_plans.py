@@ -84,3 +84,9 @@ def test_lists_are_dealt_out_once(index):
     stored = stage(index.postings, "postings").table
     for frame in (postings.posting_bytes(stored), postings.global_index_lines(stored).sortWithinPartitions("shard", "word_id")):
         assert _plan(frame).count("Exchange") == 1
+
+
+def test_what_is_walked_is_sent_once(index):
+    plan = _plan(postings.visits(index.tokens, index.lexicon))
+    assert plan.count("Exchange hashpartitioning") == 1 and "Window" not in plan
+    assert "partial_collect_list" in plan  # a word's pages go together

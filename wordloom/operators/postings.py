@@ -33,46 +33,86 @@ def _counted(tokens: DataFrame, lexicon: DataFrame, keys: list[str], lookup_opti
 def visits(
     tokens: DataFrame, lexicon: DataFrame, by_file: bool = False, block_bits: int = BLOCK_PAGES_BITS, **lookup_options
 ) -> DataFrame:
-    """Islands of each word's pages, (word_id, block, nth, doc_id, tf): pages in a row with one document.
+    """Islands of each word's pages, (word_id, block, docs, tfs): document and count of pages in a row with one document.
 
-    Pages are walked in blocks of 2^block_bits positions, which bounds a window partition however common
-    the word is; ``nth`` counts from 1 in each block. The islands are summed where the walk has put them. With
-    ``by_file`` column ``file_no`` comes first and every file is walked on its own.
+    Pages are walked in blocks of 2^block_bits positions, which bounds a row however common the word is. Words are
+    counted inside their page, and pages are gathered before they are sent, so that a word goes once per task and block
+    and not with every page; what the lookup sends are islands. With ``by_file`` column ``file_no`` comes first and every
+    file is walked on its own.
     """
     word = _list_key(by_file)
+    keys = [*word[:-1], "word", "block"]
     page = [*word[:-1], "seq", "doc_id"]
-    counts = exploded(tokens, *page).groupBy(*page, "word").agg(F.count("*").alias("tf"))
-    pages = lookup(counts, lexicon, "word", "word_id", "n_pages", "seq", **lookup_options).select(
-        *word, F.shiftright("seq", block_bits).alias("block"), "seq", "doc_id", "tf"
+    in_order = tokens.select(*page, F.sort_array("tokens").alias("_words"))
+    in_runs = in_order.select(*page, "_words", _run_starts("_words", lambda w: w).alias("_starts"))
+    in_page = F.transform("_starts", lambda at, i: F.struct(
+        F.get("_words", at).alias("word"), (_run_end("_words", "_starts", i) - at).alias("tf")
+    ))
+    counted = in_runs.select(*page, F.explode_outer(in_page).alias("_found")).where("_found IS NOT NULL")
+    # Three lists of numbers take a third of a list of structs; none of the values is null, so they stay side by side.
+    place = F.coalesce(F.col("seq").bitwiseAND(F.lit((1 << block_bits) - 1)).cast("int"), F.lit(-1))
+    pages = counted.select(
+        *word[:-1], "_found.word", F.shiftright("seq", block_bits).alias("block"), place.alias("place"), "doc_id", "_found.tf"
     )
-    in_block = Window.partitionBy(*word, "block").orderBy("seq")
-    starts = F.coalesce((F.lag("doc_id").over(in_block) != F.col("doc_id")).cast("long"), F.lit(1))
-    walked = pages.withColumn("_starts", starts).withColumn("nth", F.sum("_starts").over(in_block))
-    return walked.groupBy(*word, "block", "nth", "doc_id").agg(F.sum("tf").alias("tf"))
+    lists = ["place", "doc_id", "tf"]
+    gathered = pages.groupBy(*keys).agg(*[F.collect_list(c).alias(c) for c in lists])
+    in_block = gathered.select(*keys, F.sort_array(F.arrays_zip(*lists)).alias("_pages"))
+    walked = in_block.select(*keys, "_pages", _run_starts("_pages", lambda p: p["doc_id"]).alias("_starts"))
+    islands = walked.select(
+        *keys,
+        F.transform("_starts", lambda at: F.get("_pages", at)["doc_id"]).alias("docs"),
+        F.transform("_starts", lambda at, i: F.aggregate(
+            F.slice("_pages", at + 1, _run_end("_pages", "_starts", i) - at), F.lit(0).cast("long"), lambda total, p: total + p["tf"]
+        )).alias("tfs"),
+    )
+    return lookup(islands, lexicon, "word", "word_id", "n_pages", "block", **lookup_options).select(*word, "block", "docs", "tfs")
+
+
+def _run_starts(column: str, of) -> Column:
+    """Places from 0 in an array where ``of`` an element differs from that of the one before."""
+    places = F.when(F.size(column) > 0, F.sequence(F.lit(0), F.size(column) - 1)).otherwise(F.array().cast("array<int>"))
+    return F.filter(places, lambda at: (at == 0) | (of(F.get(column, at)) != of(F.get(column, at - 1))))
+
+
+def _run_end(column: str, starts: str, i: Column) -> Column:
+    return F.coalesce(F.get(starts, i + 1), F.size(column))
 
 
 def revisit_postings(visits: DataFrame, by_file: bool = False) -> DataFrame:
     """(word_id, ordinal, doc_id, tf): a new posting whenever the word's previous page was another document.
 
     Puts the blocks of ``visits``, better a stored table, in a row: a block goes on with the posting that
-    the one before ended with if the document is the same. That is decided on one row per word and block.
-    Only islands at the border of a block can be parts of one posting and are added up; the others pass.
+    the one before ended with if the document is the same. That is decided on one row per word and block, which
+    has the first and the last island: only these can be parts of one posting and are added up. The
+    others pass, and blocks that have none are not sent to the places found.
     """
     word = _list_key(by_file)
-    ends = visits.groupBy(*word, "block").agg(
-        F.min_by("doc_id", "nth").alias("_first"), F.max_by("doc_id", "nth").alias("_last"), F.max("nth").alias("_n")
-    )
+    n = F.size("docs").cast("long")
+
+    def end(at: int) -> Column:
+        return F.struct(F.element_at("docs", at).alias("doc_id"), F.element_at("tfs", at).alias("tf"))
+
+    ends = visits.select(*word, "block", n.alias("_n"), end(1).alias("_first"), end(-1).alias("_last"))
     blocks = Window.partitionBy(*word).orderBy("block")
-    goes_on = F.coalesce((F.lag("_last").over(blocks) == F.col("_first")).cast("long"), F.lit(0))
+    goes_on = F.coalesce((F.lag("_last.doc_id").over(blocks) == F.col("_first.doc_id")).cast("long"), F.lit(0))
     earlier = F.sum(F.col("_n") - F.col("_goes_on")).over(blocks.rowsBetween(Window.unboundedPreceding, -1))
     offset = F.coalesce(earlier, F.lit(0)) - F.col("_goes_on") - 1
-    offsets = ends.withColumn("_goes_on", goes_on).select(*word, "block", "_n", offset.alias("_offset"))
-    # Every block has an offset; in a left join only these may be broadcast.
-    placed = visits.join(offsets, [*word, "block"], "left").withColumn("ordinal", F.col("_offset") + F.col("nth"))
-    inside = (F.col("nth") > 1) & (F.col("nth") < F.col("_n"))
+    placed = ends.withColumn("_goes_on", goes_on).withColumn("_offset", offset)
     key = [*word, "ordinal", "doc_id"]
-    border = placed.where(~inside).groupBy(*key).agg(F.sum("tf").alias("tf"))
-    return placed.where(inside).select(*key, "tf").unionByName(border)
+
+    def island(nth: Column, found: str) -> Column:
+        return F.struct((F.col("_offset") + nth).alias("ordinal"), F.col(f"{found}.doc_id").alias("doc_id"), F.col(f"{found}.tf").alias("tf"))
+
+    first, last = island(F.lit(1), "_first"), island(F.col("_n"), "_last")
+    both = F.when(F.col("_n") > 1, F.array(first, last)).otherwise(F.array(first))
+    border = placed.select(*word, F.explode(both).alias("_at")).select(*word, "_at.*").groupBy(*key).agg(F.sum("tf").alias("tf"))
+    # Every block has an offset; in a left join only these may be broadcast.
+    offsets = placed.where("_n > 2").select(*word, "block", "_offset")
+    inner = visits.where(n > 2).select(*word, "block", *[F.slice(c, 2, F.size(c) - 2).alias(c) for c in ("docs", "tfs")])
+    inside = inner.join(offsets, [*word, "block"], "left").select(*word, "_offset", F.posexplode(F.arrays_zip("docs", "tfs")).alias("_at", "_found"))
+    return inside.select(
+        *word, (F.col("_offset") + F.col("_at") + 2).alias("ordinal"), F.col("_found.docs").alias("doc_id"), F.col("_found.tfs").alias("tf")
+    ).unionByName(border)
 
 
 def _list_key(by_file: bool) -> list[str]:

@@ -51,3 +51,28 @@ def test_two_files_for_one_half_are_refused(tmp_path):
     _write_pair(tmp_path / "more", 0, [("u", b"abc")])
     with pytest.raises(ValueError, match="two files"):
         PairStreamReader({"path": f"file:{tmp_path}"}).latestOffset()
+
+
+def test_many_pairs_share_tasks(tmp_path):
+    for n in range(600):
+        _write_pair(tmp_path, n, [("u", b"%d" % n)])
+    reader = PairStreamReader({"path": f"file:{tmp_path}"})
+    parts = reader.partitions({"pair": 3}, {"pair": 600})
+    assert 199 <= len(parts) <= 256
+    assert [doc for p in parts for batch in reader.read(p) for doc in batch.column("doc").to_pylist()] == [b"%d" % n for n in range(3, 600)]
+
+
+def test_a_batch_reads_its_pages_once(spark, tmp_path):
+    landing, root = tmp_path / "crawl", str(tmp_path / "state")
+    landing.mkdir()
+    for n in range(3):
+        _write_pair(landing, n, _documents(40 * n, 40))
+    rows, reads = spark.sparkContext.accumulator(0), from_pairs(stream_pairs(spark, str(landing)))
+
+    def counted(batches):
+        for batch in batches:
+            rows.add(batch.num_rows)
+            yield batch
+
+    index_stream.index_stream(reads.mapInArrow(counted, reads.schema), root).awaitTermination()
+    assert rows.value == 120

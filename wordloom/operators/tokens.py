@@ -1,6 +1,6 @@
 """From pages to words and their contexts."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.functions import http, markup, text
@@ -12,14 +12,28 @@ def ok_pages(pages: DataFrame) -> DataFrame:
 
     A response ends at its first NUL: in the headers that leaves no header end, elsewhere it cuts the body.
     """
-    kept = pages.where(http.is_ok("doc") & ~http.head_has_nul("doc"))
+    kept = pages.where(_is_whole())
     return kept.select("seq", "file_no", "url", text.until_nul(http.body("doc")).alias("body"))
 
 
+def _is_whole() -> Column:
+    return http.is_ok("doc") & ~http.head_has_nul("doc")
+
+
 def page_tokens(pages: DataFrame) -> DataFrame:
     """One row per page with status 200: its URL words, then its body words."""
-    tokens = F.concat(text.words("url"), text.html_words("body"))
-    return ok_pages(pages).select("seq", "file_no", "url", tokens.alias("tokens"))
+    return ok_pages(pages).select("seq", "file_no", "url", _page_words().alias("tokens"))
+
+
+def all_page_tokens(pages: DataFrame) -> DataFrame:
+    """One row per page, ``ok`` telling whether it has status 200; the others have no tokens. The rows that are ok are ``page_tokens``."""
+    flagged = pages.select("seq", "file_no", "url", "doc", F.coalesce(_is_whole(), F.lit(False)).alias("ok"))
+    bodies = flagged.select("seq", "file_no", "url", "ok", F.when(F.col("ok"), text.until_nul(http.body("doc"))).alias("body"))
+    return bodies.select("seq", "file_no", "url", "ok", F.when(F.col("ok"), _page_words()).alias("tokens"))
+
+
+def _page_words() -> Column:
+    return F.concat(text.words("url"), text.html_words("body"))
 
 
 def doc_tokens(tokens: DataFrame, url_map: DataFrame, **lookup_options) -> DataFrame:

@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from itertools import batched
 
 import pyarrow as pa
 from pyarrow import fs
@@ -22,6 +23,8 @@ from wordloom.sources.crawl import KIND, NUMBER, read_pair
 from wordloom.sources.files import locate, qualified
 
 FORMAT = "archive_pairs"
+#: Tasks of a batch from which on a task reads several pairs, one after the other.
+MANY_TASKS = 256
 
 
 @dataclass
@@ -29,6 +32,8 @@ class Pair(InputPartition):
     file_no: int
     index_path: str
     data_path: str
+    #: Pairs that the same task reads behind this one.
+    more: tuple[Pair, ...] = ()
 
 
 class ArchivePairs(DataSource):
@@ -62,10 +67,13 @@ class PairStreamReader(DataSourceStreamReader):
 
     def partitions(self, start: dict, end: dict) -> list[Pair]:
         halves = self._halves()
-        return [Pair(n, halves[n]["index"], halves[n]["data"]) for n in range(start["pair"], end["pair"])]
+        pairs = [Pair(n, halves[n]["index"], halves[n]["data"]) for n in range(start["pair"], end["pair"])]
+        each = max(1, -(-len(pairs) // MANY_TASKS))
+        return [replace(first, more=tuple(more)) for first, *more in batched(pairs, each)]
 
     def read(self, partition: Pair) -> Iterator[pa.RecordBatch]:
-        yield from read_pair(partition.file_no, partition.index_path, partition.data_path)
+        for pair in (partition, *partition.more):
+            yield from read_pair(pair.file_no, pair.index_path, pair.data_path)
 
     def _halves(self) -> dict[int, dict[str, str]]:
         """Path of each half by file number; names and nothing else are read, and two files for one half are refused."""
@@ -85,6 +93,6 @@ class PairStreamReader(DataSourceStreamReader):
 
 
 def stream_pairs(spark: SparkSession, path: str, **options: str) -> DataFrame:
-    """RAW_PAGES of the pairs under ``path``, as a stream; one task per pair."""
+    """RAW_PAGES of the pairs under ``path``, as a stream; one task per pair, or MANY_TASKS for as many as there are."""
     spark.dataSource.register(ArchivePairs)
     return spark.readStream.format(FORMAT).options(path=qualified(spark, path), **options).load()

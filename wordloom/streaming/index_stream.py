@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 
 from wordloom.operators import dictionaries, postings, runs
 from wordloom.operators.ids import dense_ids
-from wordloom.operators.tokens import doc_tokens, page_tokens
+from wordloom.operators.tokens import all_page_tokens, doc_tokens
 from wordloom.plans.stages import Stage, passing_stages, side_by_side, stage, stage_dictionary, stage_firsts
 from wordloom.schemas import FILTERS, LEXICON, POSTINGS, URL_MAP, WORD_STATS
 from wordloom.streaming import buckets
@@ -74,10 +74,13 @@ def add_batch(pages: DataFrame, batch: int, root: str, degree: int = DEGREE) ->
     if batch <= state.read().last_batch("runs"):
         return
     with passing_stages(spark):
-        (urls, url_parts), (tokens, words, word_parts) = side_by_side(
+        # The pages are read once: a source such as an archive is dear to read.
+        listed = stage(all_page_tokens(pages), "page_tokens").table
+        tokens = listed.where("ok").drop("ok")
+        (urls, url_parts), (words, word_parts) = side_by_side(
             spark,
-            lambda: _extend(dictionaries.url_firsts(pages), root, "url_map", "url", "doc_id", dictionaries.URL_ORDER, batch),
-            lambda: _tokens_and_words(pages, batch, root),
+            lambda: _extend(dictionaries.url_firsts(listed), root, "url_map", "url", "doc_id", dictionaries.URL_ORDER, batch),
+            lambda: _extend(dictionaries.word_firsts(tokens), root, "lexicon", "word", "word_id", dictionaries.WORD_ORDER, batch),
         )
         tokens = doc_tokens(tokens, urls.table, **urls.measured)
         found = stage(postings.postings(tokens, words.table, **words.measured), "postings").table
@@ -111,11 +114,6 @@ def _new_stats(found: DataFrame, now: Snapshot, root: str) -> DataFrame:
     return found.groupBy("word_id").agg(F.sum(new).alias("df"), F.sum("tf").alias("tf_sum"), F.max("doc_id").alias("max_doc_id"))
 
 
-def _tokens_and_words(pages: DataFrame, batch: int, root: str) -> tuple[DataFrame, Stage, list[Part]]:
-    tokens = stage(page_tokens(pages), "page_tokens").table
-    return tokens, *_extend(dictionaries.word_firsts(tokens), root, "lexicon", "word", "word_id", dictionaries.WORD_ORDER, batch)
-
-
 def add_run(found: DataFrame, batch: int, root: str, degree: int = DEGREE) -> None:
     """Append a run of postings (word_id, doc_id, tf) made elsewhere; a batch that is committed already is left alone."""
     state = Snapshots(found.sparkSession, root)

@@ -4,7 +4,8 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from wordloom.llm.collocations import FmIndex, collocations, packed, unpacked
+from wordloom.llm.collocations import FmIndex, _frequent, _shards, collocations, packed, unpacked
+from wordloom.plans.stages import stage
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -110,3 +111,16 @@ def test_wide_ids_are_sorted_without_packing():
 def test_packed():
     for values in (np.arange(1000, dtype=np.uint32) * 7, np.zeros(0, np.int32), np.array([255, 0], np.uint8)):
         assert (unpacked(packed(values), values.dtype) == values).all()
+
+
+def test_a_phrase_is_sent_once_whatever_shards_hold_it(spark, capsys):
+    """A row for each phrase and shard grew faster than the input, as more phrases reach the least count."""
+    docs = spark.createDataFrame([("Alpha beta, gamma", "en")] * 40, "text string, lang string").repartition(4)
+    shards = stage(_shards(docs, 3, 1), "shards").table
+    assert shards.count() == 80  # a text is cut after its comma
+    sent = _frequent(shards, 120, 3, 10)
+    sent.explain()
+    assert "Aggregate" not in capsys.readouterr().out
+    assert sorted((r.words, r.a, r.n_before, r.n_after) for r in sent.collect()) == [
+        (["alpha"], 40, 0, 40), (["alpha", "beta"], 40, 0, 0), (["beta"], 40, 40, 0), (["gamma"], 40, 0, 0)
+    ]

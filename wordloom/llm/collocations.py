@@ -6,9 +6,10 @@ of that order is a phrase; it is extended to the left by the symbols of the tran
 through the inverse of the last-to-first mapping, and all intervals of a depth are extended at once. Counts,
 and how often a phrase has a neighbour on its left and right, are added up across shards.
 
-Most phrases are rare and never reported, so what crosses the network first is 32 bits and a small count
-for each phrase and shard, in blobs by hash range. Where a hash's counts reach the least count, all shards
-that hold it send the phrase itself with its exact count. Phrases that share a hash cost a row, never a count.
+Most phrases are rare and never reported, so what crosses the network is a 64-bit hash and the counts of each
+phrase and shard, in blobs by hash range: the phrases of a shard are as many whatever the corpus, so this grows as
+the input does. Where a hash's counts reach the least count, one of the shards that hold it is told the sums and
+sends the phrase itself, once. A phrase is known by its length and these 64 bits.
 """
 
 from __future__ import annotations
@@ -27,8 +28,8 @@ from wordloom.llm.words import chunks, frugal, give_back, mixed, prefix_hashes,
 from wordloom.plans.stages import stage
 
 SHARD_BYTES = 4 << 20
-#: Words of the corpus that a hash range stands for at most: some 60 MB in the task that adds it up.
-RANGE_WORDS = 8 << 20
+#: Words of the corpus that a hash range stands for at most: some 100 MB in the task that adds it up.
+RANGE_WORDS = 2 << 20
 _BREAK = re.compile(rb"[.,;:!?\x0A-\x0D]")
 _APART = np.zeros(256, bool)
 _APART[[0x20, 0x09, *range(0x0A, 0x0E), *b".,;:!?"]] = True
@@ -157,15 +158,16 @@ def _hashed(row: dict) -> np.ndarray:
 
 
 def _phrases(row: dict, depth: int, ranges: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """By phrase length: words, counts, neighbours before and after, hash range and 32 bits of hash, sorted by these two."""
+    """By phrase length: words, counts, neighbours before and after, hash range and hash, sorted by these two."""
     index, word_hash = FmIndex(unpacked(row["bwt"], np.int32)), _hashed(row)
     for words, counts, before, after in index.intervals(depth):
         found = np.zeros(len(words), _U)
         for column in words.T:
             found = mixed(found * _U(3) + word_hash[column])
-        part, low = (found >> _U(32)) % _U(ranges), (found & _U(0xFFFFFFFF)).astype(np.uint32)
-        order = np.argsort(part << _U(32) | low, kind="stable")
-        yield words[order], counts[order], before[order], after[order], part[order].astype(np.int64), low[order]
+        order = np.argsort(found, kind="stable")
+        found = found[order]
+        part = (found >> _U(32)) * _U(ranges) >> _U(32)
+        yield words[order], counts[order], before[order], after[order], part.astype(np.int64), found
 
 
 def _rows(batch: pa.RecordBatch | pa.Table) -> Iterator[dict]:
@@ -177,63 +179,74 @@ def _frequent(shards: DataFrame, n_words: int, depth: int, least: int) -> DataFr
     """(lang, words, a, n_before, n_after) of all phrases that stand at least ``least`` times in a language."""
     partitions = int(shards.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranges = max(partitions, -(-n_words // RANGE_WORDS))
-    small = np.uint8 if least < 256 else np.uint32
 
     def propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in _rows(batch):
-                for length, (_, counts, _, _, part, low) in enumerate(_phrases(row, depth, ranges), 1):
-                    counts = np.minimum(counts, least).astype(small)
+                for length, (_, counts, before, after, part, hashes) in enumerate(_phrases(row, depth, ranges), 1):
+                    # Most phrases have a word on both sides, so what lacks one is few and packs well.
+                    three = np.array([counts, counts - before, counts - after]).astype(np.int32)
                     cuts = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(part))
                     yield pa.RecordBatch.from_pydict({
                         "part": pa.array(part[cuts[:-1]], pa.int64()), "shard": pa.array([row["shard"]] * (len(cuts) - 1), pa.int64()),
                         "length": pa.array([length] * (len(cuts) - 1), pa.int32()),
-                        "hashes": pa.array([packed(np.diff(low[i:j], prepend=np.uint32(0))) for i, j in zip(cuts, cuts[1:])], pa.binary()),
-                        "counts": pa.array([packed(counts[i:j]) for i, j in zip(cuts, cuts[1:])], pa.binary()),
+                        "hashes": pa.array([packed(np.diff(hashes[i:j], prepend=_U(0))) for i, j in zip(cuts, cuts[1:])], pa.binary()),
+                        "counts": pa.array([packed(three[:, i:j].ravel()) for i, j in zip(cuts, cuts[1:])], pa.binary()),
                     })
 
     def resolve(table: pa.Table) -> pa.Table:
-        hashes = [np.cumsum(unpacked(x, np.uint32), dtype=np.uint32) for x in table["hashes"].to_pylist()]
+        hashes = [np.cumsum(unpacked(x, _U), dtype=_U) for x in table["hashes"].to_pylist()]
+        sizes = [len(h) for h in hashes]
         whole = np.concatenate(hashes)
-        counts = np.concatenate([unpacked(x, small) for x in table["counts"].to_pylist()])
         order = np.argsort(whole, kind="stable")
-        starts = np.flatnonzero(np.diff(whole[order].astype(np.int64), prepend=-1))
-        totals = np.add.reduceat(counts[order].astype(np.int64), starts)
-        kept = np.empty(len(whole), bool)
-        kept[order] = np.repeat(totals >= least, np.diff(np.append(starts, len(whole))))
-        ends = np.cumsum([len(h) for h in hashes])
-        bits = [np.packbits(kept[j - len(h) : j]).tobytes() for h, j in zip(hashes, ends)]
-        return pa.table({"shard": table["shard"], "part": table["part"], "length": table["length"], "bits": pa.array(bits, pa.binary())})
+        whole = whole[order]
+        starts = np.flatnonzero(np.append(True, whole[1:] != whole[:-1]))
+        del hashes, whole
+        three = [unpacked(x, np.int32).reshape(3, -1) for x in table["counts"].to_pylist()]
+        totals = [np.add.reduceat(np.concatenate([x[i] for x in three])[order], starts, dtype=np.int64) for i in range(3)]
+        enough = totals[0] >= least
+        # The first blob that holds a phrase tells it.
+        teller = order[starts[enough]]
+        told = np.argsort(teller)
+        teller, totals = teller[told], [t[enough][told] for t in totals]
+        ends = np.cumsum(sizes)
+        cuts = np.append(0, np.searchsorted(teller, ends))
+        some = np.flatnonzero(np.diff(cuts))
+        of = [slice(cuts[i], cuts[i + 1]) for i in some]
+        answer = table.select(["shard", "part", "length"]).take(pa.array(some))
+        answer = answer.append_column("places", pa.array([packed((teller[x] - (ends[i] - sizes[i])).astype(np.int32)) for i, x in zip(some, of)], pa.binary()))
+        return answer.append_column("totals", pa.array([packed(np.concatenate([t[x] for t in totals])) for x in of], pa.binary()))
 
     proposed = shards.select("shard", "langs", "dictionary", "word_langs", "bwt").mapInArrow(frugal(propose), "part long, shard long, length int, hashes binary, counts binary")
-    answers = proposed.groupBy("part", "length").applyInArrow(resolve, "shard long, part long, length int, bits binary")
+    answers = proposed.groupBy("part", "length").applyInArrow(resolve, "shard long, part long, length int, places binary, totals binary")
 
-    def send(shard: pa.Table, bits: pa.Table) -> pa.Table:
-        answered = {(r["length"], r["part"]): r["bits"] for r in _rows(bits)}
+    def send(shard: pa.Table, answers: pa.Table) -> pa.Table:
+        asked: dict[int, list[dict]] = {}
+        for r in _rows(answers):
+            asked.setdefault(r["length"], []).append(r)
+        none = np.zeros((3, 0), np.int64)
         found: list[pa.Table] = []
         for row in _rows(shard):
             names = pa.array([name.decode() for name in row["dictionary"].split(b"\n")])
             langs, word_langs = pa.array(row["langs"]), unpacked(row["word_langs"], np.int32)
-            for length, (words, counts, before, after, part, _) in enumerate(_phrases(row, depth, ranges), 1):
-                cuts = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(part))
-                kept = [np.unpackbits(np.frombuffer(answered[length, int(part[i])], np.uint8), count=int(j - i)) for i, j in zip(cuts, cuts[1:])]
-                chosen = np.flatnonzero(np.concatenate(kept)) if kept else np.zeros(0, np.int64)
+            for length, (words, _, _, _, part, _) in enumerate(_phrases(row, depth, ranges) if asked else [(np.zeros((0, 1), np.int64), *[None] * 5)], 1):
+                rows = asked.get(length, [])
+                chosen = np.concatenate([none[0], *[np.searchsorted(part, r["part"]) + unpacked(r["places"], np.int32) for r in rows]])
+                a, first, last = np.concatenate([none, *[unpacked(r["totals"], np.int64).reshape(3, -1) for r in rows]], axis=1)
                 words = words[chosen]
                 found.append(pa.table({
                     "lang": langs.take(pa.array(word_langs[words[:, 0] - 1])),
                     "phrase": pc.binary_join_element_wise(*[names.take(pa.array(column - 1)) for column in words.T], " "),
-                    "length": pa.array(np.full(len(chosen), length, np.int32)),
-                    **{k: pa.array(v[chosen].astype(np.int64)) for k, v in (("a", counts), ("n_before", before), ("n_after", after))},
+                    **{k: pa.array(v) for k, v in (("a", a), ("n_before", a - first), ("n_after", a - last))},
                 }))
         give_back()
         return pa.concat_tables(found)
 
     sent = shards.select("shard", "langs", "dictionary", "word_langs", "bwt").groupBy("shard").cogroup(answers.groupBy("shard")).applyInArrow(
-        send, "lang string, phrase string, length int, a long, n_before long, n_after long"
+        send, "lang string, phrase string, a long, n_before long, n_after long"
     )
     # A word holds no blank, so the phrase tells its words.
-    summed = sent.groupBy("lang", "phrase", "length").agg(*[F.sum(c).alias(c) for c in ("a", "n_before", "n_after")])
-    return summed.where(F.col("a") >= least).select("lang", F.split("phrase", " ").alias("words"), "a", "n_before", "n_after")
+    return sent.select("lang", F.split("phrase", " ").alias("words"), "a", "n_before", "n_after")
 
 
 def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", most_words: int = 3, least: int = 10, percent: int = 50, top: int = 2000, shard_bytes: int = SHARD_BYTES) -> DataFrame:
@@ -249,7 +262,7 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", most_w
     count each. An empty table gives no rows. Only the two columns named are read.
 
     A shard is a task's own; one word, phrase or language may hold any share of the rows. The texts are
-    read once and never shuffled. ``least`` decides what is sent, so a phrase under it has no count.
+    read once and never shuffled. ``least`` decides what is sent as text, so a phrase under it has no count.
     """
     rows = docs.select(F.col(text).alias("text"), F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"))
     shards = stage(_shards(rows, most_words, shard_bytes), "phrase_shards", n=F.sum("n_words"))

@@ -7,6 +7,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pytest
+from wordloom.llm import toxicity
 from wordloom.llm.toxicity import NEIGHBOURS, fit, held_out, score
 from wordloom.llm.words import PUNCTUATION, chunks
 
@@ -127,3 +128,41 @@ def test_a_small_sample_tells_labels_apart(spark):
     assert len({r.score for r in held}) > 1
     assert min(r.score for r in held if r.toxic) > max(r.score for r in held if not r.toxic)
     assert [r.predicted for r in held] == [r.toxic for r in held]
+
+
+def _random_index(rng, examples, vocabulary, heavy):
+    """Examples with 40 light terms each, and four of the first ``heavy`` ones, which weigh a hundred times as much."""
+    term = np.concatenate([np.append(rng.choice(heavy, 4, replace=False), heavy + rng.choice(vocabulary - heavy, 40, replace=False)) for _ in range(examples)])
+    postings = term, np.repeat(np.arange(examples), 44), rng.integers(1, 4, len(term))
+    gain = np.where(np.arange(vocabulary) < heavy, 100.0, 1.0)
+    sizes = {0: examples, 1: examples}
+    return toxicity._built(np.arange(vocabulary).astype(np.uint64), np.ones(vocabulary), gain, 9, np.arange(examples), rng.integers(0, 2, examples).astype(float), postings, sizes, sizes)
+
+
+def test_leading_terms_that_decide_are_enough(monkeypatch):
+    """Blocks of the other terms are not looked at, which took most of a text's time."""
+    rng = np.random.default_rng(4)
+    index = _random_index(rng, 1000, 3000, 40)
+    terms = np.append(np.arange(6), 40 + np.sort(rng.choice(2960, 400, replace=False)))
+    vector = index.vector(terms, np.ones(len(terms), int))
+    looked, ranges = [], toxicity._ranges
+    monkeypatch.setattr(toxicity, "_ranges", lambda *a: looked.append(len((out := ranges(*a))[0])) or out)
+    index.nearest(terms, vector)
+    assert sum(looked) < (index.entry_starts[terms + 1] - index.entry_starts[terms]).sum() / 4
+
+
+@pytest.mark.parametrize("heavy, wide", [(40, 200), (400, 3), (5, 500), (2000, 1000)])
+def test_neighbours_where_all_steps_are_taken(heavy, wide):
+    rng = np.random.default_rng(heavy)
+    index = _random_index(rng, 500, 3000, heavy)
+    dense = np.zeros((500, 3000))
+    dense[np.repeat(np.arange(500), np.diff(index.own_starts)), index.own_terms] = index.own_values
+    for without in (-1, 7, 499):
+        for _ in range(20):
+            terms = np.sort(rng.choice(3000, wide, replace=False))
+            vector = index.vector(terms, rng.integers(1, 5, wide))
+            cosines = np.round(dense[:, terms] @ vector, 9)
+            order = np.lexsort((np.arange(500), -cosines))
+            order = order[(order != without) & (cosines[order] > 0)][:NEIGHBOURS]
+            got, near = index.nearest(terms, vector, without=without)
+            assert np.allclose(near, cosines[order], atol=2e-9) and (got == order).sum() >= len(order) - 2

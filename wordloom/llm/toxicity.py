@@ -3,7 +3,8 @@
 A bounded sample of labelled texts gives the examples; all their terms are indexed. A term weighs by TF-IDF
 and by how it divides the labels, in degrees and never by a cut. Document frequencies are counted over all
 texts; a text's terms that no example has count for its length too. The index has the examples' postings in
-blocks with the largest weight of each term in a block, so whole blocks are passed over, never a neighbour. Distance-weighted votes become scores through rates measured on the examples themselves, each
+blocks with the largest weight of each term in a block, so whole blocks are passed over, never a neighbour; many
+texts need no more than their leading terms and the length of the rest. Distance-weighted votes become scores through rates measured on the examples themselves, each
 scored without its own vote.
 """
 
@@ -35,7 +36,9 @@ ANSWERS = 10_000
 #: More than 32 bits can be off in a sum of weights of unit vectors.
 _SLACK = 2e-6
 #: Times k: so few examples are computed in full rather than narrowed down further.
-_FEW = 16
+_FEW = 4
+#: Terms of the first step, all of whose postings are added up.
+_LEADING = 64
 
 
 def held_out(doc_id: Column | str) -> Column:
@@ -136,40 +139,51 @@ class Index:
     def nearest(self, terms: np.ndarray, vector: np.ndarray, k: int = NEIGHBOURS, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of highest cosine over 0, ties to the lower number, and their cosines.
 
-        Terms go by the most that they can add, a few at once and then more. After each step the k-th partial
-        sum is a lower bound; a block whose best partial sum and the largest weights of the terms to come in it do
-        not reach that is passed over from then on. What is left in the end is computed in full.
+        Terms go by the most that they can add, some at once and then more. After each step the k-th partial sum
+        is a lower bound. No example can add more than the length of the vector's terms to come, as it has a length
+        of 1 itself; where that leaves more than a few, a block whose best partial sum and the largest weights of
+        the terms to come in it do not reach the bound is passed over from then on. What is left in the end is
+        computed in full.
         """
         blocks = -(-len(self.doc_ids) // BLOCK)
         order = np.argsort(-vector * self._term_max[terms], kind="stable")
         terms, vector = terms[order], vector[order]
-        entries, of = _ranges(self.entry_starts[terms], self.entry_starts[terms + 1])
-        block, most = self.entry_block[entries], vector[of] * self.entry_max[entries]
-        cuts = np.searchsorted(of, np.arange(len(terms) + 1))
-        to_come = np.bincount(block, most, minlength=blocks)
-        live, sums = to_come > 0, np.zeros(blocks * BLOCK)
-        could, kth, at, size = np.zeros(len(sums), bool), 0.0, 0, 8
-        while at < len(terms):
-            step = slice(cuts[at], cuts[min(at + size, len(terms))])
-            to_come -= np.bincount(block[step], most[step], minlength=blocks)
-            kept = np.flatnonzero(live[block[step]]) + step.start
-            places, which = _ranges(self.entry_first[entries[kept]], self.entry_first[entries[kept] + 1])
-            sums += np.bincount(self.examples[places], vector[of[kept]][which] * self.values[places], minlength=len(sums))
-            at, size = at + size, 2 * size
+        low, high = self.entry_starts[terms], self.entry_starts[terms + 1]
+        length = np.sqrt(np.append(np.cumsum((vector * vector)[::-1])[::-1], 0.0))
+        size, step = 2 * _LEADING, slice(0, _LEADING)
+        starts, ends = self.entry_first[low[step]], self.entry_first[high[step]]
+        example, value = _slices(starts, ends, self.examples, self.values)
+        sums = np.bincount(example, np.repeat(vector[step], ends - starts) * value, minlength=blocks * BLOCK)
+        live, to_come, entries = np.ones(blocks, bool), np.full(blocks, np.inf), None
+        at = min(_LEADING, len(terms))
+        while True:
             if without >= 0:
                 sums[without] = -1.0
             kth = np.partition(sums, -k)[-k] if len(sums) >= k else 0.0
-            could = sums > 0
-            if kth > 0:
-                could = (sums.reshape(blocks, BLOCK) + (to_come[:, None] + _SLACK) >= kth) & live[:, None]
-                live = could.any(axis=1)
-                could = could.ravel()
-                if np.count_nonzero(could) <= _FEW * k:
+            could, live = _within(sums, live, np.minimum(to_come, length[at]), kth)
+            if at == len(terms) or kth > 0 and np.count_nonzero(could) <= _FEW * k:
+                break
+            if entries is None:
+                entries, of = _ranges(low[at:], high[at:])
+                kept = np.flatnonzero(live[self.entry_block[entries]])
+                entries, of = entries[kept], of[kept] + at
+                block, most = self.entry_block[entries], vector[of] * self.entry_max[entries]
+                to_come = np.bincount(block, most, minlength=blocks)
+                could, live = _within(sums, live, np.minimum(to_come, length[at]), kth)
+                if kth > 0 and np.count_nonzero(could) <= _FEW * k:
                     break
+            end = min(at + size, len(terms))
+            step = slice(*np.searchsorted(of, [at, end]))
+            to_come -= np.bincount(block[step], most[step], minlength=blocks)
+            kept = np.flatnonzero(live[block[step]]) + step.start
+            places, which = _ranges(self.entry_first[entries[kept]], self.entry_first[entries[kept] + 1])
+            sums += np.bincount(self.examples[places], vector[of[kept]][which] * self.values[places], minlength=len(sums))
+            at, size = end, 2 * size
         found = np.flatnonzero(could[: len(self.doc_ids)])
         self._query[terms] = vector
-        places, which = _ranges(self.own_starts[found], self.own_starts[found + 1])
-        cosines = np.round(np.bincount(which, self._query[self.own_terms[places]] * self.own_values[places], minlength=len(found)), 9)
+        starts, ends = self.own_starts[found], self.own_starts[found + 1]
+        own, value = _slices(starts, ends, self.own_terms, self.own_values)
+        cosines = np.round(np.bincount(np.repeat(np.arange(len(found)), ends - starts), self._query[own] * value, minlength=len(found)), 9)
         self._query[terms] = 0
         found, cosines = found[cosines > 0], cosines[cosines > 0]
         best = np.lexsort((found, -cosines))
@@ -193,6 +207,20 @@ def _ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.arange(len(of)) + (starts - (np.cumsum(counts) - counts))[of], of
 
 
+def _slices(starts: np.ndarray, ends: np.ndarray, *arrays: np.ndarray) -> list[np.ndarray]:
+    """What each array holds from each start up to its end, for ranges that are few and long."""
+    cuts = list(map(slice, starts.tolist(), ends.tolist()))
+    return [np.concatenate([array[:0], *[array[cut] for cut in cuts]]) for array in arrays]
+
+
+def _within(sums: np.ndarray, live: np.ndarray, more: np.ndarray, kth: float) -> tuple[np.ndarray, np.ndarray]:
+    """Which examples of live blocks could come to the k-th sum with what their block can add, and which blocks hold one."""
+    if kth <= 0:
+        return sums > 0, live
+    could = (sums.reshape(len(live), BLOCK) >= (kth - _SLACK - more)[:, None]) & live[:, None]
+    return could.ravel(), could.any(axis=1)
+
+
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", examples: int = EXAMPLES, terms: int | None = None) -> Index:
     """The index over a sample of the labelled rows that are not held out, by all their terms.
 

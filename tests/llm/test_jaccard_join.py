@@ -2,6 +2,7 @@ import random
 
 import brute
 import pytest
+from wordloom.llm import jaccard_join
 from wordloom.llm.components import components
 from wordloom.llm.jaccard_join import Measure, near_duplicates
 
@@ -39,6 +40,24 @@ def test_links_of_a_dense_group(spark, region):
     assert sorted(map(tuple, found)) == sorted((d, *expected[i]) for i, (d, _) in enumerate(rows))
 
 
+def test_texts_that_meet_by_chance_are_not_sent(spark, monkeypatch):
+    """40 texts share a passage and nothing else; their texts went to its regions, the more of them the larger the input."""
+    rng = random.Random(9)
+    rows = [(i, " ".join(["of one passage here"] + [f"v{rng.randrange(10**6)}" for _ in range(60 + i % 9)])) for i in range(40)]
+    rows += [(100, rows[7][1] + " more"), (101, "more " + rows[7][1])]
+    expected = brute.components(rows, 2, 80)
+    sent, texts = [], jaccard_join._with_texts
+
+    def counted(rows, facts, members, measure):
+        sent.append(members.select("node").distinct().count())
+        return texts(rows, facts, members, measure)
+
+    monkeypatch.setattr(jaccard_join, "_with_texts", counted)
+    found = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), Measure(2, 80)).collect()
+    assert sorted(map(tuple, found)) == sorted((d, *expected[i]) for i, (d, _) in enumerate(rows))
+    assert sent == [3]
+
+
 def test_empty_table(empty):
     assert near_duplicates(empty).collect() == []
 

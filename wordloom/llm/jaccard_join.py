@@ -10,6 +10,10 @@ turn. Regions of more words than a task should hold are cut into parts, and thei
 Links are counted where they are found: a pair that stands in several regions belongs to the one of the
 smallest pivot, and pairs whose distances to the pivot add up to no more than the limit need no comparison. Only links that
 join groups leave a task; components need no others.
+
+The larger the input, the more texts share a rare shingle by chance. So signatures of a bit or two per shingle go to the
+regions first: bits in which two of them differ are shingles that only one has. Texts follow for members that could
+link with another one there.
 """
 
 from __future__ import annotations
@@ -97,7 +101,8 @@ def _links(rows: DataFrame, made: DataFrame, nodes: DataFrame, measure: Measure,
     # Most shingles meet no other node; those are not sent a second time.
     again = rows.mapInArrow(frugal(_rare(measure, shared, _filter(met.select(F.col("shingle").alias("node"))))), "shingle long, node long, n long")
     pairs = again.join(met, "shingle").groupBy("pivot", "node").agg(F.max("n").alias("n"))
-    pairs = stage(_of_like_size(stage(pairs, "region_nodes").table, measure), "region_pairs").table
+    pairs = _of_like_size(stage(pairs, "region_nodes").table, measure)
+    pairs = stage(_with_partners(rows, pairs, measure, region_shingles), "region_pairs").table
     parts = pairs.groupBy("pivot").agg(F.sum("n").alias("_n"), F.min("node").alias("centre")).select(
         "pivot", "centre", F.floor(F.col("_n") / region_shingles + 1).cast("int").alias("parts")
     )
@@ -142,6 +147,18 @@ def _of_like_size(pairs: DataFrame, measure: Measure) -> DataFrame:
     return strips.join(full, ["pivot", "strip"]).select("pivot", "node", "n")
 
 
+def _with_partners(rows: DataFrame, pairs: DataFrame, measure: Measure, region_shingles: int) -> DataFrame:
+    """(pivot, node, n) of the members that could link with another one in their region, by signatures; regions in parts stay whole."""
+    sizes = stage(pairs, "region_alike").table
+    sizes = sizes.join(sizes.groupBy("pivot").agg((F.sum("n") < region_shingles).alias("_one")), "pivot")
+    sizes = stage(sizes, "region_sizes").table
+    some = sizes.where("_one").drop("_one")
+    # Copies have the same signature.
+    signed = rows.mapInArrow(frugal(_signed(measure, _filter(some))), "node long, signature binary").groupBy("node").agg(F.first("signature").alias("signature"))
+    met = some.join(signed, "node").groupBy("pivot").applyInArrow(_partners(measure), "pivot long, node long, n long")
+    return met.unionByName(sizes.where("NOT _one").select("pivot", "node", "n"))
+
+
 def _with_texts(rows: DataFrame, facts: DataFrame, members: DataFrame, measure: Measure) -> DataFrame:
     """members, a stored table, with copies, pivots and texts: those of each node's smallest doc_id, so that copies are left out."""
     keyed = rows.mapInArrow(frugal(_keyed(measure, _filter(members))), "doc_id long, node long, text string")
@@ -277,6 +294,53 @@ def _rare(measure: Measure, shared, wanted=None):
     return made
 
 
+def _signed(measure: Measure, wanted):
+    """(node, signature) of nodes that pass the filter: bits by the shingles' hashes, each telling if their number is odd.
+
+    There are more bits than shingles, and at most twice as many but for 64 at least; half as many are the halves' exclusive or.
+    """
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flags, seen = wanted.value, set()
+        for batch in batches:
+            for chunk in chunks(batch.column("text"), lower=True):
+                hashes, starts, nodes = sets_of(chunk, measure.words)
+                sizes = np.diff(starts)
+                some = (sizes > 0) & flags[_places(nodes)]
+                some &= np.array([s and not (n in seen or seen.add(n)) for n, s in zip(nodes.tolist(), some.tolist())], bool)
+                at = np.flatnonzero(some)
+                bits = np.maximum(64, 1 << np.frexp(sizes[at].astype(float))[1].astype(np.int64))
+                ends = np.cumsum(bits)
+                owner = np.repeat(np.arange(len(at)), sizes[at])
+                place = (hashes[np.repeat(some, sizes)] & (bits[owner] - 1).astype(_U)).astype(np.int64) + (ends - bits)[owner]
+                odd = np.packbits((np.bincount(place, minlength=bits.sum()) & 1).astype(bool)).tobytes()
+                signatures = [odd[i:j] for i, j in zip(((ends - bits) // 8).tolist(), (ends // 8).tolist())]
+                yield pa.RecordBatch.from_arrays([pa.array(nodes[at]), pa.array(signatures, pa.binary())], names=["node", "signature"])
+
+    return made
+
+
+def _partners(measure: Measure):
+    """The members of a region that have another one with which they could link: two sets differ in as many shingles as their signatures do in bits, or more."""
+
+    def made(rows: pa.Table) -> pa.Table:
+        n = rows.column("n").to_numpy()
+        signatures = [np.frombuffer(x, np.uint8) for x in rows.column("signature").to_pylist()]
+        lengths, could = np.array([len(x) for x in signatures]), np.zeros(len(n), bool)
+        for length in np.unique(lengths):
+            at = np.flatnonzero(lengths >= length)
+            folded = np.array([np.bitwise_xor.reduce(signatures[i].reshape(-1, length), axis=0) for i in at])
+            for x in np.flatnonzero(lengths[at] == length).tolist():
+                apart = np.bitwise_count(folded ^ folded[x]).sum(axis=1, dtype=np.int64)
+                possible = measure.linked((n[at] + n[at[x]] - apart) // 2, n[at], n[at[x]])
+                possible[x] = False
+                could[at[possible]] = True
+                could[at[x]] |= possible.any()
+        return rows.select(["pivot", "node", "n"]).filter(pa.array(could))
+
+    return made
+
+
 def _keyed(measure: Measure, wanted):
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flags = wanted.value

@@ -148,12 +148,13 @@ class Index:
         blocks = -(-len(self.doc_ids) // BLOCK)
         order = np.argsort(-vector * self._term_max[terms], kind="stable")
         terms, vector = terms[order], vector[order]
+        short = vector.astype(np.float32)  # as the postings' weights are; a product of both kinds takes several times as long
         low, high = self.entry_starts[terms], self.entry_starts[terms + 1]
         length = np.sqrt(np.append(np.cumsum((vector * vector)[::-1])[::-1], 0.0))
         size, step = 2 * _LEADING, slice(0, _LEADING)
         starts, ends = self.entry_first[low[step]], self.entry_first[high[step]]
         example, value = _slices(starts, ends, self.examples, self.values)
-        sums = np.bincount(example, np.repeat(vector[step], ends - starts) * value, minlength=blocks * BLOCK)
+        sums = np.bincount(example, np.repeat(short[step], ends - starts) * value, minlength=blocks * BLOCK)
         live, to_come, entries = np.ones(blocks, bool), np.full(blocks, np.inf), None
         at = min(_LEADING, len(terms))
         while True:
@@ -177,7 +178,7 @@ class Index:
             to_come -= np.bincount(block[step], most[step], minlength=blocks)
             kept = np.flatnonzero(live[block[step]]) + step.start
             places, which = _ranges(self.entry_first[entries[kept]], self.entry_first[entries[kept] + 1])
-            sums += np.bincount(self.examples[places], vector[of[kept]][which] * self.values[places], minlength=len(sums))
+            sums += np.bincount(self.examples[places], short[of[kept]][which] * self.values[places], minlength=len(sums))
             at, size = end, 2 * size
         found = np.flatnonzero(could[: len(self.doc_ids)])
         self._query[terms] = vector

@@ -1,11 +1,12 @@
 import brute
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
-from wordloom.llm import bpe
+from wordloom.llm import bpe, quality, words
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 LIBRARY = Tokenizer.from_file(PATH)
@@ -45,3 +46,23 @@ def test_tables(messy, empty):
         assert r.ids == ids and r.one == r.two == LIBRARY.decode(ids, skip_special_tokens=False)
     assert bpe.encode(empty, PATH).collect() == []
     assert brute.sha("") != brute.sha("a")
+
+
+def test_decoded_at_once_equals_one_by_one():
+    codes, cuts = bpe.encode_texts(PATH, ["", "x<|endoftext|>y é", None, "don't", "a b c", ""])
+    found = bpe._decoded(bpe.load(PATH), pa.array(codes), pa.array(cuts, pa.int32()))
+    assert found.to_pylist() == [bpe.decode_ids(bpe.load(PATH), codes[a:b].tolist()) for a, b in zip(cuts, cuts[1:])]
+    assert found.type == pa.string()
+
+
+def test_tasks_leave_nothing_in_their_workers(messy):
+    def left(batches):
+        for batch in batches:
+            size = bpe._codes.cache_info().currsize + len(words._powers[0]) - 1
+            yield pa.RecordBatch.from_pydict({"size": [size] * batch.num_rows})
+
+    long = messy.select("doc_id", F.repeat("text", 20).alias("text"))
+    long.select(quality.measurements(F.col("text"))).write.format("noop").mode("overwrite").save()
+    assert {r.size for r in messy.select("doc_id").mapInArrow(left, "size long").collect()} == {0}
+    bpe.encode(long, PATH, decoded="decoded").write.format("noop").mode("overwrite").save()
+    assert {r.size for r in messy.select("doc_id").mapInArrow(left, "size long").collect()} == {0}

@@ -24,11 +24,11 @@ from pyspark.sql import functions as F
 
 from wordloom.llm.words import frugal
 
-#: Words whose codes a worker keeps from batch to batch; beyond it forgets them and starts anew.
+#: Words whose codes a task keeps from batch to batch; beyond it forgets them and starts anew.
 KEPT_WORDS = 250_000
 #: Words encoded together.
 INDEXED_WORDS = 50_000
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 _SIGMA = "Σ"
 # White space as the tokenizer's patterns take it.
 _SPACE = r"\t-\r\x20\x85\xa0  -     　"
@@ -43,17 +43,14 @@ def byte_symbols() -> list[str]:
 
 @dataclass
 class Vocabulary:
-    """A word-end BPE model in the JSON form of the tokenizers library, with the steps before it."""
+    """A word-end BPE model, with the steps before it. Workers keep it, so merges are numbers: left, right and made symbol by rank."""
 
-    model: dict
+    ids: dict[str, int]
+    end: str
+    merges: np.ndarray
     added: list[dict]
-    normalizer: dict
     pre_tokenizer: dict
 
-    @cached_property
-    def ids(self) -> dict[str, int]:
-        return self.model["vocab"]
-
     @cached_property
     def tokens(self) -> list[str]:
         """Tokens by id; added ones included."""
@@ -63,25 +60,19 @@ class Vocabulary:
     @cached_property
     def pairs(self) -> tuple[np.ndarray, np.ndarray]:
         """Sorted pair keys (left << 32 | right), and the rank of each."""
-        keys = np.array([self.ids[left] << 32 | self.ids[right] for left, right in self.merges], np.int64)
+        keys = self.merges[:, 0] << 32 | self.merges[:, 1]
         order = np.argsort(keys, kind="stable")
         return keys[order], order
 
     @cached_property
-    def merges(self) -> list[tuple[str, str]]:
-        return [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in self.model["merges"]]
-
-    @cached_property
-    def merged(self) -> np.ndarray:
-        """Symbol that the merge of each rank makes."""
-        return np.array([self.ids[left + right] for left, right in self.merges], np.int64)
+    def token_array(self) -> pa.Array:
+        return pa.array(self.tokens, pa.string())
 
     @cached_property
     def first_symbols(self) -> tuple[np.ndarray, np.ndarray]:
         """Symbol of each byte inside a word, and at its end."""
-        end = self.model["end_of_word_suffix"] or ""
         symbols = byte_symbols()
-        return tuple(np.array([self.ids[s + suffix] for s in symbols], np.int64) for suffix in ("", end))
+        return tuple(np.array([self.ids[s + suffix] for s in symbols], np.int64) for suffix in ("", self.end))
 
     @cached_property
     def special(self) -> regex.Pattern | None:
@@ -120,7 +111,9 @@ def load(path: str) -> Vocabulary:
         raise ValueError(f"{path}: not a lower-case word BPE")
     if data.get("decoder"):
         raise ValueError(f"{path}: has a decoder")
-    return Vocabulary(model, data["added_tokens"], data["normalizer"], data["pre_tokenizer"])
+    ids, pairs = model["vocab"], (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
+    merges = np.array([(ids[left], ids[right], ids[left + right]) for left, right in pairs], np.int64).reshape(-1, 3)
+    return Vocabulary(ids, model["end_of_word_suffix"] or "", merges, data["added_tokens"], data["pre_tokenizer"])
 
 
 class _Numbers(dict):
@@ -194,7 +187,7 @@ def encode_words(vocabulary: Vocabulary, words: list[str]) -> tuple[np.ndarray,
     before[ends - lengths] = -1
     alive = np.ones(n, bool)
     keys, ranks = vocabulary.pairs
-    merged = vocabulary.merged
+    lefts, rights, merged = vocabulary.merges.T
     lists: dict[int, list[np.ndarray]] = {}
     active: list[int] = []
 
@@ -229,8 +222,7 @@ def encode_words(vocabulary: Vocabulary, words: list[str]) -> tuple[np.ndarray,
         positions = positions[rank_at(positions) == rank]
         if not len(positions):
             continue
-        left, right = vocabulary.merges[rank]
-        if left == right:
+        if lefts[rank] == rights[rank]:
             positions = _apart(np.sort(positions), after)
         gone = after[positions]
         symbol[positions] = merged[rank]
@@ -266,7 +258,8 @@ def encode_texts(path: str, texts: list[str | None]) -> tuple[np.ndarray, np.nda
     numbers = np.concatenate([np.zeros(0, np.int32), *cut])
     lengths = codes.lengths[numbers].astype(np.int64)
     ends = np.append(0, np.cumsum(lengths))
-    at = np.repeat(codes.starts[numbers] - ends[:-1], lengths) + np.arange(ends[-1])
+    at = np.repeat(codes.starts[numbers] - ends[:-1], lengths)
+    at += np.arange(ends[-1])
     return codes.flat[at], ends[np.append(0, np.cumsum(counts))]
 
 
@@ -275,6 +268,11 @@ def decode_ids(vocabulary: Vocabulary, ids: Iterable[int]) -> str:
     return " ".join(map(vocabulary.tokens.__getitem__, ids))
 
 
+def _decoded(vocabulary: Vocabulary, codes: pa.Array, cuts: pa.Array) -> pa.Array:
+    """``decode_ids`` of each text's codes, without an object per code."""
+    return pc.binary_join(pa.ListArray.from_arrays(cuts, vocabulary.token_array.take(codes)), " ")
+
+
 def _slices(batch: pa.RecordBatch, sizes: np.ndarray, most: int) -> Iterator[pa.RecordBatch]:
     """Consecutive rows of about ``most`` bytes together."""
     group = (np.cumsum(sizes) - sizes) // most if len(sizes) else sizes
@@ -294,17 +292,23 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", dec
     types = {ids: F.lit(None).cast("array<int>")} | ({decoded: F.lit("")} if decoded else {})
     schema = docs.select(*kept).limit(0).withColumns(types).schema
 
+    def coded_batch(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        for part in _slices(batch, sizes, BATCH_BYTES):
+            codes, cuts = map(pa.array, encode_texts(path, part.column(text).to_pylist()))
+            cuts = cuts.cast(pa.int32())
+            made: list[pa.Array] = [pa.ListArray.from_arrays(cuts, codes)]
+            if decoded:
+                made.append(_decoded(load(path), codes, cuts))
+            yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], *made], names=[*kept, *new])
+
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = load(path)
-        for batch in batches:
-            sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-            for part in _slices(batch, sizes, BATCH_BYTES):
-                codes, cuts = encode_texts(path, part.column(text).to_pylist())
-                made: list[pa.Array] = [pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(codes))]
-                if decoded:
-                    flat, at = codes.tolist(), cuts.tolist()
-                    made.append(pa.array([decode_ids(vocabulary, flat[i:j]) for i, j in zip(at, at[1:])], pa.string()))
-                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], *made], names=[*kept, *new])
+        try:
+            for batch in batches:
+                yield from coded_batch(batch)
+                del batch  # before the next one comes
+        finally:
+            _codes.cache_clear()  # a worker outlives its tasks; the next stage needs no codes
 
     return docs.select(*kept, text).mapInArrow(frugal(coded), schema)
 

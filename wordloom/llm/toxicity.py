@@ -4,8 +4,9 @@ A bounded sample of labelled texts gives the examples; all their terms are index
 and by how it divides the labels, in degrees and never by a cut. Document frequencies are counted over all
 texts; a text's terms that no example has count for its length too. The index has the examples' postings in
 blocks with the largest weight of each term in a block, so whole blocks are passed over, never a neighbour; many
-texts need no more than their leading terms and the length of the rest. Distance-weighted votes become scores through rates measured on the examples themselves, each
-scored without its own vote.
+texts need no more than their leading terms and the length of the rest. The terms that most examples have are added up
+for many texts at once, as a product of matrices. Distance-weighted votes become scores through rates measured on the
+examples themselves, each scored without its own vote.
 """
 
 from __future__ import annotations
@@ -33,12 +34,19 @@ FOLDS = 5
 ANSWERS = 10_000
 
 
-#: More than 32 bits can be off in a sum of weights of unit vectors.
-_SLACK = 2e-6
+#: More than 32 bits can be off in a sum of weights of unit vectors, and as a share of a sum of _FREQUENT products in 32 bits.
+_SLACK, _SHARE = 2e-6, 1e-4
 #: Times k: so few examples are computed in full rather than narrowed down further.
 _FEW = 4
 #: Terms of the first step, all of whose postings are added up.
 _LEADING = 64
+#: Terms with a row of weights over all examples, at most, and the share of the examples that has them, one in so many: the
+#: product over all texts and examples then takes less time than the postings.
+_FREQUENT, _ONE_IN = 512, 16
+#: Times the examples: so few postings are all added up, which takes less time than to tell which are needed.
+_SHORT = 4
+#: Texts that are taken at once, with their sums over these terms.
+_TOGETHER = 128
 
 
 def held_out(doc_id: Column | str) -> Column:
@@ -70,7 +78,9 @@ def _known(chunk: Chunk, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def _found(chunk: Chunk, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Text and place in the vocabulary, as one number, of each word that is in it; and which words are not."""
     hashes = chunk.word_hashes
-    place = np.minimum(np.searchsorted(vocabulary, hashes), max(0, len(vocabulary) - 1))
+    order = np.argsort(hashes)  # places of words in order are near each other, which takes less time than the sorting
+    place = np.empty(len(hashes), np.int64)
+    place[order] = np.minimum(np.searchsorted(vocabulary, hashes[order]), max(0, len(vocabulary) - 1))
     known = vocabulary[place] == hashes if len(vocabulary) else np.zeros(len(hashes), bool)
     hit = np.flatnonzero(known)
     row = np.searchsorted(chunk.word_rows, hit, side="right") - 1
@@ -133,47 +143,84 @@ class Index:
         """Largest weight of a term in any block; each has an entry."""
         return np.maximum.reduceat(self.entry_max, self.entry_starts[:-1]) if len(self.entry_max) else np.zeros(0)
 
-    def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k not in ("_query", "_term_max")}
+    @cached_property
+    def _frequent(self) -> tuple[np.ndarray, np.ndarray]:
+        """Each term's row, -1 for terms that are not frequent, and the rows: a frequent term's weights in all examples."""
+        counts = np.diff(self.entry_first[self.entry_starts])
+        most = np.argsort(-counts, kind="stable")[:_FREQUENT]
+        most = most[counts[most] * _ONE_IN >= len(self.doc_ids)]
+        row = np.full(len(self.vocabulary), -1, np.int32)
+        row[most] = np.arange(len(most))
+        weights = np.zeros((len(most), -(-len(self.doc_ids) // BLOCK) * BLOCK), np.float32)
+        for i, (start, end) in enumerate(zip(self.entry_first[self.entry_starts[most]], self.entry_first[self.entry_starts[most + 1]])):
+            weights[i, self.examples[start:end]] = self.values[start:end]
+        return row, weights
 
-    def nearest(self, terms: np.ndarray, vector: np.ndarray, k: int = NEIGHBOURS, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k not in ("_query", "_term_max", "_frequent")}
+
+    def frequent_sums(self, texts: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """For texts as (terms, vector), a row each: what their frequent terms add to the cosine with each example."""
+        row, weights = self._frequent
+        own = np.zeros((len(texts), len(weights)), np.float32)
+        for i, (terms, vector) in enumerate(texts):
+            rows = row[terms]
+            own[i, rows[rows >= 0]] = vector[rows >= 0]
+        return own @ weights
+
+    def nearest_of(self, texts: list[tuple[np.ndarray, np.ndarray]], k: int = NEIGHBOURS, without: list[int] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The same as ``nearest`` for each of many texts."""
+        for first in range(0, len(texts), _TOGETHER):
+            some = texts[first : first + _TOGETHER]
+            for i, (text, sums) in enumerate(zip(some, self.frequent_sums(some)), first):
+                yield self.nearest(*text, k, without[i] if without else -1, sums)
+
+    def nearest(
+        self, terms: np.ndarray, vector: np.ndarray, k: int = NEIGHBOURS, without: int = -1, sums: np.ndarray | None = None
+    ) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of highest cosine over 0, ties to the lower number, and their cosines.
 
-        Terms go by the most that they can add, some at once and then more. After each step the k-th partial sum
+        Frequent terms come first, with ``sums`` if these are known. The others go all at once if they have few postings,
+        or else by the most that they can add, some at once and then more. After each step the k-th partial sum
         is a lower bound. No example can add more than the length of the vector's terms to come, as it has a length
         of 1 itself; where that leaves more than a few, a block whose best partial sum and the largest weights of
         the terms to come in it do not reach the bound is passed over from then on. What is left in the end is
         computed in full.
         """
         blocks = -(-len(self.doc_ids) // BLOCK)
-        order = np.argsort(-vector * self._term_max[terms], kind="stable")
-        terms, vector = terms[order], vector[order]
-        short = vector.astype(np.float32)  # as the postings' weights are; a product of both kinds takes several times as long
-        low, high = self.entry_starts[terms], self.entry_starts[terms + 1]
-        length = np.sqrt(np.append(np.cumsum((vector * vector)[::-1])[::-1], 0.0))
-        size, step = 2 * _LEADING, slice(0, _LEADING)
-        starts, ends = self.entry_first[low[step]], self.entry_first[high[step]]
-        example, value = _slices(starts, ends, self.examples, self.values)
-        sums = np.bincount(example, np.repeat(short[step], ends - starts) * value, minlength=blocks * BLOCK)
+        sums = self.frequent_sums([(terms, vector)])[0] if sums is None else sums
+        rest = np.flatnonzero(self._frequent[0][terms] < 0)
+        low, high = self.entry_starts[terms[rest]], self.entry_starts[terms[rest] + 1]
+        starts, ends = self.entry_first[low], self.entry_first[high]
+        size, at, length = 2 * _LEADING, len(rest), np.zeros(len(rest) + 1)
+        if (ends - starts).sum() > _SHORT * len(sums):
+            order = np.argsort(-vector[rest] * self._term_max[terms[rest]], kind="stable")
+            rest, low, high, starts, ends = (x[order] for x in (rest, low, high, starts, ends))
+            length = np.sqrt(np.append(np.cumsum((vector[rest] * vector[rest])[::-1])[::-1], 0.0))
+            at = min(_LEADING, len(rest))
+        weight = vector[rest]
+        short = weight.astype(np.float32)  # as the postings' weights are; a product of both kinds takes several times as long
+        counts = ends[:at] - starts[:at]
+        places = np.repeat(starts[:at] - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+        sums = sums + np.bincount(self.examples[places], np.repeat(short[:at], counts) * self.values[places], minlength=len(sums))
         live, to_come, entries = np.ones(blocks, bool), np.full(blocks, np.inf), None
-        at = min(_LEADING, len(terms))
         while True:
             if without >= 0:
                 sums[without] = -1.0
             kth = np.partition(sums, -k)[-k] if len(sums) >= k else 0.0
             could, live = _within(sums, live, np.minimum(to_come, length[at]), kth)
-            if at == len(terms) or kth > 0 and np.count_nonzero(could) <= _FEW * k:
+            if at == len(rest) or kth > 0 and np.count_nonzero(could) <= _FEW * k:
                 break
             if entries is None:
                 entries, of = _ranges(low[at:], high[at:])
                 kept = np.flatnonzero(live[self.entry_block[entries]])
                 entries, of = entries[kept], of[kept] + at
-                block, most = self.entry_block[entries], vector[of] * self.entry_max[entries]
+                block, most = self.entry_block[entries], weight[of] * self.entry_max[entries]
                 to_come = np.bincount(block, most, minlength=blocks)
                 could, live = _within(sums, live, np.minimum(to_come, length[at]), kth)
                 if kth > 0 and np.count_nonzero(could) <= _FEW * k:
                     break
-            end = min(at + size, len(terms))
+            end = min(at + size, len(rest))
             step = slice(*np.searchsorted(of, [at, end]))
             to_come -= np.bincount(block[step], most[step], minlength=blocks)
             kept = np.flatnonzero(live[block[step]]) + step.start
@@ -218,7 +265,7 @@ def _within(sums: np.ndarray, live: np.ndarray, more: np.ndarray, kth: float) ->
     """Which examples of live blocks could come to the k-th sum with what their block can add, and which blocks hold one."""
     if kth <= 0:
         return sums > 0, live
-    could = (sums.reshape(len(live), BLOCK) >= (kth - _SLACK - more)[:, None]) & live[:, None]
+    could = (sums.reshape(len(live), BLOCK) >= (kth * (1 - _SHARE) - _SLACK - more)[:, None]) & live[:, None]
     return could.ravel(), could.any(axis=1)
 
 
@@ -374,9 +421,9 @@ def _votes(spark: SparkSession, index: Index) -> dict[int, float]:
         index = shared.value
         for batch in batches:
             numbers, votes = [], []
-            for i in batch.column("id").to_pylist():
-                own = slice(index.own_starts[i], index.own_starts[i + 1])
-                found, cosines = index.nearest(index.own_terms[own], index.own_values[own], without=i) if own.stop > own.start else ([], [])
+            ids = [i for i in batch.column("id").to_pylist() if index.own_starts[i + 1] > index.own_starts[i]]
+            own = [slice(index.own_starts[i], index.own_starts[i + 1]) for i in ids]
+            for i, (found, cosines) in zip(ids, index.nearest_of([(index.own_terms[o], index.own_values[o]) for o in own], without=ids)):
                 if len(found):
                     numbers.append(i)
                     votes.append(index.vote(found, cosines))
@@ -433,24 +480,21 @@ def score(docs: DataFrame, index: Index, neighbours: int = NEIGHBOURS) -> DataFr
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, seen = shared.value, {}
-        for batch in batches:
+        # A few texts at a time: arrays over all bytes of many take more memory than the index does.
+        for batch in (batch.slice(at, _TOGETHER) for batch in batches for at in range(0, batch.num_rows, _TOGETHER)):
             for chunk in chunks(batch.column("text"), lower=True, apart=PUNCTUATION):
                 pairs, unknown = _found(chunk, index.vocabulary)
                 pairs, n = np.unique(pairs, return_counts=True)
                 row, term = pairs // max(1, len(index.vocabulary)), pairs % max(1, len(index.vocabulary))
                 others = _others(chunk, unknown)
                 cuts = np.searchsorted(row, np.arange(len(chunk.starts) + 1)).tolist()
-                scores, evidence, cosines = [], [], []
-                for start, end, other in zip(cuts, cuts[1:], others):
-                    key = blake2b(term[start:end].tobytes() + n[start:end].tobytes() + other.tobytes(), digest_size=16).digest()
-                    if key not in seen:
-                        if len(seen) >= ANSWERS:
-                            seen.clear()
-                        seen[key] = _answer(index, term[start:end], n[start:end], other, neighbours)
-                    value, near, cosine = seen[key]
-                    scores.append(value)
-                    evidence.append(near)
-                    cosines.append(cosine)
+                texts = [(term[start:end], n[start:end], other) for start, end, other in zip(cuts, cuts[1:], others)]
+                keys = [blake2b(t.tobytes() + c.tobytes() + other.tobytes(), digest_size=16).digest() for t, c, other in texts]
+                if len(seen) + len(keys) > ANSWERS:
+                    seen.clear()
+                new_texts = {key: text for key, text in zip(keys, texts) if key not in seen}
+                seen.update(zip(new_texts, _answers(index, list(new_texts.values()), neighbours)))
+                scores, evidence, cosines = map(list, zip(*[seen[key] for key in keys]))
                 rows = batch.slice(chunk.first, chunk.last - chunk.first)
                 yield pa.RecordBatch.from_arrays(
                     [*[rows.column(c) for c in kept], pa.array(scores), pa.array(evidence, pa.list_(pa.int64())), pa.array(cosines, pa.list_(pa.float64()))],
@@ -461,8 +505,13 @@ def score(docs: DataFrame, index: Index, neighbours: int = NEIGHBOURS) -> DataFr
     return made.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
-def _answer(index: Index, terms: np.ndarray, counts: np.ndarray, others: float, k: int) -> tuple[float, list[int], list[float]]:
-    found, cosines = index.nearest(terms, index.vector(terms, counts, others), k) if len(terms) else ([], [])
-    if not len(found):
-        return index.score(None), [], []
-    return index.score(index.vote(found, cosines)), index.doc_ids[found].tolist(), cosines.tolist()
+def _answers(index: Index, texts: list[tuple[np.ndarray, np.ndarray, float]], k: int) -> Iterator[tuple[float, list[int], list[float]]]:
+    """Score and evidence of texts as (terms, counts, others)."""
+    vectors = [(terms, index.vector(terms, counts, others)) for terms, counts, others in texts]
+    near = index.nearest_of([text for text in vectors if len(text[0])], k)
+    for terms, _ in vectors:
+        found, cosines = next(near) if len(terms) else ([], [])
+        if len(found):
+            yield index.score(index.vote(found, cosines)), index.doc_ids[found].tolist(), cosines.tolist()
+        else:
+            yield index.score(None), [], []
